@@ -13,6 +13,7 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,8 +31,13 @@ def ingest_available(spark: SparkSession, schema: T.StructType, src: str, dst: s
     stream = reader.load(src)
     if dedup_keys:
         if event_time:
-            stream = stream.withWatermark(event_time, watermark) \
-                           .dropDuplicatesWithinWatermark(list(dedup_keys))
+            # Watermarks need an instant (TIMESTAMP); a wall-clock
+            # TIMESTAMP_NTZ column is read in the session time zone.
+            wm = "_event_instant"
+            stream = (stream.withColumn(wm, F.col(event_time).cast("timestamp"))
+                      .withWatermark(wm, watermark)
+                      .dropDuplicatesWithinWatermark(list(dedup_keys))
+                      .drop(wm))
         else:
             stream = stream.dropDuplicates(list(dedup_keys))
     q = (stream.writeStream.format("parquet")
