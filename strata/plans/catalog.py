@@ -22,11 +22,12 @@ from strata.operators.scd import changed_keys, new_keys
 from strata.operators.sets import duplicate_keys, set_difference, set_difference_all
 from strata.operators.star import resolve_as_of
 from strata.plans import account, invoice, product, time
+from strata.plans.pipelines import Zones, run_layers
 from strata.session import scratch_path
 from strata.sources.files import SOURCE
 from strata.sources.tables import read_optional, read_table
-from strata.sources.testdata import (account_versions, invoice_lines, invoice_source_rows,
-                                     product_nodes, table, version_effective)
+from strata.sources.testdata import (invoice_lines, invoice_source_rows,
+                                     table, version_effective)
 from strata.sources.writers import append_evolved, write_csv, write_table
 from strata.streaming.arrival import ingest_available
 
@@ -54,6 +55,23 @@ def landed_invoices(spark: SparkSession, sf_dir: str) -> str:
     return _landed[key]
 
 
+_layers: dict[tuple[str, str], Zones] = {}
+
+
+def layers(spark: SparkSession, sf_dir: str) -> Zones:
+    """The layered tables (stage, silver, gold) built once per session and
+    scale; downstream steps read them, as each layer reads the previous one."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _layers:
+        _layers[key] = run_layers(spark, sf_dir, landed=landed_invoices(spark, sf_dir),
+                                  as_of=AS_OF, run_id=RUN_ID)
+    return _layers[key]
+
+
+def _read(spark, sf_dir, layer, name):
+    return spark.read.parquet(layers(spark, sf_dir).path(layer, name))
+
+
 # ---- invoice bronze -------------------------------------------------------
 
 _scans: dict[tuple[str, str], DataFrame] = {}
@@ -125,7 +143,8 @@ def q_duplicate_lines(spark, sf_dir):
 # ---- account --------------------------------------------------------------
 
 def _versions(spark, sf_dir):
-    return account_versions(spark, sf_dir)
+    """The staged account extracts (bronze stage, one directory per version)."""
+    return _read(spark, sf_dir, "bronze", "stage/account")
 
 
 def q_text_clean(spark, sf_dir):
@@ -167,7 +186,7 @@ def q_account_scd_versions(spark, sf_dir):
 
 
 def q_account_gold(spark, sf_dir):
-    return account.gold(_account_silver(spark, sf_dir))
+    return account.gold(_read(spark, sf_dir, "silver", "account"))
 
 
 def q_set_difference(spark, sf_dir):
@@ -189,7 +208,8 @@ def q_set_difference_all(spark, sf_dir):
 # ---- product --------------------------------------------------------------
 
 def _nodes(spark, sf_dir):
-    return product_nodes(spark, sf_dir)
+    """The staged product adjacency list (bronze stage)."""
+    return _read(spark, sf_dir, "bronze", "stage/product")
 
 
 def q_product_level_sku(spark, sf_dir):
@@ -239,11 +259,11 @@ def q_product_upsert(spark, sf_dir):
 
 
 def _product_gold(spark, sf_dir):
-    return product.gold(product.silver(_nodes(spark, sf_dir)))
+    return _read(spark, sf_dir, "gold", "product")
 
 
 def q_product_gold(spark, sf_dir):
-    return _product_gold(spark, sf_dir)
+    return product.gold(_read(spark, sf_dir, "silver", "product"))
 
 
 # ---- time -----------------------------------------------------------------
@@ -268,13 +288,15 @@ def q_dim_time_widened(spark, sf_dir):
 # ---- invoice silver / gold --------------------------------------------------
 
 def _valid_rows(spark, sf_dir):
-    return _gated(spark, sf_dir).filter(F.col("reason").isNull()).drop("reason")
+    """Staged invoice rows that passed the row gate."""
+    staged = _read(spark, sf_dir, "bronze", "gated/invoice")
+    return staged.filter(F.col("outcome") == "valid").drop("outcome", "reason")
 
 
 def _star(spark, sf_dir):
-    accounts = q_account_gold(spark, sf_dir).select("AccountNo", "AccountSkey")
+    accounts = _read(spark, sf_dir, "gold", "account").select("AccountNo", "AccountSkey")
     products = _product_gold(spark, sf_dir).select("SkuCode", "ProductSkey")
-    days = _dim_time(spark, sf_dir).select("Date", "TimeSkey")
+    days = _read(spark, sf_dir, "silver", "time").select("Date", "TimeSkey")
     return invoice.lookup(_valid_rows(spark, sf_dir), accounts, products, days)
 
 
@@ -288,22 +310,21 @@ def q_star_lookup(spark, sf_dir):
 
 
 def q_star_lookup_as_of(spark, sf_dir):
-    versions = _account_silver(spark, sf_dir)
+    versions = _read(spark, sf_dir, "silver", "account")
     out = resolve_as_of(_valid_rows(spark, sf_dir), versions, fact_col="Account", at_col="Date",
                         dim_col="AccountNo", key_col="AccountSkey", out_col="AccountSkey")
     return out.select("InvoiceNumber", "LineItem", "Product", "Date", "Account", "AccountSkey")
 
 
-def _fact_split(spark, sf_dir):
-    return split_unresolved(_star(spark, sf_dir).select(*STAR_COLS), list(invoice.KEY_COLS))
-
-
 def q_fact_valid(spark, sf_dir):
-    return _fact_split(spark, sf_dir)[0]
+    """The silver fact: valid rows, stored partitioned by Year/Month."""
+    fact = _read(spark, sf_dir, "silver", "fact/invoice")
+    return fact.select(*STAR_COLS)
 
 
 def q_fact_unresolved(spark, sf_dir):
-    return _fact_split(spark, sf_dir)[1]
+    stored = _read(spark, sf_dir, "silver", "star/invoice")
+    return split_unresolved(stored.select(*STAR_COLS), list(invoice.KEY_COLS))[1]
 
 
 def q_partition_keys(spark, sf_dir):
