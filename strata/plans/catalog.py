@@ -50,7 +50,8 @@ def landed_invoices(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
         path = scratch_path(spark, "landing-invoice")
-        write_csv(invoice_source_rows(invoice_lines(spark, sf_dir)), path, partition_by=[SOURCE])
+        write_csv(invoice_source_rows(invoice_lines(spark, sf_dir)), path, partition_by=[SOURCE],
+                  num_partitions=4 * spark.sparkContext.defaultParallelism)
         _landed[key] = path
     return _landed[key]
 

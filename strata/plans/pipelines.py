@@ -49,7 +49,8 @@ def _write(df: DataFrame, path: str, zones: Zones, step: str, partition_by=None,
 def land(spark: SparkSession, sf_dir: str, zones: Zones) -> str:
     """Raw zone: the invoice source files, one directory per arrival day."""
     path = zones.path("bronze", "raw/invoice")
-    write_csv(invoice_source_rows(invoice_lines(spark, sf_dir)), path, partition_by=[SOURCE])
+    write_csv(invoice_source_rows(invoice_lines(spark, sf_dir)), path, partition_by=[SOURCE],
+                  num_partitions=4 * spark.sparkContext.defaultParallelism)
     return path
 
 

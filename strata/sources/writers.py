@@ -28,9 +28,18 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-              mode: str = "overwrite") -> None:
-    """CSV with a header line in every file (archive, reject and landing zones)."""
-    out =df.repartition(*[F.col(c) for c in partition_by]) if partition_by else df
+              mode: str = "overwrite", num_partitions: int | None = None) -> None:
+    """CSV with a header line in every file (archive, reject and landing zones).
+
+    With ``partition_by``, rows are clustered by the partition columns first
+    so each output directory is written by one task.  ``num_partitions`` pins
+    the task count (AQE leaves an explicit count alone); without it AQE sizes
+    the tasks by data volume, which can put many small directories on one
+    task."""
+    out = df
+    if partition_by:
+        cols = [F.col(c) for c in partition_by]
+        out = df.repartition(num_partitions, *cols) if num_partitions else df.repartition(*cols)
     w = out.write.mode(mode).option("header", True)
     if partition_by:
         w = w.partitionBy(*partition_by)
