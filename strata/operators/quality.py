@@ -18,6 +18,8 @@ from strata.operators.broadcast import bounded_broadcast
 
 Rule = tuple[str, Column]
 REASON = "reason"
+# Per-file verdicts are (file id, flag) rows: up to this many are broadcast.
+MAX_BROADCAST_FILES = 500_000
 
 
 def tag_reasons(df: DataFrame, rules: Sequence[Rule], reason_col: str = REASON) -> DataFrame:
@@ -54,8 +56,9 @@ def gate(df: DataFrame, rules: Sequence[Rule], granularity: str = "row",
     ``granularity="row"`` rejects only failing rows.  ``"file"`` reproduces the
     reference's policy: one failing row rejects every row of its file.  The
     per-file verdict is a partial aggregate (cheap even when one file holds a
-    third of all rows) joined back; it is broadcast only when the number of
-    files is bounded by ``max_files``."""
+    third of all rows) joined back; it is broadcast only when ``max_files``
+    (e.g. the length of the input listing) proves it small, otherwise the join
+    is a shuffle join whose hot file AQE splits."""
     tagged = tag_reasons(df, rules, reason_col)
     if granularity == "row":
         return tagged
@@ -64,7 +67,7 @@ def gate(df: DataFrame, rules: Sequence[Rule], granularity: str = "row",
     verdict = (tagged.groupBy(file_col)
                .agg(F.max(F.col(reason_col).isNotNull().cast("int")).alias("_file_bad")))
     if max_files is not None:
-        verdict = bounded_broadcast(verdict, max_rows=max_files, known_rows=max_files)
+        verdict = bounded_broadcast(verdict, max_rows=MAX_BROADCAST_FILES, known_rows=max_files)
     joined = tagged.join(verdict, file_col, "left")
     return joined.withColumn(
         reason_col,

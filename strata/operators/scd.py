@@ -38,9 +38,21 @@ def account_status(date_closed: Column) -> Column:
     return F.when(date_closed.isNotNull(), F.lit(0)).otherwise(F.lit(1))
 
 
+def one_per_version(versions: DataFrame, key: str, version: str) -> DataFrame:
+    """Exactly one row per (key, version); duplicates inside one extract are
+    resolved deterministically (smallest row).  A partial aggregate, so a key
+    repeated millions of times is combined map-side and reaches the window as
+    one row per extract."""
+    others = [c for c in versions.columns if c not in (key, version)]
+    return (versions.groupBy(key, version)
+            .agg(F.min(F.struct(*[F.col(c) for c in others])).alias("_row"))
+            .select(key, version, *[F.col(f"_row.{c}").alias(c) for c in others]))
+
+
 def version_dimension(versions: DataFrame, key: str, version: str, tracked: Sequence[str],
                       effective: Column, valid_from: str = "ValidFrom",
                       valid_to: str = "ValidTo", active: str = "isActive") -> DataFrame:
+    versions = one_per_version(versions, key, version)
     w = Window.partitionBy(key).orderBy(version)
     prev = [F.lag(c).over(w) for c in tracked]
     first = F.lag(F.col(version)).over(w).isNull()

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -29,12 +30,30 @@ def current_members(dim: DataFrame, natural_key: str, key_col: str) -> DataFrame
     return dim.groupBy(natural_key).agg(F.max(key_col).alias(key_col))
 
 
+# Prefix of the stand-in join key given to fact rows whose natural key is null.
+NULL_KEY_PREFIX = "\u0001null:"
+
+
+def _spread_nulls(fact: DataFrame, col: str) -> tuple[DataFrame, str]:
+    """A join key equal to ``col``, except that null (never-matching) string
+    keys become distinct non-matching values derived from the row, so they
+    spread over all shuffle partitions instead of piling into one task."""
+    if not isinstance(fact.schema[col].dataType, T.StringType):
+        return fact, col
+    jk = f"_jk_{col}"
+    row = F.xxhash64(*[F.col(c) for c in fact.columns]).cast("string")
+    return fact.withColumn(jk, F.coalesce(F.col(col), F.concat(F.lit(NULL_KEY_PREFIX), row))), jk
+
+
 def resolve_keys(fact: DataFrame, lookups: list[Lookup]) -> DataFrame:
     out = fact
     for i, lk in enumerate(lookups):
         d = current_members(lk.dim, lk.dim_col, lk.key_col).select(
             F.col(lk.dim_col).alias(f"_nk{i}"), F.col(lk.key_col).alias(lk.out_col))
-        out = out.join(d, out[lk.fact_col] == d[f"_nk{i}"], "left").drop(f"_nk{i}")
+        out, jk = _spread_nulls(out, lk.fact_col)
+        out = out.join(d, out[jk] == d[f"_nk{i}"], "left").drop(f"_nk{i}")
+        if jk != lk.fact_col:
+            out = out.drop(jk)
     return out
 
 

@@ -1,6 +1,7 @@
 """Sinks.  No ``coalesce(1)`` on data tables: output files are sized by
-``maxRecordsPerFile`` and, for partitioned tables, clustered by the partition
-columns so each task writes few files."""
+``maxRecordsPerFile`` and, for partitioned tables, rows are rebalanced by the
+partition columns so each task writes few files and no task writes a whole hot
+partition alone."""
 
 from __future__ import annotations
 
@@ -16,7 +17,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 dynamic: bool = False) -> None:
     out = df
     if partition_by:
-        out = out.repartition(*[F.col(c) for c in partition_by])
+        # Rebalance (not repartition): rows are clustered by the partition
+        # columns, and AQE splits a partition holding a large share of the
+        # rows over several tasks (several files in one directory) while
+        # merging small ones.
+        out = out.hint("rebalance", *partition_by)
     w = out.write.format(fmt).mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
