@@ -47,7 +47,9 @@ def lookup_parent(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, s
 
 def flatten_hierarchy(leaves: DataFrame, nodes: DataFrame, id_col: str, parent_col: str,
                       levels: Sequence[str], attrs: dict[str, str],
-                      incomplete_col: str = "incomplete_at") -> DataFrame:
+                      incomplete_col: str = "incomplete_at",
+                      level_col: str | None = None,
+                      expected_levels: dict[str, str] | None = None) -> DataFrame:
     """Walk each leaf up ``len(levels)`` parents and return one wide row.
 
     For level ``L`` every node attribute ``a`` in ``attrs`` (node column ->
@@ -56,16 +58,24 @@ def flatten_hierarchy(leaves: DataFrame, nodes: DataFrame, id_col: str, parent_c
     that could not be reached (null when the chain is complete).  The parent
     table is projected to four columns and reduced to one row per id; Spark
     broadcasts it when it is small, else shuffles — hot parents (one pack
-    under a third of all SKUs) are skew-split by AQE."""
-    cols = list(attrs)
+    under a third of all SKUs) are skew-split by AQE.
+
+    By default a hop accepts any parent node, as the reference does; with
+    ``level_col`` and ``expected_levels`` (level name -> level value) a parent
+    of the wrong level counts as missing, so the chain is reported incomplete
+    at that level."""
+    cols = list(attrs) + ([level_col] if level_col and level_col not in attrs else [])
     parents = (nodes.groupBy(F.col(id_col).alias("_id"))
                .agg(F.min(F.struct(*[F.col(c) for c in cols + [parent_col]])).alias("_n")))
     cur = leaves.withColumn("_next", F.col(parent_col)) \
                 .withColumn(incomplete_col, F.lit(None).cast("string"))
     for level in levels:
-        step = parents.select(F.col("_id").alias(f"_id_{level}"),
-                              *[F.col(f"_n.{c}").alias(f"{level}{suf}") for c, suf in attrs.items()],
-                              F.col(f"_n.{parent_col}").alias(f"_up_{level}"))
+        src = parents
+        if level_col and expected_levels and level in expected_levels:
+            src = parents.filter(F.col(f"_n.{level_col}") == expected_levels[level])
+        step = src.select(F.col("_id").alias(f"_id_{level}"),
+                          *[F.col(f"_n.{c}").alias(f"{level}{suf}") for c, suf in attrs.items()],
+                          F.col(f"_n.{parent_col}").alias(f"_up_{level}"))
         cur = cur.join(step, cur["_next"] == step[f"_id_{level}"], "left")
         cur = cur.withColumn(
             incomplete_col,

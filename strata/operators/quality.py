@@ -85,3 +85,18 @@ def split_unresolved(fact: DataFrame, key_cols: Sequence[str]) -> tuple[DataFram
 def conservation(n_input: Column, n_valid: Column, n_rejected: Column) -> Column:
     """input = valid + rejected."""
     return n_input == n_valid + n_rejected
+
+
+def route_files(tagged: DataFrame, reason_col: str = REASON, file_col: str = "source_file",
+                zone_col: str = "zone", max_files: int | None = None) -> DataFrame:
+    """Whole-file routing (archive vs reject) as data: every row gets the zone
+    of its file — ``reject`` when any row of the file failed a rule, else
+    ``archive``.  Writing the result partitioned by zone replaces moving files
+    between directories; the file identity stays a column."""
+    verdict = (tagged.groupBy(file_col)
+               .agg(F.max(F.col(reason_col).isNotNull().cast("int")).alias("_file_bad")))
+    if max_files is not None:
+        verdict = bounded_broadcast(verdict, max_rows=MAX_BROADCAST_FILES, known_rows=max_files)
+    return (tagged.join(verdict, file_col, "left")
+            .withColumn(zone_col, F.when(F.col("_file_bad") == 1, F.lit("reject")).otherwise(F.lit("archive")))
+            .drop("_file_bad"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from strata.functions.keys import stable_key
 from strata.functions.text import clean_text
 from strata.operators.audit import audit_frame, observed
-from strata.operators.quality import gate, split_unresolved
+from strata.operators.quality import gate, route_files, split_unresolved
 from strata.operators.refresh import partition_keys, refresh_partitions, retain
 from strata.operators.scd import changed_keys, new_keys
 from strata.operators.sets import duplicate_keys, set_difference, set_difference_all
@@ -216,7 +216,14 @@ def _nodes(spark, sf_dir):
 
 
 def q_product_level_sku(spark, sf_dir):
-    return product.sku_rows(_nodes(spark, sf_dir))
+    """SKU rows in description order (order is presentation only)."""
+    return product.sku_rows(_nodes(spark, sf_dir)).orderBy("Product_Desc", "Source_System_Id")
+
+
+def q_product_flatten_level_checked(spark, sf_dir):
+    """Hierarchy walk that also demands the expected level at every hop."""
+    return product.flattened(_nodes(spark, sf_dir), check_levels=True) \
+        .select("SourceSystemSKUId", "SkuCode", "incomplete_at")
 
 
 def q_product_exceptions(spark, sf_dir):
@@ -330,6 +337,34 @@ def q_fact_unresolved(spark, sf_dir):
     return split_unresolved(stored.select(*STAR_COLS), list(invoice.KEY_COLS))[1]
 
 
+def q_account_invoiced(spark, sf_dir):
+    """Active accounts with at least one valid invoice line (semi join)."""
+    accounts = _read(spark, sf_dir, "gold", "account").select("AccountNo", "AccountSkey")
+    return accounts.join(q_fact_valid(spark, sf_dir).select("AccountSkey"), "AccountSkey", "left_semi")
+
+
+def q_invoice_file_routing(spark, sf_dir):
+    """Archive / reject routing of whole source files, written as CSV zones
+    and read back."""
+    raw = _raw(spark, sf_dir)
+    routed = route_files(invoice.gated(invoice.typed(raw)), max_files=len(raw.inputFiles()))
+    path = scratch_path(spark, "invoice-routed")
+    write_csv(routed.select("InvoiceNumber", "LineItem", SOURCE, "reason", "zone"), path,
+              partition_by=["zone"])
+    back = spark.read.option("header", True).csv(path)
+    return back.groupBy(F.col("zone").cast("string").alias("zone")).agg(
+        F.countDistinct(SOURCE).cast("bigint").alias("n_files"),
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+
+
+def q_dim_time_view(spark, sf_dir):
+    """The calendar published as a temporary view and queried with SQL."""
+    _dim_time(spark, sf_dir).createOrReplaceTempView("vw_dim_time")
+    return spark.sql("""SELECT Year, CAST(count(*) AS BIGINT) AS n_days,
+                               CAST(sum(WorkingDay) AS BIGINT) AS working_days
+                        FROM vw_dim_time GROUP BY Year""")
+
+
 def q_partition_keys(spark, sf_dir):
     return partition_keys(q_fact_valid(spark, sf_dir), ["Year", "Month"])
 
@@ -438,6 +473,10 @@ QUERIES: dict[str, Query] = {
     "surrogate_keys": q_surrogate_keys,
     "product_upsert": q_product_upsert,
     "product_gold": q_product_gold,
+    "product_flatten_level_checked": q_product_flatten_level_checked,
+    "account_invoiced": q_account_invoiced,
+    "invoice_file_routing": q_invoice_file_routing,
+    "dim_time_view": q_dim_time_view,
     "dim_time": q_dim_time,
     "dim_time_widened": q_dim_time_widened,
     "star_lookup": q_star_lookup,

@@ -151,6 +151,7 @@ SELECT 'S' || CAST(p_partkey AS VARCHAR) AS Source_System_Id, CAST(p_partkey AS
        CASE WHEN p_partkey % 101 = 0 THEN NULL ELSE 'Product_SKU' END AS Product_Level,
        CASE WHEN p_partkey % 53 = 0 THEN NULL WHEN p_partkey % 59 = 0 THEN 'ROOT'
             WHEN p_partkey % 61 = 0 THEN 'PX' || CAST(p_partkey AS VARCHAR)
+            WHEN p_partkey % 67 = 0 THEN 'B' || p_brand
             ELSE 'P' || p_brand || '|' || p_type END AS Par_Row_Id,
        CASE WHEN p_size > 25 THEN 'CASE' ELSE 'CARTON' END AS Traded_Unit,
        CAST(p_size * 10 AS INTEGER) AS Sticks_Per_Traded_Unit,
@@ -211,6 +212,17 @@ LEFT JOIN fx_product b ON k.Par_Row_Id = b.Source_System_Id
 LEFT JOIN fx_product h ON b.Par_Row_Id = h.Source_System_Id
 LEFT JOIN fx_product g ON h.Par_Row_Id = g.Source_System_Id""")
 
+_cte("prod_flat_checked", ("prod_valid", "fx_product"), """
+SELECT v.SourceSystemSKUId, v.SkuCode,
+       CASE WHEN k.Source_System_Id IS NULL THEN 'Pack' WHEN b.Source_System_Id IS NULL THEN 'Brand'
+            WHEN h.Source_System_Id IS NULL THEN 'House' WHEN g.Source_System_Id IS NULL THEN 'Group'
+       END AS incomplete_at
+FROM prod_valid v
+LEFT JOIN fx_product k ON v.Par_Row_Id = k.Source_System_Id AND k.Product_Level = 'Product_Pack'
+LEFT JOIN fx_product b ON k.Par_Row_Id = b.Source_System_Id AND b.Product_Level = 'Product_Brand'
+LEFT JOIN fx_product h ON b.Par_Row_Id = h.Source_System_Id AND h.Product_Level = 'Product_House'
+LEFT JOIN fx_product g ON h.Par_Row_Id = g.Source_System_Id AND g.Product_Level = 'Product_Group'""")
+
 _cte("prod_silver", ("prod_flat",), f"""
 SELECT *, {_key('SourceSystemSKUId')} AS ProductSkey FROM prod_flat WHERE incomplete_at IS NULL""")
 
@@ -392,6 +404,19 @@ SELECT InvoiceNumber, LineItem, Product, Date,
 FROM fx_invoice"""),
     "product_upsert": _upsert_sql(),
     "product_gold": _with(("prod_gold",), "SELECT * FROM prod_gold"),
+    "product_flatten_level_checked": _with(("prod_flat_checked",), "SELECT * FROM prod_flat_checked"),
+    "account_invoiced": _with(("acc_gold", "fact_valid"), """
+SELECT a.AccountNo, a.AccountSkey FROM acc_gold a
+WHERE EXISTS (SELECT 1 FROM fact_valid f WHERE f.AccountSkey = a.AccountSkey)"""),
+    "invoice_file_routing": _with(("inv_gated",), """
+SELECT zone, CAST(count(DISTINCT source_file) AS BIGINT) AS n_files, CAST(sum(n) AS BIGINT) AS n_rows
+FROM (SELECT source_file, count(*) AS n,
+             CASE WHEN max(CASE WHEN reason IS NULL THEN 0 ELSE 1 END) = 1 THEN 'reject' ELSE 'archive' END AS zone
+      FROM inv_gated GROUP BY source_file)
+GROUP BY zone"""),
+    "dim_time_view": _with(("dim_time",), """
+SELECT Year, CAST(count(*) AS BIGINT) AS n_days, CAST(sum(WorkingDay) AS BIGINT) AS working_days
+FROM dim_time GROUP BY Year"""),
     "dim_time": _with(("dim_time",), "SELECT * FROM dim_time"),
     "dim_time_widened": _with(("dim_time_wide",), "SELECT * FROM dim_time_wide"),
     "star_lookup": _with(("star",), f"SELECT {_STAR_COLS} FROM star"),

@@ -24,7 +24,7 @@ from strata.session import scratch_path
 from strata.sources.files import SOURCE
 from strata.sources.testdata import (account_versions, invoice_lines, invoice_source_rows,
                                      product_nodes, table, version_effective)
-from strata.sources.writers import write_csv, write_table
+from strata.sources.writers import write_control_table, write_csv, write_table
 
 AS_OF = "2001-11-04"
 RUN_ID = "run-0001"
@@ -107,5 +107,5 @@ def run_layers(spark: SparkSession, sf_dir: str, root: str | None = None,
     stage_extracts(spark, sf_dir, zones)
     build_dimensions(spark, sf_dir, zones, as_of)
     build_fact(spark, landed, zones, as_of)
-    audit_frame(spark, run_id, zones.events).write.mode("append").parquet(zones.path("logs", "audit"))
+    write_control_table(audit_frame(spark, run_id, zones.events), zones.path("logs", "audit"))
     return zones

@@ -48,13 +48,20 @@ def exceptions(nodes: DataFrame) -> DataFrame:
     return no_level.unionByName(bad_skus)
 
 
-def flattened(nodes: DataFrame) -> DataFrame:
+# Level each hop must reach when the optional level check is on.
+EXPECTED_LEVELS = {"Pack": "Product_Pack", "Brand": "Product_Brand",
+                   "House": "Product_House", "Group": "Product_Group"}
+
+
+def flattened(nodes: DataFrame, check_levels: bool = False) -> DataFrame:
     valid = sku_tagged(nodes).filter(F.col("exception_reason").isNull()).select(
         F.col("Source_System_Id").alias("SourceSystemSKUId"),
         F.col("Product_Code").alias("SkuCode"), F.col("Product_Desc").alias("SkuDesc"),
         "Par_Row_Id", *ATTRS)
     return flatten_hierarchy(valid, nodes, id_col="Source_System_Id", parent_col="Par_Row_Id",
-                             levels=LEVELS, attrs={"Product_Code": "Code", "Product_Desc": "Desc"}) \
+                             levels=LEVELS, attrs={"Product_Code": "Code", "Product_Desc": "Desc"},
+                             level_col="Product_Level" if check_levels else None,
+                             expected_levels=EXPECTED_LEVELS if check_levels else None) \
         .drop("Par_Row_Id")
 
 

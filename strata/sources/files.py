@@ -38,8 +38,9 @@ def source_id(path: Column) -> Column:
 
 
 def scan_landed(spark: SparkSession, paths: str | Sequence[str],
-                expected: T.StructType) -> DataFrame:
-    """All-string scan of every file; adds ``source_file`` and ``_is_header``."""
+                expected: T.StructType, glob: str | None = "*.csv") -> DataFrame:
+    """All-string scan of every file; adds ``source_file`` and ``_is_header``.
+    ``glob`` keeps only matching file names (the reference's suffix filter)."""
     names = [f.name for f in expected.fields]
     string_schema = T.StructType(
         [T.StructField(n, T.StringType()) for n in names]
@@ -49,6 +50,7 @@ def scan_landed(spark: SparkSession, paths: str | Sequence[str],
            .option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT)
            .option("recursiveFileLookup", True)
+           .options(**({"pathGlobFilter": glob} if glob else {}))
            .csv(paths if isinstance(paths, str) else list(paths)))
     header_match = F.lit(True)
     for n in names:

@@ -153,8 +153,9 @@ def product_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_product``: the product adjacency list (SKU -> Pack -> Brand ->
     House -> Group -> ROOT).  SKUs are parts; packs are brand x type; houses
     are brand number mod 5; groups are house mod 2.  SKUs get a missing level
-    (key % 101 = 0), a missing parent (% 53), the root as parent (% 59) or an
-    unknown parent (% 61)."""
+    (key % 101 = 0), a missing parent (% 53), the root as parent (% 59), an
+    unknown parent (% 61) or a parent of the wrong level (% 67: the brand,
+    skipping the pack)."""
     part = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     brand_no = F.substring("p_brand", 7, 10).cast("int")
@@ -180,6 +181,7 @@ def product_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 53 == 0, null_s)
          .when(k % 59 == 0, F.lit(ROOT_ID))
          .when(k % 61 == 0, F.concat(F.lit("PX"), _s(k)))
+         .when(k % 67 == 0, F.concat(F.lit("B"), F.col("p_brand")))
          .otherwise(pack_id).alias("Par_Row_Id"),
         F.when(F.col("p_size") > 25, F.lit("CASE")).otherwise(F.lit("CARTON")).alias("Traded_Unit"),
         (F.col("p_size") * 10).cast("int").alias("Sticks_Per_Traded_Unit"),

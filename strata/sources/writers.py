@@ -57,3 +57,10 @@ def append_evolved(spark: SparkSession, df: DataFrame, path: str,
     table read with ``mergeSchema`` so old rows show nulls in new columns."""
     write_table(df, path, mode="append", partition_by=partition_by)
     return spark.read.option("mergeSchema", True).parquet(path)
+
+
+def write_control_table(df: DataFrame, path: str, mode: str = "append") -> None:
+    """One file for a control table (audit log, settings): a handful of rows
+    by contract, so a single writer task is the right size.  Never used for
+    data tables."""
+    df.coalesce(1).write.mode(mode).parquet(path)
