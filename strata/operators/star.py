@@ -10,6 +10,7 @@ dimensions stay shuffle joins whose hot keys AQE splits.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,23 +35,29 @@ def current_members(dim: DataFrame, natural_key: str, key_col: str) -> DataFrame
 NULL_KEY_PREFIX = "\u0001null:"
 
 
-def _spread_nulls(fact: DataFrame, col: str) -> tuple[DataFrame, str]:
+def _spread_nulls(fact: DataFrame, col: str,
+                  spread_by: Sequence[str] | None = None) -> tuple[DataFrame, str]:
     """A join key equal to ``col``, except that null (never-matching) string
-    keys become distinct non-matching values derived from the row, so they
-    spread over all shuffle partitions instead of piling into one task."""
+    keys become distinct non-matching values derived from the row (its
+    ``spread_by`` columns, default all), so they spread over all shuffle
+    partitions instead of piling into one task."""
     if not isinstance(fact.schema[col].dataType, T.StringType):
         return fact, col
     jk = f"_jk_{col}"
-    row = F.xxhash64(*[F.col(c) for c in fact.columns]).cast("string")
+    row = F.xxhash64(*[F.col(c) for c in (spread_by or fact.columns)]).cast("string")
     return fact.withColumn(jk, F.coalesce(F.col(col), F.concat(F.lit(NULL_KEY_PREFIX), row))), jk
 
 
-def resolve_keys(fact: DataFrame, lookups: list[Lookup]) -> DataFrame:
+def resolve_keys(fact: DataFrame, lookups: list[Lookup],
+                 spread_by: Sequence[str] | None = None) -> DataFrame:
+    """Left-join each dimension's current surrogate key onto the fact.
+    ``spread_by`` names fact columns that identify a row (its natural key);
+    they seed the stand-in keys of null-keyed rows."""
     out = fact
     for i, lk in enumerate(lookups):
         d = current_members(lk.dim, lk.dim_col, lk.key_col).select(
             F.col(lk.dim_col).alias(f"_nk{i}"), F.col(lk.key_col).alias(lk.out_col))
-        out, jk = _spread_nulls(out, lk.fact_col)
+        out, jk = _spread_nulls(out, lk.fact_col, spread_by)
         out = out.join(d, out[jk] == d[f"_nk{i}"], "left").drop(f"_nk{i}")
         if jk != lk.fact_col:
             out = out.drop(jk)

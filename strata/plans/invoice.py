@@ -65,7 +65,7 @@ def lookup(valid: DataFrame, accounts: DataFrame, products: DataFrame, days: Dat
         Lookup(accounts, "Account", "AccountNo", "AccountSkey", "AccountSkey"),
         Lookup(products, "Product", "SkuCode", "ProductSkey", "ProductSkey"),
         Lookup(days, "Date", "Date", "TimeSkey", "TimeSkey"),
-    ])
+    ], spread_by=["InvoiceNumber", "LineItem", "Date"])
     return resolved.select(
         stable_key("InvoiceNumber", "LineItem", "Product", F.date_format("Date", "yyyy-MM-dd"))
         .alias("FactInvoiceSkey"),

@@ -35,6 +35,10 @@ def build_session(app: str = "strata", cpus: int | str = "*",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # local[N] has no executors to list files on: list landing
+        # directories on the driver instead of one task per directory.
+        # Clusters keep Spark's default parallel listing.
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
