@@ -340,7 +340,9 @@ def q_fact_unresolved(spark, sf_dir):
 def q_account_invoiced(spark, sf_dir):
     """Active accounts with at least one valid invoice line (semi join)."""
     accounts = _read(spark, sf_dir, "gold", "account").select("AccountNo", "AccountSkey")
-    return accounts.join(q_fact_valid(spark, sf_dir).select("AccountSkey"), "AccountSkey", "left_semi")
+    # Distinct keys first: a hot account collapses map-side before the shuffle.
+    invoiced = q_fact_valid(spark, sf_dir).select("AccountSkey").distinct()
+    return accounts.join(invoiced, "AccountSkey", "left_semi")
 
 
 def q_invoice_file_routing(spark, sf_dir):

@@ -36,15 +36,16 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] | None = Non
               mode: str = "overwrite", num_partitions: int | None = None) -> None:
     """CSV with a header line in every file (archive, reject and landing zones).
 
-    With ``partition_by``, rows are clustered by the partition columns first
-    so each output directory is written by one task.  ``num_partitions`` pins
-    the task count (AQE leaves an explicit count alone); without it AQE sizes
-    the tasks by data volume, which can put many small directories on one
-    task."""
+    With ``partition_by``, rows are clustered by the partition columns first.
+    By default they are rebalanced: AQE sizes tasks by volume and splits a hot
+    directory over several tasks.  ``num_partitions`` pins the task count
+    instead (hash clustering, one task per directory; AQE leaves an explicit
+    count alone), for many small, evenly sized directories."""
     out = df
     if partition_by:
         cols = [F.col(c) for c in partition_by]
-        out = df.repartition(num_partitions, *cols) if num_partitions else df.repartition(*cols)
+        out = (df.repartition(num_partitions, *cols) if num_partitions
+               else df.hint("rebalance", *partition_by))
     w = out.write.mode(mode).option("header", True)
     if partition_by:
         w = w.partitionBy(*partition_by)

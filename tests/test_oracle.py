@@ -58,3 +58,24 @@ def test_star_lookup_broadcasts_small_dimensions(spark, capsys):
     assert plan.count("BroadcastHashJoin") >= 3
     assert "SortMergeJoin" not in plan.split("Final Plan")[-1].split("Initial Plan")[0] if "Final Plan" in plan \
         else True
+
+
+def test_one_scan_per_source(spark, capsys):
+    import re
+    plan = _plan(queries()["invoice_row_gate"](spark, SF), capsys)
+    assert len(re.findall(r"^\(\d+\) Scan csv", plan, flags=re.M)) == 1
+
+
+def test_layer_audit_conserves_rows(spark):
+    """C21: every row scanned is either staged or rejected; every staged row
+    is either a valid fact or an exception."""
+    from strata.plans.catalog import layers
+    z = layers(spark, SF)
+    log = {r.LogMessage: r.LogRowCount
+           for r in spark.read.parquet(z.path("logs", "audit")).collect()}
+    gated = spark.read.parquet(z.path("bronze", "gated/invoice"))
+    valid = gated.filter("outcome = 'valid'").count()
+    assert log["invoice gate"] == gated.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert log["invoice star lookup"] == valid
+    fact = spark.read.parquet(z.path("silver", "fact/invoice")).count()
+    assert log["invoice exceptions"] + fact == valid
