@@ -152,3 +152,16 @@ def test_upsert_semantics_and_idempotence(spark):
     assert got == {"1": ("a", 1, 1), "2": ("B", 1, 2), "3": ("c", 2, 2)}
     twice = upsert(once, source, ["id"], ["d"], load_ts=F.lit("2020-03-01").cast("timestamp_ntz"))
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
+
+
+def test_level_check_rejects_wrong_level_parent(spark, monkeypatch):
+    """D18: without the check a SKU hung directly under a brand flattens with
+    every level shifted; with it the chain is incomplete at Pack."""
+    monkeypatch.setattr(product, "ROOT_IDS", ("root",))
+    n = nodes(spark).unionByName(
+        nodes(spark).filter("Source_System_Id = 's1'")
+        .withColumns({"Source_System_Id": F.lit("s7"), "Product_Code": F.lit("507"), "Par_Row_Id": F.lit("b1")}))
+    loose = {r.SourceSystemSKUId: r for r in product.flattened(n).collect()}
+    assert loose["s7"].incomplete_at == "Group" and loose["s7"].PackCode == "B1"
+    strict = {r.SourceSystemSKUId: r.incomplete_at for r in product.flattened(n, check_levels=True).collect()}
+    assert strict["s7"] == "Pack" and strict["s1"] is None

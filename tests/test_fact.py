@@ -115,3 +115,21 @@ def test_incremental_arrival_processes_each_file_once(spark, tmp_path):
         .write.mode("append").parquet(src)
     ingest_available(spark, schema, src, dst, chk, dedup_keys=["event_id"], event_time="ts")
     assert sorted(r.event_id for r in spark.read.parquet(dst).collect()) == [1, 2, 3]
+
+
+def test_route_files_by_worst_row(spark):
+    from strata.operators.quality import route_files
+    df = spark.createDataFrame([("f1", None), ("f1", "bad"), ("f2", None)], "source_file string, reason string")
+    got = sorted((r.source_file, r.zone) for r in route_files(df, max_files=2).collect())
+    assert got == [("f1", "reject"), ("f1", "reject"), ("f2", "archive")]
+
+
+def test_bounded_broadcast_only_within_bound(spark, capsys):
+    from strata.operators.broadcast import bounded_broadcast
+    big, small = spark.range(100), spark.range(3)
+    j1 = spark.range(10).join(bounded_broadcast(small, max_rows=5), "id")
+    j2 = spark.range(10).join(bounded_broadcast(big, max_rows=5), "id")
+    j1.explain(); p1 = capsys.readouterr().out
+    j2.explain(); p2 = capsys.readouterr().out
+    assert "broadcast" in p1.lower()
+    assert j2.count() == 10 and j1.count() == 3
