@@ -26,10 +26,10 @@ from strata.plans.pipelines import Zones, run_layers
 from strata.session import scratch_path
 from strata.sources.files import SOURCE
 from strata.sources.tables import read_optional, read_table
-from strata.sources.testdata import (invoice_lines, invoice_source_rows,
+from strata.sources.testdata import (INVOICE_SOURCE_SCHEMA, invoice_lines, invoice_source_rows,
                                      table, version_effective)
 from strata.sources.writers import append_evolved, write_csv, write_table
-from strata.streaming.arrival import ingest_available
+from strata.streaming.arrival import ingest_available, ingest_csv_available
 
 # Fixed parameters pinned so results are reproducible.
 AS_OF = "2001-11-04"
@@ -450,6 +450,18 @@ def q_stream_file_arrival(spark, sf_dir):
         F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total_value"))
 
 
+def q_stream_invoice_arrival(spark, sf_dir):
+    """The invoice landing consumed as a stream of arriving files: every file
+    gated once; a rerun with no new files stages nothing."""
+    landed = landed_invoices(spark, sf_dir)
+    dst, chk = scratch_path(spark, "invoice-stream-stage"), scratch_path(spark, "invoice-stream-chk")
+    for _ in range(2):
+        ingest_csv_available(spark, f"{landed}/*/", INVOICE_SOURCE_SCHEMA,
+                             invoice.stage_batch(dst), chk)
+    staged = read_table(spark, dst)
+    return staged.groupBy("outcome", "reason").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
 QUERIES: dict[str, Query] = {
     "monthly_brand_net": q_monthly_brand_net,
     "csv_roundtrip_contract": q_csv_roundtrip_contract,
@@ -494,4 +506,5 @@ QUERIES: dict[str, Query] = {
     "gold_rollup": q_gold_rollup,
     "audit_rows": q_audit_rows,
     "stream_file_arrival": q_stream_file_arrival,
+    "stream_invoice_arrival": q_stream_invoice_arrival,
 }

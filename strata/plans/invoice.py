@@ -59,6 +59,19 @@ def gated(rows: DataFrame) -> DataFrame:
     return tag_reasons(rows, gate_rules())
 
 
+def stage_batch(dst: str):
+    """``foreachBatch`` handler: type and gate one micro-batch of landed rows
+    and write it under ``dst/batch=<id>`` partitioned by outcome.  Overwriting
+    the batch's own directory makes a replayed batch idempotent."""
+    from strata.sources.writers import write_table
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        g = gated(typed(batch))
+        out = g.withColumn("outcome", F.when(F.col(REASON).isNull(), "valid").otherwise("rejected"))
+        write_table(out, f"{dst}/batch={batch_id}", partition_by=["outcome"])
+    return process
+
+
 def lookup(valid: DataFrame, accounts: DataFrame, products: DataFrame, days: DataFrame) -> DataFrame:
     """Resolve the three surrogate keys and shape the silver fact."""
     resolved = resolve_keys(valid, [

@@ -460,6 +460,10 @@ FROM inv_gated WHERE reason IS NULL
 UNION ALL
 SELECT 'WARN', 'rows rejected', 'failed the row gate', CAST(count(*) AS BIGINT), 'run-0001'
 FROM inv_gated WHERE reason IS NOT NULL"""),
+    "stream_invoice_arrival": _with(("inv_gated",), """
+SELECT CASE WHEN reason IS NULL THEN 'valid' ELSE 'rejected' END AS outcome, reason,
+       CAST(count(*) AS BIGINT) AS n
+FROM inv_gated GROUP BY 1, 2"""),
     "stream_file_arrival": """
 SELECT event_type, CAST(count(*) AS BIGINT) AS n_events,
        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_value

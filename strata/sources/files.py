@@ -37,21 +37,16 @@ def source_id(path: Column) -> Column:
     return F.when(from_dir != "", from_dir).otherwise(from_name)
 
 
-def scan_landed(spark: SparkSession, paths: str | Sequence[str],
-                expected: T.StructType, glob: str | None = "*.csv") -> DataFrame:
-    """All-string scan of every file; adds ``source_file`` and ``_is_header``.
-    ``glob`` keeps only matching file names (the reference's suffix filter)."""
+def landed_string_schema(expected: T.StructType) -> T.StructType:
+    """Every declared column as a string, plus the corrupt-record column."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in expected.fields]
+                        + [T.StructField(CORRUPT, T.StringType())])
+
+
+def landed_projection(raw: DataFrame, expected: T.StructType) -> DataFrame:
+    """Columns of an all-string scan plus ``source_file`` and ``_is_header``;
+    shared by the batch scan and the streaming ingest."""
     names = [f.name for f in expected.fields]
-    string_schema = T.StructType(
-        [T.StructField(n, T.StringType()) for n in names]
-        + [T.StructField(CORRUPT, T.StringType())])
-    raw = (spark.read.schema(string_schema)
-           .option("header", False)
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT)
-           .option("recursiveFileLookup", True)
-           .options(**({"pathGlobFilter": glob} if glob else {}))
-           .csv(paths if isinstance(paths, str) else list(paths)))
     header_match = F.lit(True)
     for n in names:
         header_match = header_match & F.col(f"`{n}`").eqNullSafe(F.lit(n))
@@ -63,6 +58,21 @@ def scan_landed(spark: SparkSession, paths: str | Sequence[str],
     )
 
 
+CSV_OPTIONS = {"header": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def scan_landed(spark: SparkSession, paths: str | Sequence[str],
+                expected: T.StructType, glob: str | None = "*.csv") -> DataFrame:
+    """All-string scan of every file; adds ``source_file`` and ``_is_header``.
+    ``glob`` keeps only matching file names (the reference's suffix filter)."""
+    raw = (spark.read.schema(landed_string_schema(expected))
+           .options(**CSV_OPTIONS)
+           .option("recursiveFileLookup", True)
+           .options(**({"pathGlobFilter": glob} if glob else {}))
+           .csv(paths if isinstance(paths, str) else list(paths)))
+    return landed_projection(raw, expected)
+
+
 def file_contract(raw: DataFrame) -> DataFrame:
     """Per source file: did some row carry exactly the expected header, and how
     many data rows does it hold.  A partial aggregate, so a file holding a

@@ -1,5 +1,5 @@
 """Incremental file arrival with Structured Streaming."""
 
-from strata.streaming.arrival import ingest_available
+from strata.streaming.arrival import ingest_available, ingest_csv_available
 
-__all__ = ["ingest_available"]
+__all__ = ["ingest_available", "ingest_csv_available"]

@@ -10,9 +10,9 @@ bounded by an event-time watermark, so state does not grow with history.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -48,3 +48,28 @@ def ingest_available(spark: SparkSession, schema: T.StructType, src: str, dst: s
          .start())
     q.awaitTermination()
     return q
+
+
+def ingest_csv_available(spark: SparkSession, src: str, expected: T.StructType,
+                         process_batch: Callable[[DataFrame, int], None], checkpoint: str,
+                         max_files_per_batch: int = 1000, glob: str = "*.csv") -> StreamingQuery:
+    """Land-and-gate for source files that keep arriving.
+
+    The stream reads every new file (``src`` may be a glob such as
+    ``landing/*/``) with the same all-string, header-aware projection as the
+    batch scan, and hands each micro-batch to ``process_batch(df, batch_id)``
+    (``foreachBatch``).  Whole files belong to one micro-batch, so per-file
+    verdicts can be taken inside the batch."""
+    from strata.sources.files import CSV_OPTIONS, landed_projection, landed_string_schema
+    raw = (spark.readStream.schema(landed_string_schema(expected))
+           .options(**CSV_OPTIONS)
+           .option("pathGlobFilter", glob)
+           .option("maxFilesPerTrigger", max_files_per_batch)
+           .csv(src))
+    q = (landed_projection(raw, expected).writeStream
+         .foreachBatch(process_batch)
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True)
+         .start())
+    q.awaitTermination()
+    return q

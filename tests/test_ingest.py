@@ -87,3 +87,22 @@ def test_reconcile_rule_flags_mismatch(spark):
     df = df.select("id", *[F.col(c).cast("decimal(18,2)").alias(c) for c in "gnv"])
     out = {r.id: r.reason for r in tag_reasons(df, [reconcile_rule("g", "n", "v")]).collect()}
     assert out == {1: None, 2: "amounts do not reconcile"}
+
+
+def test_streaming_csv_arrival_gates_each_file_once(spark, tmp_path):
+    from strata.streaming.arrival import ingest_csv_available
+    land = tmp_path / "landing"
+    (land / "source_file=d1").mkdir(parents=True)
+    (land / "source_file=d1" / "part-0.csv").write_text(GOOD)
+    dst, chk = str(tmp_path / "stage"), str(tmp_path / "chk")
+    run = lambda: ingest_csv_available(spark, f"{land}/*/", INVOICE_SOURCE_SCHEMA,
+                                       invoice.stage_batch(dst), chk)
+    run()
+    staged = lambda: sorted((r.source_file, r.outcome) for r in spark.read.parquet(dst).collect())
+    assert staged() == [("d1", "rejected")] * 2 + [("d1", "valid")] * 3
+    run()                                                   # nothing new arrived
+    assert len(staged()) == 5
+    (land / "source_file=d2").mkdir()
+    (land / "source_file=d2" / "part-0.csv").write_text(CLEAN)
+    run()
+    assert staged().count(("d2", "valid")) == 1 and len(staged()) == 6
