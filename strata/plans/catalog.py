@@ -393,7 +393,8 @@ def q_append_evolved(spark, sf_dir):
 
 
 def q_retention_36m(spark, sf_dir):
-    return retain(q_fact_valid(spark, sf_dir), "Date", 36, AS_OF).select("FactInvoiceSkey", "Date")
+    return retain(q_fact_valid(spark, sf_dir), "Date", 36, AS_OF, year_col="Year", month_col="Month") \
+        .select("FactInvoiceSkey", "Date")
 
 
 def q_fact_gold(spark, sf_dir):

@@ -91,7 +91,8 @@ def lookup(valid: DataFrame, accounts: DataFrame, products: DataFrame, days: Dat
 
 
 def gold(silver_valid: DataFrame, as_of: str, months: int = 36) -> DataFrame:
-    return conform(retain(silver_valid, "Date", months, as_of), GOLD_SCHEMA)
+    return conform(retain(silver_valid, "Date", months, as_of, year_col="Year", month_col="Month"),
+                   GOLD_SCHEMA)
 
 
 __all__ = ["bronze", "contract", "typed", "gated", "lookup", "gold", "GOLD_SCHEMA", "REASON",

@@ -79,3 +79,8 @@ def test_layer_audit_conserves_rows(spark):
     assert log["invoice star lookup"] == valid
     fact = spark.read.parquet(z.path("silver", "fact/invoice")).count()
     assert log["invoice exceptions"] + fact == valid
+
+
+def test_gold_retention_prunes_partitions(spark, capsys):
+    plan = _plan(queries()["fact_gold"](spark, SF), capsys)
+    assert "PartitionFilters: [((Year" in plan
