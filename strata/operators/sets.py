@@ -23,3 +23,12 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n") ->
     A partial aggregate: hot keys are combined map-side before the shuffle."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias(count_col))
               .filter(F.col(count_col) > 1))
+
+
+def union_by_name(*frames: DataFrame) -> DataFrame:
+    """Union by column name; a column missing from a frame is null there
+    (extracts whose layout gained columns over time)."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out

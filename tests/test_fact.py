@@ -133,3 +133,11 @@ def test_bounded_broadcast_only_within_bound(spark, capsys):
     j2.explain(); p2 = capsys.readouterr().out
     assert "broadcast" in p1.lower()
     assert j2.count() == 10 and j1.count() == 3
+
+
+def test_union_by_name_fills_missing_columns(spark):
+    from strata.operators.sets import union_by_name
+    a = spark.createDataFrame([(1, "x")], "k int, a string")
+    b = spark.createDataFrame([("y", 2, 3.0)], "a string, k int, new double")
+    got = sorted(tuple(r) for r in union_by_name(a, b).select("k", "a", "new").collect())
+    assert got == [(1, "x", None), (2, "y", 3.0)]
