@@ -29,7 +29,7 @@ HEADLINE = [
     "account_scd_versions", "account_gold", "product_flatten", "product_upsert",
     "product_gold", "dim_time", "star_lookup", "star_lookup_as_of", "fact_gold",
     "gold_rollup", "duplicate_lines", "surrogate_keys", "partition_refresh",
-    "stream_file_arrival",
+    "stream_file_arrival", "stream_invoice_arrival",
 ]
 
 
