@@ -13,9 +13,32 @@ def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.subtract(right)
 
 
-def set_difference_all(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Multiset difference: each right row cancels one equal left row."""
-    return left.exceptAll(right)
+# Largest number of copies of one row a single task emits in set_difference_all.
+COPIES_PER_TASK = 1_000_000
+
+
+def set_difference_all(left: DataFrame, right: DataFrame,
+                       copies_per_task: int = COPIES_PER_TASK) -> DataFrame:
+    """Multiset difference (EXCEPT ALL): each right row cancels one equal left
+    row (null equals null).
+
+    Counts per distinct row are a partial aggregate.  The surviving copies
+    are then emitted in chunks of at most ``copies_per_task``, and the chunks
+    are rebalanced, so a row that makes up a third of the input is emitted by
+    many tasks rather than one (``exceptAll`` replicates each group in the
+    task that holds it)."""
+    cols = left.columns
+    signed = (left.select(*cols, F.lit(1).alias("_d"))
+              .unionByName(right.select(*cols, F.lit(-1).alias("_d"))))
+    counts = signed.groupBy(*cols).agg(F.sum("_d").alias("_n")).filter(F.col("_n") > 0)
+    n = F.col("_n")
+    chunks = counts.select(*cols, n, F.explode(F.sequence(
+        F.lit(0).cast("long"), ((n - 1) / copies_per_task).cast("long"))).alias("_c"))
+    sized = chunks.withColumn("_k", F.least(F.lit(copies_per_task).cast("long"),
+                                           n - F.col("_c") * copies_per_task))
+    return (sized.hint("rebalance")
+            .select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))).alias("_i"))
+            .drop("_i"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> DataFrame:

@@ -141,3 +141,12 @@ def test_union_by_name_fills_missing_columns(spark):
     b = spark.createDataFrame([("y", 2, 3.0)], "a string, k int, new double")
     got = sorted(tuple(r) for r in union_by_name(a, b).select("k", "a", "new").collect())
     assert got == [(1, "x", None), (2, "y", 3.0)]
+
+
+def test_set_difference_all_chunks_hot_rows(spark):
+    left = spark.range(2500).selectExpr("CAST(id % 3 AS INT) AS a", "IF(id % 2 = 0, NULL, 'x') AS b")
+    right = spark.range(400).selectExpr("CAST(id % 3 AS INT) AS a", "IF(id % 2 = 0, NULL, 'x') AS b")
+    key = lambda r: (r[0], r[1] or "")
+    want = sorted((tuple(r) for r in left.exceptAll(right).collect()), key=key)
+    got = sorted((tuple(r) for r in set_difference_all(left, right, copies_per_task=100).collect()), key=key)
+    assert got == want and len(got) == 2100
