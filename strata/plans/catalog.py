@@ -8,6 +8,7 @@ read the result back.
 
 from __future__ import annotations
 
+import threading
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,18 +43,20 @@ STREAM_SECOND_ROUND_FROM = "2024-01-16"
 Query = Callable[[SparkSession, str], DataFrame]
 
 _landed: dict[tuple[str, str], str] = {}
+_lock = threading.RLock()   # the per-session caches below are built once, even under threads
 
 
 def landed_invoices(spark: SparkSession, sf_dir: str) -> str:
     """Land the invoice lines as CSV source files (one directory per ship day),
     once per session and scale."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed:
-        path = scratch_path(spark, "landing-invoice")
-        write_csv(invoice_source_rows(invoice_lines(spark, sf_dir)), path, partition_by=[SOURCE],
-                  num_partitions=4 * spark.sparkContext.defaultParallelism)
-        _landed[key] = path
-    return _landed[key]
+    with _lock:
+        if key not in _landed:
+            path = scratch_path(spark, "landing-invoice")
+            write_csv(invoice_source_rows(invoice_lines(spark, sf_dir)), path, partition_by=[SOURCE],
+                      num_partitions=4 * spark.sparkContext.defaultParallelism)
+            _landed[key] = path
+        return _landed[key]
 
 
 _layers: dict[tuple[str, str], Zones] = {}
@@ -63,10 +66,11 @@ def layers(spark: SparkSession, sf_dir: str) -> Zones:
     """The layered tables (stage, silver, gold) built once per session and
     scale; downstream steps read them, as each layer reads the previous one."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _layers:
-        _layers[key] = run_layers(spark, sf_dir, landed=landed_invoices(spark, sf_dir),
-                                  as_of=AS_OF, run_id=RUN_ID)
-    return _layers[key]
+    with _lock:
+        if key not in _layers:
+            _layers[key] = run_layers(spark, sf_dir, landed=landed_invoices(spark, sf_dir),
+                                      as_of=AS_OF, run_id=RUN_ID)
+        return _layers[key]
 
 
 def _read(spark, sf_dir, layer, name):
@@ -82,9 +86,10 @@ def _raw(spark, sf_dir):
     """The bronze scan, built once per session and scale so the landing
     directory is listed once (the file index lives in the plan)."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _scans:
-        _scans[key] = invoice.bronze(spark, landed_invoices(spark, sf_dir))
-    return _scans[key]
+    with _lock:
+        if key not in _scans:
+            _scans[key] = invoice.bronze(spark, landed_invoices(spark, sf_dir))
+        return _scans[key]
 
 
 def _gated(spark, sf_dir):
