@@ -56,16 +56,23 @@ def flatten_hierarchy(leaves: DataFrame, nodes: DataFrame, id_col: str, parent_c
     suffix) becomes column ``L + suffix``.  The walk is a left-join chain, so a
     leaf whose chain breaks is kept and ``incomplete_at`` names the first level
     that could not be reached (null when the chain is complete).  The parent
-    table is projected to four columns and reduced to one row per id; Spark
-    broadcasts it when it is small, else shuffles — hot parents (one pack
-    under a third of all SKUs) are skew-split by AQE.
+    table holds only referenced nodes, projected to four columns and reduced
+    to one row per id; Spark broadcasts it when it is small, else shuffles —
+    hot parents (one pack under a third of all SKUs) are skew-split by AQE.
 
     By default a hop accepts any parent node, as the reference does; with
     ``level_col`` and ``expected_levels`` (level name -> level value) a parent
     of the wrong level counts as missing, so the chain is reported incomplete
     at that level."""
     cols = list(attrs) + ([level_col] if level_col and level_col not in attrs else [])
-    parents = (nodes.groupBy(F.col(id_col).alias("_id"))
+    # Only nodes that some node names as its parent can be reached by a hop:
+    # restricting to them is exact and keeps the hop table to the inner levels
+    # (packs, brands, ...), which is small enough to broadcast even when the
+    # leaves number in the millions.
+    referenced = (nodes.select(F.col(parent_col).alias("_pid"))
+                  .filter(F.col("_pid").isNotNull()).distinct())
+    inner = nodes.join(referenced, nodes[id_col] == referenced["_pid"], "left_semi")
+    parents = (inner.groupBy(F.col(id_col).alias("_id"))
                .agg(F.min(F.struct(*[F.col(c) for c in cols + [parent_col]])).alias("_n")))
     cur = leaves.withColumn("_next", F.col(parent_col)) \
                 .withColumn(incomplete_col, F.lit(None).cast("string"))
