@@ -62,3 +62,32 @@ def version_dimension(versions: DataFrame, key: str, version: str, tracked: Sequ
     nxt = F.lead(F.col(valid_from)).over(w)
     return (kept.withColumn(valid_to, nxt)
                 .withColumn(active, F.when(F.col(valid_to).isNull(), F.lit(1)).otherwise(F.lit(0))))
+
+
+def apply_extract(current: DataFrame, extract: DataFrame, key: str, version: str,
+                  tracked: Sequence[str], effective: Column, valid_from: str = "ValidFrom",
+                  valid_to: str = "ValidTo", active: str = "isActive") -> DataFrame:
+    """Incremental SCD step: apply one new extract to the current versions.
+
+    Only the extract and the *active* rows meet (one join on the key); closed
+    history passes through untouched.  A key whose tracked values changed
+    (null-safe) gets its active row closed at the extract's effective time and
+    a new active row; a new key gets an active row; unchanged keys produce
+    nothing.  Equals ``version_dimension`` over all extracts."""
+    ext = one_per_version(extract, key, version).withColumn(valid_from, effective)
+    act = current.filter(F.col(active) == 1)
+    old = act.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_o_{c}") for c in tracked])
+    j = ext.join(old, ext[key] == old["_k"], "left")
+    differs = changed([F.col(c) for c in tracked], [F.col(f"_o_{c}") for c in tracked])
+    arriving = (j.filter(F.col("_k").isNull() | differs)
+                .drop("_k", *[f"_o_{c}" for c in tracked])
+                .withColumn(valid_to, F.lit(None).cast(current.schema[valid_to].dataType))
+                .withColumn(active, F.lit(1)))
+    closes = arriving.select(F.col(key).alias("_ck"), F.col(valid_from).alias("_cv"))
+    touched = act.join(closes, act[key] == closes["_ck"], "left")
+    hit = F.col("_ck").isNotNull()
+    updated = (touched.withColumn(valid_to, F.when(hit, F.col("_cv")).otherwise(F.col(valid_to)))
+               .withColumn(active, F.when(hit, F.lit(0)).otherwise(F.col(active)))
+               .drop("_ck", "_cv"))
+    history = current.filter(F.col(active) != 1)
+    return history.unionByName(updated).unionByName(arriving.select(*current.columns))

@@ -10,7 +10,7 @@ from strata.functions.keys import stable_key
 from strata.functions.predicates import first_reason
 from strata.functions.text import clean_text, label
 from strata.operators.hierarchy import lookup_parent, split_roots
-from strata.operators.scd import account_status, version_dimension
+from strata.operators.scd import account_status, apply_extract, version_dimension
 
 REQUIRED = ("RowId", "AccountNo", "AccountDesc", "ParentRowId", "DateOpened")
 TRACKED = ("AccountDesc", "PrimaryGroupNo", "DateOpened", "DateClosed")
@@ -44,15 +44,30 @@ def with_parents(versions: DataFrame) -> DataFrame:
                     "DateOpened", "DateClosed", "version")
 
 
-def silver(versions: DataFrame, effective) -> DataFrame:
-    v = version_dimension(with_parents(versions), key="AccountNo", version="version",
-                          tracked=TRACKED, effective=effective(F.col("version")))
+DERIVED = ("AccountStatus", "AccountSkey")
+
+
+def _finish(v: DataFrame) -> DataFrame:
     return v.withColumns({
         "AccountStatus": account_status(F.col("DateClosed")),
         "AccountSkey": stable_key("AccountNo", "version"),
     })
 
 
+def silver(versions: DataFrame, effective) -> DataFrame:
+    """Versions of every account over all extracts (full recompute)."""
+    v = version_dimension(with_parents(versions), key="AccountNo", version="version",
+                          tracked=TRACKED, effective=effective(F.col("version")))
+    return _finish(v)
+
+
+def apply_new_extract(current_silver: DataFrame, extract: DataFrame, effective) -> DataFrame:
+    """Incremental silver: apply one new extract to the stored versions."""
+    v = apply_extract(current_silver.drop(*DERIVED), with_parents(extract), key="AccountNo",
+                      version="version", tracked=TRACKED, effective=effective(F.col("version")))
+    return _finish(v)
+
+
 def gold(silver_df: DataFrame) -> DataFrame:
     return silver_df.filter(F.col("isActive") == 1).select(
         label("AccountNo", "AccountDesc").alias("Account"),

@@ -193,6 +193,16 @@ def q_account_scd_versions(spark, sf_dir):
     return _account_silver(spark, sf_dir)
 
 
+def q_account_scd_incremental(spark, sf_dir):
+    """Versions of extracts 0-1 stored, then extract 2 applied incrementally:
+    must equal the full recompute over all three."""
+    v = _versions(spark, sf_dir)
+    path = scratch_path(spark, "account-silver-v01")
+    write_table(account.silver(v.filter(F.col("version") <= 1), version_effective), path)
+    current = read_table(spark, path)
+    return account.apply_new_extract(current, v.filter(F.col("version") == 2), version_effective)
+
+
 def q_account_gold(spark, sf_dir):
     return account.gold(_read(spark, sf_dir, "silver", "account"))
 
@@ -482,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "account_new_keys": q_account_new_keys,
     "account_changed_keys": q_account_changed_keys,
     "account_scd_versions": q_account_scd_versions,
+    "account_scd_incremental": q_account_scd_incremental,
     "account_gold": q_account_gold,
     "set_difference": q_set_difference,
     "set_difference_all": q_set_difference_all,

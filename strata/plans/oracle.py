@@ -377,6 +377,7 @@ WHERE n.version = 1 AND o.version = 0
   AND (n.AccountDesc IS DISTINCT FROM o.AccountDesc OR n.PrimaryGroupNo IS DISTINCT FROM o.PrimaryGroupNo
        OR n.DateOpened IS DISTINCT FROM o.DateOpened OR n.DateClosed IS DISTINCT FROM o.DateClosed)"""),
     "account_scd_versions": _with(("acc_silver",), "SELECT * FROM acc_silver"),
+    "account_scd_incremental": _with(("acc_silver",), "SELECT * FROM acc_silver"),
     "account_gold": _with(("acc_gold",), "SELECT * FROM acc_gold"),
     "set_difference": _with(("fx_account",), f"""
 SELECT {_ACC_COLS} FROM fx_account EXCEPT SELECT {_ACC_COLS} FROM fx_account WHERE {_GROUP_FILTER}"""),
