@@ -20,6 +20,22 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str], load_ts: Column,
            inserted_col: str = "InsertedDateTime",
            modified_col: str = "ModifiedDateTime") -> DataFrame:
+    """Merge ``source`` into ``target``.
+
+    Only target rows whose key occurs in the source take part in the full
+    outer join; the rest pass through.  The batch's distinct keys are small
+    next to a large target, so Spark broadcasts them into the semi and anti
+    joins and the untouched target is never shuffled."""
+    batch_keys = source.select(*keys).distinct()
+    untouched = target.join(batch_keys, list(keys), "left_anti")
+    touched = target.join(batch_keys, list(keys), "left_semi")
+    merged = _merge(touched, source, keys, update_cols, load_ts, inserted_col, modified_col)
+    return untouched.select(*merged.columns).unionByName(merged)
+
+
+def _merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
+           update_cols: Sequence[str], load_ts: Column, inserted_col: str,
+           modified_col: str) -> DataFrame:
     t, s = target.alias("t"), source.alias("s")
     cond = None
     for k in keys:
