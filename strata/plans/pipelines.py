@@ -95,7 +95,10 @@ def build_fact(spark: SparkSession, landed: str, zones: Zones, as_of: str = AS_O
     star = spark.read.parquet(zones.path("silver", "star/invoice"))
     valid, unresolved = split_unresolved(star, list(invoice.KEY_COLS))
     _write(unresolved, zones.path("silver", "exception/invoice"), zones, "invoice exceptions")
+    valid, obs = observed(valid, "invoice silver refresh")
     refresh_partitions(valid, zones.path("silver", "fact/invoice"), ["Year", "Month"])
+    zones.events.append(("INFO", "invoice silver refresh", zones.path("silver", "fact/invoice"),
+                         obs.get["rows"]))
     fact = spark.read.parquet(zones.path("silver", "fact/invoice"))
     _write(invoice.gold(fact, as_of), zones.path("gold", "fact/invoice"), zones, "invoice gold")
 
@@ -109,3 +112,26 @@ def run_layers(spark: SparkSession, sf_dir: str, root: str | None = None,
     build_fact(spark, landed, zones, as_of)
     write_control_table(audit_frame(spark, run_id, zones.events), zones.path("logs", "audit"))
     return zones
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m strata.plans.pipelines --sf-dir DIR [--root ROOT]``: run
+    every layer and print the audit rows of the run."""
+    import argparse
+
+    from strata.session import build_session
+    p = argparse.ArgumentParser(description=main.__doc__)
+    p.add_argument("--sf-dir", required=True, help="directory of the source parquet tables")
+    p.add_argument("--root", default=None, help="zone root (default: under spark.checkpoint.dir)")
+    p.add_argument("--as-of", default=AS_OF)
+    p.add_argument("--run-id", default=RUN_ID)
+    a = p.parse_args(argv)
+    spark = SparkSession.getActiveSession() or build_session(app="strata-pipeline")
+    zones = run_layers(spark, a.sf_dir, root=a.root, as_of=a.as_of, run_id=a.run_id)
+    print(f"zones: {zones.root}")
+    for t, step, path, rows in zones.events:
+        print(f"{t:5} {step:28} {rows:>10}  {path}")
+
+
+if __name__ == "__main__":
+    main()

@@ -79,6 +79,7 @@ def test_layer_audit_conserves_rows(spark):
     assert log["invoice star lookup"] == valid
     fact = spark.read.parquet(z.path("silver", "fact/invoice")).count()
     assert log["invoice exceptions"] + fact == valid
+    assert log["invoice silver refresh"] == fact
 
 
 def test_gold_retention_prunes_partitions(spark, capsys):
