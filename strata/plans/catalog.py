@@ -23,18 +23,16 @@ from strata.operators.scd import changed_keys, new_keys
 from strata.operators.sets import duplicate_keys, set_difference, set_difference_all
 from strata.operators.star import resolve_as_of
 from strata.plans import account, invoice, product, time
-from strata.plans.pipelines import Zones, run_layers
+from strata.plans.pipelines import AS_OF, RUN_ID, Zones, land_invoices, run_layers
 from strata.session import scratch_path
 from strata.sources.files import SOURCE
 from strata.sources.tables import read_optional, read_table
-from strata.sources.testdata import (INVOICE_SOURCE_SCHEMA, invoice_lines, invoice_source_rows,
-                                     table, version_effective)
+from strata.sources.testdata import INVOICE_SOURCE_SCHEMA, invoice_lines, table, version_effective
 from strata.sources.writers import append_evolved, write_csv, write_table
 from strata.streaming.arrival import ingest_available, ingest_csv_available
 
-# Fixed parameters pinned so results are reproducible.
-AS_OF = "2001-11-04"
-RUN_ID = "run-0001"
+# Fixed parameters pinned so results are reproducible (AS_OF and RUN_ID come
+# with the pipeline).
 LOAD_TS_1 = "2001-01-01 00:00:00"
 LOAD_TS_2 = "2001-06-01 00:00:00"
 REFRESH_FROM = "1999-07-01"
@@ -52,10 +50,7 @@ def landed_invoices(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     with _lock:
         if key not in _landed:
-            path = scratch_path(spark, "landing-invoice")
-            write_csv(invoice_source_rows(invoice_lines(spark, sf_dir)), path, partition_by=[SOURCE],
-                      num_partitions=4 * spark.sparkContext.defaultParallelism)
-            _landed[key] = path
+            _landed[key] = land_invoices(spark, sf_dir, scratch_path(spark, "landing-invoice"))
         return _landed[key]
 
 

@@ -46,14 +46,20 @@ def _write(df: DataFrame, path: str, zones: Zones, step: str, partition_by=None,
     zones.events.append(("INFO", step, path, obs.get["rows"]))
 
 
-def land(spark: SparkSession, sf_dir: str, zones: Zones) -> str:
-    """Raw zone: the invoice source files, one directory per arrival day."""
-    path = zones.path("bronze", "raw/invoice")
+def land_invoices(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Write the invoice source files as they arrive: CSV with a header, one
+    directory per arrival day (many small, evenly sized directories, so the
+    task count is pinned rather than sized by volume)."""
     write_csv(invoice_source_rows(invoice_lines(spark, sf_dir)), path, partition_by=[SOURCE],
-                  num_partitions=4 * spark.sparkContext.defaultParallelism)
+              num_partitions=4 * spark.sparkContext.defaultParallelism)
     return path
 
 
+def land(spark: SparkSession, sf_dir: str, zones: Zones) -> str:
+    """Raw zone: the invoice source files."""
+    return land_invoices(spark, sf_dir, zones.path("bronze", "raw/invoice"))
+
+
 def stage_extracts(spark: SparkSession, sf_dir: str, zones: Zones) -> None:
     _write(account_versions(spark, sf_dir), zones.path("bronze", "stage/account"), zones,
            "stage account extracts", partition_by=["version"])

@@ -3,7 +3,6 @@ J2, D16, D17), keys (C6), calendar (C9), upsert (C8)."""
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from strata.functions.keys import stable_key

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.quality import gate, split_valid
 from strata.plans import invoice
-from strata.sources.files import file_contract, scan_landed, typed_rows
+from strata.sources.files import file_contract, scan_landed
 from strata.sources.testdata import INVOICE_SOURCE_SCHEMA
 
 GOOD = '''"Invoice.Number","Line.Item","Date","Account","Product","Quantity","Gross.Value","Net.Value","VAT"\r

@@ -5,7 +5,6 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from strata.functions.keys import stable_key
 from strata.functions.text import clean_text
