@@ -2,9 +2,10 @@
 
 Each dimension is first reduced to one member per natural key (the current
 version), so the fact's row count is preserved by construction.  Joins are left
-outer: an unresolved key stays null and is quarantined downstream.  Broadcast
-is left to Spark's size checks (plan statistics, then AQE runtime sizes); big
-dimensions stay shuffle joins whose hot keys AQE splits.
+outer: an unresolved key stays null and is quarantined downstream.  A dimension
+is broadcast only behind a bounded size probe; beyond it the join is a shuffle
+join with the fact's hot keys salted (AQE's skew-join split does not apply when
+the dimension side is an aggregate) and null keys spread.
 """
 
 from __future__ import annotations
@@ -48,17 +49,64 @@ def _spread_nulls(fact: DataFrame, col: str,
     return fact.withColumn(jk, F.coalesce(F.col(col), F.concat(F.lit(NULL_KEY_PREFIX), row))), jk
 
 
+# A dimension (one row per natural key) up to this many rows is broadcast.
+DIM_BROADCAST_ROWS = 5_000_000
+# Beyond that the join is a shuffle join: a fact key holding at least this
+# many rows is spread over SALT_BUCKETS buckets.
+HOT_KEY_ROWS = 1_000_000
+SALT_BUCKETS = 32
+
+
+def hot_keys(fact: DataFrame, col: str, min_rows: int) -> DataFrame:
+    """Keys holding at least ``min_rows`` fact rows: a partial aggregate of
+    one column (hot keys are combined map-side).  At most
+    rows / ``min_rows`` keys, so the result is small."""
+    return (fact.groupBy(F.col(col).alias("_hk")).agg(F.count(F.lit(1)).alias("_hn"))
+            .filter(F.col("_hn") >= min_rows).select("_hk"))
+
+
+def _salted_join(out: DataFrame, jk: str, d: DataFrame, nk: str, spread: Sequence[str],
+                 min_rows: int, buckets: int) -> DataFrame:
+    """Left join on ``jk = nk`` where the fact's hot keys are spread over
+    ``buckets`` salt values and only their dimension rows are replicated."""
+    hot = hot_keys(out, jk, min_rows)
+    hot = F.broadcast(hot.withColumn("_is_hot", F.lit(True)))
+    fact = out.join(hot, out[jk] == hot["_hk"], "left").drop("_hk")
+    fact = fact.withColumn("_salt", F.when(F.col("_is_hot"), F.pmod(
+        F.xxhash64(*[F.col(c) for c in spread]), F.lit(buckets))).otherwise(F.lit(0))).drop("_is_hot")
+    dh = d.join(hot, d[nk] == hot["_hk"], "left").drop("_hk")
+    dim = dh.withColumn("_dsalt", F.explode(F.when(
+        F.col("_is_hot"), F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long")))
+        .otherwise(F.array(F.lit(0).cast("long"))))).drop("_is_hot")
+    cond = (fact[jk] == dim[nk]) & (fact["_salt"] == dim["_dsalt"])
+    return fact.join(dim, cond, "left").drop("_salt", "_dsalt")
+
+
 def resolve_keys(fact: DataFrame, lookups: list[Lookup],
-                 spread_by: Sequence[str] | None = None) -> DataFrame:
+                 spread_by: Sequence[str] | None = None,
+                 broadcast_rows: int = DIM_BROADCAST_ROWS, hot_key_rows: int = HOT_KEY_ROWS,
+                 salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Left-join each dimension's current surrogate key onto the fact.
-    ``spread_by`` names fact columns that identify a row (its natural key);
-    they seed the stand-in keys of null-keyed rows."""
+
+    Each dimension is reduced to one member per natural key, then
+    size-checked with a bounded probe.  Up to ``broadcast_rows`` members it is
+    broadcast: no shuffle of the fact, and no skew.  Beyond that the join is a
+    shuffle join in which fact keys with at least ``hot_key_rows`` rows are
+    salted over ``salt_buckets`` tasks, and null keys get spread stand-in
+    keys.  ``spread_by`` names fact columns that identify a row (its natural
+    key); they seed the salts and stand-in keys."""
     out = fact
+    spread = list(spread_by or fact.columns)
     for i, lk in enumerate(lookups):
+        nk = f"_nk{i}"
         d = current_members(lk.dim, lk.dim_col, lk.key_col).select(
-            F.col(lk.dim_col).alias(f"_nk{i}"), F.col(lk.key_col).alias(lk.out_col))
-        out, jk = _spread_nulls(out, lk.fact_col, spread_by)
-        out = out.join(d, out[jk] == d[f"_nk{i}"], "left").drop(f"_nk{i}")
+            F.col(lk.dim_col).alias(nk), F.col(lk.key_col).alias(lk.out_col))
+        small = d.limit(broadcast_rows + 1).count() <= broadcast_rows
+        if small:
+            out = out.join(F.broadcast(d), out[lk.fact_col] == d[nk], "left").drop(nk)
+            continue
+        out, jk = _spread_nulls(out, lk.fact_col, spread)
+        out = _salted_join(out, jk, d, nk, spread, hot_key_rows, salt_buckets).drop(nk)
         if jk != lk.fact_col:
             out = out.drop(jk)
     return out

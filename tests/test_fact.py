@@ -150,3 +150,21 @@ def test_set_difference_all_chunks_hot_rows(spark):
     want = sorted((tuple(r) for r in left.exceptAll(right).collect()), key=key)
     got = sorted((tuple(r) for r in set_difference_all(left, right, copies_per_task=100).collect()), key=key)
     assert got == want and len(got) == 2100
+
+
+def test_large_dimension_path_salts_hot_keys_exactly(spark):
+    """Force the shuffle-join path (broadcast bound 0): a key holding half the
+    fact and null keys resolve exactly as in the broadcast path."""
+    fact = spark.range(3000).selectExpr(
+        "CAST(id AS STRING) AS InvoiceNumber",
+        "CASE WHEN id % 2 = 0 THEN 'HOT' WHEN id % 7 = 0 THEN NULL ELSE CONCAT('A', id % 50) END AS Account")
+    dim = spark.range(50).selectExpr("CONCAT('A', id) AS AccountNo", "id AS AccountSkey") \
+        .unionByName(spark.range(1).selectExpr("'HOT' AS AccountNo", "-1L AS AccountSkey")) \
+        .unionByName(spark.range(1).selectExpr("'HOT' AS AccountNo", "-2L AS AccountSkey"))
+    lk = [Lookup(dim, "Account", "AccountNo", "AccountSkey", "AccountSkey")]
+    want = sorted(tuple(r) for r in resolve_keys(fact, lk).collect())
+    salted = resolve_keys(fact, lk, spread_by=["InvoiceNumber"], broadcast_rows=0, hot_key_rows=100,
+                          salt_buckets=8)
+    got = sorted(tuple(r) for r in salted.collect())
+    assert got == want and len(got) == 3000
+    assert sum(1 for r in got if r[2] == -1) == 1500
