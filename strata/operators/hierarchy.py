@@ -7,6 +7,11 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.broadcast import bounded_broadcast
+
+# Parent/hop tables up to this many rows are broadcast (checked by a probe).
+PARENT_BROADCAST_ROWS = 5_000_000
+
 
 def level_rows(nodes: DataFrame, level_col: str, level: str) -> DataFrame:
     """Rows of one hierarchy level (a filter the scan can push down)."""
@@ -32,7 +37,7 @@ def lookup_parent(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, s
     first, so the lookup can never fan out the child rows."""
     keys = [F.col(pc).alias(f"_pk{i}") for i, (_, pc) in enumerate(on)]
     first = F.min(F.struct(*[F.col(c) for c in parent_cols]))
-    p = parent.groupBy(*keys).agg(first.alias("_p"))
+    p = bounded_broadcast(parent.groupBy(*keys).agg(first.alias("_p")), PARENT_BROADCAST_ROWS)
     cond = None
     for i, (cc, _) in enumerate(on):
         c = child[cc] == p[f"_pk{i}"]
@@ -74,6 +79,7 @@ def flatten_hierarchy(leaves: DataFrame, nodes: DataFrame, id_col: str, parent_c
     inner = nodes.join(referenced, nodes[id_col] == referenced["_pid"], "left_semi")
     parents = (inner.groupBy(F.col(id_col).alias("_id"))
                .agg(F.min(F.struct(*[F.col(c) for c in cols + [parent_col]])).alias("_n")))
+    parents = bounded_broadcast(parents, PARENT_BROADCAST_ROWS)
     cur = leaves.withColumn("_next", F.col(parent_col)) \
                 .withColumn(incomplete_col, F.lit(None).cast("string"))
     for level in levels:
