@@ -88,8 +88,8 @@ def resolve_keys(fact: DataFrame, lookups: list[Lookup],
                  salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Left-join each dimension's current surrogate key onto the fact.
 
-    Each dimension is reduced to one member per natural key, then
-    size-checked with a bounded probe.  Up to ``broadcast_rows`` members it is
+    Each dimension is reduced to one member per natural key and size-checked
+    with a bounded probe of its rows (early-terminating).  Up to ``broadcast_rows`` members it is
     broadcast: no shuffle of the fact, and no skew.  Beyond that the join is a
     shuffle join in which fact keys with at least ``hot_key_rows`` rows are
     salted over ``salt_buckets`` tasks, and null keys get spread stand-in
@@ -101,7 +101,9 @@ def resolve_keys(fact: DataFrame, lookups: list[Lookup],
         nk = f"_nk{i}"
         d = current_members(lk.dim, lk.dim_col, lk.key_col).select(
             F.col(lk.dim_col).alias(nk), F.col(lk.key_col).alias(lk.out_col))
-        small = d.limit(broadcast_rows + 1).count() <= broadcast_rows
+        # Probe the raw dimension rows, not the aggregate: the limit stops
+        # each task early, and members <= rows makes it a proof.
+        small = lk.dim.select(lk.dim_col).limit(broadcast_rows + 1).count() <= broadcast_rows
         if small:
             out = out.join(F.broadcast(d), out[lk.fact_col] == d[nk], "left").drop(nk)
             continue
