@@ -24,7 +24,7 @@ from strata.operators.sets import duplicate_keys, set_difference, set_difference
 from strata.operators.star import resolve_as_of
 from strata.plans import account, invoice, product, time
 from strata.plans.pipelines import AS_OF, RUN_ID, Zones, land_invoices, run_layers
-from strata.session import scratch_path
+from strata.session import scratch_path, session_key
 from strata.sources.files import SOURCE
 from strata.sources.tables import read_optional, read_table
 from strata.sources.testdata import INVOICE_SOURCE_SCHEMA, invoice_lines, table, version_effective
@@ -47,7 +47,7 @@ _lock = threading.RLock()   # the per-session caches below are built once, even
 def landed_invoices(spark: SparkSession, sf_dir: str) -> str:
     """Land the invoice lines as CSV source files (one directory per ship day),
     once per session and scale."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     with _lock:
         if key not in _landed:
             _landed[key] = land_invoices(spark, sf_dir, scratch_path(spark, "landing-invoice"))
@@ -60,7 +60,7 @@ _layers: dict[tuple[str, str], Zones] = {}
 def layers(spark: SparkSession, sf_dir: str) -> Zones:
     """The layered tables (stage, silver, gold) built once per session and
     scale; downstream steps read them, as each layer reads the previous one."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     with _lock:
         if key not in _layers:
             _layers[key] = run_layers(spark, sf_dir, landed=landed_invoices(spark, sf_dir),
@@ -80,7 +80,7 @@ _scans: dict[tuple[str, str], DataFrame] = {}
 def _raw(spark, sf_dir):
     """The bronze scan, built once per session and scale so the landing
     directory is listed once (the file index lives in the plan)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     with _lock:
         if key not in _scans:
             _scans[key] = invoice.bronze(spark, landed_invoices(spark, sf_dir))

@@ -20,7 +20,7 @@ from strata.operators.audit import audit_frame, observed
 from strata.operators.quality import split_unresolved
 from strata.operators.refresh import refresh_partitions
 from strata.plans import account, invoice, product, time
-from strata.session import scratch_path
+from strata.session import parallelism, scratch_path
 from strata.sources.files import SOURCE
 from strata.sources.testdata import (account_versions, invoice_lines, invoice_source_rows,
                                      product_nodes, table, version_effective)
@@ -51,7 +51,7 @@ def land_invoices(spark: SparkSession, sf_dir: str, path: str) -> str:
     directory per arrival day (many small, evenly sized directories, so the
     task count is pinned rather than sized by volume)."""
     write_csv(invoice_source_rows(invoice_lines(spark, sf_dir)), path, partition_by=[SOURCE],
-              num_partitions=4 * spark.sparkContext.defaultParallelism)
+              num_partitions=4 * parallelism(spark))
     return path
 
 

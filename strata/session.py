@@ -47,13 +47,44 @@ def build_session(app: str = "strata", cpus: int | str = "*",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session, or None (e.g. Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:   # Spark Connect sessions expose no SparkContext
+        return None
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application (keys per-session caches)."""
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (default parallelism), or the shuffle
+    partition count when the context is not reachable."""
+    sc = _context(spark)
+    return sc.defaultParallelism if sc is not None else int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+_fallback_dirs: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared scratch root: ``spark.checkpoint.dir`` of the session.
 
     Only when the cluster names none (local tests) a private temporary directory
-    is created and registered as the checkpoint directory.
-    """
-    sc = spark.sparkContext
+    is created and registered as the checkpoint directory."""
+    sc = _context(spark)
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured.rstrip("/")
+        key = session_key(spark)
+        if key not in _fallback_dirs:
+            _fallback_dirs[key] = tempfile.mkdtemp(prefix="strata-checkpoint-")
+        return _fallback_dirs[key]
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
