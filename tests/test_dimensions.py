@@ -175,3 +175,14 @@ def test_incremental_extract_equals_full_recompute_and_is_idempotent(spark):
     assert sorted(map(tuple, once.select(*cols).collect())) == full
     twice = account.apply_new_extract(once, v.filter("version = 2"), effective)
     assert sorted(map(tuple, twice.select(*cols).collect())) == full
+
+
+def test_scd_collapses_repeated_key_within_an_extract(spark):
+    """A key repeated many times inside one extract (a hot group) reaches the
+    window as one row per version, chosen deterministically."""
+    from strata.operators.scd import version_dimension
+    rows = [("K", 0, "b")] * 500 + [("K", 0, "a")] * 500 + [("K", 1, "c")] * 300 + [("J", 0, "z")]
+    df = spark.createDataFrame(rows, "k string, v int, d string")
+    out = version_dimension(df, "k", "v", ["d"], F.make_date(F.lit(2000) + F.col("v"), F.lit(1), F.lit(1)))
+    got = sorted((r.k, r.v, r.d, r.isActive) for r in out.collect())
+    assert got == [("J", 0, "z", 1), ("K", 0, "a", 0), ("K", 1, "c", 1)]
