@@ -84,3 +84,15 @@ def test_layer_audit_conserves_rows(spark):
 def test_gold_retention_prunes_partitions(spark, capsys):
     plan = _plan(queries()["fact_gold"](spark, SF), capsys)
     assert "PartitionFilters: [((Year" in plan
+
+
+def test_surrogate_keys_unique_in_layers(spark):
+    """C6 property: surrogate keys are unique in the silver/gold tables."""
+    from pyspark.sql import functions as F
+    from strata.plans.catalog import layers
+    z = layers(spark, SF)
+    for layer, name, key in [("silver", "fact/invoice", "FactInvoiceSkey"), ("silver", "account", "AccountSkey"),
+                             ("gold", "product", "ProductSkey"), ("silver", "time", "TimeSkey")]:
+        df = spark.read.parquet(z.path(layer, name))
+        r = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("d")).collect()[0]
+        assert r.n == r.d and r.n > 0, (name, r)
