@@ -64,6 +64,14 @@ def gate(df: DataFrame, rules: Sequence[Rule], granularity: str = "row",
         return tagged
     if granularity != "file":
         raise ValueError(f"granularity must be 'row' or 'file', not {granularity!r}")
+    return file_policy(tagged, reason_col, file_col, max_files)
+
+
+def file_policy(tagged: DataFrame, reason_col: str = REASON, file_col: str = "source_file",
+                max_files: int | None = None) -> DataFrame:
+    """Whole-file rejection over rows that already carry a row-level reason
+    (e.g. the columnar staged table, so the raw text is parsed only once):
+    every row of a file with a failing row gets "file rejected"."""
     verdict = (tagged.groupBy(file_col)
                .agg(F.max(F.col(reason_col).isNotNull().cast("int")).alias("_file_bad")))
     if max_files is not None:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from strata.functions.keys import stable_key
 from strata.functions.text import clean_text
 from strata.operators.audit import audit_frame, observed
-from strata.operators.quality import gate, route_files, split_unresolved
+from strata.operators.quality import file_policy, route_files, split_unresolved
 from strata.operators.refresh import partition_keys, refresh_partitions, retain
 from strata.operators.scd import changed_keys, new_keys
 from strata.operators.sets import duplicate_keys, set_difference, set_difference_all
@@ -110,10 +110,11 @@ def q_invoice_row_gate(spark, sf_dir):
 
 
 def q_invoice_file_gate(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    rows = invoice.typed(raw)
-    # The listing already on the driver bounds the number of per-file verdicts.
-    g = gate(rows, invoice.gate_rules(), granularity="file", max_files=len(raw.inputFiles()))
+    # The file policy runs on the staged, row-gated table: the raw text was
+    # parsed once, and the verdict reads two columns.  The landing's file
+    # listing (already on the driver) bounds the number of verdicts.
+    staged = _read(spark, sf_dir, "bronze", "gated/invoice").drop("outcome")
+    g = file_policy(staged, max_files=len(_raw(spark, sf_dir).inputFiles()))
     return g.filter(F.col("reason").isNull()).select(
         "InvoiceNumber", "LineItem", "Product", SOURCE, "NetValue")
 
@@ -358,8 +359,8 @@ def q_account_invoiced(spark, sf_dir):
 def q_invoice_file_routing(spark, sf_dir):
     """Archive / reject routing of whole source files, written as CSV zones
     and read back."""
-    raw = _raw(spark, sf_dir)
-    routed = route_files(invoice.gated(invoice.typed(raw)), max_files=len(raw.inputFiles()))
+    staged = _read(spark, sf_dir, "bronze", "gated/invoice").drop("outcome")
+    routed = route_files(staged, max_files=len(_raw(spark, sf_dir).inputFiles()))
     path = scratch_path(spark, "invoice-routed")
     write_csv(routed.select("InvoiceNumber", "LineItem", SOURCE, "reason", "zone"), path,
               partition_by=["zone"])
