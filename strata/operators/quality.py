@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.predicates import all_present, any_missing, blank, first_reason, is_sentinel
-from strata.operators.broadcast import bounded_broadcast
 
 Rule = tuple[str, Column]
 REASON = "reason"
@@ -67,21 +66,36 @@ def gate(df: DataFrame, rules: Sequence[Rule], granularity: str = "row",
     return file_policy(tagged, reason_col, file_col, max_files)
 
 
+def _with_file_verdict(tagged: DataFrame, reason_col: str, file_col: str,
+                       max_files: int | None, hot_file_rows: int | None) -> DataFrame:
+    """``tagged`` plus ``_file_bad`` (1 when any row of the file failed).
+    Broadcast join when ``max_files`` bounds the verdicts, else a shuffle join
+    with hot files salted."""
+    from strata.operators.star import HOT_KEY_ROWS, SALT_BUCKETS, salted_left_join
+    verdict = (tagged.groupBy(file_col)
+               .agg(F.max(F.col(reason_col).isNotNull().cast("int")).alias("_file_bad")))
+    if max_files is not None and max_files <= MAX_BROADCAST_FILES:
+        return tagged.join(F.broadcast(verdict), file_col, "left")
+    v = verdict.select(F.col(file_col).alias("_vf"), "_file_bad")
+    return salted_left_join(tagged, file_col, v, "_vf", tagged.columns,
+                            hot_file_rows or HOT_KEY_ROWS, SALT_BUCKETS).drop("_vf")
+
+
 def file_policy(tagged: DataFrame, reason_col: str = REASON, file_col: str = "source_file",
-                max_files: int | None = None) -> DataFrame:
+                max_files: int | None = None, hot_file_rows: int | None = None) -> DataFrame:
     """Whole-file rejection over rows that already carry a row-level reason
     (e.g. the columnar staged table, so the raw text is parsed only once):
-    every row of a file with a failing row gets "file rejected"."""
-    verdict = (tagged.groupBy(file_col)
-               .agg(F.max(F.col(reason_col).isNotNull().cast("int")).alias("_file_bad")))
-    if max_files is not None:
-        verdict = bounded_broadcast(verdict, max_rows=MAX_BROADCAST_FILES, known_rows=max_files)
-    joined = tagged.join(verdict, file_col, "left")
+    every row of a file with a failing row gets "file rejected".
+
+    The per-file verdicts are broadcast when ``max_files`` proves them few;
+    otherwise the join is a shuffle join in which files holding at least
+    ``hot_file_rows`` rows are salted over several tasks."""
+    joined = _with_file_verdict(tagged, reason_col, file_col, max_files, hot_file_rows)
     return joined.withColumn(
         reason_col,
         F.when(F.col(reason_col).isNotNull(), F.col(reason_col))
          .when(F.col("_file_bad") == 1, F.lit("file rejected"))
-    ).drop("_file_bad")
+    ).select(*tagged.columns)
 
 
 def split_unresolved(fact: DataFrame, key_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -101,10 +115,6 @@ def route_files(tagged: DataFrame, reason_col: str = REASON, file_col: str = "so
     of its file — ``reject`` when any row of the file failed a rule, else
     ``archive``.  Writing the result partitioned by zone replaces moving files
     between directories; the file identity stays a column."""
-    verdict = (tagged.groupBy(file_col)
-               .agg(F.max(F.col(reason_col).isNotNull().cast("int")).alias("_file_bad")))
-    if max_files is not None:
-        verdict = bounded_broadcast(verdict, max_rows=MAX_BROADCAST_FILES, known_rows=max_files)
-    return (tagged.join(verdict, file_col, "left")
+    return (_with_file_verdict(tagged, reason_col, file_col, max_files, None)
             .withColumn(zone_col, F.when(F.col("_file_bad") == 1, F.lit("reject")).otherwise(F.lit("archive")))
             .drop("_file_bad"))

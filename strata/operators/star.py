@@ -65,7 +65,7 @@ def hot_keys(fact: DataFrame, col: str, min_rows: int) -> DataFrame:
             .filter(F.col("_hn") >= min_rows).select("_hk"))
 
 
-def _salted_join(out: DataFrame, jk: str, d: DataFrame, nk: str, spread: Sequence[str],
+def salted_left_join(out: DataFrame, jk: str, d: DataFrame, nk: str, spread: Sequence[str],
                  min_rows: int, buckets: int) -> DataFrame:
     """Left join on ``jk = nk`` where the fact's hot keys are spread over
     ``buckets`` salt values and only their dimension rows are replicated."""
@@ -108,7 +108,7 @@ def resolve_keys(fact: DataFrame, lookups: list[Lookup],
             out = out.join(F.broadcast(d), out[lk.fact_col] == d[nk], "left").drop(nk)
             continue
         out, jk = _spread_nulls(out, lk.fact_col, spread)
-        out = _salted_join(out, jk, d, nk, spread, hot_key_rows, salt_buckets).drop(nk)
+        out = salted_left_join(out, jk, d, nk, spread, hot_key_rows, salt_buckets).drop(nk)
         if jk != lk.fact_col:
             out = out.drop(jk)
     return out

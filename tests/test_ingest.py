@@ -106,3 +106,16 @@ def test_streaming_csv_arrival_gates_each_file_once(spark, tmp_path):
     (land / "source_file=d2" / "part-0.csv").write_text(CLEAN)
     run()
     assert staged().count(("d2", "valid")) == 1 and len(staged()) == 6
+
+
+def test_file_policy_salted_path_matches_broadcast_path(spark):
+    from strata.operators.quality import file_policy
+    df = spark.range(2000).selectExpr(
+        "CAST(id AS STRING) AS n",
+        "CASE WHEN id % 2 = 0 THEN 'hot' ELSE CONCAT('f', id % 40) END AS source_file",
+        "CASE WHEN id = 7 OR id = 10 THEN 'bad' END AS reason")
+    key = lambda r: (r.n, r.source_file, r.reason or "")
+    want = sorted(file_policy(df, max_files=100).collect(), key=key)
+    got = sorted(file_policy(df, max_files=None, hot_file_rows=100).collect(), key=key)
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+    assert sum(1 for r in got if r.reason == "file rejected") == 999 + 49
