@@ -9,14 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .io import table
 from .op4_sharding import shard_rows
+from .op8_ngram_jaccard import jaccard_classes
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {}
