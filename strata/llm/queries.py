@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .io import table
 from .op4_sharding import shard_rows
+from .op6_substring_dedup import drop_repeats
 from .op8_ngram_jaccard import jaccard_classes
 
 
@@ -16,6 +17,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_repeats(docs, with_text=False)
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id")
@@ -23,6 +29,7 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_ngram_jaccard": op8_ngram_jaccard,
 }
 
