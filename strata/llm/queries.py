@@ -6,13 +6,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import op1_toxicity as toxicity
+from . import op10_language_id as language
 from .io import table
 from .op4_sharding import shard_rows
 from .op6_substring_dedup import drop_repeats
 from .op8_ngram_jaccard import jaccard_classes
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
@@ -27,10 +38,18 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs.select("doc_id", "text"), language.fit(docs)).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "languages")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op4_sharding": op4_sharding,
     "op6_substring_dedup": op6_substring_dedup,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}

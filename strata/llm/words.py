@@ -16,6 +16,9 @@ import pyarrow as pa
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Separators for words without ASCII punctuation.
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[[b for b in range(128) if not chr(b).isalnum()]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
@@ -99,14 +102,15 @@ class Words:
 
     ``begin`` and ``end`` are byte positions in ``data``; the words of text
     ``d`` are ``first[d]:first[d + 1]``; ``hash`` is one 64-bit hash a word.
+    ``lower`` lower-cases A-Z; ``space`` names other separator bytes.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, space: np.ndarray = SPACE):
         self.data, self.offsets = buffers(column)
         data, n = self.data, len(self.data)
         if lower:
             data = self.data = LOWER[data]
-        inside = ~SPACE[data] if n else np.zeros(0, bool)
+        inside = ~space[data] if n else np.zeros(0, bool)
         cut = np.zeros(n + 1, bool)
         cut[self.offsets] = True
         opens, closes = inside.copy(), inside.copy()
