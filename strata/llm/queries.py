@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import op1_toxicity as toxicity
+from . import op9_quality as quality
 from . import op10_language_id as language
 from .io import table
 from .op4_sharding import shard_rows
@@ -38,6 +39,13 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, model).select(
+        "doc_id", *quality.STATISTICS, "base_failed", "kept", "probability")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs.select("doc_id", "text"), language.fit(docs)).select(
@@ -49,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op6_substring_dedup": op6_substring_dedup,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
 }
 
