@@ -14,6 +14,7 @@ from . import op10_language_id as language
 from .io import table
 from .op4_sharding import shard_rows
 from .op6_substring_dedup import drop_repeats
+from .op7_chat_format import digests, format_windows
 from .op8_ngram_jaccard import jaccard_classes
 
 
@@ -34,6 +35,16 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(docs, with_text=False)
 
 
+#: A conversation whose texts hold control strings of common templates.
+CONTROL_ROWS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(CONTROL_ROWS, "conv_id long, turn long, role string, text string")
+    return digests(format_windows(turns.unionByName(more)))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id")
@@ -56,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_sharding": op4_sharding,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_chat_format": op7_chat_format,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
