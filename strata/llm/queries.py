@@ -12,6 +12,7 @@ from . import op1_toxicity as toxicity
 from . import op9_quality as quality
 from . import op10_language_id as language
 from .io import table
+from .op3_packing import pack_documents
 from .op4_sharding import shard_rows
 from .op6_substring_dedup import drop_repeats
 from .op7_chat_format import digests, format_windows
@@ -26,6 +27,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_chat_format": op7_chat_format,
