@@ -14,6 +14,7 @@ from . import op10_language_id as language
 from .io import table
 from .op3_packing import pack_documents
 from .op4_sharding import shard_rows
+from .op5_ann import search
 from .op6_substring_dedup import drop_repeats
 from .op7_chat_format import digests, format_windows
 from .op8_ngram_jaccard import jaccard_classes
@@ -35,6 +36,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return drop_repeats(docs, with_text=False)
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
+    "op5_ann": op5_ann,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_chat_format": op7_chat_format,
     "op8_ngram_jaccard": op8_ngram_jaccard,
