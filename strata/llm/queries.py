@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import op1_toxicity as toxicity
+from . import op2_sentencepiece as sentencepiece
 from . import op9_quality as quality
 from . import op10_language_id as language
 from .io import table
@@ -28,6 +29,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece.encode_checked(docs, sentencepiece.load()).drop("text")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -76,6 +82,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op5_ann": op5_ann,
