@@ -1,19 +1,81 @@
-"""Training-data pipeline over ``documents`` (see ``strata.llm``).
+"""Training-data pipeline over ``documents`` (operators of ``strata.llm``).
 
-``STAGES`` lists the stages in order; each takes the documents its predecessor
-kept.
+``STAGES`` lists the stages in order.  Each takes the documents that its
+predecessor kept, learns, where it learns, from those alone, and returns the
+columns of ``documents``; the last one returns the packed pieces.
+
+* language ID: a document stays if a learned language makes up at least half of
+  it; one without a letter goes (so, without labelled languages, only those go);
+* toxicity: a document with a score of 0.7 or more goes;
+* n-gram Jaccard join: the smallest doc_id of each class of near copies stays;
+* substring dedup: words in repeated 35-word windows go, every document stays;
+* best-fit packing: one row a piece of a document.
+
+Columns of ``documents`` are carried in one struct, so that extra columns never
+clash with an operator's.  Null ids, texts and languages are handled as the
+operators state.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.llm import op1_toxicity as toxicity
+from strata.llm import op10_language_id as language
 from strata.llm.io import stage, table
+from strata.llm.op3_packing import pack_documents
+from strata.llm.op6_substring_dedup import drop_repeats
+from strata.llm.op8_ngram_jaccard import one_of_each
+
+#: Smallest share of its main language that a document must have.
+MAIN_SHARE = 0.5
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    langs, grams = language.fit(docs)
+    if not langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    judged = language.predict(_packed(docs), (langs, grams))
+    return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MAIN_SHARE)).select("_row.*")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(_packed(docs), model).where(F.col("score") < toxicity.THRESHOLD).select("_row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return one_of_each(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = drop_repeats(_packed(docs))
+    kind = dict(docs.dtypes)
+    now = {"text": F.col("text")}
+    if "n_chars" in kind:       # the count of the text that is left
+        now["n_chars"] = F.char_length("text").cast(kind["n_chars"]).alias("n_chars")
+    return cut.select(*(now.get(c, F.col(f"_row.`{c}`")) for c in docs.columns))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", language_id),
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("packing", packing),
+]
 
-#: The learned stages cannot be written in SQL; the tests hold run() against a
-#: brute-force version.
+#: The learned stages cannot be written in SQL; the tests hold every stage
+#: against a brute-force version.
 ORACLE_SQL = None
 
 
