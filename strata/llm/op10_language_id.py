@@ -55,12 +55,11 @@ def lower_letters(points: np.ndarray) -> np.ndarray:
 def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, bucket) of every n-gram, and whether each text has a letter."""
     strings = texts.to_pylist()
-    points = np.frombuffer("\0".join(s or "" for s in strings).encode("utf-32-le", "surrogatepass"), np.uint32)
+    points = np.frombuffer("".join(f"\0{s or ''}\0" for s in strings).encode("utf-32-le", "surrogatepass"), np.uint32)
     code = lower_letters(points)
     # Runs of separators become one; every text begins and ends with one.
     lengths = np.array([len(s or "") for s in strings])
-    doc = np.repeat(np.arange(len(strings)), lengths + 1)
-    code, doc = np.append(code, np.uint32(0)), doc
+    doc = np.repeat(np.arange(len(strings)), lengths + 2)
     keep = np.ones(len(code), bool)
     keep[1:] = (code[1:] != 0) | (code[:-1] != 0) | (doc[1:] != doc[:-1])
     code, doc = code[keep].astype(np.uint64) + np.uint64(1), doc[keep]

@@ -43,13 +43,11 @@ def number_rows(rows: DataFrame, out: str) -> tuple[DataFrame, int]:
     cols = rows.columns
     bucketed = rows.withColumn("_b", F.pmod(F.xxhash64(*cols), F.lit(NUMBERING_BUCKETS)))
     counts = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    # At most NUMBERING_BUCKETS rows: bounded for the driver and the broadcast.
-    sizes = {r["_b"]: r["_n"] for r in counts.collect()}
-    start, before = {}, 0
-    for b in sorted(sizes):
-        start[b] = before
-        before += sizes[b]
-    shift = rows.sparkSession.createDataFrame(sorted(start.items()) or [(0, 0)], "_b long, _start long")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    # One row a bucket: bounded by NUMBERING_BUCKETS for the running sum's
+    # single task and for the broadcast.
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     ahead = Window.partitionBy("_b").orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
     numbered = (
         # Equal rows are counted before the shuffle and unfolded after it, in
@@ -64,7 +62,7 @@ def number_rows(rows: DataFrame, out: str) -> tuple[DataFrame, int]:
         .withColumn(out, F.col("_start") + F.col("_i") + F.col("_k"))
         .select(*cols, out)
     )
-    return numbered, before
+    return numbered, total
 
 
 def div(x: Column, by: int) -> Column:

@@ -53,12 +53,14 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: A conversation whose texts hold control strings of common templates.
-CONTROL_ROWS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    more = spark.createDataFrame(CONTROL_ROWS, "conv_id long, turn long, role string, text string")
+    more = spark.range(1).select(F.inline(F.array(*(
+        F.struct(F.lit(-7).alias("conv_id"), F.lit(turn).alias("turn"), F.lit(role).alias("role"),
+                 F.lit(CONTROL_TEXT).alias("text")) for turn, role in enumerate(["user", "assistant"])))))
     return digests(format_windows(turns.unionByName(more)))
 
 
