@@ -2,8 +2,12 @@
 
 Matched rows take the source's values for ``update_cols``; unmatched source
 rows are inserted; unmatched target rows are kept.  ``InsertedDateTime``
-survives updates; ``ModifiedDateTime`` moves only when the content fingerprint
-changes, so re-applying the same source is a no-op (idempotent).
+survives updates; ``ModifiedDateTime`` moves only when some column differs
+(null-safe comparison), so re-applying the same source is a no-op (idempotent).
+
+A key given several times by the source counts once, with the row whose
+``update_cols`` are the largest (compared in their order, nulls smallest); a
+null key is an ordinary key.
 """
 
 from __future__ import annotations
@@ -13,43 +17,27 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.keys import row_hash
+from strata.functions.predicates import changed
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str], load_ts: Column,
            inserted_col: str = "InsertedDateTime",
            modified_col: str = "ModifiedDateTime") -> DataFrame:
-    """Merge ``source`` into ``target``.
-
-    Only target rows whose key occurs in the source take part in the full
-    outer join; the rest pass through.  The batch's distinct keys are small
-    next to a large target, so Spark broadcasts them into the semi and anti
-    joins and the untouched target is never shuffled."""
-    batch_keys = source.select(*keys).distinct()
-    untouched = target.join(batch_keys, list(keys), "left_anti")
-    touched = target.join(batch_keys, list(keys), "left_semi")
-    merged = _merge(touched, source, keys, update_cols, load_ts, inserted_col, modified_col)
-    return untouched.select(*merged.columns).unionByName(merged)
-
-
-def _merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           update_cols: Sequence[str], load_ts: Column, inserted_col: str,
-           modified_col: str) -> DataFrame:
-    t, s = target.alias("t"), source.alias("s")
+    """Merge ``source`` into ``target``: one shuffle and one read a side (the
+    source's reduction to one row a key uses the join's partitioning)."""
+    s = (source.groupBy(*keys).agg(F.max(F.struct(*update_cols)).alias("_new"))
+         .select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_new", F.lit(True).alias("_in_s")))
+    t = target.withColumn("_in_t", F.lit(True))
     cond = None
     for k in keys:
-        c = F.col(f"t.{k}") == F.col(f"s.{k}")
+        c = t[k].eqNullSafe(s[f"_s_{k}"])
         cond = c if cond is None else cond & c
     j = t.join(s, cond, "full_outer")
-    in_s = F.col(f"s.{keys[0]}").isNotNull()
-    in_t = F.col(f"t.{keys[0]}").isNotNull()
-    out: list[Column] = [F.coalesce(F.col(f"s.{k}"), F.col(f"t.{k}")).alias(k) for k in keys]
-    for c in update_cols:
-        out.append(F.when(in_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-    content_t = row_hash(*[F.col(f"t.{c}") for c in update_cols])
-    content_s = row_hash(*[F.col(f"s.{c}") for c in update_cols])
-    out.append(F.when(in_t, F.col(f"t.{inserted_col}")).otherwise(load_ts).alias(inserted_col))
-    out.append(F.when(in_s & (~in_t | (content_s != content_t)), load_ts)
-               .otherwise(F.col(f"t.{modified_col}")).alias(modified_col))
-    return j.select(*out)
+    in_s, in_t = F.col("_in_s").isNotNull(), F.col("_in_t").isNotNull()
+    moved = ~in_t | changed([F.col(f"_new.{c}") for c in update_cols], [F.col(c) for c in update_cols])
+    return j.select(
+        *[F.coalesce(F.col(f"_s_{k}"), F.col(k)).alias(k) for k in keys],
+        *[F.when(in_s, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in update_cols],
+        F.when(in_t, F.col(inserted_col)).otherwise(load_ts).alias(inserted_col),
+        F.when(in_s & moved, load_ts).otherwise(F.col(modified_col)).alias(modified_col))

@@ -14,7 +14,6 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.keys import stable_key
 from strata.functions.text import clean_text
 from strata.operators.audit import audit_frame, observed
 from strata.operators.quality import file_policy, route_files, split_unresolved
@@ -37,6 +36,7 @@ LOAD_TS_1 = "2001-01-01 00:00:00"
 LOAD_TS_2 = "2001-06-01 00:00:00"
 REFRESH_FROM = "1999-07-01"
 STREAM_SECOND_ROUND_FROM = "2024-01-16"
+STREAM_FILES_PER_BATCH = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,9 +135,7 @@ def q_conservation(spark, sf_dir):
 
 def q_surrogate_keys(spark, sf_dir):
     lines = invoice_lines(spark, sf_dir)
-    return lines.select("InvoiceNumber", "LineItem", "Product", "Date",
-                        stable_key("InvoiceNumber", "LineItem", "Product",
-                                   F.date_format("Date", "yyyy-MM-dd")).alias("row_key"))
+    return invoice.with_line_key(lines, "row_key").select(*invoice.LINE_KEY, "row_key")
 
 
 def q_duplicate_lines(spark, sf_dir):
@@ -451,11 +449,17 @@ def q_stream_file_arrival(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     src, dst, chk = (scratch_path(spark, n) for n in ("events-src", "events-dst", "events-chk"))
     cut = F.col("ts") < F.lit(STREAM_SECOND_ROUND_FROM).cast("timestamp_ntz")
-    write_table(events.filter(cut), src, partition_by=["day"])
-    ingest_available(spark, events.schema, src, dst, chk, dedup_keys=["event_id"], event_time="ts")
-    write_table(events.filter(~cut), src, mode="append", partition_by=["day"])
-    ingest_available(spark, events.schema, src, dst, chk, dedup_keys=["event_id"], event_time="ts")
-    ingest_available(spark, events.schema, src, dst, chk, dedup_keys=["event_id"], event_time="ts")
+
+    def ingest():
+        ingest_available(spark, events.schema, src, dst, chk, dedup_keys=["event_id"], event_time="ts",
+                         max_files_per_batch=STREAM_FILES_PER_BATCH)
+    write_table(events.filter(~cut), src, partition_by=["day"])
+    ingest()
+    # The older days arrive late, together with every seventh event once more.
+    late = events.filter(cut).unionByName(events.filter(F.col("event_id") % 7 == 0))
+    write_table(late, src, mode="append", partition_by=["day"])
+    ingest()
+    ingest()
     got = read_table(spark, dst)
     return got.groupBy("event_type").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_events"),

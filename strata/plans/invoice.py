@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.keys import stable_key
+from strata.functions.keys import occurrence, wide_key
 from strata.operators.contract import conform
 from strata.operators.quality import REASON, reconcile_rule, required_key_rules, tag_reasons
 from strata.operators.refresh import retain
@@ -19,7 +19,7 @@ REASON_MALFORMED = "malformed record"
 KEY_COLS = ("AccountSkey", "ProductSkey", "TimeSkey")
 
 GOLD_SCHEMA = T.StructType([
-    T.StructField("FactInvoiceSkey", T.LongType()),
+    T.StructField("FactInvoiceSkey", T.StringType()),
     T.StructField("AccountSkey", T.LongType()),
     T.StructField("ProductSkey", T.LongType()),
     T.StructField("TimeSkey", T.IntegerType()),
@@ -72,6 +72,19 @@ def stage_batch(dst: str):
     return process
 
 
+# The natural key of an invoice line, and what orders lines that share one.
+LINE_KEY = ("InvoiceNumber", "LineItem", "Product", "Date")
+LINE_ORDER = ("Quantity", "GrossValue", "NetValue", "VAT", "Account")
+
+
+def with_line_key(lines: DataFrame, name: str) -> DataFrame:
+    """128-bit key of every line: natural key and occurrence number."""
+    day = F.date_format("Date", "yyyy-MM-dd")
+    return (lines.withColumn("_occurrence", occurrence(LINE_KEY, LINE_ORDER))
+            .withColumn(name, wide_key("InvoiceNumber", "LineItem", "Product", day, "_occurrence"))
+            .drop("_occurrence"))
+
+
 def lookup(valid: DataFrame, accounts: DataFrame, products: DataFrame, days: DataFrame) -> DataFrame:
     """Resolve the three surrogate keys and shape the silver fact."""
     resolved = resolve_keys(valid, [
@@ -79,9 +92,8 @@ def lookup(valid: DataFrame, accounts: DataFrame, products: DataFrame, days: Dat
         Lookup(products, "Product", "SkuCode", "ProductSkey", "ProductSkey"),
         Lookup(days, "Date", "Date", "TimeSkey", "TimeSkey"),
     ], spread_by=["InvoiceNumber", "LineItem", "Date"])
-    return resolved.select(
-        stable_key("InvoiceNumber", "LineItem", "Product", F.date_format("Date", "yyyy-MM-dd"))
-        .alias("FactInvoiceSkey"),
+    return with_line_key(resolved, "FactInvoiceSkey").select(
+        "FactInvoiceSkey",
         "InvoiceNumber", "LineItem",
         F.concat("InvoiceNumber", "LineItem").alias("InvoiceLineItemNumber"),
         "Date", "Quantity", "GrossValue", "NetValue", F.col("VAT").alias("VATvalue"),

@@ -9,8 +9,22 @@ from __future__ import annotations
 
 def _key(*parts: str) -> str:
     """SQL form of ``strata.functions.keys.stable_key``."""
-    marked = ", ".join(f"coalesce(CAST({p} AS VARCHAR), '\\N')" for p in parts)
-    return f"CAST(('0x' || substr(md5(concat_ws('|', {marked})), 1, 15)) AS BIGINT)"
+    return f"CAST(('0x' || substr({_wide_key(*parts)}, 1, 15)) AS BIGINT)"
+
+
+def _wide_key(*parts: str) -> str:
+    """SQL form of ``strata.functions.keys.wide_key``."""
+    texts = [f"CAST({p} AS VARCHAR)" for p in parts]
+    marked = " || ".join(f"coalesce('V' || CAST(length({t}) AS VARCHAR) || ':' || {t}, 'N')" for t in texts)
+    return f"md5({marked})"
+
+
+def _line_key(t: str) -> str:
+    """SQL form of ``strata.plans.invoice.with_line_key`` over columns of ``t``."""
+    key = ", ".join(f"{t}.{c}" for c in ("InvoiceNumber", "LineItem", "Product", "Date"))
+    order = ", ".join(f"{t}.{c} NULLS FIRST" for c in ("Quantity", "GrossValue", "NetValue", "VAT", "Account"))
+    return _wide_key(f"{t}.InvoiceNumber", f"{t}.LineItem", f"{t}.Product", f"strftime({t}.Date, '%Y-%m-%d')",
+                     f"row_number() OVER (PARTITION BY {key} ORDER BY {order})")
 
 
 def _clean(c: str) -> str:
@@ -264,7 +278,7 @@ FROM time_bounds a, (SELECT s, CAST(s + INTERVAL 120 MONTH AS DATE) AS e
 _cte("dim_time_wide", ("time_bounds_wide",), _calendar_from("time_bounds_wide"))
 
 _cte("star", ("inv_valid", "acc_gold", "prod_gold", "dim_time"), f"""
-SELECT {_key('v.InvoiceNumber', 'v.LineItem', 'v.Product', "strftime(v.Date, '%Y-%m-%d')")} AS FactInvoiceSkey,
+SELECT {_line_key('v')} AS FactInvoiceSkey,
        v.InvoiceNumber, v.LineItem, v.InvoiceNumber || v.LineItem AS InvoiceLineItemNumber, v.Date,
        v.Quantity, v.GrossValue, v.NetValue, v.VAT AS VATvalue,
        a.AccountSkey, p.ProductSkey, t.TimeSkey,
@@ -401,7 +415,7 @@ FROM prod_flat f LEFT JOIN prod_sku s ON f.SourceSystemSKUId = s.Source_System_I
 WHERE f.incomplete_at IS NULL"""),
     "surrogate_keys": _with(("fx_invoice",), f"""
 SELECT InvoiceNumber, LineItem, Product, Date,
-       {_key('InvoiceNumber', 'LineItem', 'Product', "strftime(Date, '%Y-%m-%d')")} AS row_key
+       {_line_key('fx_invoice')} AS row_key
 FROM fx_invoice"""),
     "product_upsert": _upsert_sql(),
     "product_gold": _with(("prod_gold",), "SELECT * FROM prod_gold"),
@@ -439,7 +453,7 @@ SELECT FactInvoiceSkey, Year, NetValue, CASE WHEN Year >= 2000 THEN VATvalue END
     "retention_36m": _with(("fact_valid",), """
 SELECT FactInvoiceSkey, Date FROM fact_valid WHERE Date >= DATE '2001-11-04' - INTERVAL 36 MONTH"""),
     "fact_gold": _with(("fact_valid",), """
-SELECT CAST(FactInvoiceSkey AS BIGINT) AS FactInvoiceSkey, CAST(AccountSkey AS BIGINT) AS AccountSkey,
+SELECT FactInvoiceSkey, CAST(AccountSkey AS BIGINT) AS AccountSkey,
        CAST(ProductSkey AS BIGINT) AS ProductSkey, CAST(TimeSkey AS INTEGER) AS TimeSkey,
        InvoiceNumber, InvoiceLineItemNumber, CAST(Quantity AS INTEGER) AS Quantity,
        CAST(GrossValue AS DECIMAL(18,2)) AS GrossValue, CAST(NetValue AS DECIMAL(18,2)) AS NetValue,

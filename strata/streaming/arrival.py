@@ -4,8 +4,12 @@
 every file present is consumed in bounded micro-batches, then the query stops.
 The checkpoint (in the shared scratch root) records the files already seen, so
 a rerun with no new files adds nothing and a run that loses executors resumes
-from the last committed batch.  Optional de-duplication on a natural key is
-bounded by an event-time watermark, so state does not grow with history.
+from the last committed batch.
+
+De-duplication on a natural key keeps no stream state and drops no late row: a
+micro-batch is reduced to one row a key and anti-joined with the rows already
+stored for the event days that it touches.  The result does not depend on the
+order of the files or on the size of the batches.
 """
 
 from __future__ import annotations
@@ -17,35 +21,62 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.sources.tables import read_optional
+from strata.sources.writers import write_table
+
+# Partition column of a de-duplicated target.
+EVENT_DAY = "event_day"
+
+
+def append_new_keys(dst: str, keys: Sequence[str], event_time: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` handler: append the rows whose key ``dst`` does not hold
+    yet.  Repeats of a key carry its event day, so only the stored days that the
+    batch touches are read (partition pruning by a semi join).  A replayed batch
+    finds its own rows stored and appends nothing."""
+    def process(batch: DataFrame, _batch_id: int) -> None:
+        spark = batch.sparkSession
+        others = [c for c in batch.columns if c not in keys]
+        on = [*keys, EVENT_DAY]
+        new = (batch.withColumn(EVENT_DAY, F.date_format(event_time, "yyyy-MM-dd"))
+               .groupBy(*on).agg(F.min(F.struct(*others)).alias("_row"))
+               .select(*on, *[F.col(f"_row.{c}").alias(c) for c in others]))
+        stored = read_optional(spark, dst)
+        if stored is not None:
+            known = (stored.withColumn(EVENT_DAY, F.col(EVENT_DAY).cast("string"))
+                     .join(new.select(EVENT_DAY).distinct(), EVENT_DAY, "left_semi").select(*on))
+            same = None
+            for c in on:
+                e = new[c].eqNullSafe(known[c])
+                same = e if same is None else same & e
+            new = new.join(known, same, "left_anti")
+        write_table(new, dst, mode="append", partition_by=[EVENT_DAY])
+    return process
+
 
 def ingest_available(spark: SparkSession, schema: T.StructType, src: str, dst: str,
                      checkpoint: str, fmt: str = "parquet",
                      dedup_keys: Sequence[str] | None = None, event_time: str | None = None,
-                     watermark: str = "1 day", max_files_per_batch: int | None = 1000,
+                     max_files_per_batch: int | None = 1000,
                      options: dict[str, str] | None = None) -> StreamingQuery:
+    """Append the files that arrived in ``src`` to ``dst``.  With ``dedup_keys``
+    every key is stored once; ``event_time`` names the column whose day
+    partitions the target."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    stream = reader.load(src)
+    writer = (reader.load(src).writeStream
+              .option("checkpointLocation", checkpoint)
+              .outputMode("append")
+              .trigger(availableNow=True))
     if dedup_keys:
-        if event_time:
-            # Watermarks need an instant (TIMESTAMP); a wall-clock
-            # TIMESTAMP_NTZ column is read in the session time zone.
-            wm = "_event_instant"
-            stream = (stream.withColumn(wm, F.col(event_time).cast("timestamp"))
-                      .withWatermark(wm, watermark)
-                      .dropDuplicatesWithinWatermark(list(dedup_keys))
-                      .drop(wm))
-        else:
-            stream = stream.dropDuplicates(list(dedup_keys))
-    q = (stream.writeStream.format("parquet")
-         .option("path", dst)
-         .option("checkpointLocation", checkpoint)
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
+        if not event_time:
+            raise ValueError("de-duplication needs the event time that partitions the target")
+        writer = writer.foreachBatch(append_new_keys(dst, list(dedup_keys), event_time))
+    else:
+        writer = writer.format("parquet").option("path", dst)
+    q = writer.start()
     q.awaitTermination()
     return q
 
