@@ -19,8 +19,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                       known_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` when it provably holds at most ``max_rows`` rows.
 
-    ``known_rows`` is an upper bound the caller already has (e.g. the number of
-    input files for a per-file table); otherwise a bounded probe
-    ``limit(max_rows + 1).count()`` decides."""
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
+    ``known_rows`` is an upper bound the caller already has; otherwise the rows
+    are counted (one number a task reaches the last stage)."""
+    n = known_rows if known_rows is not None else df.count()
     return F.broadcast(df) if n <= max_rows else df

@@ -7,9 +7,11 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.broadcast import bounded_broadcast
+from strata.functions.keys import key_text
+from strata.operators.star import HOT_KEY_ROWS, SALT_BUCKETS, salted_left_join, spread_nulls
+from strata.session import scratch_path
 
-# Parent/hop tables up to this many rows are broadcast (checked by a probe).
+# Parent/hop tables up to this many rows are broadcast (checked by a count).
 PARENT_BROADCAST_ROWS = 5_000_000
 
 
@@ -35,19 +37,38 @@ def lookup_parent(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, s
     ``on`` pairs (child column, parent column); ``parent_cols`` maps parent
     column -> output name.  The parent side is reduced to one row per key
     first, so the lookup can never fan out the child rows."""
-    keys = [F.col(pc).alias(f"_pk{i}") for i, (_, pc) in enumerate(on)]
     first = F.min(F.struct(*[F.col(c) for c in parent_cols]))
-    p = bounded_broadcast(parent.groupBy(*keys).agg(first.alias("_p")), PARENT_BROADCAST_ROWS)
-    cond = None
-    for i, (cc, _) in enumerate(on):
-        c = child[cc] == p[f"_pk{i}"]
-        cond = c if cond is None else cond & c
-    out = child.join(p, cond, "left")
+    p = stored(parent.groupBy(key_text(*[pc for _, pc in on]).alias("_pk")).agg(first.alias("_p")),
+               "parents")
+    keyed = child.withColumn("_ck", key_text(*[cc for cc, _ in on]))
+    out = left_lookup(keyed, "_ck", p, "_pk", child.columns)
     extra = []
     for c, name in parent_cols.items():
         v = F.col(f"_p.{c}")
         extra.append((F.coalesce(v, F.lit(default)) if default is not None else v).alias(name))
-    return out.select(*[child[c] for c in child.columns], *extra)
+    return out.select(*child.columns, *extra)
+
+
+def stored(parents: DataFrame, name: str) -> DataFrame:
+    """The reduced parent table, written once to the shared scratch: every hop
+    reads it, and counting it reads file footers only."""
+    spark = parents.sparkSession
+    path = scratch_path(spark, name)
+    parents.write.parquet(path)
+    return spark.read.schema(parents.schema).parquet(path)
+
+
+def left_lookup(rows: DataFrame, key: str, parents: DataFrame, parent_key: str,
+                identity: Sequence[str], broadcast_rows: int | None = None) -> DataFrame:
+    """Left join of ``rows`` with a stored one-row-a-key table: broadcast up to
+    ``broadcast_rows`` parents, beyond that a shuffle join in which null keys are
+    spread and hot keys (one pack under a third of all SKUs) are salted; AQE
+    cannot split them when a side is an aggregate."""
+    if parents.count() <= (PARENT_BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
+        return rows.join(F.broadcast(parents), rows[key] == parents[parent_key], "left").drop(parent_key)
+    spread, jk = spread_nulls(rows, key, identity)
+    out = salted_left_join(spread, jk, parents, parent_key, identity, HOT_KEY_ROWS, SALT_BUCKETS).drop(parent_key)
+    return out if jk == key else out.drop(jk)
 
 
 def flatten_hierarchy(leaves: DataFrame, nodes: DataFrame, id_col: str, parent_col: str,
@@ -61,10 +82,8 @@ def flatten_hierarchy(leaves: DataFrame, nodes: DataFrame, id_col: str, parent_c
     suffix) becomes column ``L + suffix``.  The walk is a left-join chain, so a
     leaf whose chain breaks is kept and ``incomplete_at`` names the first level
     that could not be reached (null when the chain is complete).  The parent
-    table holds only referenced nodes, projected to four columns and reduced
-    to one row per id; Spark broadcasts it when it is small, else shuffles —
-    hot parents (one pack under a third of all SKUs) are skew-split by AQE.
-
+    table holds only referenced nodes, projected to four columns, reduced to one
+    row per id and written once; see ``left_lookup`` for the join of a hop.
     By default a hop accepts any parent node, as the reference does; with
     ``level_col`` and ``expected_levels`` (level name -> level value) a parent
     of the wrong level counts as missing, so the chain is reported incomplete
@@ -79,7 +98,8 @@ def flatten_hierarchy(leaves: DataFrame, nodes: DataFrame, id_col: str, parent_c
     inner = nodes.join(referenced, nodes[id_col] == referenced["_pid"], "left_semi")
     parents = (inner.groupBy(F.col(id_col).alias("_id"))
                .agg(F.min(F.struct(*[F.col(c) for c in cols + [parent_col]])).alias("_n")))
-    parents = bounded_broadcast(parents, PARENT_BROADCAST_ROWS)
+    parents = stored(parents, "inner-nodes")
+    identity = leaves.columns
     cur = leaves.withColumn("_next", F.col(parent_col)) \
                 .withColumn(incomplete_col, F.lit(None).cast("string"))
     for level in levels:
@@ -89,10 +109,11 @@ def flatten_hierarchy(leaves: DataFrame, nodes: DataFrame, id_col: str, parent_c
         step = src.select(F.col("_id").alias(f"_id_{level}"),
                           *[F.col(f"_n.{c}").alias(f"{level}{suf}") for c, suf in attrs.items()],
                           F.col(f"_n.{parent_col}").alias(f"_up_{level}"))
-        cur = cur.join(step, cur["_next"] == step[f"_id_{level}"], "left")
+        step = step.withColumn("_found", F.lit(True))
+        cur = left_lookup(cur, "_next", step, f"_id_{level}", identity)
         cur = cur.withColumn(
             incomplete_col,
             F.coalesce(F.col(incomplete_col),
-                       F.when(F.col(f"_id_{level}").isNull(), F.lit(level)))
-        ).withColumn("_next", F.col(f"_up_{level}")).drop(f"_id_{level}", f"_up_{level}")
+                       F.when(F.col("_found").isNull(), F.lit(level)))
+        ).withColumn("_next", F.col(f"_up_{level}")).drop("_found", f"_up_{level}")
     return cur.drop("_next")

@@ -3,7 +3,7 @@
 Each dimension is first reduced to one member per natural key (the current
 version), so the fact's row count is preserved by construction.  Joins are left
 outer: an unresolved key stays null and is quarantined downstream.  A dimension
-is broadcast only behind a bounded size probe; beyond it the join is a shuffle
+is broadcast only behind a count of its rows; beyond that the join is a shuffle
 join with the fact's hot keys salted (AQE's skew-join split does not apply when
 the dimension side is an aggregate) and null keys spread.
 """
@@ -27,16 +27,22 @@ class Lookup:
     out_col: str      # name of the resolved key in the fact
 
 
-def current_members(dim: DataFrame, natural_key: str, key_col: str) -> DataFrame:
-    """One surrogate key per natural key (the largest, deterministically)."""
-    return dim.groupBy(natural_key).agg(F.max(key_col).alias(key_col))
+def current_members(dim: DataFrame, natural_key: str, key_col: str,
+                    current_first: Sequence[str] = ("isActive", "version", "ValidFrom")) -> DataFrame:
+    """One surrogate key per natural key: the active member, of several the
+    latest version, of still several (two members that share a natural key; see
+    ``duplicate_keys``) the one with the largest key."""
+    order = [F.col(c) for c in current_first if c in dim.columns]
+    if not order:
+        return dim.groupBy(natural_key).agg(F.max(key_col).alias(key_col))
+    return dim.groupBy(natural_key).agg(F.max_by(key_col, F.struct(*order, key_col)).alias(key_col))
 
 
 # Prefix of the stand-in join key given to fact rows whose natural key is null.
 NULL_KEY_PREFIX = "\u0001null:"
 
 
-def _spread_nulls(fact: DataFrame, col: str,
+def spread_nulls(fact: DataFrame, col: str,
                   spread_by: Sequence[str] | None = None) -> tuple[DataFrame, str]:
     """A join key equal to ``col``, except that null (never-matching) string
     keys become distinct non-matching values derived from the row (its
@@ -69,8 +75,9 @@ def salted_left_join(out: DataFrame, jk: str, d: DataFrame, nk: str, spread: Seq
                  min_rows: int, buckets: int) -> DataFrame:
     """Left join on ``jk = nk`` where the fact's hot keys are spread over
     ``buckets`` salt values and only their dimension rows are replicated."""
-    hot = hot_keys(out, jk, min_rows)
-    hot = F.broadcast(hot.withColumn("_is_hot", F.lit(True)))
+    # No broadcast hint: the hot keys are few (rows / min_rows), and Spark sees
+    # the size of the aggregate when it runs.
+    hot = hot_keys(out, jk, min_rows).withColumn("_is_hot", F.lit(True))
     fact = out.join(hot, out[jk] == hot["_hk"], "left").drop("_hk")
     fact = fact.withColumn("_salt", F.when(F.col("_is_hot"), F.pmod(
         F.xxhash64(*[F.col(c) for c in spread]), F.lit(buckets))).otherwise(F.lit(0))).drop("_is_hot")
@@ -89,7 +96,7 @@ def resolve_keys(fact: DataFrame, lookups: list[Lookup],
     """Left-join each dimension's current surrogate key onto the fact.
 
     Each dimension is reduced to one member per natural key and size-checked
-    with a bounded probe of its rows (early-terminating).  Up to ``broadcast_rows`` members it is
+    by a count of its rows.  Up to ``broadcast_rows`` members it is
     broadcast: no shuffle of the fact, and no skew.  Beyond that the join is a
     shuffle join in which fact keys with at least ``hot_key_rows`` rows are
     salted over ``salt_buckets`` tasks, and null keys get spread stand-in
@@ -101,13 +108,12 @@ def resolve_keys(fact: DataFrame, lookups: list[Lookup],
         nk = f"_nk{i}"
         d = current_members(lk.dim, lk.dim_col, lk.key_col).select(
             F.col(lk.dim_col).alias(nk), F.col(lk.key_col).alias(lk.out_col))
-        # Probe the raw dimension rows, not the aggregate: the limit stops
-        # each task early, and members <= rows makes it a proof.
-        small = lk.dim.select(lk.dim_col).limit(broadcast_rows + 1).count() <= broadcast_rows
-        if small:
+        # The dimension's rows bound its members; a count sends one number a
+        # task (for a stored table it reads file footers only).
+        if lk.dim.count() <= broadcast_rows:
             out = out.join(F.broadcast(d), out[lk.fact_col] == d[nk], "left").drop(nk)
             continue
-        out, jk = _spread_nulls(out, lk.fact_col, spread)
+        out, jk = spread_nulls(out, lk.fact_col, spread)
         out = salted_left_join(out, jk, d, nk, spread, hot_key_rows, salt_buckets).drop(nk)
         if jk != lk.fact_col:
             out = out.drop(jk)

@@ -14,10 +14,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _submitted() -> bool:
+    """Whether spark-submit started this process (it then sets the master)."""
+    return "PYSPARK_GATEWAY_PORT" in os.environ
+
+
 def build_session(app: str = "strata", cpus: int | str = "*",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
-    """A local session configured the way the library expects a cluster to be.
+    """A session configured the way the library expects a cluster to be: local,
+    or on the master that spark-submit names.
 
     AQE is on (runtime coalescing, skew-join splitting, broadcast conversion);
     the UI is off; the session time zone is pinned so that date arithmetic is
@@ -25,8 +31,7 @@ def build_session(app: str = "strata", cpus: int | str = "*",
     """
     n = os.cpu_count() if cpus == "*" else int(cpus)
     builder = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or n))
         .config("spark.sql.adaptive.enabled", "true")
@@ -34,12 +39,13 @@ def build_session(app: str = "strata", cpus: int | str = "*",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "8g")
+    )
+    if not _submitted():
         # local[N] has no executors to list files on: list landing
         # directories on the driver instead of one task per directory.
         # Clusters keep Spark's default parallel listing.
-        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
-    )
+        builder = (builder.master(f"local[{cpus}]").config("spark.driver.memory", "8g")
+                   .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000"))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -71,11 +77,20 @@ def parallelism(spark: SparkSession) -> int:
 _fallback_dirs: dict[str, str] = {}
 
 
+def _local_scratch(master: str) -> str:
+    """A temporary directory, only where driver and executors are one process."""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(
+            f"spark.checkpoint.dir is not set and the master is {master!r}: name a folder that the driver "
+            "and all executors share")
+    return tempfile.mkdtemp(prefix="strata-checkpoint-")
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared scratch root: ``spark.checkpoint.dir`` of the session.
 
-    Only when the cluster names none (local tests) a private temporary directory
-    is created and registered as the checkpoint directory."""
+    Where none is named, a local master (tests, laptops) gets a private temporary
+    directory; any other master is an error."""
     sc = _context(spark)
     if sc is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -83,7 +98,7 @@ def work_dir(spark: SparkSession) -> str:
             return configured.rstrip("/")
         key = session_key(spark)
         if key not in _fallback_dirs:
-            _fallback_dirs[key] = tempfile.mkdtemp(prefix="strata-checkpoint-")
+            _fallback_dirs[key] = _local_scratch(spark.conf.get("spark.master", ""))
         return _fallback_dirs[key]
     current = sc.getCheckpointDir()
     if current:
@@ -92,8 +107,7 @@ def work_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir().rstrip("/")
-    local = tempfile.mkdtemp(prefix="strata-checkpoint-")
-    sc.setCheckpointDir(local)
+    sc.setCheckpointDir(_local_scratch(sc.master))
     return sc.getCheckpointDir().rstrip("/")
 
 
