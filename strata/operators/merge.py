@@ -24,8 +24,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str], load_ts: Column,
            inserted_col: str = "InsertedDateTime",
            modified_col: str = "ModifiedDateTime") -> DataFrame:
-    """Merge ``source`` into ``target``: one shuffle and one read a side (the
-    source's reduction to one row a key uses the join's partitioning)."""
+    """Merge ``source`` into ``target``: each side is read once, the target is
+    shuffled once and the source twice (reduced to one row a key, then joined
+    null-safely)."""
     s = (source.groupBy(*keys).agg(F.max(F.struct(*update_cols)).alias("_new"))
          .select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_new", F.lit(True).alias("_in_s")))
     t = target.withColumn("_in_t", F.lit(True))

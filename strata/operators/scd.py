@@ -18,19 +18,23 @@ from pyspark.sql import functions as F
 from strata.functions.predicates import changed
 
 
-def new_keys(new: DataFrame, base: DataFrame, key: str) -> DataFrame:
+def _names(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def new_keys(new: DataFrame, base: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key is absent from ``base`` (left anti join)."""
-    return new.join(base.select(key), key, "left_anti")
+    return new.join(base.select(*_names(key)), _names(key), "left_anti")
 
 
-def changed_keys(new: DataFrame, base: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
+def changed_keys(new: DataFrame, base: DataFrame, key: str | Sequence[str], tracked: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key exists in ``base`` with a different (null-safe)
     tracked value.  Returns the new row plus ``old_<col>`` for each tracked
     column."""
-    old = base.select(F.col(key).alias("_old_key"), *[F.col(c).alias(f"old_{c}") for c in tracked])
-    j = new.join(old, new[key] == old["_old_key"], "inner")
-    cond = changed([j[c] for c in tracked], [j[f"old_{c}"] for c in tracked])
-    return j.filter(cond).drop("_old_key")
+    keys = _names(key)
+    old = base.select(*keys, *[F.col(c).alias(f"old_{c}") for c in tracked])
+    j = new.join(old, keys, "inner")
+    return j.filter(changed([j[c] for c in tracked], [j[f"old_{c}"] for c in tracked]))
 
 
 def account_status(date_closed: Column) -> Column:

@@ -72,12 +72,13 @@ def hot_keys(fact: DataFrame, col: str, min_rows: int) -> DataFrame:
 
 
 def salted_left_join(out: DataFrame, jk: str, d: DataFrame, nk: str, spread: Sequence[str],
-                 min_rows: int, buckets: int) -> DataFrame:
+                 min_rows: int, buckets: int, hot: DataFrame | None = None) -> DataFrame:
     """Left join on ``jk = nk`` where the fact's hot keys are spread over
-    ``buckets`` salt values and only their dimension rows are replicated."""
+    ``buckets`` salt values and only their dimension rows are replicated.
+    ``hot`` are the hot keys (``_hk``) where the caller has them already."""
     # No broadcast hint: the hot keys are few (rows / min_rows), and Spark sees
     # the size of the aggregate when it runs.
-    hot = hot_keys(out, jk, min_rows).withColumn("_is_hot", F.lit(True))
+    hot = (hot_keys(out, jk, min_rows) if hot is None else hot).withColumn("_is_hot", F.lit(True))
     fact = out.join(hot, out[jk] == hot["_hk"], "left").drop("_hk")
     fact = fact.withColumn("_salt", F.when(F.col("_is_hot"), F.pmod(
         F.xxhash64(*[F.col(c) for c in spread]), F.lit(buckets))).otherwise(F.lit(0))).drop("_is_hot")
@@ -114,7 +115,10 @@ def resolve_keys(fact: DataFrame, lookups: list[Lookup],
             out = out.join(F.broadcast(d), out[lk.fact_col] == d[nk], "left").drop(nk)
             continue
         out, jk = spread_nulls(out, lk.fact_col, spread)
-        out = salted_left_join(out, jk, d, nk, spread, hot_key_rows, salt_buckets).drop(nk)
+        # Hot keys come from one column of the stored input, not from the chain
+        # of joins so far.
+        hot = hot_keys(fact.where(F.col(lk.fact_col).isNotNull()), lk.fact_col, hot_key_rows)
+        out = salted_left_join(out, jk, d, nk, spread, hot_key_rows, salt_buckets, hot).drop(nk)
         if jk != lk.fact_col:
             out = out.drop(jk)
     return out

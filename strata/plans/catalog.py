@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import clean_text
 from strata.operators.audit import audit_frame, observed
-from strata.operators.quality import file_policy, route_files, split_unresolved
+from strata.operators.quality import conservation, file_policy, route_files, split_unresolved
 from strata.operators.refresh import partition_keys, refresh_partitions, retain
 from strata.operators.scd import changed_keys, new_keys
 from strata.operators.sets import duplicate_keys, set_difference, set_difference_all
 from strata.operators.star import resolve_as_of
 from strata.plans import account, invoice, product, time
-from strata.plans.pipelines import AS_OF, RUN_ID, Zones, land_invoices, run_layers
+from strata.plans.pipelines import AS_OF, RUN_ID, Zones, land_invoices, land_variants, run_layers
 from strata.session import scratch_path, session_key
-from strata.sources.files import SOURCE
+from strata.sources.files import IS_HEADER, SOURCE
 from strata.sources.tables import read_optional, read_table
 from strata.sources.testdata import INVOICE_SOURCE_SCHEMA, invoice_lines, table, version_effective
 from strata.sources.writers import append_evolved, write_csv, write_table
@@ -105,16 +105,36 @@ def q_source_file_counts(spark, sf_dir):
         F.max(bad).alias("any_blank"))
 
 
+def _source_files(staged):
+    """The number of source files in a staged table (one narrow column)."""
+    return staged.select(SOURCE).distinct().count()
+
+
+def q_csv_contract_reject(spark, sf_dir):
+    """Files with swapped, extra and missing header columns among good ones:
+    per source, the verdict and what of it is staged.  (The wrong header line
+    of a rejected file is not counted as data.)"""
+    raw = invoice.bronze(spark, land_variants(spark, sf_dir, scratch_path(spark, "landing-variants")))
+    rows = invoice.gated(invoice.typed(raw)).where(
+        F.coalesce(F.col("InvoiceNumber"), F.lit("")) != INVOICE_SOURCE_SCHEMA[0].name)
+    reason = F.col("reason")
+    counts = rows.groupBy(SOURCE).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_data_rows"),
+        F.sum(reason.isNull().cast("int")).cast("bigint").alias("n_staged"),
+        F.sum(F.coalesce(reason == invoice.REASON_HEADER, F.lit(False)).cast("int")).cast("bigint")
+        .alias("n_header_rejected"))
+    return invoice.contract(raw).select(SOURCE, "contract_ok").join(counts, SOURCE)
+
+
 def q_invoice_row_gate(spark, sf_dir):
     return _gated(spark, sf_dir).select("InvoiceNumber", "LineItem", "Product", SOURCE, "reason")
 
 
 def q_invoice_file_gate(spark, sf_dir):
     # The file policy runs on the staged, row-gated table: the raw text was
-    # parsed once, and the verdict reads two columns.  The landing's file
-    # listing (already on the driver) bounds the number of verdicts.
+    # parsed once, and the verdict reads two columns.
     staged = _read(spark, sf_dir, "bronze", "gated/invoice").drop("outcome")
-    g = file_policy(staged, max_files=len(_raw(spark, sf_dir).inputFiles()))
+    g = file_policy(staged, max_files=_source_files(staged))
     return g.filter(F.col("reason").isNull()).select(
         "InvoiceNumber", "LineItem", "Product", SOURCE, "NetValue")
 
@@ -125,12 +145,16 @@ def q_invoice_reject_reasons(spark, sf_dir):
 
 
 def q_conservation(spark, sf_dir):
-    g = _gated(spark, sf_dir)
-    valid = F.col("reason").isNull()
-    out = g.agg(F.count(F.lit(1)).cast("bigint").alias("n_input"),
-                F.sum(valid.cast("int")).cast("bigint").alias("n_valid"),
-                F.sum((~valid).cast("int")).cast("bigint").alias("n_rejected"))
-    return out.withColumn("balanced", F.col("n_input") == F.col("n_valid") + F.col("n_rejected"))
+    """Rows landed, staged and rejected, each counted in its own store."""
+    def rows(df, name):
+        return df.agg(F.lit(name).alias("store"), F.count(F.lit(1)).cast("bigint").alias("n"))
+    stored = _read(spark, sf_dir, "bronze", "gated/invoice")
+    counts = (rows(_raw(spark, sf_dir).where(~F.col(IS_HEADER)), "n_input")
+              .unionByName(rows(stored.where("outcome = 'valid'"), "n_valid"))
+              .unionByName(rows(stored.where("outcome = 'rejected'"), "n_rejected")))
+    out = counts.agg(*[F.max(F.when(F.col("store") == n, F.col("n"))).alias(n)
+                       for n in ("n_input", "n_valid", "n_rejected")])
+    return out.withColumn("balanced", conservation(F.col("n_input"), F.col("n_valid"), F.col("n_rejected")))
 
 
 def q_surrogate_keys(spark, sf_dir):
@@ -164,19 +188,22 @@ def q_account_exceptions(spark, sf_dir):
         "version", "RowId", "AccountNo", "exception_reason")
 
 
-def _extract(spark, sf_dir, v):
-    return account.with_parents(_versions(spark, sf_dir)).filter(F.col("version") == v)
+def _extracts(spark, sf_dir):
+    """(later extracts, the extract before each, under the later one's version)."""
+    all_ = account.with_parents(_versions(spark, sf_dir))
+    return all_.filter(F.col("version") > 0), all_.withColumn("version", F.col("version") + 1)
 
 
 def q_account_new_keys(spark, sf_dir):
-    return new_keys(_extract(spark, sf_dir, 1), _extract(spark, sf_dir, 0), "AccountNo") \
-        .select("AccountNo", "AccountDesc")
+    """Accounts of every extract that the extract before does not hold."""
+    return new_keys(*_extracts(spark, sf_dir), ["AccountNo", "version"]) \
+        .select("version", "AccountNo", "AccountDesc")
 
 
 def q_account_changed_keys(spark, sf_dir):
-    ch = changed_keys(_extract(spark, sf_dir, 1), _extract(spark, sf_dir, 0), "AccountNo",
-                      list(account.TRACKED))
-    return ch.select("AccountNo", "old_AccountDesc", "AccountDesc")
+    """Accounts of every extract that differ from the extract before."""
+    ch = changed_keys(*_extracts(spark, sf_dir), ["AccountNo", "version"], list(account.TRACKED))
+    return ch.select("version", "AccountNo", "old_AccountDesc", "AccountDesc")
 
 
 def _account_silver(spark, sf_dir):
@@ -205,7 +232,7 @@ def q_set_difference(spark, sf_dir):
     v = _versions(spark, sf_dir)
     cols = ["RowId", "AccountNo", "AccountDesc", "ParentRowId", "DateOpened", "DateClosed"]
     groups = v.filter(F.col("ParentRowId").isNull() & F.col("DateOpened").isNull()
-                      & F.col("DateClosed").isNull() & (F.col("version") == 0))
+                      & F.col("DateClosed").isNull())
     return set_difference(v.select(*cols), groups.select(*cols))
 
 
@@ -213,7 +240,7 @@ def q_set_difference_all(spark, sf_dir):
     v = _versions(spark, sf_dir)
     cols = ["RowId", "AccountNo", "AccountDesc", "ParentRowId", "DateOpened", "DateClosed"]
     groups = v.filter(F.col("ParentRowId").isNull() & F.col("DateOpened").isNull()
-                      & F.col("DateClosed").isNull() & (F.col("version") == 0))
+                      & F.col("DateClosed").isNull())
     return set_difference_all(v.select(*cols), groups.select(*cols))
 
 
@@ -236,7 +263,7 @@ def q_product_flatten_level_checked(spark, sf_dir):
 
 
 def q_product_exceptions(spark, sf_dir):
-    return product.exceptions(_nodes(spark, sf_dir)).select(
+    return product.all_exceptions(_nodes(spark, sf_dir)).select(
         "Source_System_Id", "Product_Code", "Product_Level", "Par_Row_Id", "exception_reason")
 
 
@@ -358,14 +385,15 @@ def q_invoice_file_routing(spark, sf_dir):
     """Archive / reject routing of whole source files, written as CSV zones
     and read back."""
     staged = _read(spark, sf_dir, "bronze", "gated/invoice").drop("outcome")
-    routed = route_files(staged, max_files=len(_raw(spark, sf_dir).inputFiles()))
+    routed = route_files(staged, max_files=_source_files(staged))
     path = scratch_path(spark, "invoice-routed")
-    write_csv(routed.select("InvoiceNumber", "LineItem", SOURCE, "reason", "zone"), path,
-              partition_by=["zone"])
-    back = spark.read.option("header", True).csv(path)
-    return back.groupBy(F.col("zone").cast("string").alias("zone")).agg(
+    write_csv(routed, path, partition_by=["zone"])      # whole rows
+    back = spark.read.schema(routed.schema).option("header", True).csv(path)
+    return back.groupBy("zone").agg(
         F.countDistinct(SOURCE).cast("bigint").alias("n_files"),
-        F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+        F.countDistinct("Date", "Account", "Product").cast("bigint").alias("n_details"),
+        F.sum("NetValue").cast("decimal(38,2)").alias("net_value"))
 
 
 def q_dim_time_view(spark, sf_dir):
@@ -481,6 +509,7 @@ def q_stream_invoice_arrival(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "monthly_brand_net": q_monthly_brand_net,
     "csv_roundtrip_contract": q_csv_roundtrip_contract,
+    "csv_contract_reject": q_csv_contract_reject,
     "source_file_counts": q_source_file_counts,
     "invoice_row_gate": q_invoice_row_gate,
     "invoice_file_gate": q_invoice_file_gate,

@@ -12,9 +12,10 @@ from strata.operators.contract import conform
 from strata.operators.quality import REASON, reconcile_rule, required_key_rules, tag_reasons
 from strata.operators.refresh import retain
 from strata.operators.star import Lookup, resolve_keys
-from strata.sources.files import MALFORMED, SOURCE, file_contract, scan_landed, typed_rows
+from strata.sources.files import HEADER_OK, MALFORMED, SOURCE, file_contract, scan_landed, typed_rows
 from strata.sources.testdata import INVOICE_SOURCE_SCHEMA
 
+REASON_HEADER = "header mismatch"
 REASON_MALFORMED = "malformed record"
 KEY_COLS = ("AccountSkey", "ProductSkey", "TimeSkey")
 
@@ -50,7 +51,7 @@ def typed(raw: DataFrame) -> DataFrame:
 
 
 def gate_rules():
-    return ([(REASON_MALFORMED, F.col(MALFORMED))]
+    return ([(REASON_HEADER, ~F.col(HEADER_OK)), (REASON_MALFORMED, F.col(MALFORMED))]
             + required_key_rules(["Account", "Product"])
             + [reconcile_rule("GrossValue", "NetValue", "VAT")])
 

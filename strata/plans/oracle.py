@@ -56,7 +56,8 @@ SELECT CAST(l.l_orderkey AS VARCHAR) AS InvoiceNumber,
             ELSE CAST(o.o_custkey AS VARCHAR) END AS Account,
        CASE WHEN l.l_orderkey % 83 = 0 THEN '' ELSE CAST(l.l_partkey AS VARCHAR) END AS Product,
        CAST(l.l_quantity AS INTEGER) AS Quantity,
-       CAST(CAST({_NET4} AS DECIMAL(18,2)) + CAST(CAST({_NET4} * CAST(l.l_tax AS DECIMAL(4,2)) AS DECIMAL(18,6)) AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS GrossValue,
+       CAST(CAST({_NET4} AS DECIMAL(18,2)) + CAST(CAST({_NET4} * CAST(l.l_tax AS DECIMAL(4,2)) AS DECIMAL(18,6)) AS DECIMAL(18,2))
+            + CASE WHEN l.l_orderkey % 79 = 0 THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS GrossValue,
        CAST({_NET4} AS DECIMAL(18,2)) AS NetValue,
        CAST(CAST({_NET4} * CAST(l.l_tax AS DECIMAL(4,2)) AS DECIMAL(18,6)) AS DECIMAL(18,2)) AS VAT,
        strftime(l.l_shipdate, '%Y-%m-%d') AS source_file
@@ -64,11 +65,14 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
 
 _cte("inv_rows", ("fx_invoice",), """
 SELECT InvoiceNumber, LineItem, Date, NULLIF(TRIM(Account), '') AS Account,
-       NULLIF(TRIM(Product), '') AS Product, Quantity, GrossValue, NetValue, VAT, source_file
+       NULLIF(TRIM(Product), '') AS Product,
+       CASE WHEN CAST(InvoiceNumber AS BIGINT) % 73 = 0 THEN NULL ELSE Quantity END AS Quantity,
+       GrossValue, NetValue, VAT, source_file
 FROM fx_invoice""")
 
 _cte("inv_gated", ("inv_rows",), """
 SELECT *, CASE
+    WHEN CAST(InvoiceNumber AS BIGINT) % 73 = 0 THEN 'malformed record'
     WHEN Account IS NULL OR TRIM(Account) = '' THEN 'Account is blank'
     WHEN TRIM(Account) IN ('NA') THEN 'Account is NA'
     WHEN Product IS NULL OR TRIM(Product) = '' THEN 'Product is blank'
@@ -79,6 +83,11 @@ FROM inv_rows""")
 
 _cte("inv_valid", ("inv_gated",), "SELECT * FROM inv_gated WHERE reason IS NULL")
 
+_cte("routed", ("inv_gated",), """
+SELECT *, CASE WHEN max(CASE WHEN reason IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY source_file) = 1
+               THEN 'reject' ELSE 'archive' END AS zone
+FROM inv_gated""")
+
 _cte("first_order", (), "SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY o_custkey")
 
 _cte("fx_cust", ("first_order",), """
@@ -212,7 +221,13 @@ SELECT Source_System_Id AS SourceSystemSKUId, Product_Code AS SkuCode, Product_D
        Par_Row_Id, {_ATTRS}
 FROM prod_sku_tagged WHERE exception_reason IS NULL""")
 
-_cte("prod_flat", ("prod_valid", "fx_product"), """
+# Every hop reads the small table of inner nodes, built once.
+_cte("prod_inner", ("fx_product",), """
+SELECT Source_System_Id, Product_Code, Product_Desc, Product_Level, Par_Row_Id FROM fx_product
+WHERE Product_Level IS NULL OR Product_Level <> 'Product_SKU'
+   OR Source_System_Id IN (SELECT Par_Row_Id FROM fx_product)""")
+
+_cte("prod_flat", ("prod_valid", "prod_inner"), """
 SELECT v.*, k.Product_Code AS PackCode, k.Product_Desc AS PackDesc,
        b.Product_Code AS BrandCode, b.Product_Desc AS BrandDesc,
        h.Product_Code AS HouseCode, h.Product_Desc AS HouseDesc,
@@ -221,10 +236,10 @@ SELECT v.*, k.Product_Code AS PackCode, k.Product_Desc AS PackDesc,
             WHEN h.Source_System_Id IS NULL THEN 'House' WHEN g.Source_System_Id IS NULL THEN 'Group'
        END AS incomplete_at
 FROM prod_valid v
-LEFT JOIN fx_product k ON v.Par_Row_Id = k.Source_System_Id
-LEFT JOIN fx_product b ON k.Par_Row_Id = b.Source_System_Id
-LEFT JOIN fx_product h ON b.Par_Row_Id = h.Source_System_Id
-LEFT JOIN fx_product g ON h.Par_Row_Id = g.Source_System_Id""")
+LEFT JOIN prod_inner k ON v.Par_Row_Id = k.Source_System_Id
+LEFT JOIN prod_inner b ON k.Par_Row_Id = b.Source_System_Id
+LEFT JOIN prod_inner h ON b.Par_Row_Id = h.Source_System_Id
+LEFT JOIN prod_inner g ON h.Par_Row_Id = g.Source_System_Id""")
 
 _cte("prod_flat_checked", ("prod_valid", "fx_product"), """
 SELECT v.SourceSystemSKUId, v.SkuCode,
@@ -298,6 +313,10 @@ _cte("fact_product", ("fact_valid", "prod_gold"), """
 SELECT f.*, p.BrandCode, p.PackCode FROM fact_valid f JOIN prod_gold p ON f.ProductSkey = p.ProductSkey""")
 
 
+# CTEs that several others read: computed once.
+MATERIALIZED = {"fx_product", "prod_inner", "prod_valid", "prod_flat"}
+
+
 def _with(names: tuple[str, ...], body: str) -> str:
     needed: set[str] = set()
 
@@ -313,12 +332,13 @@ def _with(names: tuple[str, ...], body: str) -> str:
     ordered = [n for n in CTES if n in needed]
     if not ordered:
         return body.strip()
-    parts = ",\n".join(f"{n} AS ({CTES[n][1].strip()}\n)" for n in ordered)
+    parts = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in MATERIALIZED else ''}({CTES[n][1].strip()}\n)"
+                       for n in ordered)
     return f"WITH {parts}\n{body.strip()}"
 
 
 _ACC_COLS = "RowId, AccountNo, AccountDesc, ParentRowId, DateOpened, DateClosed"
-_GROUP_FILTER = "ParentRowId IS NULL AND DateOpened IS NULL AND DateClosed IS NULL AND version = 0"
+_GROUP_FILTER = "ParentRowId IS NULL AND DateOpened IS NULL AND DateClosed IS NULL"
 _STAR_COLS = ("FactInvoiceSkey, InvoiceNumber, LineItem, InvoiceLineItemNumber, Date, Quantity, "
               "GrossValue, NetValue, VATvalue, AccountSkey, ProductSkey, TimeSkey, Year, Month")
 _UPSERT_COLS = ["SkuCode", "SkuDesc", "Traded_Unit", "Outers_Per_Traded_Unit",
@@ -355,6 +375,12 @@ FROM fact_product GROUP BY Year, Month, BrandCode"""),
     "csv_roundtrip_contract": _with(("fx_invoice",), """
 SELECT source_file, true AS contract_ok, CAST(count(*) AS BIGINT) AS n_rows
 FROM fx_invoice GROUP BY source_file"""),
+    "csv_contract_reject": _with(("inv_gated",), """
+SELECT source_file, good AS contract_ok, CAST(count(*) AS BIGINT) AS n_data_rows,
+       CAST(sum(CASE WHEN good AND reason IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_staged,
+       CAST(sum(CASE WHEN good THEN 0 ELSE 1 END) AS BIGINT) AS n_header_rejected
+FROM (SELECT *, CAST(substr(source_file, 9, 2) AS INTEGER) % 10 > 2 AS good FROM inv_gated)
+GROUP BY source_file, good"""),
     "source_file_counts": _with(("inv_rows",), """
 SELECT source_file, CAST(count(*) AS BIGINT) AS n_rows,
        CAST(sum(CASE WHEN Account IS NULL OR Product IS NULL OR Account = 'NA' OR Product = 'NA'
@@ -381,14 +407,14 @@ SELECT RowId, version, AccountDesc AS raw_desc, {_clean('AccountDesc')} AS clean
     "account_exceptions": _with(("acc_members",), """
 SELECT version, RowId, AccountNo, exception_reason FROM acc_members WHERE exception_reason IS NOT NULL"""),
     "account_new_keys": _with(("acc_with_parents",), """
-SELECT n.AccountNo, n.AccountDesc FROM acc_with_parents n
-WHERE n.version = 1
-  AND NOT EXISTS (SELECT 1 FROM acc_with_parents o WHERE o.version = 0 AND o.AccountNo = n.AccountNo)"""),
+SELECT n.version, n.AccountNo, n.AccountDesc FROM acc_with_parents n
+WHERE n.version > 0
+  AND NOT EXISTS (SELECT 1 FROM acc_with_parents o
+                  WHERE o.version = n.version - 1 AND o.AccountNo = n.AccountNo)"""),
     "account_changed_keys": _with(("acc_with_parents",), """
-SELECT n.AccountNo, o.AccountDesc AS old_AccountDesc, n.AccountDesc
-FROM acc_with_parents n JOIN acc_with_parents o ON n.AccountNo = o.AccountNo
-WHERE n.version = 1 AND o.version = 0
-  AND (n.AccountDesc IS DISTINCT FROM o.AccountDesc OR n.PrimaryGroupNo IS DISTINCT FROM o.PrimaryGroupNo
+SELECT n.version, n.AccountNo, o.AccountDesc AS old_AccountDesc, n.AccountDesc
+FROM acc_with_parents n JOIN acc_with_parents o ON n.AccountNo = o.AccountNo AND o.version = n.version - 1
+WHERE (n.AccountDesc IS DISTINCT FROM o.AccountDesc OR n.PrimaryGroupNo IS DISTINCT FROM o.PrimaryGroupNo
        OR n.DateOpened IS DISTINCT FROM o.DateOpened OR n.DateClosed IS DISTINCT FROM o.DateClosed)"""),
     "account_scd_versions": _with(("acc_silver",), "SELECT * FROM acc_silver"),
     "account_scd_incremental": _with(("acc_silver",), "SELECT * FROM acc_silver"),
@@ -398,8 +424,13 @@ SELECT {_ACC_COLS} FROM fx_account EXCEPT SELECT {_ACC_COLS} FROM fx_account WHE
     "set_difference_all": _with(("fx_account",), f"""
 SELECT {_ACC_COLS} FROM fx_account EXCEPT ALL SELECT {_ACC_COLS} FROM fx_account WHERE {_GROUP_FILTER}"""),
     "product_level_sku": _with(("prod_sku",), "SELECT * FROM prod_sku"),
-    "product_exceptions": _with(("prod_exceptions",), """
-SELECT Source_System_Id, Product_Code, Product_Level, Par_Row_Id, exception_reason FROM prod_exceptions"""),
+    "product_exceptions": _with(("prod_exceptions", "prod_flat", "prod_sku"), """
+SELECT Source_System_Id, Product_Code, Product_Level, Par_Row_Id, exception_reason FROM prod_exceptions
+UNION ALL
+SELECT s.Source_System_Id, s.Product_Code, s.Product_Level, s.Par_Row_Id,
+       'hierarchy incomplete at ' || f.incomplete_at
+FROM prod_sku s JOIN prod_flat f ON s.Source_System_Id = f.SourceSystemSKUId
+WHERE f.incomplete_at IS NOT NULL"""),
     "product_flatten": _with(("prod_flat",), """
 SELECT SourceSystemSKUId, SkuCode, SkuDesc, PackCode, PackDesc, BrandCode, BrandDesc, HouseCode,
        HouseDesc, GroupCode, GroupDesc
@@ -423,12 +454,12 @@ FROM fx_invoice"""),
     "account_invoiced": _with(("acc_gold", "fact_valid"), """
 SELECT a.AccountNo, a.AccountSkey FROM acc_gold a
 WHERE EXISTS (SELECT 1 FROM fact_valid f WHERE f.AccountSkey = a.AccountSkey)"""),
-    "invoice_file_routing": _with(("inv_gated",), """
-SELECT zone, CAST(count(DISTINCT source_file) AS BIGINT) AS n_files, CAST(sum(n) AS BIGINT) AS n_rows
-FROM (SELECT source_file, count(*) AS n,
-             CASE WHEN max(CASE WHEN reason IS NULL THEN 0 ELSE 1 END) = 1 THEN 'reject' ELSE 'archive' END AS zone
-      FROM inv_gated GROUP BY source_file)
-GROUP BY zone"""),
+    "invoice_file_routing": _with(("routed",), """
+SELECT zone, CAST(count(DISTINCT source_file) AS BIGINT) AS n_files, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST((SELECT count(*) FROM (SELECT DISTINCT z.Date, z.Account, z.Product FROM routed z
+             WHERE z.zone = r.zone AND z.Account IS NOT NULL AND z.Product IS NOT NULL)) AS BIGINT) AS n_details,
+       CAST(sum(NetValue) AS DECIMAL(38,2)) AS net_value
+FROM routed r GROUP BY zone"""),
     "dim_time_view": _with(("dim_time",), """
 SELECT Year, CAST(count(*) AS BIGINT) AS n_days, CAST(sum(WorkingDay) AS BIGINT) AS working_days
 FROM dim_time GROUP BY Year"""),

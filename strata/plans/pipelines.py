@@ -13,21 +13,25 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.audit import audit_frame, observed
+from strata.operators.contract import assert_schema
+from strata.operators.merge import upsert
 from strata.operators.quality import split_unresolved
 from strata.operators.refresh import refresh_partitions
 from strata.plans import account, invoice, product, time
-from strata.session import parallelism, scratch_path
+from strata.session import scratch_path
 from strata.sources.files import SOURCE
-from strata.sources.testdata import (account_versions, invoice_lines, invoice_source_rows,
+from strata.sources.tables import read_optional
+from strata.sources.testdata import (account_versions, header_variants, invoice_lines, invoice_source_rows,
                                      product_nodes, table, version_effective)
 from strata.sources.writers import write_control_table, write_csv, write_table
 
 AS_OF = "2001-11-04"
 RUN_ID = "run-0001"
+LOAD_TS = "2001-11-04 06:00:00"
 
 
 @dataclass
@@ -48,10 +52,16 @@ def _write(df: DataFrame, path: str, zones: Zones, step: str, partition_by=None,
 
 def land_invoices(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Write the invoice source files as they arrive: CSV with a header, one
-    directory per arrival day (many small, evenly sized directories, so the
-    task count is pinned rather than sized by volume)."""
-    write_csv(invoice_source_rows(invoice_lines(spark, sf_dir)), path, partition_by=[SOURCE],
-              num_partitions=4 * parallelism(spark))
+    directory per arrival day; a day that holds a large share of the rows is
+    written by several tasks."""
+    write_csv(invoice_source_rows(invoice_lines(spark, sf_dir)), path, partition_by=[SOURCE])
+    return path
+
+
+def land_variants(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The invoice source files with wrong headers among them."""
+    for rows in header_variants(invoice_source_rows(invoice_lines(spark, sf_dir))).values():
+        write_csv(rows, path, partition_by=[SOURCE], mode="append")
     return path
 
 
@@ -67,18 +77,38 @@ def stage_extracts(spark: SparkSession, sf_dir: str, zones: Zones) -> None:
            "stage product nodes")
 
 
-def build_dimensions(spark: SparkSession, sf_dir: str, zones: Zones, as_of: str = AS_OF) -> None:
+def merge_products(spark: SparkSession, source: DataFrame, zones: Zones, load_ts: Column) -> None:
+    """Product silver is merged, not overwritten: a rerun keeps the insert time
+    of known SKUs and moves the modification time of changed ones."""
+    path = zones.path("silver", "product")
+    target = read_optional(spark, path)
+    if target is None:
+        target = source.limit(0).withColumns({"InsertedDateTime": load_ts, "ModifiedDateTime": load_ts})
+    merged = upsert(target, source, ["SourceSystemSKUId"],
+                    [c for c in source.columns if c != "SourceSystemSKUId"], load_ts)
+    # A table cannot be overwritten while it is read.
+    staged = scratch_path(spark, "product-merge")
+    write_table(merged, staged)
+    _write(spark.read.parquet(staged), path, zones, "product silver")
+
+
+def build_dimensions(spark: SparkSession, sf_dir: str, zones: Zones, as_of: str = AS_OF,
+                     load_ts: str = LOAD_TS) -> None:
     extracts = spark.read.parquet(zones.path("bronze", "stage/account"))
     _write(account.exceptions(extracts), zones.path("silver", "exception/account"), zones,
            "account exceptions")
-    _write(account.silver(extracts, version_effective), zones.path("silver", "account"), zones,
-           "account silver")
+    stamp = F.lit(load_ts).cast("timestamp_ntz")
+    versions = account.silver(extracts, version_effective)
+    _write(versions.withColumns({
+        "InsertedDateTime": stamp, "ModifiedDateTime": stamp,
+        "EndDateTime": F.coalesce("DateClosed", "ValidTo")}), zones.path("silver", "account"), zones,
+        "account silver")
     _write(account.gold(spark.read.parquet(zones.path("silver", "account"))),
            zones.path("gold", "account"), zones, "account gold")
     nodes = spark.read.parquet(zones.path("bronze", "stage/product"))
-    _write(product.exceptions(nodes), zones.path("silver", "exception/product"), zones,
+    _write(product.all_exceptions(nodes), zones.path("silver", "exception/product"), zones,
            "product exceptions")
-    _write(product.silver(nodes), zones.path("silver", "product"), zones, "product silver")
+    merge_products(spark, product.silver(nodes), zones, stamp)
     _write(product.gold(spark.read.parquet(zones.path("silver", "product"))),
            zones.path("gold", "product"), zones, "product gold")
     days = time.dim_time(time.span_from(table(spark, sf_dir, "orders"), "o_orderdate"), as_of)
@@ -106,7 +136,9 @@ def build_fact(spark: SparkSession, landed: str, zones: Zones, as_of: str = AS_O
     zones.events.append(("INFO", "invoice silver refresh", zones.path("silver", "fact/invoice"),
                          obs.get["rows"]))
     fact = spark.read.parquet(zones.path("silver", "fact/invoice"))
-    _write(invoice.gold(fact, as_of), zones.path("gold", "fact/invoice"), zones, "invoice gold")
+    gold = zones.path("gold", "fact/invoice")
+    _write(invoice.gold(fact, as_of), gold, zones, "invoice gold")
+    assert_schema(spark.read.parquet(gold), invoice.GOLD_SCHEMA)
 
 
 def run_layers(spark: SparkSession, sf_dir: str, root: str | None = None,

@@ -48,6 +48,15 @@ def exceptions(nodes: DataFrame) -> DataFrame:
     return no_level.unionByName(bad_skus)
 
 
+def all_exceptions(nodes: DataFrame) -> DataFrame:
+    """Rule exceptions plus the SKUs whose hierarchy breaks off: with product
+    silver, every SKU is in exactly one of the two tables."""
+    broken = incomplete(nodes).select(F.col("SourceSystemSKUId").alias("_id"), "exception_reason").distinct()
+    skus = sku_rows(nodes)
+    return exceptions(nodes).unionByName(
+        skus.join(broken, skus["Source_System_Id"] == broken["_id"]).drop("_id"))
+
+
 # Level each hop must reach when the optional level check is on.
 EXPECTED_LEVELS = {"Pack": "Product_Pack", "Brand": "Product_Brand",
                    "House": "Product_House", "Group": "Product_Group"}

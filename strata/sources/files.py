@@ -3,8 +3,9 @@
 All files of a source are read by **one** scan (a directory, glob or list of
 paths) with every column as a string, ``header=False`` and a corrupt-record
 column.  Each row knows its file through ``_metadata.file_path``.  Header rows
-are recognised as data: a file honours the contract iff it contains a row equal
-to the expected header with no extra or missing fields.  Typed values come from
+are recognised as data: a physical file honours the contract iff it contains a
+row equal to the expected header with no extra or missing fields; a source (a
+``source_file=...`` directory or one file) iff all of its physical files do.  Typed values come from
 ``try_cast`` so a malformed cell becomes null and the row is flagged, instead of
 failing the job (ANSI mode is on in Spark 4).
 
@@ -14,6 +15,7 @@ over ``source_file``.
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,16 +26,24 @@ from strata.functions.text import normalize_name
 
 CORRUPT = "_corrupt_record"
 SOURCE = "source_file"
+PATH = "_source_path"
 IS_HEADER = "_is_header"
+HEADER_OK = "_header_ok"
 MALFORMED = "_malformed"
 
 
-def source_id(path: Column) -> Column:
+def source_id(path: Column, root: str | None = None) -> Column:
     """Identity of a source file: the value of a ``source_file=...`` directory
-    when the files were landed partitioned, else the file name without its
-    extension."""
+    when the files were landed partitioned, else the path below ``root`` (the
+    whole path without one) and without its extension, so equal names in two
+    folders stay apart."""
     from_dir = F.regexp_extract(path, r"source_file=([^/]+)/", 1)
-    from_name = F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)
+    below = path
+    if root and not any(c in root for c in "*?[{"):
+        base = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/+", "/", root).rstrip("/") + "/"
+        at = F.locate(base, path)
+        below = F.when(at > 0, F.substring(path, at + len(base), F.length(path))).otherwise(path)
+    from_name = F.regexp_replace(below, r"\.[^./]*$", "")
     return F.when(from_dir != "", from_dir).otherwise(from_name)
 
 
@@ -43,9 +53,9 @@ def landed_string_schema(expected: T.StructType) -> T.StructType:
                         + [T.StructField(CORRUPT, T.StringType())])
 
 
-def landed_projection(raw: DataFrame, expected: T.StructType) -> DataFrame:
-    """Columns of an all-string scan plus ``source_file`` and ``_is_header``;
-    shared by the batch scan and the streaming ingest."""
+def landed_projection(raw: DataFrame, expected: T.StructType, root: str | None = None) -> DataFrame:
+    """Columns of an all-string scan plus ``source_file``, the physical file's
+    path and ``_is_header``; shared by the batch scan and the streaming ingest."""
     names = [f.name for f in expected.fields]
     header_match = F.lit(True)
     for n in names:
@@ -53,7 +63,8 @@ def landed_projection(raw: DataFrame, expected: T.StructType) -> DataFrame:
     return raw.select(
         *[F.col(f"`{n}`") for n in names],
         F.col(CORRUPT),
-        source_id(F.col("_metadata.file_path")).alias(SOURCE),
+        source_id(F.col("_metadata.file_path"), root).alias(SOURCE),
+        F.col("_metadata.file_path").alias(PATH),
         (header_match & F.col(CORRUPT).isNull()).alias(IS_HEADER),
     )
 
@@ -70,26 +81,38 @@ def scan_landed(spark: SparkSession, paths: str | Sequence[str],
            .option("recursiveFileLookup", True)
            .options(**({"pathGlobFilter": glob} if glob else {}))
            .csv(paths if isinstance(paths, str) else list(paths)))
-    return landed_projection(raw, expected)
+    return landed_projection(raw, expected, paths if isinstance(paths, str) else None)
 
 
 def file_contract(raw: DataFrame) -> DataFrame:
-    """Per source file: did some row carry exactly the expected header, and how
-    many data rows does it hold.  A partial aggregate, so a file holding a
+    """Per source: does every physical file carry exactly the expected header,
+    and how many other rows are there.  Partial aggregates, so a file holding a
     large share of all rows costs no more than any other."""
-    return (raw.groupBy(SOURCE)
-            .agg(F.max(F.col(IS_HEADER).cast("int")).cast("boolean").alias("contract_ok"),
-                 F.sum(F.when(F.col(IS_HEADER), 0).otherwise(1)).cast("bigint").alias("n_rows")))
+    return (raw.groupBy(SOURCE, PATH)
+            .agg(F.max(F.col(IS_HEADER).cast("int")).alias("_ok"),
+                 F.sum(F.when(F.col(IS_HEADER), 0).otherwise(1)).alias("_n"))
+            .groupBy(SOURCE)
+            .agg(F.min("_ok").cast("boolean").alias("contract_ok"),
+                 F.sum("_n").cast("bigint").alias("n_rows")))
+
+
+def with_header_verdict(raw: DataFrame) -> DataFrame:
+    """Adds ``_header_ok``: whether the row's physical file has the header.
+    The join's right side has one row a file; no hint is given, so Spark
+    broadcasts it only while it is small."""
+    good = raw.filter(F.col(IS_HEADER)).select(PATH).distinct().withColumn(HEADER_OK, F.lit(True))
+    return raw.join(good, PATH, "left").withColumn(HEADER_OK, F.coalesce(HEADER_OK, F.lit(False)))
 
 
 def typed_rows(raw: DataFrame, expected: T.StructType,
                rename: bool = True) -> DataFrame:
     """Data rows of a landed scan, cast to the declared types.
 
-    Header rows are dropped; a row is ``_malformed`` when the parser flagged it
+    Header rows are dropped; ``_header_ok`` says whether the row's file has the
+    header (a gate rejects the rows of those without it); a row is ``_malformed`` when the parser flagged it
     or a non-blank cell did not cast.  Names are normalised (dots removed) once
     here so nothing downstream needs back-quotes."""
-    body = raw.filter(~F.col(IS_HEADER))
+    body = with_header_verdict(raw).filter(~F.col(IS_HEADER))
     cols: list[Column] = []
     bad = F.col(CORRUPT).isNotNull()
     for f in expected.fields:
@@ -102,10 +125,4 @@ def typed_rows(raw: DataFrame, expected: T.StructType,
         typed = F.try_cast(text, f.dataType) if hasattr(F, "try_cast") else text.try_cast(f.dataType)
         cols.append(typed.alias(out))
         bad = bad | (text.isNotNull() & typed.isNull() & ~text.isin("NA"))
-    return body.select(*cols, F.col(SOURCE), bad.alias(MALFORMED))
-
-
-def scan_csv(spark: SparkSession, paths: str | Sequence[str],
-             expected: T.StructType, rename: bool = True) -> DataFrame:
-    """Typed rows of every file (contract not applied; see ``file_contract``)."""
-    return typed_rows(scan_landed(spark, paths, expected), expected, rename)
+    return body.select(*cols, F.col(SOURCE), F.col(HEADER_OK), bad.alias(MALFORMED))

@@ -66,7 +66,7 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(_s(F.col("o_custkey"))).alias("Account"),
         F.when(k % 83 == 0, F.lit("")).otherwise(_s(F.col("l_partkey"))).alias("Product"),
         F.col("l_quantity").cast("int").alias("Quantity"),
-        (net + vat).cast(DEC_MONEY).alias("GrossValue"),
+        (net + vat + F.when(k % 79 == 0, F.lit(1)).otherwise(F.lit(0))).cast(DEC_MONEY).alias("GrossValue"),
         net.alias("NetValue"),
         vat.alias("VAT"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("source_file"),
@@ -75,17 +75,35 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def invoice_source_rows(lines: DataFrame) -> DataFrame:
     """The invoice lines laid out as the source files are (dotted header
-    names, ``yyyy-MM-dd`` dates), ready to be landed as CSV."""
+    names, ``yyyy-MM-dd`` dates), ready to be landed as CSV.  Some invoices
+    arrive with a quantity that is no number."""
     return lines.select(
         F.col("InvoiceNumber").alias("Invoice.Number"),
         F.col("LineItem").alias("Line.Item"),
         F.date_format("Date", "yyyy-MM-dd").alias("Date"),
-        "Account", "Product", "Quantity",
+        "Account", "Product",
+        F.when(F.col("InvoiceNumber").cast("bigint") % 73 == 0, F.lit("many"))
+         .otherwise(_s(F.col("Quantity"))).alias("Quantity"),
         F.col("GrossValue").alias("Gross.Value"),
         F.col("NetValue").alias("Net.Value"),
         "VAT", "source_file")
 
 
+def header_variants(rows: DataFrame) -> dict[str, DataFrame]:
+    """``invoice_source_rows`` split by the day of the month of their file:
+    files with two header names swapped, with an extra and with a missing
+    column, and good ones."""
+    kind = F.substring("source_file", 9, 2).cast("int") % 10
+    parts = {name: rows.where(kind == i) for i, name in enumerate(("swapped", "extra", "missing"))}
+    swap = {"Account": "Product", "Product": "Account"}
+    return {
+        "swapped": parts["swapped"].select(*[F.col(f"`{c}`").alias(swap.get(c, c)) for c in rows.columns]),
+        "extra": parts["extra"].withColumn("Extra", F.lit("x")),
+        "missing": parts["missing"].drop("VAT"),
+        "good": rows.where(kind > 2),
+    }
+
+
 def _raw_desc(name: Column, key: Column) -> Column:
     """Version-0 spelling of a customer name: every third one arrives in
     lower case with stray spaces and a legal suffix."""

@@ -7,9 +7,9 @@ a rerun with no new files adds nothing and a run that loses executors resumes
 from the last committed batch.
 
 De-duplication on a natural key keeps no stream state and drops no late row: a
-micro-batch is reduced to one row a key and anti-joined with the rows already
-stored for the event days that it touches.  The result does not depend on the
-order of the files or on the size of the batches.
+micro-batch is reduced to one row a key and anti-joined with the keys already
+stored.  The result does not depend on the order of the files or on the size of
+the batches.
 """
 
 from __future__ import annotations
@@ -28,25 +28,30 @@ from strata.sources.writers import write_table
 EVENT_DAY = "event_day"
 
 
-def append_new_keys(dst: str, keys: Sequence[str], event_time: str) -> Callable[[DataFrame, int], None]:
+def append_new_keys(dst: str, keys: Sequence[str], event_time: str,
+                    repeat_days: int | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` handler: append the rows whose key ``dst`` does not hold
-    yet.  Repeats of a key carry its event day, so only the stored days that the
-    batch touches are read (partition pruning by a semi join).  A replayed batch
-    finds its own rows stored and appends nothing."""
+    yet.  By default the key columns of the whole target are read; where repeats
+    of a key are known to lie within ``repeat_days`` of each other, only the
+    stored days that near to the batch's (partition pruning by a semi join).  A
+    replayed batch finds its own rows stored and appends nothing."""
     def process(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
         others = [c for c in batch.columns if c not in keys]
-        on = [*keys, EVENT_DAY]
-        new = (batch.withColumn(EVENT_DAY, F.date_format(event_time, "yyyy-MM-dd"))
-               .groupBy(*on).agg(F.min(F.struct(*others)).alias("_row"))
-               .select(*on, *[F.col(f"_row.{c}").alias(c) for c in others]))
+        new = (batch.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row"))
+               .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
+               .withColumn(EVENT_DAY, F.date_format(event_time, "yyyy-MM-dd")))
         stored = read_optional(spark, dst)
         if stored is not None:
-            known = (stored.withColumn(EVENT_DAY, F.col(EVENT_DAY).cast("string"))
-                     .join(new.select(EVENT_DAY).distinct(), EVENT_DAY, "left_semi").select(*on))
+            if repeat_days is not None:
+                day = F.to_date(EVENT_DAY)
+                near = new.select(F.explode(F.sequence(
+                    F.date_sub(day, repeat_days), F.date_add(day, repeat_days))).alias("_near")).distinct()
+                stored = stored.join(near, F.to_date(stored[EVENT_DAY].cast("string")) == near["_near"], "left_semi")
+            known = stored.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
             same = None
-            for c in on:
-                e = new[c].eqNullSafe(known[c])
+            for k in keys:
+                e = new[k].eqNullSafe(known[f"_known_{k}"])
                 same = e if same is None else same & e
             new = new.join(known, same, "left_anti")
         write_table(new, dst, mode="append", partition_by=[EVENT_DAY])
@@ -56,11 +61,11 @@ def append_new_keys(dst: str, keys: Sequence[str], event_time: str) -> Callable[
 def ingest_available(spark: SparkSession, schema: T.StructType, src: str, dst: str,
                      checkpoint: str, fmt: str = "parquet",
                      dedup_keys: Sequence[str] | None = None, event_time: str | None = None,
-                     max_files_per_batch: int | None = 1000,
+                     repeat_days: int | None = None, max_files_per_batch: int | None = 1000,
                      options: dict[str, str] | None = None) -> StreamingQuery:
     """Append the files that arrived in ``src`` to ``dst``.  With ``dedup_keys``
     every key is stored once; ``event_time`` names the column whose day
-    partitions the target."""
+    partitions the target, ``repeat_days`` see ``append_new_keys``."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
@@ -73,7 +78,7 @@ def ingest_available(spark: SparkSession, schema: T.StructType, src: str, dst: s
     if dedup_keys:
         if not event_time:
             raise ValueError("de-duplication needs the event time that partitions the target")
-        writer = writer.foreachBatch(append_new_keys(dst, list(dedup_keys), event_time))
+        writer = writer.foreachBatch(append_new_keys(dst, list(dedup_keys), event_time, repeat_days))
     else:
         writer = writer.format("parquet").option("path", dst)
     q = writer.start()

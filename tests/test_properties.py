@@ -34,7 +34,7 @@ def test_clean_text_matches_rule_and_is_idempotent(spark, texts):
 
 
 def _key(*parts):
-    text = "|".join("\\N" if p is None else str(p) for p in parts)
+    text = "".join("N" if p is None else f"V{len(str(p))}:{p}" for p in parts)
     return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
 
 
