@@ -19,6 +19,7 @@ from .op5_ann import search
 from .op6_substring_dedup import drop_repeats
 from .op7_chat_format import digests, format_windows
 from .op8_ngram_jaccard import jaccard_classes
+from .oracle import ORACLE_SQL
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +83,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "languages")
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sentencepiece": op2_sentencepiece,
@@ -94,5 +97,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
 }
-
-ORACLE_SQL: dict[str, str] = {}
