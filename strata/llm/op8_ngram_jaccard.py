@@ -15,13 +15,14 @@ the text-by-shingle incidence matrix with itself:
    incidence matrix are kept, so a passage that many texts share stays out of
    it unless it makes up most of a text.  Columns with one node are dropped.
 3. *First product.*  In every column each node meets the column's smallest
-   node and its predecessor; per node the partner met most often is compared
-   on the full sets, and the links found contract groups of near copies.
+   node and its predecessor; per node the partner met most often, if often
+   enough, is compared on the full sets (scan 3), and the links found contract
+   groups of near copies.
 4. *Full product.*  Columns that still hold several components are cut in
    blocks, and block pairs accumulate the overlap of every pair of nodes of
    different components.  Pairs are discarded when the sizes alone, or the
    overlap plus all that may follow the kept entries, rule the threshold out;
-   the rest is compared on the full sets.
+   the rest is compared on the full sets (scan 4).
 
 Pairs inside a component need no comparison: they are connected already.  So
 the classes are exact (up to 64-bit hash collisions): no candidate is dropped,
@@ -39,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -55,6 +56,8 @@ SKETCH_RANGES = 256
 #: Nodes of one column handled together, and at most in one run of a column.
 BLOCK = 1024
 RUN = 1 << 16
+#: Bits of the filter that picks the texts whose full sets are compared.
+BITMAP = 1 << 26
 
 _SIGNATURES = "doc_id {id}, n_shingles long, node long, range int, counts binary"
 _ENTRIES = "h long, salts int, salt int, node long, n int"
@@ -228,16 +231,45 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(c) for c in (*kept, np.array([pivot]), np.array([before]))], names)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bitmap(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of BITMAP bits with the bits of ``nodes`` set: fixed size, so it
+    may travel to every task; a wrong hit only costs a row in a shuffle."""
+    bit = F.pmod(F.col("node"), F.lit(BITMAP))
+    rows = (nodes.select(F.shiftright(bit, 6).alias("word"), (bit % 64).cast("int").alias("bit"))
+            .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toPandas())
+    out = np.zeros(BITMAP // 64, np.int64)      # at most BITMAP / 64 rows
+    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return out
+
+
+def _sets(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in chunks(batch, "text"):
-            sets = [s for s in shingle_sets(Words(part.column("text"), lower=True)) if len(s)]
+            sets, nodes = [], []
+            for s in shingle_sets(Words(part.column("text"), lower=True)):
+                if len(s):
+                    node = set_hash(s)
+                    bit = node % BITMAP
+                    if int(wanted[bit >> 6]) >> (bit & 63) & 1:
+                        sets.append(s)
+                        nodes.append(node)
             if sets:
                 offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 flat = pa.array(np.concatenate(sets).view(np.int64))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([set_hash(s) for s in sets], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), flat)], ["node", "hashes"])
+                    pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), flat)],
+                    ["node", "hashes"])
+
+
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _full_sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, hashes) of the named nodes, from another scan of the texts."""
+    return stage(
+        texts.mapInArrow(apply_bound(_sets, _bitmap(nodes)), _SETS)
+        .join(nodes, "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -291,6 +323,11 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield emit(found)
 
 
+def _rest(n: str) -> Column:
+    """Elements of a set of size ``n`` behind its kept entries."""
+    return F.floor((F.col(n) * PERCENT + 99) / 100).cast("long") - 1
+
+
 def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return (entries.join(labels, "node", "left")
             .withColumn("root", F.coalesce("root", "node")))
@@ -314,23 +351,19 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         .repartition("h", "salt").sortWithinPartitions("h", "salt", "node")
         .mapInArrow(_runs, _ENTRIES + ", pivot long, before long"), "jaccard-entries")
 
-    # Full sets of the nodes that share a column with another node.
-    nodes = entries.select("node").distinct()
-    reps = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = reps.join(nodes, "node", "left_semi").select("doc_id").distinct()
-    sets = stage(
-        texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
-        .mapInArrow(_sets, _SETS).dropDuplicates(["node"]), "jaccard-sets")
-
     # First product: each node with the partner it meets most often.
+    reps = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     salted = entries.where("salts > 1 and pivot = node")
     tops = salted.groupBy("h").agg(F.min("node").alias("top"))
-    met = (entries.select("node", F.explode(F.array("pivot", "before")).alias("other"))
-           .unionByName(salted.join(tops, "h").select("node", F.col("top").alias("other")))
+    met = (entries.select("node", "n", F.explode(F.array("pivot", "before")).alias("other"))
+           .unionByName(salted.join(tops, "h").select("node", "n", F.col("top").alias("other")))
            .where("node <> other"))
-    best = (met.groupBy("node", "other").agg(F.count(F.lit(1)).alias("c"))
+    best = (met.groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("c"))
+            .where((100 + PERCENT) * (F.col("c") + _rest("n")) >= 2 * PERCENT * F.col("n"))
             .groupBy("node").agg(F.max_by("other", F.struct("c", "other")).alias("other")))
-    pairs = best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    pairs = stage(best.select(F.least("node", "other").alias("a"),
+                              F.greatest("node", "other").alias("b")).distinct(), "jaccard-pairs")
+    sets = _full_sets(texts, _nodes_of(pairs))
     links = stage(_linked(pairs, sets), "jaccard-links")
     labels = components(links)
 
@@ -349,11 +382,12 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     overlaps = (blocks.mapInArrow(_cross_pairs, "a long, b long, na int, nb int, overlap int")
                 .groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap")))
 
-    def rest(n: str):       # elements behind the kept entries
-        return F.floor((F.col(n) * PERCENT + 99) / 100).cast("long") - 1
-    open_pairs = overlaps.where(
-        (100 + PERCENT) * (F.col("overlap") + F.greatest(rest("na"), rest("nb")))
-        >= PERCENT * (F.col("na") + F.col("nb")))
+    rest = F.greatest(_rest("na"), _rest("nb"))
+    open_pairs = stage(overlaps.where(
+        (100 + PERCENT) * (F.col("overlap") + rest) >= PERCENT * (F.col("na") + F.col("nb")))
+        .select("a", "b"), "jaccard-pairs")
+    fresh = _nodes_of(open_pairs).join(sets, "node", "left_anti")
+    sets = sets.unionByName(_full_sets(texts, fresh))
     more = stage(_linked(open_pairs, sets), "jaccard-links")
 
     final = components(links.unionByName(more))
