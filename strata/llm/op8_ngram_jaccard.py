@@ -5,27 +5,29 @@ words: the whole sequence as one element).  Two texts link when their sets'
 Jaccard similarity is 0.75 or more.  The join is a blocked sparse product of
 the text-by-shingle incidence matrix with itself:
 
-1. *Signatures* (scan 1).  Every text gets its set's size and a hash of the
-   set (``node``).  Copies share a node and are expanded only in the result.
-   The same scan counts shingles in a fixed-size hashed sketch; the buckets
-   that stand out hold the frequent shingles.
+1. *Signatures* (scan 1).  Every text gets its set's size, a hash of the set
+   (``node``) and a parity sketch of SKETCH_BITS bits.  Copies share a node and
+   are expanded only in the result.  The same scan counts shingles in a
+   fixed-size hashed table; the buckets that stand out hold the frequent ones.
 2. *Incidence* (scan 2).  In one global order, light shingles by hash before
    frequent ones by count, two sets of similarity ``t`` share an element among
    the first ``n - ceil(t n) + 1`` of each.  Only these entries of the
    incidence matrix are kept, so a passage that many texts share stays out of
    it unless it makes up most of a text.  Columns with one node are dropped.
 3. *First product.*  In every column each node meets the column's smallest
-   node and its predecessor; per node the partner met most often, if often
-   enough, is compared on the full sets (scan 3), and the links found contract
-   groups of near copies.
+   node and its predecessor, and in long columns the node whose sketch is the
+   nearest; the promising partners that their sketches allow are compared on
+   the full sets (scan 3), and the links found contract groups of near copies.
 4. *Full product.*  Columns that still hold several components are cut in
    blocks, and block pairs accumulate the overlap of every pair of nodes of
-   different components.  Pairs are discarded when the sizes alone, or the
-   overlap plus all that may follow the kept entries, rule the threshold out;
-   the rest is compared on the full sets (scan 4).
+   different components.  Three bounds discard pairs, each of which a link must
+   meet: the sizes; the sketches (in long columns before a pair is made), whose
+   bits differ in no more places than the sets have elements apart; and the
+   overlap plus all that may follow the kept entries.  The rest is compared on
+   the full sets (scan 4).
 
 Pairs inside a component need no comparison: they are connected already.  So
-the classes are exact (up to 64-bit hash collisions): no candidate is dropped,
+the classes are exact (up to collisions of 64-bit hashes, 48-bit inside a pair): no candidate is dropped,
 sampled or capped, and a group of k copies costs O(k).
 
 Defined cases: a text that is null or has no word has an empty set, links with
@@ -43,9 +45,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .components import components
 from .io import apply_bound, stage
+from .op6_substring_dedup import decode, encode
 from .words import Words, chunks, mix
 
 SHINGLE = 5
@@ -53,15 +57,20 @@ SHINGLE = 5
 PERCENT = 75
 SKETCH = 1 << 22
 SKETCH_RANGES = 256
+#: Bits of a set's parity sketch, and columns of more nodes use it.
+SKETCH_BITS = 512
+LONG = 3
+#: Leading bits of each hash in the sets that are compared.
+SET_BITS = 48
 #: Nodes of one column handled together, and at most in one run of a column.
 BLOCK = 1024
 RUN = 1 << 16
 #: Bits of the filter that picks the texts whose full sets are compared.
 BITMAP = 1 << 26
 
-_SIGNATURES = "doc_id {id}, n_shingles long, node long, range int, counts binary"
+_SIGNATURES = "doc_id {id}, n_shingles long, node long, sketch binary, range int, counts binary"
 _ENTRIES = "h long, salts int, salt int, node long, n int"
-_SETS = "node long, hashes array<long>"
+_SETS = "node long, hashes binary"
 
 
 def shingle_sets(words: Words, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -82,13 +91,20 @@ def set_hash(s: np.ndarray) -> int:
     return int(mix(np.array([total ^ np.uint64(len(s))], np.uint64)).view(np.int64)[0])
 
 
+def parity_sketch(s: np.ndarray) -> bytes:
+    """Each element flips one bit, so two sketches differ in at most as many
+    bits as there are elements in one set only."""
+    bits = np.bincount((mix(s) >> np.uint64(48)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS)
+    return np.packbits((bits & 1).astype(np.uint8)).tobytes()
+
+
 def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(42)).astype(np.int64)
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     sketch, waiting, held = np.zeros(SKETCH, np.uint32), [], 0
-    names = ["doc_id", "n_shingles", "node", "range", "counts"]
+    names = ["doc_id", "n_shingles", "node", "sketch", "range", "counts"]
 
     def count():
         nonlocal waiting, held, sketch
@@ -99,10 +115,11 @@ def _signatures(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iter
     for batch in batches:
         for part in chunks(batch, "text"):
             words = Words(part.column("text"), lower=True)
-            sizes, nodes = [], []
+            sizes, nodes, sketches = [], [], []
             for s in shingle_sets(words):
                 sizes.append(len(s))
                 nodes.append(set_hash(s) if len(s) else None)
+                sketches.append(parity_sketch(s) if len(s) else None)
                 if len(s):
                     waiting.append(_bucket(s))
                     held += len(s)
@@ -111,14 +128,14 @@ def _signatures(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iter
             k = part.num_rows
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
+                pa.array(sketches, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
     count()
     ranges = sketch.reshape(SKETCH_RANGES, -1)
     filled = np.flatnonzero(ranges.any(axis=1))
     if len(filled):
         k = len(filled)
         yield pa.RecordBatch.from_arrays([
-            pa.nulls(k, id_type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
+            pa.nulls(k, id_type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()),
             pa.array(filled.astype(np.int32)),
             pa.array([zlib.compress(ranges[r].tobytes(), 1) for r in filled], pa.binary())], names)
 
@@ -231,12 +248,11 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(c) for c in (*kept, np.array([pivot]), np.array([before]))], names)
 
 
-def _bitmap(nodes: DataFrame) -> np.ndarray:
-    """A bitmap of BITMAP bits with the bits of ``nodes`` set: fixed size, so it
-    may travel to every task; a wrong hit only costs a row in a shuffle."""
-    bit = F.pmod(F.col("node"), F.lit(BITMAP))
-    rows = (nodes.select(F.shiftright(bit, 6).alias("word"), (bit % 64).cast("int").alias("bit"))
-            .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toPandas())
+def _bitmap(bits: DataFrame) -> np.ndarray:
+    """A bitmap of BITMAP bits with the numbers in ``bit`` set: fixed size, so it
+    may travel to every task; a wrong hit only costs an unused row."""
+    rows = (bits.select(F.shiftright("bit", 6).alias("word"), (F.col("bit") % 64).cast("int").alias("at"))
+            .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits")).toPandas())
     out = np.zeros(BITMAP // 64, np.int64)      # at most BITMAP / 64 rows
     out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
     return out
@@ -244,83 +260,178 @@ def _bitmap(nodes: DataFrame) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in chunks(batch, "text"):
-            sets, nodes = [], []
-            for s in shingle_sets(Words(part.column("text"), lower=True)):
-                if len(s):
-                    node = set_hash(s)
-                    bit = node % BITMAP
-                    if int(wanted[bit >> 6]) >> (bit & 63) & 1:
-                        sets.append(s)
-                        nodes.append(node)
+        bit = batch.column("bit").to_numpy()
+        keep = batch.filter(pa.array((wanted[bit >> 6] >> (bit & 63) & 1).astype(bool)))
+        for part in chunks(keep, "text"):
+            sets = [s for s in shingle_sets(Words(part.column("text"), lower=True)) if len(s)]
             if sets:
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                flat = pa.array(np.concatenate(sets).view(np.int64))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), flat)],
+                    pa.array([set_hash(s) for s in sets], pa.int64()),
+                    pa.array([encode(s >> np.uint64(64 - SET_BITS), 0) for s in sets], pa.binary())],
                     ["node", "hashes"])
 
 
+def _full_sets(texts: DataFrame, nodes: DataFrame, reps: DataFrame) -> DataFrame:
+    """(node, hashes) of the named nodes, from another scan of the texts: one
+    text of each node is read, picked by its id's bit.  No shuffle."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP)).alias("bit")
+    wanted = _bitmap(reps.join(nodes, "node", "left_semi").select(bit))
+    return stage(texts.select("text", bit).mapInArrow(apply_bound(_sets, wanted), _SETS), "jaccard-sets")
+
+
 def _nodes_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
-def _full_sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, hashes) of the named nodes, from another scan of the texts."""
-    return stage(
-        texts.mapInArrow(apply_bound(_sets, _bitmap(nodes)), _SETS)
-        .join(nodes, "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = []
+        for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
+            x, y = decode(x, 0), decode(y, 0)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     a = sets.select(F.col("node").alias("a"), F.col("hashes").alias("sa"))
     b = sets.select(F.col("node").alias("b"), F.col("hashes").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
     return (pairs.select("a", "b").join(a, "a").join(b, "b")
-            .where(100 * both >= PERCENT * (F.size("sa") + F.size("sb") - both))
-            .select("a", "b"))
+            .mapInArrow(_compare, "a long, b long"))
+
+
+def _allowed(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Drops the pairs (a, b, na, nb) whose sketches rule out a link."""
+    for side in "ab":
+        pairs = pairs.join(sketches.select(F.col("node").alias(side), F.col("sketch").alias(f"k{side}")), side)
+
+    def check(batches):
+        for batch in batches:
+            k = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
+                 for c in ("ka", "kb")]
+            apart = np.bitwise_count(k[0] ^ k[1]).sum(axis=1, dtype=np.int64)
+            n = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array((100 + PERCENT) * apart <= (100 - PERCENT) * n))
+    return pairs.mapInArrow(check, "a long, b long")
+
+
+class _Blocks:
+    """The block products of a batch, flat: rows ``cuts[r]:cuts[r + 1]`` belong
+    to product ``r`` of the blocks ``lo[r]`` and ``hi[r]``."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        rows = batch.column(2)
+        self.lo, self.hi = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        self.cuts = np.append(0, np.cumsum(rows.value_lengths().to_numpy()))
+        fields = dict(zip((f.name for f in rows.type.value_type), rows.flatten().flatten()))
+        self.block, self.node, self.n, self.root = (
+            fields[c].to_numpy() for c in ("block", "node", "n", "root"))
+        self.has = fields["sketch"].is_valid().to_numpy(zero_copy_only=False)
+        self.at = np.cumsum(self.has) - 1       # row of a node's sketch
+        self.sketch = np.frombuffer(b"".join(fields["sketch"].drop_null().to_pylist()),
+                                    np.uint64).reshape(-1, SKETCH_BITS // 64)
+
+    def apart(self, i: int, others: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(self.sketch[self.at[others]] ^ self.sketch[self.at[i]]).sum(axis=1, dtype=np.int64)
+
+    def sizes_allow(self, i, others) -> np.ndarray:
+        a, b = self.n[i].astype(np.int64), self.n[others].astype(np.int64)
+        return 100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)
+
+    def sketches_allow(self, i: int, others: np.ndarray) -> np.ndarray:
+        both = self.n[others].astype(np.int64) + int(self.n[i])
+        return (100 + PERCENT) * self.apart(i, others) <= (100 - PERCENT) * both
+
+    def long(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(row, rows it meets) of the products that carry sketches."""
+        for r in np.flatnonzero(np.diff(self.cuts)):
+            span = np.arange(self.cuts[r], self.cuts[r + 1])
+            if not self.has[span[0]]:
+                continue
+            left = span[self.block[span] == self.lo[r]]
+            for i in left.tolist():
+                yield i, (left[left > i] if self.lo[r] == self.hi[r]
+                          else span[self.block[span] == self.hi[r]])
+
+
+def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, other, apart): for each node of a product the nearest sketch that
+    allows a link, the best of a batch."""
+    for batch in batches:
+        blocks = _Blocks(batch)
+        best: dict[int, tuple[int, int]] = {}
+        for i, others in blocks.long():
+            others = others[blocks.sizes_allow(i, others)]
+            others = others[blocks.sketches_allow(i, others)]
+            if len(others):
+                apart = blocks.apart(i, others)
+                for a, b, d in ([(i, int(others[apart.argmin()]), int(apart.min()))]
+                                + [(o, i, d) for o, d in zip(others.tolist(), apart.tolist())]):
+                    key, found = int(blocks.node[a]), (d, int(blocks.node[b]))
+                    if key not in best or found < best[key]:
+                        best[key] = found
+        if best:
+            yield pa.RecordBatch.from_arrays([
+                pa.array(list(best), pa.int64()), pa.array([b for _, b in best.values()], pa.int64()),
+                pa.array([d for d, _ in best.values()], pa.int64())], ["node", "other", "apart"])
 
 
 def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One block product a row: (a, b, overlap) of nodes of different components
-    whose sizes allow a link, added up inside a batch."""
+    """(a, b, overlap) of nodes of different components that the sizes, and in
+    long columns the sketches, allow to link, added up inside a batch."""
     names = ["a", "b", "na", "nb", "overlap"]
 
-    def emit(found):
-        a, b, na, nb = (np.concatenate(c) for c in zip(*found))
-        order = np.lexsort((b, a))
-        a, b, na, nb = a[order], b[order], na[order], nb[order]
+    def emit(blocks: _Blocks, found: list) -> pa.RecordBatch:
+        i, j = (np.concatenate(c) for c in zip(*found))
+        swap = blocks.node[i] > blocks.node[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        order = np.lexsort((blocks.node[j], blocks.node[i]))
+        i, j = i[order], j[order]
+        a, b = blocks.node[i], blocks.node[j]
         begin = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
         c = np.diff(np.append(begin, len(a)))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (a[begin], b[begin], na[begin], nb[begin], c.astype(np.int32))], names)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (
+            a[begin], b[begin], blocks.n[i[begin]], blocks.n[j[begin]], c.astype(np.int32))], names)
 
     for batch in batches:
+        blocks = _Blocks(batch)
         found, held = [], 0
-        for lo, hi, block in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            side = np.array([x["block"] for x in block])
-            node = np.array([x["node"] for x in block], np.int64)
-            n = np.array([x["n"] for x in block], np.int32)
-            root = np.array([x["root"] for x in block], np.int64)
-            left = np.flatnonzero(side == lo)
-            right = left if lo == hi else np.flatnonzero(side == hi)
-            for i in left:
-                other = right[right > i] if lo == hi else right
-                other = other[(root[other] != root[i])
-                              & (100 * np.minimum(n[other], n[i]) >= PERCENT * np.maximum(n[other], n[i]))]
-                if not len(other):
-                    continue
-                swap = node[other] < node[i]
-                a, b = np.where(swap, node[other], node[i]), np.where(swap, node[i], node[other])
-                na, nb = np.where(swap, n[other], n[i]), np.where(swap, n[i], n[other])
-                found.append((a, b, na, nb))
-                held += len(a)
+        # Short columns: all pairs at distance d, for all columns at once.
+        product = np.repeat(np.arange(len(blocks.lo)), np.diff(blocks.cuts))
+        short = np.flatnonzero(~blocks.has)
+        for d in range(1, LONG):
+            i, j = short[:-d], short[d:]
+            ok = (product[i] == product[j]) & (blocks.root[i] != blocks.root[j]) & blocks.sizes_allow(i, j)
+            if ok.any():
+                found.append((i[ok], j[ok]))
+        for i, others in blocks.long():
+            others = others[(blocks.root[others] != blocks.root[i]) & blocks.sizes_allow(i, others)]
+            if len(others):
+                others = others[blocks.sketches_allow(i, others)]
+            if len(others):
+                found.append((np.full(len(others), i), others))
+                held += len(others)
                 if held > 500_000:
-                    yield emit(found)
+                    yield emit(blocks, found)
                     found, held = [], 0
         if found:
-            yield emit(found)
+            yield emit(blocks, found)
+
+
+def _products(entries: DataFrame, columns: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Block products of the named columns (h, k): rows lo, hi and the two
+    blocks' entries, with sketches in long columns."""
+    dealt = (entries.join(columns, "h")
+             .withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
+             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    long = F.col("k") > LONG
+    with_sketch = dealt.where(long).join(sketches, "node")
+    both = dealt.where(~long).withColumn("sketch", F.lit(None).cast("binary")).unionByName(with_sketch)
+    return (both.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .groupBy("h", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"))
+            .agg(F.collect_list(F.struct("block", "node", "n", "root", "sketch")).alias("rows"))
+            .select("lo", "hi", "rows"))
 
 
 def _rest(n: str) -> Column:
@@ -335,7 +446,8 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, n_shingles, node (hash of its set, null when
-    empty) and component_id, the smallest doc_id reachable by links."""
+    empty), component_id, the smallest doc_id reachable by links, and kept:
+    whether the row is the one that stays of its class (see ``one_of_each``)."""
     id_field = docs.select("doc_id").schema[0].dataType
     texts = docs.select("doc_id", "text")
     id_arrow = to_arrow_type(id_field)
@@ -343,6 +455,10 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         apply_bound(_signatures, id_arrow),
         _SIGNATURES.format(id=id_field.simpleString())), "jaccard-signatures")
     rows = signatures.where("range is null").select("doc_id", "n_shingles", "node")
+    reps = stage(signatures.where("node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"),
+        F.first("n_shingles").cast("int").alias("n")), "jaccard-nodes")
+    sketches = reps.select("node", "sketch")
     frequent = _frequent(signatures)
 
     # The kept entries of the incidence matrix, columns of one node dropped.
@@ -351,50 +467,75 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         .repartition("h", "salt").sortWithinPartitions("h", "salt", "node")
         .mapInArrow(_runs, _ENTRIES + ", pivot long, before long"), "jaccard-entries")
 
-    # First product: each node with the partner it meets most often.
-    reps = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    # First product: each node with the partner it meets most often, and with
+    # the nearest one of its long columns.
     salted = entries.where("salts > 1 and pivot = node")
     tops = salted.groupBy("h").agg(F.min("node").alias("top"))
     met = (entries.select("node", "n", F.explode(F.array("pivot", "before")).alias("other"))
            .unionByName(salted.join(tops, "h").select("node", "n", F.col("top").alias("other")))
            .where("node <> other"))
-    best = (met.groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("c"))
-            .where((100 + PERCENT) * (F.col("c") + _rest("n")) >= 2 * PERCENT * F.col("n"))
-            .groupBy("node").agg(F.max_by("other", F.struct("c", "other")).alias("other")))
-    pairs = stage(best.select(F.least("node", "other").alias("a"),
-                              F.greatest("node", "other").alias("b")).distinct(), "jaccard-pairs")
-    sets = _full_sets(texts, _nodes_of(pairs))
+    often = (met.groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("c"))
+             .where((100 + PERCENT) * (F.col("c") + _rest("n")) >= 2 * PERCENT * F.col("n"))
+             .groupBy("node").agg(F.max_by("other", F.struct("c", "other")).alias("other")))
+    sizes = entries.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > LONG)
+    near = (_products(entries.select("h", "node", "n", F.col("node").alias("root")), sizes, sketches)
+            .mapInArrow(_nearest, "node long, other long, apart long")
+            .groupBy("node").agg(F.min_by("other", F.struct("apart", "other")).alias("other")))
+    sized = (often.unionByName(near).select(
+        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        .join(reps.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
+        .join(reps.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b"))
+    pairs = stage(_allowed(sized, sketches), "jaccard-pairs")
+    sets = _full_sets(texts, _nodes_of(pairs), reps)
     links = stage(_linked(pairs, sets), "jaccard-links")
     labels = components(links)
 
     # Full product over the columns that hold several components.
     placed = _labelled(entries.select("h", "node", "n"), labels)
-    mixed = (placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+    mixed = (placed.groupBy("h").agg(F.min("root").alias("first"), F.max("root").alias("last"),
                                      F.count(F.lit(1)).alias("k"))
-             .where("lo <> hi").select("h", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    blocks = (
-        placed.join(mixed, "h").withColumn("block", block)
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .groupBy("h", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"))
-        .agg(F.collect_list(F.struct("block", "node", "n", "root")).alias("rows"))
-        .select("lo", "hi", "rows"))
-    overlaps = (blocks.mapInArrow(_cross_pairs, "a long, b long, na int, nb int, overlap int")
+             .where("first <> last").select("h", "k"))
+    overlaps = (_products(placed, mixed, sketches)
+                .mapInArrow(_cross_pairs, "a long, b long, na int, nb int, overlap int")
                 .groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap")))
-
     rest = F.greatest(_rest("na"), _rest("nb"))
-    open_pairs = stage(overlaps.where(
-        (100 + PERCENT) * (F.col("overlap") + rest) >= PERCENT * (F.col("na") + F.col("nb")))
-        .select("a", "b"), "jaccard-pairs")
-    fresh = _nodes_of(open_pairs).join(sets, "node", "left_anti")
-    sets = sets.unionByName(_full_sets(texts, fresh))
+    open_pairs = stage(_allowed(overlaps.where(
+        (100 + PERCENT) * (F.col("overlap") + rest) >= PERCENT * (F.col("na") + F.col("nb"))), sketches),
+        "jaccard-pairs")
+    sets = _full_sets(texts, _nodes_of(open_pairs), reps)
     more = stage(_linked(open_pairs, sets), "jaccard-links")
 
     final = components(links.unionByName(more))
-    ids = (_labelled(reps.where("node is not null"), final))
-    lowest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    classes = ids.join(lowest, "root").select("node", "component_id")
+    ids = _labelled(reps.select("node", "doc_id"), final)
+    first = F.min_by("node", F.struct(F.col("doc_id").isNull(), "doc_id", "node"))
+    lowest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"), first.alias("kept_node"))
+    classes = ids.join(lowest, "root").select("node", "component_id", "kept_node")
+    empty = F.col("node").isNull()
     return (rows.join(classes, "node", "left")
-            .select("doc_id", "n_shingles", "node",
-                    F.when(F.col("node").isNull(), F.col("doc_id"))
-                    .otherwise(F.col("component_id")).alias("component_id")))
+            .withColumn("component_id", F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")))
+            .select("doc_id", "n_shingles", "node", "component_id",
+                    (empty | ((F.col("node") == F.col("kept_node"))
+                              & F.col("doc_id").eqNullSafe(F.col("component_id")))).alias("kept")))
+
+
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        nodes: list[int | None] = []
+        for part in chunks(batch, "text"):
+            nodes += [set_hash(s) if len(s) else None
+                      for s in shingle_sets(Words(part.column("text"), lower=True))]
+        others = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c) for c in others] + [pa.array(nodes, pa.int64())], [*others, "_node"])
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents without near copies: of every class the row with the
+    smallest doc_id stays (an id repeated with the same shingles stays once)."""
+    kept = jaccard_classes(docs).where("kept").select("doc_id", "node").distinct()
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text")
+    schema = StructType([packed.schema["_row"], StructField("_node", LongType())])
+    rows = packed.mapInArrow(_nodes, schema)
+    return (rows.withColumn("_id", F.col("_row.doc_id"))
+            .join(kept, F.col("_id").eqNullSafe(kept["doc_id"]) & F.col("_node").eqNullSafe(kept["node"]), "left_semi")
+            .dropDuplicates(["_id", "_node"]).select("_row.*"))
