@@ -24,7 +24,7 @@ from strata.operators.star import resolve_as_of
 from strata.plans import account, invoice, product, time
 from strata.plans.pipelines import AS_OF, RUN_ID, Zones, land_invoices, land_variants, run_layers
 from strata.session import scratch_path, session_key
-from strata.sources.files import IS_HEADER, SOURCE
+from strata.sources.files import IS_HEADER, SOURCE, header_files
 from strata.sources.tables import read_optional, read_table
 from strata.sources.testdata import INVOICE_SOURCE_SCHEMA, invoice_lines, table, version_effective
 from strata.sources.writers import append_evolved, write_csv, write_table
@@ -87,8 +87,23 @@ def _raw(spark, sf_dir):
         return _scans[key]
 
 
+_contracts: dict[tuple[str, str], DataFrame] = {}
+
+
+def _typed(spark, sf_dir):
+    """Typed rows; the files that honour the header contract are found once
+    per session and scale."""
+    key = (session_key(spark), sf_dir)
+    with _lock:
+        if key not in _contracts:
+            path = scratch_path(spark, "invoice-contract")
+            write_table(header_files(_raw(spark, sf_dir)), path)
+            _contracts[key] = read_table(spark, path)
+        return invoice.typed(_raw(spark, sf_dir), _contracts[key])
+
+
 def _gated(spark, sf_dir):
-    return invoice.gated(invoice.typed(_raw(spark, sf_dir)))
+    return invoice.gated(_typed(spark, sf_dir))
 
 
 def q_csv_roundtrip_contract(spark, sf_dir):
@@ -96,7 +111,7 @@ def q_csv_roundtrip_contract(spark, sf_dir):
 
 
 def q_source_file_counts(spark, sf_dir):
-    rows = invoice.typed(_raw(spark, sf_dir))
+    rows = _typed(spark, sf_dir)
     bad = (F.col("Account").isNull() | F.col("Product").isNull()
            | F.col("Account").isin("NA") | F.col("Product").isin("NA"))
     return rows.groupBy(SOURCE).agg(

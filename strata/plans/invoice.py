@@ -42,8 +42,8 @@ def contract(raw: DataFrame) -> DataFrame:
     return file_contract(raw)
 
 
-def typed(raw: DataFrame) -> DataFrame:
-    rows = typed_rows(raw, INVOICE_SOURCE_SCHEMA)
+def typed(raw: DataFrame, good: DataFrame | None = None) -> DataFrame:
+    rows = typed_rows(raw, INVOICE_SOURCE_SCHEMA, good=good)
     return rows.withColumns({
         "Account": F.nullif(F.trim("Account"), F.lit("")),
         "Product": F.nullif(F.trim("Product"), F.lit("")),

@@ -23,7 +23,7 @@ from strata.operators.quality import split_unresolved
 from strata.operators.refresh import refresh_partitions
 from strata.plans import account, invoice, product, time
 from strata.session import scratch_path
-from strata.sources.files import SOURCE
+from strata.sources.files import SOURCE, header_files
 from strata.sources.tables import read_optional
 from strata.sources.testdata import (account_versions, header_variants, invoice_lines, invoice_source_rows,
                                      product_nodes, table, version_effective)
@@ -118,7 +118,10 @@ def build_dimensions(spark: SparkSession, sf_dir: str, zones: Zones, as_of: str
 def build_fact(spark: SparkSession, landed: str, zones: Zones, as_of: str = AS_OF) -> None:
     """Bronze gate -> star lookup against the stored dimensions -> silver
     (valid rows, partition refresh by Year/Month) + exceptions -> gold."""
-    gated = invoice.gated(invoice.typed(invoice.bronze(spark, landed)))
+    raw = invoice.bronze(spark, landed)
+    contract = zones.path("bronze", "contract/invoice")
+    _write(header_files(raw), contract, zones, "invoice files with the contract's header")
+    gated = invoice.gated(invoice.typed(raw, spark.read.parquet(contract)))
     _write(gated.withColumn("outcome", F.when(F.col("reason").isNull(), "valid").otherwise("rejected")),
            zones.path("bronze", "gated/invoice"), zones, "invoice gate", partition_by=["outcome"])
     staged = spark.read.parquet(zones.path("bronze", "gated/invoice"))

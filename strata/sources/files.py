@@ -96,23 +96,29 @@ def file_contract(raw: DataFrame) -> DataFrame:
                  F.sum("_n").cast("bigint").alias("n_rows")))
 
 
-def with_header_verdict(raw: DataFrame) -> DataFrame:
+def header_files(raw: DataFrame) -> DataFrame:
+    """The physical files that have the expected header, one row each."""
+    return raw.filter(F.col(IS_HEADER)).select(PATH).distinct()
+
+
+def with_header_verdict(raw: DataFrame, good: DataFrame | None = None) -> DataFrame:
     """Adds ``_header_ok``: whether the row's physical file has the header.
-    The join's right side has one row a file; no hint is given, so Spark
-    broadcasts it only while it is small."""
-    good = raw.filter(F.col(IS_HEADER)).select(PATH).distinct().withColumn(HEADER_OK, F.lit(True))
+    ``good`` is the stored ``header_files`` (without it, ``raw`` is read a second
+    time).  It has one row a file; no hint is given, so Spark broadcasts it only
+    while it is small."""
+    good = (header_files(raw) if good is None else good).withColumn(HEADER_OK, F.lit(True))
     return raw.join(good, PATH, "left").withColumn(HEADER_OK, F.coalesce(HEADER_OK, F.lit(False)))
 
 
 def typed_rows(raw: DataFrame, expected: T.StructType,
-               rename: bool = True) -> DataFrame:
+               rename: bool = True, good: DataFrame | None = None) -> DataFrame:
     """Data rows of a landed scan, cast to the declared types.
 
     Header rows are dropped; ``_header_ok`` says whether the row's file has the
     header (a gate rejects the rows of those without it); a row is ``_malformed`` when the parser flagged it
     or a non-blank cell did not cast.  Names are normalised (dots removed) once
     here so nothing downstream needs back-quotes."""
-    body = with_header_verdict(raw).filter(~F.col(IS_HEADER))
+    body = with_header_verdict(raw, good).filter(~F.col(IS_HEADER))
     cols: list[Column] = []
     bad = F.col(CORRUPT).isNotNull()
     for f in expected.fields:
