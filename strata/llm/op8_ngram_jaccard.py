@@ -6,7 +6,7 @@ Jaccard similarity is 0.75 or more.  The join is a blocked sparse product of
 the text-by-shingle incidence matrix with itself:
 
 1. *Signatures* (scan 1).  Every text gets its set's size, a hash of the set
-   (``node``) and a parity sketch of SKETCH_BITS bits.  Copies share a node and
+   (``node``) and a parity sketch of at least a bit an element.  Copies share a node and
    are expanded only in the result.  The same scan counts shingles in a
    fixed-size hashed table; the buckets that stand out hold the frequent ones.
 2. *Incidence* (scan 2).  In one global order, light shingles by hash before
@@ -57,7 +57,8 @@ SHINGLE = 5
 PERCENT = 75
 SKETCH = 1 << 22
 SKETCH_RANGES = 256
-#: Bits of a set's parity sketch, and columns of more nodes use it.
+#: Fewest bits of a set's parity sketch (a power of two; a set of n elements
+#: has at least n), and columns of more nodes use it.
 SKETCH_BITS = 512
 LONG = 3
 #: Leading bits of each hash in the sets that are compared.
@@ -65,6 +66,8 @@ SET_BITS = 48
 #: Nodes of one column handled together, and at most in one run of a column.
 BLOCK = 1024
 RUN = 1 << 16
+#: Entries of block products handled together.
+PART = 1 << 15
 #: Bits of the filter that picks the texts whose full sets are compared.
 BITMAP = 1 << 26
 
@@ -93,11 +96,46 @@ def set_hash(s: np.ndarray) -> int:
 
 def parity_sketch(s: np.ndarray) -> bytes:
     """Each element flips one bit, so two sketches differ in at most as many
-    bits as there are elements in one set only."""
-    bits = np.bincount((mix(s) >> np.uint64(48)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS)
+    bits as there are elements in one set only.  Halving a sketch (the exclusive
+    or of its halves) gives the sketch of half the size."""
+    size = max(SKETCH_BITS, 1 << (len(s) - 1).bit_length())
+    bits = np.bincount((mix(s) & np.uint64(size - 1)).astype(np.int64), minlength=size)
     return np.packbits((bits & 1).astype(np.uint8)).tobytes()
 
 
+class Sketches:
+    """Parity sketches of several sizes, compared at the smaller size of two."""
+
+    def __init__(self, raw: list[bytes]):
+        length = np.array([len(r) * 8 // SKETCH_BITS for r in raw], np.int64)
+        self.level = np.array([n.bit_length() - 1 for n in length.tolist()], np.int64)
+        self.row = np.zeros((int(self.level.max(initial=0)) + 1, len(raw)), np.int64)
+        self.at: list[np.ndarray] = []
+        above, members = None, np.zeros(0, np.int64)
+        for level in reversed(range(len(self.row))):
+            words = (SKETCH_BITS << level) // 64
+            own = np.flatnonzero(self.level == level)
+            part = np.frombuffer(b"".join(raw[i] for i in own), np.uint64).reshape(-1, words)
+            if above is not None:
+                part = np.concatenate([part, above[:, :words] ^ above[:, words:]])
+            members = np.concatenate([own, members])
+            self.row[level, members] = np.arange(len(members))
+            above = part
+            self.at.insert(0, part)
+
+    def apart(self, i, others: np.ndarray) -> np.ndarray:
+        """Differing bits of sketch ``i`` (one or an array) and each of ``others``."""
+        i = np.broadcast_to(i, others.shape)
+        out = np.zeros(len(others), np.int64)
+        level = np.minimum(self.level[i], self.level[others])
+        for v in np.unique(level):
+            own = np.flatnonzero(level == v)
+            for cut in np.array_split(own, len(own) * self.at[v].shape[1] // (1 << 20) + 1):
+                x, y = self.at[v][self.row[v, i[cut]]], self.at[v][self.row[v, others[cut]]]
+                out[cut] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(42)).astype(np.int64)
 
@@ -308,14 +346,26 @@ def _allowed(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
     def check(batches):
         for batch in batches:
-            k = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
-                 for c in ("ka", "kb")]
-            apart = np.bitwise_count(k[0] ^ k[1]).sum(axis=1, dtype=np.int64)
+            sketches = Sketches(batch.column("ka").to_pylist() + batch.column("kb").to_pylist())
+            rows = np.arange(batch.num_rows)
+            apart = sketches.apart(rows, rows + batch.num_rows)
             n = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
             yield batch.select(["a", "b"]).filter(pa.array((100 + PERCENT) * apart <= (100 - PERCENT) * n))
     return pairs.mapInArrow(check, "a long, b long")
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of block products with no more than PART entries (or one product)."""
+    for batch in batches:
+        ends = np.cumsum(batch.column(2).value_lengths().to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + PART, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 class _Blocks:
     """The block products of a batch, flat: rows ``cuts[r]:cuts[r + 1]`` belong
     to product ``r`` of the blocks ``lo[r]`` and ``hi[r]``."""
@@ -329,11 +379,10 @@ class _Blocks:
             fields[c].to_numpy() for c in ("block", "node", "n", "root"))
         self.has = fields["sketch"].is_valid().to_numpy(zero_copy_only=False)
         self.at = np.cumsum(self.has) - 1       # row of a node's sketch
-        self.sketch = np.frombuffer(b"".join(fields["sketch"].drop_null().to_pylist()),
-                                    np.uint64).reshape(-1, SKETCH_BITS // 64)
+        self.sketches = Sketches(fields["sketch"].drop_null().to_pylist())
 
     def apart(self, i: int, others: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(self.sketch[self.at[others]] ^ self.sketch[self.at[i]]).sum(axis=1, dtype=np.int64)
+        return self.sketches.apart(self.at[i], self.at[others])
 
     def sizes_allow(self, i, others) -> np.ndarray:
         a, b = self.n[i].astype(np.int64), self.n[others].astype(np.int64)
@@ -358,7 +407,7 @@ class _Blocks:
 def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, other, apart): for each node of a product the nearest sketch that
     allows a link, the best of a batch."""
-    for batch in batches:
+    for batch in _parts(batches):
         blocks = _Blocks(batch)
         best: dict[int, tuple[int, int]] = {}
         for i, others in blocks.long():
@@ -394,7 +443,7 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (
             a[begin], b[begin], blocks.n[i[begin]], blocks.n[j[begin]], c.astype(np.int32))], names)
 
-    for batch in batches:
+    for batch in _parts(batches):
         blocks = _Blocks(batch)
         found, held = [], 0
         # Short columns: all pairs at distance d, for all columns at once.
@@ -518,24 +567,42 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
                               & F.col("doc_id").eqNullSafe(F.col("component_id")))).alias("kept")))
 
 
-def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _split(batches: Iterator[pa.RecordBatch], open_ids: np.ndarray, take_open: bool) -> Iterator[pa.RecordBatch]:
+    """Rows whose id's bit is set (with their node), or the others."""
     for batch in batches:
+        bit = batch.column("_bit").to_numpy()
+        hit = (open_ids[bit >> 6] >> (bit & 63) & 1).astype(bool)
+        batch = batch.filter(pa.array(hit == take_open))
+        if not take_open:
+            yield batch.select(["_row"])
+            continue
         nodes: list[int | None] = []
         for part in chunks(batch, "text"):
             nodes += [set_hash(s) if len(s) else None
                       for s in shingle_sets(Words(part.column("text"), lower=True))]
-        others = [c for c in batch.schema.names if c != "text"]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in others] + [pa.array(nodes, pa.int64())], [*others, "_node"])
+            [batch.column("_row"), pa.array(nodes, pa.int64())], ["_row", "_node"])
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents without near copies: of every class the row with the
-    smallest doc_id stays (an id repeated with the same shingles stays once)."""
-    kept = jaccard_classes(docs).where("kept").select("doc_id", "node").distinct()
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text")
-    schema = StructType([packed.schema["_row"], StructField("_node", LongType())])
-    rows = packed.mapInArrow(_nodes, schema)
-    return (rows.withColumn("_id", F.col("_row.doc_id"))
-            .join(kept, F.col("_id").eqNullSafe(kept["doc_id"]) & F.col("_node").eqNullSafe(kept["node"]), "left_semi")
-            .dropDuplicates(["_id", "_node"]).select("_row.*"))
+    smallest doc_id stays (an id repeated with the same shingles stays once).
+
+    Ids of which a row goes are marked in a bitmap of fixed size; rows without a
+    mark stay where they are, and only the marked ones are joined with the
+    verdicts."""
+    verdicts = stage(jaccard_classes(docs).groupBy("doc_id", "node").agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "jaccard-verdicts")
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP))
+    marked = _bitmap(verdicts.where("n > 1 or not kept").select(bit.alias("bit")))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text",
+                         bit.alias("_bit"))
+    row = packed.schema["_row"]
+    clear = packed.mapInArrow(apply_bound(_split, marked, False), StructType([row]))
+    doubtful = packed.mapInArrow(apply_bound(_split, marked, True),
+                                 StructType([row, StructField("_node", LongType())]))
+    kept = verdicts.where("kept")
+    chosen = (doubtful.withColumn("_id", F.col("_row.doc_id"))
+              .join(kept, F.col("_id").eqNullSafe(kept["doc_id"]) & F.col("_node").eqNullSafe(kept["node"]), "left_semi")
+              .dropDuplicates(["_id", "_node"]).select("_row"))
+    return clear.unionByName(chosen).select("_row.*")
