@@ -67,7 +67,7 @@ SET_BITS = 48
 BLOCK = 1024
 RUN = 1 << 16
 #: Entries of block products handled together.
-PART = 1 << 15
+PART = 1 << 13
 #: Bits of the filter that picks the texts whose full sets are compared.
 BITMAP = 1 << 26
 
@@ -141,15 +141,8 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-    sketch, waiting, held = np.zeros(SKETCH, np.uint32), [], 0
+    sketch = np.zeros(SKETCH, np.uint32)
     names = ["doc_id", "n_shingles", "node", "sketch", "range", "counts"]
-
-    def count():
-        nonlocal waiting, held, sketch
-        if held:
-            sketch += np.bincount(np.concatenate(waiting), minlength=SKETCH).astype(np.uint32)
-        waiting, held = [], 0
-
     for batch in batches:
         for part in chunks(batch, "text"):
             words = Words(part.column("text"), lower=True)
@@ -158,16 +151,11 @@ def _signatures(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iter
                 sizes.append(len(s))
                 nodes.append(set_hash(s) if len(s) else None)
                 sketches.append(parity_sketch(s) if len(s) else None)
-                if len(s):
-                    waiting.append(_bucket(s))
-                    held += len(s)
-            if held > SKETCH:
-                count()
+                np.add.at(sketch, _bucket(s), 1)
             k = part.num_rows
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
                 pa.array(sketches, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
-    count()
     ranges = sketch.reshape(SKETCH_RANGES, -1)
     filled = np.flatnonzero(ranges.any(axis=1))
     if len(filled):
@@ -324,8 +312,8 @@ def _nodes_of(pairs: DataFrame) -> DataFrame:
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
-        for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
-            x, y = decode(x, 0), decode(y, 0)
+        for x, y in zip(batch.column("sa"), batch.column("sb")):
+            x, y = decode(x.as_py(), 0), decode(y.as_py(), 0)
             both = len(np.intersect1d(x, y, assume_unique=True))
             keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))

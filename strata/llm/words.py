@@ -25,7 +25,7 @@ LOWER[0x41:0x5B] += 32
 BYTE_BASE = 0x9E3779B97F4A7C15 | 1
 WORD_BASE = 0xD6E8FEB86659FD93 | 1
 #: Text bytes handled at once (a longer text is handled alone).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:
