@@ -45,8 +45,8 @@ from .words import buffers, chunks, span_hashes
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Text bytes encoded together, and characters of distinct words in one suffix array.
-BATCH_BYTES = 16 << 20
-INDEX_CHARS = 1 << 20
+BATCH_BYTES = 8 << 20
+INDEX_CHARS = 1 << 19
 #: Code of the separator between words, beyond Unicode.
 BREAK = 0x110000
 
