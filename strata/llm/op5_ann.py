@@ -165,31 +165,37 @@ def _hash(batches: Iterator[pa.RecordBatch], index: Index, kind: str, asking: bo
 
 
 def _best(dim: int, kind: str, k: int) -> Callable:
-    """The k best candidates of a block of vectors for each query of a block."""
+    """The k best candidates of a block of vectors for each query of a block, each
+    id once with its best row."""
     def best(vectors: pa.Table, queries: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if vectors.num_rows and queries.num_rows:
             x = _matrix(vectors.column("vector"), dim, np.dtype(kind))
             ids = vectors.column("vec_id").to_numpy()
+            by_id = np.argsort(ids, kind="stable")
+            ids, x = ids[by_id], x[by_id]
+            first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
             asked = queries.column("query_id").to_numpy()
             for at in range(0, queries.num_rows, 256):
                 q = _matrix(queries.column("qvector").slice(at, 256), dim, np.dtype(kind))
                 rough = q @ x.T
                 own = asked[at:at + 256]
                 rough[own[:, None] == ids[None, :]] = -np.inf
+                ranked = np.maximum.reduceat(rough, first, axis=1)     # the best row of an id
                 for i in range(len(q)):
-                    line = rough[i]
-                    if len(line) > k:
+                    line, best_of = rough[i], ranked[i]
+                    if len(best_of) > k:
                         # All that rounding could bring among the best, then the
                         # products summed in one fixed order.
-                        bound = np.partition(line, len(line) - k)[len(line) - k]
+                        bound = np.partition(best_of, len(best_of) - k)[len(best_of) - k]
                         slack = 1e-9 * (1.0 + float(np.abs(q[i]).sum()))
                         near = np.flatnonzero(line >= bound - slack)
                     else:
                         near = np.arange(len(line))
                     near = near[ids[near] != own[i]]
                     score = (x[near] * q[i]).sum(axis=1)
-                    order = np.lexsort((ids[near], -score))[:k]
+                    order = np.lexsort((ids[near], -score))
+                    order = order[np.sort(np.unique(ids[near][order], return_index=True)[1])[:k]]
                     out.append((np.full(len(order), own[i]), ids[near][order], score[order]))
         columns = [np.concatenate(c) for c in zip(*out)] if out else [
             np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
@@ -218,8 +224,7 @@ def _meet(vectors: DataFrame, queries: DataFrame, keys: list[str], rank: Callabl
 def _top(found: DataFrame, k: int) -> DataFrame:
     """rank 1..k a query; the same candidate from several buckets counts once."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    few = found.withColumn("_r", F.dense_rank().over(order)).where(F.col("_r") <= k)
-    once = few.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 

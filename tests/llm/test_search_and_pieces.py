@@ -84,6 +84,32 @@ def test_odd_vectors_and_too_few_candidates(spark):
     assert nearest(spark.createDataFrame([], VECTORS)) == {}
 
 
+@pytest.mark.parametrize("width", [1e9, 1e-9], ids=["buckets", "fallback"])
+def test_repeated_ids_take_one_place(spark, monkeypatch, width):
+    """An id repeated more than k times (as it is, or with other vectors) leaves
+    the other places of its bucket, or of its part, to other ids."""
+    build = ann.build
+
+    def fixed(*args):
+        index = build(*args)
+        index.width = width         # one bucket holds all vectors, or one vector
+        return index
+    monkeypatch.setattr(ann, "build", fixed)
+    rows = [(i, v, 0) for i, v, _ in vector_rows(100)]
+    best = {q: found[0][0] for q, found in brute(rows, 1).items()}
+    twice = rows + rows
+    copies = rows + [r for r in rows if r[0] in best.values()] * 30
+    others = rows + [(i, [c * (0.5 + j / 60) for c in v], 0) for i, v, _ in rows
+                     if i in best.values() and i % 20 for j in range(30)]
+    want = brute(rows, 20)
+    for table in (twice, copies):
+        assert check_exact_fields(nearest(spark.createDataFrame(table, VECTORS).repartition(4)), rows, 20) == 1
+    got = nearest(spark.createDataFrame(others, VECTORS).repartition(4))
+    for q in want:
+        assert [r for r, *_ in got[q]] == list(range(1, 21)) and len({i for _, i, _ in got[q]}) == 20
+        assert {i for i, s in want[q]} == {i for _, i, _ in got[q]}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.floats(-5, 5, width=32), min_size=1, max_size=4))
 def test_probes_come_in_order_of_their_estimated_cost(cell):
