@@ -26,7 +26,9 @@ the text-by-shingle incidence matrix with itself:
    overlap plus all that may follow the kept entries.  The rest is compared on
    the full sets (scan 4).
 
-Pairs inside a component need no comparison: they are connected already.  So
+Pairs inside a component need no comparison for the classes: they are connected
+already.  The links themselves (``jaccard_links``, ``jaccard_counts``) are found
+afterwards, by comparing the nodes of a component block by block.  So
 the classes are exact (up to collisions of 64-bit hashes, 48-bit inside a pair): no candidate is dropped,
 sampled or capped, and a group of k copies costs O(k).
 
@@ -38,7 +40,8 @@ a null id counts as larger than any other; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +71,9 @@ BLOCK = 1024
 RUN = 1 << 16
 #: Entries of block products handled together.
 PART = 1 << 13
+#: Set elements of a block whose links are counted, and columns multiplied at once.
+ELEMENTS = 1 << 20
+STRIP = 1 << 11
 #: Bits of the filter that picks the texts whose full sets are compared.
 BITMAP = 1 << 26
 
@@ -481,10 +487,17 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
             .withColumn("root", F.coalesce("root", "node")))
 
 
-def jaccard_classes(docs: DataFrame) -> DataFrame:
-    """One row a document: doc_id, n_shingles, node (hash of its set, null when
-    empty), component_id, the smallest doc_id reachable by links, and kept:
-    whether the row is the one that stays of its class (see ``one_of_each``)."""
+class _Solved(NamedTuple):
+    """What both outputs start from: the texts, (doc_id, n_shingles, node) of
+    every row, one row a node, and the root of every node that has a link."""
+
+    texts: DataFrame
+    rows: DataFrame
+    reps: DataFrame
+    roots: DataFrame
+
+
+def _solve(docs: DataFrame) -> _Solved:
     id_field = docs.select("doc_id").schema[0].dataType
     texts = docs.select("doc_id", "text")
     id_arrow = to_arrow_type(id_field)
@@ -494,7 +507,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     rows = signatures.where("range is null").select("doc_id", "n_shingles", "node")
     reps = stage(signatures.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"),
-        F.first("n_shingles").cast("int").alias("n")), "jaccard-nodes")
+        F.first("n_shingles").cast("int").alias("n"), F.count(F.lit(1)).alias("copies")), "jaccard-nodes")
     sketches = reps.select("node", "sketch")
     frequent = _frequent(signatures)
 
@@ -542,8 +555,19 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     sets = _full_sets(texts, _nodes_of(open_pairs), reps)
     more = stage(_linked(open_pairs, sets), "jaccard-links")
 
-    final = components(links.unionByName(more))
-    ids = _labelled(reps.select("node", "doc_id"), final)
+    return _Solved(texts, rows, reps, components(links.unionByName(more)))
+
+
+def jaccard_classes(docs: DataFrame) -> DataFrame:
+    """One row a document: doc_id, n_shingles, node (hash of its set, null when
+    empty), component_id, the smallest doc_id reachable by links, and kept:
+    whether the row is the one that stays of its class (see ``one_of_each``)."""
+    return _classes(_solve(docs))
+
+
+def _classes(solved: _Solved) -> DataFrame:
+    rows, reps = solved.rows, solved.reps
+    ids = _labelled(reps.select("node", "doc_id"), solved.roots)
     first = F.min_by("node", F.struct(F.col("doc_id").isNull(), "doc_id", "node"))
     lowest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"), first.alias("kept_node"))
     classes = ids.join(lowest, "root").select("node", "component_id", "kept_node")
@@ -555,6 +579,112 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
                               & F.col("doc_id").eqNullSafe(F.col("component_id")))).alias("kept")))
 
 
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Elements that each set of ``left`` has in common with each of ``right``:
+    the product of the two incidence matrices, a strip of columns at a time."""
+    def entries(sets):
+        return np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets)
+    (i, x), (j, y) = entries(left), entries(right)
+    columns = np.intersect1d(x, y)
+    if left is right:       # an element of one set only joins no pair
+        columns, times = np.unique(x, return_counts=True)
+        columns = columns[times > 1]
+    out = np.zeros((len(left), len(right)), np.int64)
+    if not len(columns):
+        return out
+
+    def placed(row, value):
+        at = np.minimum(np.searchsorted(columns, value), len(columns) - 1)
+        own = columns[at] == value
+        order = np.argsort(at[own], kind="stable")
+        return row[own][order], at[own][order]
+    (i, x), (j, y) = placed(i, x), placed(j, y)
+    for lo in range(0, len(columns), STRIP):
+        strips = []
+        for count, row, at in ((len(left), i, x), (len(right), j, y)):
+            part = slice(*np.searchsorted(at, [lo, lo + STRIP]))
+            strip = np.zeros((count, min(STRIP, len(columns) - lo)), np.float32)
+            strip[row[part], at[part] - lo] = 1
+            strips.append(strip)
+        out += (strips[0] @ strips[1].T).astype(np.int64)
+    return out
+
+
+def _links_of(pairs: bool) -> Callable:
+    """The links of a product of two blocks: (a, b), or (node, n) with the
+    number of documents that a node links to."""
+    def links(rows: pa.Table) -> pa.Table:
+        root, block, node, copies = (rows.column(c).to_numpy() for c in ("root", "block", "node", "copies"))
+        lo, hi = rows.column("lo")[0].as_py(), rows.column("hi")[0].as_py()
+        sets = [decode(h.as_py(), 0) for h in rows.column("hashes")]
+        size = np.array([len(s) for s in sets], np.int64)
+        first: list[np.ndarray] = []
+        second: list[np.ndarray] = []
+        order = np.argsort(root, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(root[order])) + 1):
+            a = own[block[own] == lo]
+            b = a if lo == hi else own[block[own] == hi]
+            if not len(a) or not len(b):
+                continue
+            mine = [sets[r] for r in a]
+            both = _shared(mine, mine if lo == hi else [sets[r] for r in b])
+            linked = 100 * both >= PERCENT * (size[a][:, None] + size[b][None, :] - both)
+            if lo == hi:
+                np.fill_diagonal(linked, False)
+            if pairs:
+                i, j = np.nonzero(np.triu(linked) if lo == hi else linked)
+                first.append(np.minimum(node[a][i], node[b][j]))
+                second.append(np.maximum(node[a][i], node[b][j]))
+            else:
+                first.append(node[a])
+                second.append(linked @ copies[b])
+                if lo != hi:
+                    first.append(node[b])
+                    second.append(copies[a] @ linked)
+        none = [np.zeros(0, np.int64)]
+        return pa.table(dict(zip(("a", "b") if pairs else ("node", "n"),
+                                 (np.concatenate(first or none), np.concatenate(second or none)))))
+    return links
+
+
+def _linked_blocks(solved: _Solved, pairs: bool) -> DataFrame:
+    """All links, found inside the components, which hold them all: a component
+    is dealt in blocks that meet pairwise, small components share a group."""
+    members = stage(solved.roots.distinct().join(
+        solved.reps.select("node", "copies", F.col("n").cast("long").alias("n")), "node"), "jaccard-members")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / ELEMENTS)).cast("int")
+    large = stage(members.groupBy("root").agg(blocks.alias("blocks")).where("blocks > 1"), "jaccard-large")
+    groups = members.agg(F.coalesce(blocks, F.lit(1))).first()[0]
+    sets = _full_sets(solved.texts, members.select("node"), solved.reps).dropDuplicates(["node"])
+    count = F.coalesce("blocks", F.lit(1))
+    dealt = (members.join(large, "root", "left").join(sets, "node")
+             .withColumn("block", F.pmod(F.xxhash64("node"), count).cast("int"))
+             .withColumn("with", F.explode(F.sequence(F.lit(0), count - 1)))
+             .select(F.when(F.col("blocks").isNull(), F.pmod(F.xxhash64("root"), F.lit(groups)))
+                     .otherwise(F.col("root")).alias("own"),
+                     F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"),
+                     "root", "block", "node", "copies", "hashes"))
+    return dealt.groupBy("own", "lo", "hi").applyInArrow(
+        _links_of(pairs), "a long, b long" if pairs else "node long, n long")
+
+
+def jaccard_links(docs: DataFrame) -> DataFrame:
+    """Every link between different sets once: (a, b), nodes with a < b.  The
+    membership is the node of ``jaccard_classes``; copies share a node."""
+    return _linked_blocks(_solve(docs), True)
+
+
+def jaccard_counts(docs: DataFrame) -> DataFrame:
+    """The columns of ``jaccard_classes`` and n_links, the number of other
+    documents that a document links to (its copies among them).  Links are
+    counted where they are found; no row a link is made."""
+    solved = _solve(docs)
+    found = _linked_blocks(solved, False).groupBy("node").agg(F.sum("n").alias("n_links"))
+    counts = solved.reps.select("node", "copies").join(found, "node", "left").select(
+        "node", (F.col("copies") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links"))
+    return _classes(solved).join(counts, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+
+
 def _split(batches: Iterator[pa.RecordBatch], open_ids: np.ndarray, take_open: bool) -> Iterator[pa.RecordBatch]:
     """Rows whose id's bit is set (with their node), or the others."""
     for batch in batches:

@@ -43,6 +43,12 @@ reach(doc_id, r) AS (
 SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, t.component_id
 FROM (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) t LEFT JOIN n ON n.doc_id = t.doc_id"""
 
+# The same, with the number of links of every text.
+NGRAM_JACCARD_LINKS = NGRAM_JACCARD.rpartition("\nSELECT")[0] + r"""
+SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, t.component_id, CAST(coalesce(e.k, 0) AS BIGINT) AS n_links
+FROM (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) t LEFT JOIN n ON n.doc_id = t.doc_id
+LEFT JOIN (SELECT a, count(*) AS k FROM edge GROUP BY a) e ON e.a = t.doc_id"""
+
 # The windows by prefix sums; the digests straight from the turns.
 CHAT_FORMAT = r"""
 WITH src AS (
@@ -91,4 +97,5 @@ ORACLE_SQL = {
     "op6_substring_dedup": SUBSTRING_DEDUP.strip(),
     "op7_chat_format": CHAT_FORMAT.strip(),
     "op8_ngram_jaccard": NGRAM_JACCARD.strip(),
+    "ngram_jaccard_links": NGRAM_JACCARD_LINKS.strip(),
 }

@@ -18,7 +18,7 @@ from .op4_sharding import shard_rows
 from .op5_ann import search
 from .op6_substring_dedup import drop_repeats
 from .op7_chat_format import digests, format_windows
-from .op8_ngram_jaccard import jaccard_classes
+from .op8_ngram_jaccard import jaccard_classes, jaccard_counts
 from .oracle import ORACLE_SQL
 
 
@@ -70,6 +70,12 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op8 with the number of links; op8's own columns are those of its SQL."""
+    return jaccard_counts(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_chat_format": op7_chat_format,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "ngram_jaccard_links": ngram_jaccard_links,
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
 }

@@ -78,6 +78,33 @@ def test_long_columns_use_blocks_and_salts(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute_classes(rows))
 
 
+@pytest.mark.parametrize("block", [1024, 4])
+def test_all_links_are_found_and_counted(spark, monkeypatch, block):
+    """Also those inside a group of near copies, which the classes do not need."""
+    monkeypatch.setattr(op8, "BLOCK", block)
+    rows = near_rows() + [(500, near_rows()[3][1], "en", "a"), (501, None, "en", "a"), (502, "", "en", "a")]
+    sets = {i: shingles(t) for i, t, *_ in rows}
+    links = {(i, j) for i in sets for j in sets if i < j and sets[i] and sets[j]
+             and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    docs = documents(spark, rows)
+    got = op8.jaccard_counts(docs).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute_classes(rows))
+    assert {r.doc_id: r.n_links for r in got} == {i: sum(i in pair for pair in links) for i in sets}
+    of = {}
+    for r in got:
+        of.setdefault(r.node, []).append(r.doc_id)
+    pairs = [(r.a, r.b) for r in op8.jaccard_links(docs).collect()]
+    assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
+    assert {(min(i, j), max(i, j)) for a, b in pairs for i in of[a] for j in of[b]} == \
+        {(i, j) for i, j in links if sets[i] != sets[j]}
+    assert len(links) > 2 * len(rows)
+
+
+def test_links_of_nothing(spark):
+    empty = spark.createDataFrame([], DOCS)
+    assert op8.jaccard_counts(empty).count() == 0 and op8.jaccard_links(empty).count() == 0
+
+
 def test_one_document_of_each_class_stays(spark):
     rows = near_rows() + [near_rows()[0]]           # and a repeated row
     docs = documents(spark, rows).withColumn("node", F.lit("clash"))
