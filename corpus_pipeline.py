@@ -8,7 +8,8 @@ columns of ``documents``; the last one returns the packed pieces.
   it; one without a letter goes (so, without labelled languages, only those go);
 * toxicity: a document with a score of 0.7 or more goes;
 * n-gram Jaccard join: the smallest doc_id of each class of near copies stays;
-* substring dedup: words in repeated 35-word windows go, every document stays;
+* substring dedup: words in repeated 35-word windows go, every document stays,
+  with all its other words and their white space as they are;
 * best-fit packing: one row a piece of a document.
 
 Columns of ``documents`` are carried in one struct, so that extra columns never
@@ -25,7 +26,7 @@ from strata.llm import op1_toxicity as toxicity
 from strata.llm import op10_language_id as language
 from strata.llm.io import stage, table
 from strata.llm.op3_packing import pack_documents
-from strata.llm.op6_substring_dedup import drop_repeats
+from strata.llm.op6_substring_dedup import cut_repeats
 from strata.llm.op8_ngram_jaccard import one_of_each
 
 #: Smallest share of its main language that a document must have.
@@ -54,11 +55,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = drop_repeats(_packed(docs))
+    cut = cut_repeats(_packed(docs))
     kind = dict(docs.dtypes)
     now = {"text": F.col("text")}
     if "n_chars" in kind:       # the count of the text that is left
-        now["n_chars"] = F.char_length("text").cast(kind["n_chars"]).alias("n_chars")
+        now["n_chars"] = (F.when(F.col("n_removed") > 0, F.char_length("text").cast(kind["n_chars"]))
+                          .otherwise(F.col("_row.n_chars")).alias("n_chars"))
     return cut.select(*(now.get(c, F.col(f"_row.`{c}`")) for c in docs.columns))
 
 

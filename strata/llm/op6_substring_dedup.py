@@ -19,9 +19,12 @@ How the windows are counted without a row a window:
 A passage or copy that a third of all texts hold costs a chunk one entry a
 window, so no bucket and no chunk is hot.
 
-Defined cases: null text counts as empty; a text without repeated windows keeps
-all its words; kept words are joined by one space, so white space is
-normalised; repeated rows are separate texts (and so repeat each other); extra
+``cut_repeats`` cuts the intervals' bytes and leaves everything else as it is;
+``drop_repeats`` gives the kept words in the form of their digest.
+
+Defined cases: null text counts as empty (``cut_repeats`` leaves it null); a text
+without repeated windows keeps all its words; ``kept_sha256`` is taken of the kept
+words joined by one space; repeated rows are separate texts (and so repeat each other); extra
 columns pass through; rows that do not come from files are stored first.
 """
 
@@ -35,7 +38,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from .io import apply_bound, stage
 from .words import Words, chunks, covered
@@ -47,6 +50,8 @@ BUCKET_BYTES = 8 << 20
 #: Text bytes whose hashes a task holds at once.
 HOLD_BYTES = 32 << 20
 CHUNK = "_chunk"
+#: Fields of a removal interval.
+SPAN = ("word_begin", "word_end", "byte_begin", "byte_end")
 
 
 def addressed(docs: DataFrame) -> DataFrame:
@@ -159,11 +164,55 @@ def join_words(words: Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def _cut(columns: list[str], window: int, with_text: bool) -> Callable:
+def removal_spans(words: Words, gone: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The maximal runs of ``gone`` words: text number, first word and word
+    behind, first byte and byte behind (in the chunk).  A run takes one of the
+    separators around it along, the one with fewer line breaks (if equal, the
+    one behind); a run of all words takes the whole text."""
+    m = len(gone)
+    doc = np.repeat(np.arange(len(words.counts)), words.counts)
+    edge = np.ones(m + 1, bool)
+    edge[1:-1] = doc[1:] != doc[:-1]
+    start, stop = gone & edge[:-1], gone & edge[1:]
+    start[1:] |= gone[1:] & ~gone[:-1]
+    stop[:-1] |= gone[:-1] & ~gone[1:]
+    a, b = np.flatnonzero(start), np.flatnonzero(stop) + 1
+    d = doc[a]
+    head, tail = a == words.first[d], b == words.first[d + 1]
+    breaks = np.append(0, np.cumsum(words.data == 0x0A))
+    ahead, behind = words.end[np.maximum(a - 1, 0)], words.begin[np.minimum(b, m - 1)]
+    low, high = words.begin[a], words.end[b - 1]
+    more_ahead = breaks[low] - breaks[ahead] >= breaks[behind] - breaks[high]
+    after = ~tail & (head | more_ahead)
+    before = ~head & ~after
+    whole = head & tail
+    low = np.where(whole, words.offsets[d], np.where(before, ahead, low))
+    high = np.where(whole, words.offsets[d + 1], np.where(after, behind, high))
+    return d, a, b, low, high
+
+
+def _without(words: Words, column: pa.Array, spans: tuple[np.ndarray, ...]) -> tuple[pa.Array, pa.Array]:
+    """The texts without the spans' bytes (a text without spans as it is), and
+    the spans of every text."""
+    d, a, b, low, high = spans
+    cut = np.zeros(len(words.data) + 1, np.int8)
+    cut[low] += 1
+    cut[high] -= 1
+    keep = np.cumsum(cut[:-1], dtype=np.int8) == 0
+    raw = words.data[keep].tobytes()
+    to = np.append(0, np.cumsum(keep))[words.offsets].tolist()
+    texts = [raw[o:e] if known else None for o, e, known in zip(to, to[1:], column.is_valid().to_pylist())]
+    fields = (a - words.first[d], b - words.first[d], low - words.offsets[d], high - words.offsets[d])
+    rows = pa.StructArray.from_arrays([pa.array(f, pa.int64()) for f in fields], list(SPAN))
+    at = np.searchsorted(d, np.arange(len(words.counts) + 1)).astype(np.int32)
+    return pa.array(texts, pa.binary()).cast(pa.string()), pa.ListArray.from_arrays(pa.array(at), rows)
+
+
+def _cut(columns: list[str], window: int, with_text: bool, in_place: bool = False) -> Callable:
     def cut(docs: pa.Table, repeated: pa.Table) -> pa.Table:
         sent = [np.frombuffer(p.as_py(), np.uint64) for p in repeated.column("hashes")]
         known = np.sort(np.concatenate(sent)) if sent else np.zeros(0, np.uint64)
-        n_words, n_removed, digests, texts = [], [], [], []
+        n_words, n_removed, digests, texts, spans = [], [], [], [], []
         for batch in docs.select(["text"]).combine_chunks().to_batches():
             for piece in chunks(batch, "text"):
                 words = Words(piece.column("text"))
@@ -178,7 +227,11 @@ def _cut(columns: list[str], window: int, with_text: bool) -> Callable:
                 n_words.append(words.counts)
                 n_removed.append(np.diff(np.append(0, np.cumsum(gone))[words.first]))
                 digests += [hashlib.sha256(k).hexdigest() for k in kept]
-                if with_text:
+                if in_place:
+                    left, own = _without(words, piece.column("text"), removal_spans(words, gone))
+                    texts.append(left)
+                    spans.append(own)
+                elif with_text:
                     texts.append(pa.array(kept, pa.binary()).cast(pa.string()))
         none = [np.zeros(0, np.int64)]
         out = {c: docs.column(c) for c in columns}
@@ -187,13 +240,27 @@ def _cut(columns: list[str], window: int, with_text: bool) -> Callable:
         out |= {"n_words": pa.array(np.concatenate(n_words or none), pa.int64()),
                 "n_removed": pa.array(np.concatenate(n_removed or none), pa.int64()),
                 "kept_sha256": pa.array(digests, pa.string())}
+        if in_place:
+            out["spans"] = pa.chunked_array(spans, pa.list_(pa.struct([(f, pa.int64()) for f in SPAN])))
         return pa.table(out)
     return cut
 
 
 def drop_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True) -> DataFrame:
-    """The columns of ``docs`` with ``text`` cut (or without ``text``), plus
-    n_words and n_removed (long) and kept_sha256 (hex of the kept text)."""
+    """The columns of ``docs`` with ``text`` made of the kept words, one space
+    between (or without ``text``), plus n_words and n_removed (long) and
+    kept_sha256 (hex of the kept words)."""
+    return _judged(docs, window, with_text, False)
+
+
+def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The columns of ``docs`` with only the removal intervals cut from ``text``,
+    the columns of ``drop_repeats`` and ``spans``, the intervals of the text that
+    was given: word_begin, word_end, byte_begin, byte_end (ends exclusive)."""
+    return _judged(docs, window, True, True)
+
+
+def _judged(docs: DataFrame, window: int, with_text: bool, in_place: bool) -> DataFrame:
     rows = addressed(docs)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, (int(size) // BUCKET_BYTES).bit_length())
@@ -201,11 +268,13 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True)
         apply_bound(_send, bits, window), "bucket int, chunk long, hashes binary")
     repeated = stage(sent.groupBy("bucket").applyInArrow(
         _repeated(bits), "chunk long, hashes binary"), "substring-repeats")
-    results = {"n_words", "n_removed", "kept_sha256"}
+    results = {"n_words", "n_removed", "kept_sha256"} | ({"spans"} if in_place else set())
     columns = [c for c in docs.columns if c not in results and (with_text or c != "text")]
     schema = StructType([f for f in docs.schema if f.name in columns])
     for name, kind in (("n_words", LongType()), ("n_removed", LongType()), ("kept_sha256", StringType())):
         schema.add(StructField(name, kind))
+    if in_place:
+        schema.add(StructField("spans", ArrayType(StructType([StructField(f, LongType()) for f in SPAN]))))
     others = [c for c in columns if c != "text"]
     return (rows.groupBy(CHUNK).cogroup(repeated.groupBy("chunk"))
-            .applyInArrow(_cut(others, window, with_text), schema))
+            .applyInArrow(_cut(others, window, with_text, in_place), schema))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import op8_ngram_jaccard as op8
 from strata.llm.components import components
-from strata.llm.op6_substring_dedup import decode, drop_repeats, encode
+from strata.llm.op6_substring_dedup import cut_repeats, decode, drop_repeats, encode
 
 from .helpers import DOCS, ODD, documents, stored, text, words
 
@@ -159,6 +159,41 @@ def test_removed_windows_match_brute_force(spark, tmp_path, rows, from_files):
         sorted(brute_cut(rows), key=str)
 
 
+@pytest.mark.parametrize("rows", [ODD, repeat_rows()], ids=["odd", "repeats"])
+def test_only_the_removal_intervals_are_cut(spark, tmp_path, rows):
+    rows = rows + [(900, "  def f():\n\n\treturn  1\n", "en", "a")]
+    docs = stored(spark, documents(spark, rows), tmp_path / "d")
+    got = cut_repeats(docs).collect()
+    want = {}
+    for r in brute_cut(rows):
+        want.setdefault(r[0], []).append(r[1:])
+    texts = {}
+    for i, t, *_ in rows:
+        texts.setdefault(i, []).append(t)
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.n_words, r.n_removed, r.kept_sha256, " ".join(words(r.text))) in want[r.doc_id]
+        assert r.n_removed == sum(s.word_end - s.word_begin for s in r.spans)
+        if not r.spans:
+            assert r.text in texts[r.doc_id]
+            continue
+        (raw,) = {t.encode() for t in texts[r.doc_id]}
+        left, at = b"", 0
+        for s in r.spans:
+            assert at <= s.byte_begin < s.byte_end
+            assert words(raw[s.byte_begin:s.byte_end].decode()) == words(raw.decode())[s.word_begin:s.word_end]
+            left, at = left + raw[at:s.byte_begin], s.byte_end
+        assert r.text == (left + raw[at:]).decode()
+
+
+def test_line_breaks_round_a_cut_stay(spark):
+    passage = text(8, 40)
+    docs = documents(spark, [(i, t, "en", "a") for i, t in enumerate([
+        f"one\n  two {passage}\n\nthree\tfour", f"five\n\n{passage} six", f"{passage}\nseven  x", f"y  eight\n{passage}\n", passage])])
+    assert {r.doc_id: r.text for r in cut_repeats(docs).collect()} == {
+        0: "one\n  two\n\nthree\tfour", 1: "five\n\nsix", 2: "seven  x", 3: "y  eight\n", 4: ""}
+
+
 def test_cut_with_clashing_columns_and_empty_table(spark, tmp_path):
     docs = stored(spark, documents(spark, repeat_rows()).withColumn("n_words", F.lit("x")), tmp_path / "d")
     assert {r.n_words for r in drop_repeats(docs).collect()} == {w for _, w, *_ in brute_cut(repeat_rows())}

@@ -92,6 +92,16 @@ def test_odd_and_empty_documents_pass_all_stages(spark, tmp_path):
         assert got == ({None, 5, 6, 7, 8, 10, 11} - {6} if rows else set())
 
 
+def test_substring_stage_leaves_clean_documents_as_they_are(spark, tmp_path):
+    passage = text(78, 50)
+    rows = [(1, "def f(x):\n\n    return  x\n", "en", "a"), (2, f"a\n\tb {passage}", "en", "a"), (3, f"{passage}\nc  d\n", "en", "a")]
+    docs = stored(spark, documents(spark, rows), tmp_path / "d")
+    got = corpus_pipeline.substring_dedup(spark, docs, "")
+    assert got.schema.simpleString() == docs.schema.simpleString()
+    want = {1: rows[0][1], 2: "a\n\tb", 3: "c  d\n"}
+    assert {r.doc_id: (r.text, r.n_chars) for r in got.collect()} == {i: (t, len(t)) for i, t in want.items()}
+
+
 def test_queries_are_registered():
     names = list(queries())
     for n in range(1, 11):
