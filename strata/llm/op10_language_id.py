@@ -1,8 +1,7 @@
 """Language ID by mixture inference: every text is a blend of languages.
 
 Training counts hashed character n-grams (1 to 3 letters, word ends marked) of
-a bounded sample of labelled rows (``TRAIN_ROWS``, those with the smallest hash
-of their id), summed per language by Spark.  A text is then a draw from a
+all labelled rows outside the held-out quarter, summed per language by Spark.  A text is then a draw from a
 mixture of the languages' n-gram distributions: expectation-maximisation
 estimates its language proportions.  The set of languages is chosen by
 penalised likelihood: starting from the likeliest single language, the next
@@ -29,12 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from .io import apply_bound, bounded_sample, crc_bucket
+from .io import apply_bound, crc_bucket
 from .words import chunks, mix
 
 BITS = 16
 ORDERS = (1, 2, 3)
-TRAIN_ROWS = 20_000
 SMOOTHING = 0.5
 ROUNDS = 10
 PENALTY = 3.0
@@ -121,15 +119,13 @@ def held_out():
     return crc_bucket("doc_id", 4) == 2
 
 
-def fit(docs: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
+def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages (sorted) and their n-gram probabilities, one column each.
 
     At most 2**BITS counts a language reach the driver, whatever the corpus."""
     known = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()).where(~held_out())
-    sample = bounded_sample(known.select("doc_id"), "doc_id", rows).distinct()
-    counted = (known.join(F.broadcast(sample), "doc_id")        # at most `rows` ids
-               .mapInArrow(_count, "lang string, bucket long, n long")
+    counted = (known.mapInArrow(_count, "lang string, bucket long, n long")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
     langs = sorted(counted["lang"].unique())
     counts = np.full((1 << BITS, len(langs)), SMOOTHING)

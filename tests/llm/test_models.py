@@ -188,6 +188,15 @@ def test_mixture_proportions(spark):
     assert len(got[901].languages) == 2
 
 
+def test_language_with_one_labelled_row_is_learned(spark):
+    """Among more labelled rows than any sample of 20,000 holds."""
+    rare = [i for i in range(50_000, 50_100) if crc(i, 4) != 2][:20]
+    docs = (spark.range(40_000).selectExpr("id AS doc_id", "'ba bo bu' AS text", "'aa' AS lang")
+            .unionByName(spark.createDataFrame([(i, "qiqi xexe", f"r{n:02}") for n, i in enumerate(rare)],
+                                               "doc_id long, text string, lang string")))
+    assert language.fit(docs)[0] == ["aa", *(f"r{n:02}" for n in range(20))]
+
+
 def test_language_of_odd_rows(spark):
     docs = documents(spark, ODD)
     model = language.fit(documents(spark, language_rows(60)))
