@@ -93,9 +93,90 @@ SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha256
        CAST(formatted_chars AS BIGINT) AS formatted_chars
 FROM l"""
 
+# One round: the nearest centroid of every vector, then exact floors of the means.
+_ROUND = r"""
+n{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, struct_pack(d, c)) AS c, min(d) AS d FROM (
+    SELECT v.r, m.c, sum((v.x - m.x) * (v.x - m.x)) AS d FROM v JOIN c{p} m ON v.i = m.i GROUP BY v.r, m.c)
+  GROUP BY r),
+c{i} AS MATERIALIZED (
+  SELECT o.c, o.i, coalesce(CAST((s.t - ((s.t % s.n) + s.n) % s.n) // s.n AS BIGINT), o.x) AS x
+  FROM c{p} o LEFT JOIN (SELECT n.c, v.i, sum(v.x) AS t, count(*) AS n FROM v JOIN n{i} n ON n.r = v.r GROUP BY n.c, v.i) s
+    ON s.c = o.c AND s.i = o.i),"""
+
+# Ten rounds from the eight vectors with the smallest hashes.
+LLOYD = r"""
+WITH a AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+k AS MATERIALIZED (
+  SELECT vec_id, r, list_transform(e, lambda x: CAST(floor(1024 * x) AS BIGINT)) AS w FROM a
+  WHERE len(e) = 64 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT r, unnest(w) AS x, unnest(range(64)) AS i FROM k),
+c0 AS MATERIALIZED (
+  SELECT c, unnest(w) AS x, unnest(range(64)) AS i FROM (
+    SELECT w, row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), w) - 1 AS c FROM k)
+  WHERE c < 8),""" + "".join(_ROUND.format(i=i, p=i - 1) for i in range(1, 11)) + r"""
+f AS MATERIALIZED (
+  SELECT r, arg_min(c, struct_pack(d, c)) AS c, min(d) AS d FROM (
+    SELECT v.r, m.c, sum((v.x - m.x) * (v.x - m.x)) AS d FROM v JOIN c10 m ON v.i = m.i GROUP BY v.r, m.c)
+  GROUP BY r),
+g AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS h FROM c10 GROUP BY c)
+SELECT k.vec_id, CAST(f.c AS INTEGER) AS cluster, CAST(f.d AS BIGINT) AS distance,
+       CAST(sum(f.d) OVER (PARTITION BY f.c) AS BIGINT) AS cluster_inertia, CAST(sum(f.d) OVER () AS BIGINT) AS inertia,
+       g.h AS centroid_sha256
+FROM k JOIN f ON f.r = k.r JOIN g ON g.c = f.c"""
+
+# Every document follows every order; counts by part, order and step.
+FILTER_AUDIT = r"""
+WITH RECURSIVE t AS MATERIALIZED (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS MATERIALIZED (
+  SELECT t.part, coalesce(k.good, 0) AS good, coalesce(k.toxic, 0) AS toxic,
+         {'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+          'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+          'D': regexp_matches(text, '[#$%&*|]'),
+          'E': coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false)} AS f
+  FROM t LEFT JOIN k ON t.doc_id = k.doc_id),
+c AS MATERIALIZED (
+  SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM d GROUP BY part, f),
+orders(o) AS (
+  SELECT '' UNION ALL
+  SELECT o || x FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(o, x)),
+s AS (
+  SELECT o AS filter_order, CAST(i AS INTEGER) AS step, o[i] AS x
+  FROM (SELECT o, unnest([1, 2, 3, 4, 5]) AS i FROM orders WHERE length(o) = 5)),
+j AS MATERIALIZED (
+  SELECT part, filter_order, step, x, n, good, toxic,
+         list_filter(['A', 'B', 'C', 'D', 'E'], lambda y: CASE y WHEN 'A' THEN f['A'] WHEN 'B' THEN f['B']
+           WHEN 'C' THEN f['C'] WHEN 'D' THEN f['D'] ELSE f['E'] END) AS fails
+  FROM c CROSS JOIN s),
+m AS (
+  SELECT *, list_contains(fails, x) AS own, len(list_filter(fails, lambda y: position(y IN filter_order) < step)) > 0 AS gone
+  FROM j),
+r AS (
+  SELECT part, filter_order, step, x AS filter,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND NOT own), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND own), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE gone AND own), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE own AND len(fails) = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE NOT gone AND own), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE NOT gone AND own), 0) AS toxic_lost
+  FROM m GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, filter, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM r"""
+
 ORACLE_SQL = {
     "op6_substring_dedup": SUBSTRING_DEDUP.strip(),
     "op7_chat_format": CHAT_FORMAT.strip(),
     "op8_ngram_jaccard": NGRAM_JACCARD.strip(),
     "ngram_jaccard_links": NGRAM_JACCARD_LINKS.strip(),
+    "op11_lloyd": LLOYD.strip(),
+    "op12_filter_audit": FILTER_AUDIT.strip(),
 }

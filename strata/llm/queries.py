@@ -12,6 +12,8 @@ from . import op1_toxicity as toxicity
 from . import op2_sentencepiece as sentencepiece
 from . import op9_quality as quality
 from . import op10_language_id as language
+from . import op11_lloyd as lloyd
+from . import op13_quality_fm as quality_fm
 from .io import table
 from .op3_packing import pack_documents
 from .op4_sharding import shard_rows
@@ -19,6 +21,7 @@ from .op5_ann import search
 from .op6_substring_dedup import drop_repeats
 from .op7_chat_format import digests, format_windows
 from .op8_ngram_jaccard import jaccard_classes, jaccard_counts
+from .op12_filter_audit import audit
 from .oracle import ORACLE_SQL
 
 
@@ -89,6 +92,26 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "languages")
 
 
+#: Components of the vectors that are clustered.
+DIMENSION = 64
+
+
+def op11_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.cluster(table(spark, sf_dir, "embeddings"), DIMENSION)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_fm.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_fm.score(docs, model, ["doc_id"]).select(
+        "doc_id", quality_fm.held_out().alias("held_out"), "score",
+        (F.col("score") >= quality_fm.THRESHOLD).cast("int").alias("predicted"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -103,4 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ngram_jaccard_links": ngram_jaccard_links,
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
+    "op11_lloyd": op11_lloyd,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_quality_fm": op13_quality_fm,
 }
