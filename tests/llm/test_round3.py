@@ -234,9 +234,9 @@ def test_machine_of_odd_rows_and_without_labels(spark):
     docs = documents(spark, ODD).drop("n_chars")
     none = fm.fit(docs, spark.createDataFrame([(1, 1, 1), (3, None, 1), (99, 1, 0)], LABELS))
     assert {r.score for r in fm.score(docs, none).collect()} == {0.5}
-    good = fm.fit(docs, spark.createDataFrame([(5, 1, 0), (7, 1, 0)], LABELS))
+    good = fm.fit(docs, spark.createDataFrame([(6, 1, 0), (8, 1, 0)], LABELS))
     assert {round(r.score, 9) for r in fm.score(docs, good).collect()} == {1.0}
-    labels = [(5, 1, 0), (5, 0, 1), (6, None, 1), (7, 0, 0), (None, 0, 1), (11, 1, 1), (11, 1, 1), (8, 1, 0)]
+    labels = [(6, 1, 0), (6, 0, 1), (7, None, 1), (3, 0, 0), (None, 0, 1), (11, 1, 1), (11, 1, 1), (8, 1, 0)]
     model = fm.fit(docs, spark.createDataFrame(labels, LABELS))
     got = fm.score(docs, model).collect()
     assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
