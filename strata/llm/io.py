@@ -66,18 +66,21 @@ def training_texts(docs: DataFrame, known: DataFrame, rows: int, size: int,
             .repartition(1).sortWithinPartitions("_place").select("text", "label", *also))
 
 
-def carry(docs: DataFrame, keep: Sequence[str], used: Sequence[str]) -> DataFrame:
+def carry(docs: DataFrame, keep: Sequence[str], used: Sequence[str], **more: Column) -> DataFrame:
     """The columns ``keep`` as one struct ``row`` and those of ``used`` that are
     not among them as one struct ``used``: a worker hands ``row`` back as it is,
     so a caller's names never clash, and no text is sent twice (see ``carried``)."""
     rest = [c for c in used if c not in keep]
     return docs.select(*(F.struct(*(F.col(f"`{c}`") for c in cs)).alias(name) if cs
                          else F.struct(F.lit(0).alias("_none")).alias(name)
-                         for name, cs in (("row", keep), ("used", rest))))
+                         for name, cs in (("row", keep), ("used", rest))),
+                       *(column.alias(name) for name, column in more.items()))
 
 
-def carried(batch: pa.RecordBatch, names: Sequence[str]) -> pa.RecordBatch:
+def carried(batch: pa.RecordBatch | pa.Table, names: Sequence[str]) -> pa.RecordBatch:
     """The named columns of a batch of ``carry``."""
+    if isinstance(batch, pa.Table):
+        batch = batch.select(["row", "used"]).combine_chunks().to_batches()[0]
     own = {f.name: batch.column(c).field(f.name) for c in ("used", "row") for f in batch.column(c).type}
     return pa.RecordBatch.from_arrays([own[n] for n in names], list(names))
 

@@ -13,18 +13,22 @@ the text-by-shingle incidence matrix with itself:
    frequent ones by count, two sets of similarity ``t`` share an element among
    the first ``n - ceil(t n) + 1`` of each.  Only these entries of the
    incidence matrix are kept, so a passage that many texts share stays out of
-   it unless it makes up most of a text.  Columns with one node are dropped.
-3. *First product.*  In every column each node meets the column's smallest
-   node and its predecessor, and in long columns the node whose sketch is the
+   it unless it makes up most of a text.  Entries move once, sorted by column;
+   a column is stored as one row, those with one node are dropped.
+3. *Blocks.*  Columns with the same smallest node mostly hold the same nodes, so
+   they form one block of columns: a node enters it once, with the list of its
+   columns there (and with its sketch), however many columns they share.
+4. *First product.*  In every column each node meets the column's smallest
+   node and its predecessor, and in blocks the node whose sketch is the
    nearest; the promising partners that their sketches allow are compared on
    the full sets (scan 3), and the links found contract groups of near copies.
-4. *Full product.*  Columns that still hold several components are cut in
-   blocks, and block pairs accumulate the overlap of every pair of nodes of
-   different components.  Three bounds discard pairs, each of which a link must
-   meet: the sizes; the sketches (in long columns before a pair is made), whose
-   bits differ in no more places than the sets have elements apart; and the
-   overlap plus all that may follow the kept entries.  The rest is compared on
-   the full sets (scan 4).
+5. *Full product.*  Each block of columns multiplies its incidence matrix with
+   itself (blocks of many nodes in pairs of node blocks), which gives the overlap
+   of every pair of nodes of different components.  Three bounds discard pairs,
+   each of which a link must meet: the sizes; the sketches, whose bits differ in
+   no more places than the sets have elements apart; and the overlap plus all
+   that may follow the kept entries.  The rest is compared on the full sets
+   (scan 4).
 
 Pairs inside a component need no comparison for the classes: they are connected
 already.  The links themselves (``jaccard_links``, ``jaccard_counts``) are found
@@ -51,7 +55,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .components import components
-from .io import apply_bound, stage
+from .io import apply_bound, carried, carry, stage
 from .op6_substring_dedup import decode, encode
 from .words import Words, chunks, mix
 
@@ -61,16 +65,16 @@ PERCENT = 75
 SKETCH = 1 << 22
 SKETCH_RANGES = 256
 #: Fewest bits of a set's parity sketch (a power of two; a set of n elements
-#: has at least n), and columns of more nodes use it.
+#: has at least n).  Columns of more nodes go to blocks, shorter ones give pairs.
 SKETCH_BITS = 512
 LONG = 3
 #: Leading bits of each hash in the sets that are compared.
 SET_BITS = 48
-#: Nodes of one column handled together, and at most in one run of a column.
+#: Nodes of a block of columns that meet at once, and at most in one run of a column.
 BLOCK = 1024
 RUN = 1 << 16
-#: Entries of block products handled together.
-PART = 1 << 13
+#: Pairs gathered before they are added up and sent.
+HELD = 1 << 19
 #: Set elements of a block whose links are counted, and columns multiplied at once.
 ELEMENTS = 1 << 20
 STRIP = 1 << 11
@@ -79,6 +83,8 @@ BITMAP = 1 << 26
 
 _SIGNATURES = "doc_id {id}, n_shingles long, node long, sketch binary, range int, counts binary"
 _ENTRIES = "h long, salts int, salt int, node long, n int"
+_RUNS = "h long, salts int, nodes array<long>, ns array<int>"
+_PAIRS = "a long, b long, na int, nb int, overlap int"
 _SETS = "node long, hashes binary"
 
 
@@ -237,47 +243,121 @@ def _entries(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterato
                 pa.array(node), pa.array(np.repeat(np.array(ns, np.int32), lengths))], names)
 
 
+def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list]:
+    """Batches cut so that none splits a group of rows that are equal in the first
+    ``keys`` columns (the rows are sorted by them): the columns and the group's begins."""
+    held: list | None = None
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) if pa.types.is_integer(c.type) else
+                   np.array(c, object) for c in batch.columns]
+        if not len(columns[0]):
+            continue
+        if held is not None:
+            columns = [np.concatenate(both) for both in zip(held, columns)]
+        new = np.zeros(len(columns[0]), bool)
+        new[0] = True
+        for c in columns[:keys]:
+            new[1:] |= c[1:] != c[:-1]
+        begin = np.flatnonzero(new)
+        held = [c[begin[-1]:] for c in columns]     # the last group may go on
+        if len(begin) > 1:
+            yield [[c[:begin[-1]] for c in columns], begin[:-1]]
+    if held is not None:
+        yield [held, np.zeros(1, np.int64)]
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by column and node: drops repeated entries and columns of one
-    node, and adds the column's first node and the node before (streaming)."""
-    names = ["h", "salts", "salt", "node", "n", "pivot", "before"]
-    kept: list[np.ndarray] | None = None        # last row, not yet emitted
-    key = pivot = before = None
+    """Entries sorted by column, salt and node: one row a column (and salt), its
+    nodes ascending; columns of one node are dropped."""
+    for (h, salt, node, salts, n), begin in _grouped(batches, 2):
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = node[1:] != node[:-1]
+        fresh[begin] = True
+        node, n = node[fresh], n[fresh]
+        k = np.add.reduceat(fresh, begin, dtype=np.int64)
+        shared = (k > 1) | (salts[begin] > 1)
+        inside = np.repeat(shared, k)
+        offsets = pa.array(np.append(0, np.cumsum(k[shared])), pa.int32())
+        if shared.any():
+            yield pa.RecordBatch.from_arrays([
+                pa.array(h[begin][shared]), pa.array(salts[begin][shared]),
+                pa.ListArray.from_arrays(offsets, pa.array(node[inside])),
+                pa.ListArray.from_arrays(offsets, pa.array(n[inside]))], ["h", "salts", "nodes", "ns"])
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Of a batch of runs: each run's begin and length, all nodes and sizes."""
+    k = batch.column("nodes").value_lengths().to_numpy()
+    return (np.cumsum(k) - k, k, batch.column("nodes").flatten().to_numpy(), batch.column("ns").flatten().to_numpy())
 
+
+def _added(*columns: np.ndarray, by: int = 2) -> tuple[list[np.ndarray], np.ndarray]:
+    """Rows distinct in the first ``by`` columns, and how often each occurs."""
+    order = np.lexsort(columns[:by][::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([c[order][1:] != c[order][:-1] for c in columns[:by]])
+    begin = np.flatnonzero(new)
+    return [c[order[begin]] for c in columns], np.diff(np.append(begin, len(order)))
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, n, other, c): each node of a column with the column's first node and
+    with the one before."""
     for batch in batches:
-        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if not len(cols[0]):
+        begin, k, node, n = _flat(batch)
+        if not len(node):
             continue
-        if kept is not None:
-            cols = [np.concatenate([k, c]) for k, c in zip(kept, cols)]
-        h, salts, salt, node, n = cols
-        same = (h[1:] == h[:-1]) & (salt[1:] == salt[:-1])
-        fresh = np.concatenate([[True], ~(same & (node[1:] == node[:-1]))])
-        h, salts, salt, node, n = (c[fresh] for c in (h, salts, salt, node, n))
-        opens = np.concatenate([[True], (h[1:] != h[:-1]) | (salt[1:] != salt[:-1])])
-        begin = np.flatnonzero(opens)
-        run = np.cumsum(opens) - 1
-        first = node[begin][run]
-        prior = np.concatenate([node[:1], node[:-1]])
-        prior[begin] = node[begin]
-        if kept is not None and key is not None:    # the first row continues a run
-            head = run == 0
-            first[head] = pivot
-            prior[0] = before
-        length = np.diff(np.append(begin, len(h)))[run]
-        shared = (length > 1) | (salts > 1)
-        if kept is not None and pivot != cols[3][0]:
-            shared[run == 0] = True
-        # The last row waits: its run may go on.
-        last_more = slice(0, len(h) - 1)
-        out = [c[last_more][shared[last_more]] for c in (h, salts, salt, node, n, first, prior)]
-        if len(out[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names)
-        kept = [c[-1:] for c in (h, salts, salt, node, n)]
-        key, pivot, before = h[-1], first[-1], prior[-1]
-    if kept is not None and (pivot != kept[3][0] or kept[1][0] > 1):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in (*kept, np.array([pivot]), np.array([before]))], names)
+        first, before = np.repeat(node[begin], k), np.concatenate([node[:1], node[:-1]])
+        before[begin] = node[begin]
+        both, others = np.tile(node, 2), np.concatenate([first, before])
+        apart = both != others
+        if apart.any():
+            (node, other, n), c = _added(both[apart], others[apart], np.tile(n, 2)[apart])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node), pa.array(n), pa.array(other), pa.array(c)], ["node", "n", "other", "c"])
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, node, n, column) of the long columns: a column belongs to the block
+    of its smallest node, one of several runs to a block of its own."""
+    for batch in batches:
+        begin, k, node, n = _flat(batch)
+        if len(node):
+            h, salts = batch.column("h").to_numpy(), batch.column("salts").to_numpy()
+            block = np.where(salts > 1, h, node[begin])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(block, k)), pa.array(node), pa.array(n),
+                pa.array(np.repeat(h.view(np.uint64) >> np.uint64(32), k).astype(np.uint32).view(np.int32))],
+                ["block", "node", "n", "column"])
+
+
+def _sizes_allow(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    return 100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)
+
+
+def _pair_rows(a, b, na, nb) -> pa.RecordBatch:
+    swap = a > b
+    (a, b, na, nb), c = _added(np.where(swap, b, a), np.where(swap, a, b),
+                               np.where(swap, nb, na), np.where(swap, na, nb))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(a), pa.array(b), pa.array(na), pa.array(nb), pa.array(c.astype(np.int32))],
+        ["a", "b", "na", "nb", "overlap"])
+
+
+def _short_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of nodes of short columns that the sizes allow to link."""
+    for batch in batches:
+        begin, k, node, n = _flat(batch)
+        run = np.repeat(np.arange(len(k)), k)
+        found = []
+        for d in range(1, LONG):        # all pairs at distance d
+            i = np.flatnonzero(run[:-d] == run[d:]) if len(run) > d else np.zeros(0, np.int64)
+            i = i[_sizes_allow(n[i], n[i + d])]
+            found.append((node[i], node[i + d], n[i], n[i + d]))
+        pairs = [np.concatenate(c) for c in zip(*found)]
+        if len(pairs[0]):
+            yield _pair_rows(*pairs)
 
 
 def _bitmap(bits: DataFrame) -> np.ndarray:
@@ -348,133 +428,104 @@ def _allowed(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return pairs.mapInArrow(check, "a long, b long")
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of block products with no more than PART entries (or one product)."""
-    for batch in batches:
-        ends = np.cumsum(batch.column(2).value_lengths().to_numpy())
-        at = 0
-        while at < batch.num_rows:
-            before = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, before + PART, "right")))
-            yield batch.slice(at, to - at)
-            at = to
-
-
-class _Blocks:
-    """The block products of a batch, flat: rows ``cuts[r]:cuts[r + 1]`` belong
-    to product ``r`` of the blocks ``lo[r]`` and ``hi[r]``."""
-
-    def __init__(self, batch: pa.RecordBatch):
-        rows = batch.column(2)
-        self.lo, self.hi = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        self.cuts = np.append(0, np.cumsum(rows.value_lengths().to_numpy()))
-        fields = dict(zip((f.name for f in rows.type.value_type), rows.flatten().flatten()))
-        self.block, self.node, self.n, self.root = (
-            fields[c].to_numpy() for c in ("block", "node", "n", "root"))
-        self.has = fields["sketch"].is_valid().to_numpy(zero_copy_only=False)
-        self.at = np.cumsum(self.has) - 1       # row of a node's sketch
-        self.sketches = Sketches(fields["sketch"].drop_null().to_pylist())
-
-    def apart(self, i: int, others: np.ndarray) -> np.ndarray:
-        return self.sketches.apart(self.at[i], self.at[others])
-
-    def sizes_allow(self, i, others) -> np.ndarray:
-        a, b = self.n[i].astype(np.int64), self.n[others].astype(np.int64)
-        return 100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)
-
-    def sketches_allow(self, i: int, others: np.ndarray) -> np.ndarray:
-        both = self.n[others].astype(np.int64) + int(self.n[i])
-        return (100 + PERCENT) * self.apart(i, others) <= (100 - PERCENT) * both
-
-    def long(self) -> Iterator[tuple[int, np.ndarray]]:
-        """(row, rows it meets) of the products that carry sketches."""
-        for r in np.flatnonzero(np.diff(self.cuts)):
-            span = np.arange(self.cuts[r], self.cuts[r + 1])
-            if not self.has[span[0]]:
-                continue
-            left = span[self.block[span] == self.lo[r]]
-            for i in left.tolist():
-                yield i, (left[left > i] if self.lo[r] == self.hi[r]
-                          else span[self.block[span] == self.hi[r]])
+class _Product:
+    """One block of columns, or two node blocks of it: the nodes' incidence matrix
+    times itself.  ``pairs`` gives the rows (i, j) of the nodes that share a
+    column and may link by their sizes and sketches, and their overlaps."""
+
+    def __init__(self, part, node, n, columns, sketch):
+        self.node, self.n = node, n
+        self.rows = [np.frombuffer(c, np.int32) for c in columns]
+        self.sketches = Sketches(list(sketch))
+        lo, hi = part.min(), part.max()
+        self.left = np.flatnonzero(part == lo)
+        self.right = self.left if lo == hi else np.flatnonzero(part == hi)
+
+    def pairs(self, apart_from: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        left, right = self.left, self.right
+        mine = [self.rows[i] for i in left]
+        overlap = _shared(mine, mine if right is left else [self.rows[i] for i in right])
+        x, y = np.nonzero(np.triu(overlap, 1) if right is left else overlap)
+        i, j = left[x], right[y]
+        ok = _sizes_allow(self.n[i], self.n[j])
+        if apart_from is not None:
+            ok &= apart_from[i] != apart_from[j]
+        i, j, c = i[ok], j[ok], overlap[x[ok], y[ok]]
+        apart = self.sketches.apart(i, j)
+        ok = (100 + PERCENT) * apart <= (100 - PERCENT) * (self.n[i].astype(np.int64) + self.n[j])
+        return i[ok], j[ok], c[ok], apart[ok]
 
 
 def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, other, apart): for each node of a product the nearest sketch that
-    allows a link, the best of a batch."""
-    for batch in _parts(batches):
-        blocks = _Blocks(batch)
-        best: dict[int, tuple[int, int]] = {}
-        for i, others in blocks.long():
-            others = others[blocks.sizes_allow(i, others)]
-            others = others[blocks.sketches_allow(i, others)]
-            if len(others):
-                apart = blocks.apart(i, others)
-                for a, b, d in ([(i, int(others[apart.argmin()]), int(apart.min()))]
-                                + [(o, i, d) for o, d in zip(others.tolist(), apart.tolist())]):
-                    key, found = int(blocks.node[a]), (d, int(blocks.node[b]))
-                    if key not in best or found < best[key]:
-                        best[key] = found
-        if best:
-            yield pa.RecordBatch.from_arrays([
-                pa.array(list(best), pa.int64()), pa.array([b for _, b in best.values()], pa.int64()),
-                pa.array([d for d, _ in best.values()], pa.int64())], ["node", "other", "apart"])
+    """(node, other, apart): the nearest sketch that each node of a product meets."""
+    for (_, _, _, part, node, n, columns, sketch), begin in _grouped(batches, 3):
+        found = []
+        for lo, hi in zip(begin, [*begin[1:], len(node)]):
+            product = _Product(*(c[lo:hi] for c in (part, node, n, columns, sketch)))
+            i, j, _, apart = product.pairs()
+            a, b, d = np.concatenate([i, j]), np.concatenate([j, i]), np.tile(apart, 2)
+            order = np.lexsort((product.node[b], d, a))
+            a, b, d = a[order], b[order], d[order]
+            first = np.flatnonzero(np.diff(a, prepend=-1))
+            found.append((product.node[a[first]], product.node[b[first]], d[first]))
+        columns = [np.concatenate(c) for c in zip(*found)]
+        if len(columns[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "other", "apart"])
 
 
 def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, overlap) of nodes of different components that the sizes, and in
-    long columns the sketches, allow to link, added up inside a batch."""
+    """(a, b, na, nb, overlap) of the nodes of different components that a product
+    allows to link."""
     names = ["a", "b", "na", "nb", "overlap"]
 
-    def emit(blocks: _Blocks, found: list) -> pa.RecordBatch:
-        i, j = (np.concatenate(c) for c in zip(*found))
-        swap = blocks.node[i] > blocks.node[j]
-        i, j = np.where(swap, j, i), np.where(swap, i, j)
-        order = np.lexsort((blocks.node[j], blocks.node[i]))
-        i, j = i[order], j[order]
-        a, b = blocks.node[i], blocks.node[j]
-        begin = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-        c = np.diff(np.append(begin, len(a)))
+    def emit(found: list) -> pa.RecordBatch:
+        a, b, na, nb, c = (np.concatenate(x) for x in zip(*found))
+        swap = a > b
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (
-            a[begin], b[begin], blocks.n[i[begin]], blocks.n[j[begin]], c.astype(np.int32))], names)
-
-    for batch in _parts(batches):
-        blocks = _Blocks(batch)
-        found, held = [], 0
-        # Short columns: all pairs at distance d, for all columns at once.
-        product = np.repeat(np.arange(len(blocks.lo)), np.diff(blocks.cuts))
-        short = np.flatnonzero(~blocks.has)
-        for d in range(1, LONG):
-            i, j = short[:-d], short[d:]
-            ok = (product[i] == product[j]) & (blocks.root[i] != blocks.root[j]) & blocks.sizes_allow(i, j)
-            if ok.any():
-                found.append((i[ok], j[ok]))
-        for i, others in blocks.long():
-            others = others[(blocks.root[others] != blocks.root[i]) & blocks.sizes_allow(i, others)]
-            if len(others):
-                others = others[blocks.sketches_allow(i, others)]
-            if len(others):
-                found.append((np.full(len(others), i), others))
-                held += len(others)
-                if held > 500_000:
-                    yield emit(blocks, found)
-                    found, held = [], 0
-        if found:
-            yield emit(blocks, found)
-
-
-def _products(entries: DataFrame, columns: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Block products of the named columns (h, k): rows lo, hi and the two
-    blocks' entries, with sketches in long columns."""
-    dealt = (entries.join(columns, "h")
-             .withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
-             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-    long = F.col("k") > LONG
-    with_sketch = dealt.where(long).join(sketches, "node")
-    both = dealt.where(~long).withColumn("sketch", F.lit(None).cast("binary")).unionByName(with_sketch)
-    return (both.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .groupBy("h", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"))
-            .agg(F.collect_list(F.struct("block", "node", "n", "root", "sketch")).alias("rows"))
-            .select("lo", "hi", "rows"))
+            np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb),
+            c.astype(np.int32))], names)
+
+    found, held = [], 0
+    for (_, _, _, part, node, n, columns, sketch, root), begin in _grouped(batches, 3):
+        for lo, hi in zip(begin, [*begin[1:], len(node)]):
+            roots = root[lo:hi]
+            if (roots == roots[0]).all():
+                continue
+            product = _Product(*(c[lo:hi] for c in (part, node, n, columns, sketch)))
+            i, j, c, _ = product.pairs(roots)
+            if len(i):
+                found.append((product.node[i], product.node[j], product.n[i], product.n[j], c))
+                held += len(i)
+            if held > HELD:
+                yield emit(found)
+                found, held = [], 0
+    if found:
+        yield emit(found)
+
+
+def _products(blocks: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The rows of every product, sorted by it: block, lo, hi, part, node, n, columns,
+    sketch and the further columns of ``blocks``."""
+    more = [c for c in blocks.columns if c not in ("block", "node", "n", "columns")]
+    large = (blocks.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+             .where("parts > 1"))
+    parts = F.coalesce("parts", F.lit(1))
+    return (blocks.join(large, "block", "left").join(sketches, "node")
+            .withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+            .withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
+            .select("block", F.least("part", "with").alias("lo"), F.greatest("part", "with").alias("hi"),
+                    "part", "node", "n", "columns", "sketch", *more)
+            .repartition("block", "lo", "hi").sortWithinPartitions("block", "lo", "hi", "node"))
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block and node: one row each, with its columns as bytes."""
+    for (block, node, n, column), begin in _grouped(batches, 2):
+        ends = [*begin[1:], len(block)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(block[begin]), pa.array(node[begin]), pa.array(n[begin]),
+            pa.array([np.unique(column[lo:hi]).tobytes() for lo, hi in zip(begin, ends)], pa.binary())],
+            ["block", "node", "n", "columns"])
 
 
 def _rest(n: str) -> Column:
@@ -511,25 +562,31 @@ def _solve(docs: DataFrame) -> _Solved:
     sketches = reps.select("node", "sketch")
     frequent = _frequent(signatures)
 
-    # The kept entries of the incidence matrix, columns of one node dropped.
-    entries = stage(
+    # The kept entries of the incidence matrix, a row a column.
+    runs = stage(
         texts.mapInArrow(apply_bound(_entries, frequent), _ENTRIES)
+        .select("h", "salt", "node", "salts", "n")
         .repartition("h", "salt").sortWithinPartitions("h", "salt", "node")
-        .mapInArrow(_runs, _ENTRIES + ", pivot long, before long"), "jaccard-entries")
+        .mapInArrow(_runs, _RUNS), "jaccard-runs")
+    long = (F.size("nodes") > LONG) | (F.col("salts") > 1)
+    blocks = stage(
+        runs.where(long).mapInArrow(_dealt, "block long, node long, n int, column int")
+        .repartition("block", "node").sortWithinPartitions("block", "node")
+        .select("block", "node", "n", "column")
+        .mapInArrow(_listed, "block long, node long, n int, columns binary"), "jaccard-blocks")
 
     # First product: each node with the partner it meets most often, and with
-    # the nearest one of its long columns.
-    salted = entries.where("salts > 1 and pivot = node")
+    # the nearest one of its blocks.
+    salted = runs.where("salts > 1").select(
+        "h", F.element_at("nodes", 1).alias("node"), F.element_at("ns", 1).alias("n"))
     tops = salted.groupBy("h").agg(F.min("node").alias("top"))
-    met = (entries.select("node", "n", F.explode(F.array("pivot", "before")).alias("other"))
-           .unionByName(salted.join(tops, "h").select("node", "n", F.col("top").alias("other")))
-           .where("node <> other"))
-    often = (met.groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("c"))
+    met = (runs.mapInArrow(_met, "node long, n int, other long, c long")
+           .unionByName(salted.join(tops, "h").where("node <> top")
+                        .select("node", "n", F.col("top").alias("other"), F.lit(1).cast("long").alias("c"))))
+    often = (met.groupBy("node", "n", "other").agg(F.sum("c").alias("c"))
              .where((100 + PERCENT) * (F.col("c") + _rest("n")) >= 2 * PERCENT * F.col("n"))
              .groupBy("node").agg(F.max_by("other", F.struct("c", "other")).alias("other")))
-    sizes = entries.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > LONG)
-    near = (_products(entries.select("h", "node", "n", F.col("node").alias("root")), sizes, sketches)
-            .mapInArrow(_nearest, "node long, other long, apart long")
+    near = (_products(blocks, sketches).mapInArrow(_nearest, "node long, other long, apart long")
             .groupBy("node").agg(F.min_by("other", F.struct("apart", "other")).alias("other")))
     sized = (often.unionByName(near).select(
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
@@ -540,18 +597,16 @@ def _solve(docs: DataFrame) -> _Solved:
     links = stage(_linked(pairs, sets), "jaccard-links")
     labels = components(links)
 
-    # Full product over the columns that hold several components.
-    placed = _labelled(entries.select("h", "node", "n"), labels)
-    mixed = (placed.groupBy("h").agg(F.min("root").alias("first"), F.max("root").alias("last"),
-                                     F.count(F.lit(1)).alias("k"))
-             .where("first <> last").select("h", "k"))
-    overlaps = (_products(placed, mixed, sketches)
-                .mapInArrow(_cross_pairs, "a long, b long, na int, nb int, overlap int")
+    # Full product over the nodes of different components.
+    overlaps = (_products(_labelled(blocks, labels), sketches).mapInArrow(_cross_pairs, _PAIRS)
+                .unionByName(runs.where(~long).mapInArrow(_short_pairs, _PAIRS))
                 .groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap")))
     rest = F.greatest(_rest("na"), _rest("nb"))
-    open_pairs = stage(_allowed(overlaps.where(
-        (100 + PERCENT) * (F.col("overlap") + rest) >= PERCENT * (F.col("na") + F.col("nb"))), sketches),
-        "jaccard-pairs")
+    open_pairs = overlaps.where(
+        (100 + PERCENT) * (F.col("overlap") + rest) >= PERCENT * (F.col("na") + F.col("nb")))
+    for side in "ab":       # those of short columns may lie in one component
+        open_pairs = _labelled(open_pairs.withColumn("node", F.col(side)), labels).withColumnRenamed("root", f"r{side}")
+    open_pairs = stage(_allowed(open_pairs.where("ra <> rb").select("a", "b", "na", "nb"), sketches), "jaccard-pairs")
     sets = _full_sets(texts, _nodes_of(open_pairs), reps)
     more = stage(_linked(open_pairs, sets), "jaccard-links")
 
@@ -688,18 +743,17 @@ def jaccard_counts(docs: DataFrame) -> DataFrame:
 def _split(batches: Iterator[pa.RecordBatch], open_ids: np.ndarray, take_open: bool) -> Iterator[pa.RecordBatch]:
     """Rows whose id's bit is set (with their node), or the others."""
     for batch in batches:
-        bit = batch.column("_bit").to_numpy()
+        bit = batch.column("bit").to_numpy()
         hit = (open_ids[bit >> 6] >> (bit & 63) & 1).astype(bool)
         batch = batch.filter(pa.array(hit == take_open))
         if not take_open:
-            yield batch.select(["_row"])
+            yield batch.select(["row"])
             continue
         nodes: list[int | None] = []
-        for part in chunks(batch, "text"):
+        for part in chunks(carried(batch, ["text"]), "text"):
             nodes += [set_hash(s) if len(s) else None
                       for s in shingle_sets(Words(part.column("text"), lower=True))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("_row"), pa.array(nodes, pa.int64())], ["_row", "_node"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(nodes, pa.int64())], ["row", "node"])
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -713,14 +767,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "jaccard-verdicts")
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP))
     marked = _bitmap(verdicts.where("n > 1 or not kept").select(bit.alias("bit")))
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text",
-                         bit.alias("_bit"))
-    row = packed.schema["_row"]
+    packed = carry(docs, docs.columns, ["doc_id", "text"]).withColumn("bit", F.pmod(F.xxhash64("row.doc_id"), F.lit(BITMAP)))
+    row = packed.schema["row"]
     clear = packed.mapInArrow(apply_bound(_split, marked, False), StructType([row]))
     doubtful = packed.mapInArrow(apply_bound(_split, marked, True),
-                                 StructType([row, StructField("_node", LongType())]))
+                                 StructType([row, StructField("node", LongType())]))
     kept = verdicts.where("kept")
-    chosen = (doubtful.withColumn("_id", F.col("_row.doc_id"))
-              .join(kept, F.col("_id").eqNullSafe(kept["doc_id"]) & F.col("_node").eqNullSafe(kept["node"]), "left_semi")
-              .dropDuplicates(["_id", "_node"]).select("_row"))
-    return clear.unionByName(chosen).select("_row.*")
+    chosen = (doubtful.withColumn("id", F.col("row.doc_id"))
+              .join(kept, F.col("id").eqNullSafe(kept["doc_id"]) & doubtful["node"].eqNullSafe(kept["node"]), "left_semi")
+              .dropDuplicates(["id", "node"]).select("row"))
+    return clear.unionByName(chosen).select("row.*")
