@@ -14,13 +14,15 @@ separate words.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
 no languages; ties go to the alphabetically first language; without labelled
-rows every text is ``und``; repeated rows are separate texts; extra columns pass
-through.
+rows every text is ``und``; at most ``LANGUAGES`` languages are learned, those with the
+most labelled rows (of equal ones the alphabetically first), which bounds the
+model whatever values the column holds; repeated rows are separate texts; extra
+columns pass through and cannot clash (only the columns added here are replaced).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from .io import apply_bound, crc_bucket
+from .io import apply_bound, carried, carry, crc_bucket
 from .words import chunks, mix
 
 BITS = 16
@@ -37,6 +39,7 @@ SMOOTHING = 0.5
 ROUNDS = 10
 PENALTY = 3.0
 UNKNOWN = "und"
+LANGUAGES = 128
 
 
 def lower_letters(points: np.ndarray) -> np.ndarray:
@@ -122,10 +125,12 @@ def held_out():
 def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages (sorted) and their n-gram probabilities, one column each.
 
-    At most 2**BITS counts a language reach the driver, whatever the corpus."""
+    At most 2**BITS counts of LANGUAGES languages reach the driver, whatever the corpus."""
     known = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()).where(~held_out())
-    counted = (known.mapInArrow(_count, "lang string, bucket long, n long")
+    most = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    learned = [r["lang"] for r in most.collect()]
+    counted = (known.where(F.col("lang").isin(learned)).mapInArrow(_count, "lang string, bucket long, n long")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
     langs = sorted(counted["lang"].unique())
     counts = np.full((1 << BITS, len(langs)), SMOOTHING)
@@ -173,10 +178,9 @@ def infer(p: np.ndarray, logs: np.ndarray, n: np.ndarray) -> np.ndarray:
 def _predict(batches: Iterator[pa.RecordBatch], langs: list[str], table: np.ndarray) -> Iterator[pa.RecordBatch]:
     logs = np.log(table)
     for batch in batches:
-        others = [c for c in batch.schema.names if c != "_text"]
         pred, score, mixture = [], [], []
-        for part in chunks(batch, "_text"):
-            for buckets, n in gram_counts(part.column("_text")):
+        for part in chunks(carried(batch, ["text"]), "text"):
+            for buckets, n in gram_counts(part.column("text")):
                 if not len(buckets) or not langs:
                     pred.append(UNKNOWN)
                     score.append(0.0)
@@ -189,21 +193,28 @@ def _predict(batches: Iterator[pa.RecordBatch], langs: list[str], table: np.ndar
                 mixture.append([(langs[i], float(share[i])) for i in np.argsort(-share, kind="stable") if share[i] > 0])
         kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in others] + [
+            [batch.column("row")] + [
                 pa.array(pred, pa.string()), pa.array(score, pa.float64()),
                 pa.array([[{"lang": a, "share": b} for a, b in m] for m in mixture], kind)],
-            [*others, "_pred", "_score", "_languages"])
+            ["row", *ADDED])
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
-    """``docs`` with lang_pred, score and languages (the selected languages with
-    their proportions, largest first) of every whole text."""
-    new = {"lang_pred": "_pred", "score": "_score", "languages": "_languages"}
-    keep = [c for c in docs.columns if c not in new]
-    schema = StructType([docs.schema[c] for c in keep] + [
-        StructField("_pred", StringType()), StructField("_score", DoubleType()),
-        StructField("_languages", ArrayType(StructType([
+#: The columns that ``predict`` adds.
+ADDED = ["lang_pred", "score", "languages"]
+
+
+def judged(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: Sequence[str]) -> DataFrame:
+    """(row, lang_pred, score, languages): the columns ``keep`` as one struct."""
+    rows = carry(docs, keep, ["text"])
+    schema = StructType([
+        rows.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType()),
+        StructField("languages", ArrayType(StructType([
             StructField("lang", StringType()), StructField("share", DoubleType())])))])
-    return (docs.select(*keep, F.col("text").alias("_text"))
-            .mapInArrow(apply_bound(_predict, *model), schema)
-            .withColumnsRenamed({v: k for k, v in new.items()}))
+    return rows.mapInArrow(apply_bound(_predict, *model), schema)
+
+
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all) with lang_pred, score and languages
+    (the selected languages with their proportions, largest first) of every whole text."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ADDED]
+    return judged(docs, model, keep).select("row.*", *ADDED)

@@ -11,14 +11,16 @@ smallest hash of their id, so an unbiased sample), and of these no more than
 ``TRAIN_BYTES`` of text.  Scoring reads every whole text, in Arrow batches.
 
 Defined cases: null and empty texts have no feature and get the score of the
-intercept; rows whose label is null do not train; an id labelled several times
-counts as toxic if any label says so; without labelled rows (or without a toxic
-one) every score is 0; extra columns are ignored by the score and pass through.
+intercept; rows whose label, text or id is null do not train; an id labelled
+several times counts as toxic if any label says so, and trains with its shortest
+text; the sample does not depend on how the tables are split; without labelled
+rows (or without a toxic one) every score is 0; extra columns are ignored by the
+score, pass through and cannot clash (only the score's own column is replaced).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .io import apply_bound, bounded_sample, crc_bucket
+from .io import apply_bound, carried, carry, crc_bucket, training_texts
 from .words import PUNCTUATION, Words, chunks, mix
 
 BITS = 22
@@ -95,13 +97,11 @@ def sigmoid(x):
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Weights that are not zero; bucket -1 is the intercept."""
-    sets, labels, held = [], [], 0
+    sets, labels = [], []
     for batch in batches:
         for part in chunks(batch, "text"):
-            if held < TRAIN_BYTES:
-                held += part.column("text").nbytes
-                sets += feature_sets(part.column("text"))
-                labels += part.column("toxic").to_pylist()
+            sets += feature_sets(part.column("text"))
+            labels += part.column("label").to_pylist()
     model = Ftrl()
     if 0 < sum(labels):
         for epoch in range(EPOCHS):
@@ -117,12 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.
     """Buckets and weights learned from the labelled rows outside the held-out
     third (see ``held_out``)."""
     known = (labels.where(F.col("toxic").isNotNull()).where(~held_out())
-             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
-    sample = bounded_sample(known, "doc_id", rows)
-    training = (docs.select("doc_id", "text").where("text is not null")
-                .join(F.broadcast(sample), "doc_id")        # at most `rows` rows
-                .dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id")).limit(rows))
-    weights = training.select("text", "toxic").repartition(1).mapInArrow(
+             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")))
+    weights = training_texts(docs, known, rows, TRAIN_BYTES).mapInArrow(
         _fit, "bucket long, weight double").collect()       # L1 keeps them few
     return (np.array([r["bucket"] for r in weights], np.int64),
             np.array([r["weight"] for r in weights], np.float64))
@@ -137,23 +133,26 @@ def _score(batches: Iterator[pa.RecordBatch], buckets: np.ndarray, weights: np.n
     dense[buckets[buckets >= 0]] = weights[buckets >= 0]
     intercept = weights[buckets < 0].sum()
     for batch in batches:
-        others = [n for n in batch.schema.names if n != "_text"]
-        scores = []
-        for part in chunks(batch, "_text"):
-            doc, bucket = features(part.column("_text"))
+        scores = [np.zeros(0)]
+        for part in chunks(carried(batch, ["text"]), "text"):
+            doc, bucket = features(part.column("text").fill_null(""))
             hit = np.flatnonzero(dense[bucket])
             both = np.unique(doc[hit] << BITS | bucket[hit])
             sums = np.bincount(both >> BITS, dense[both & ((1 << BITS) - 1)], minlength=part.num_rows)
             scores.append(sigmoid(sums + intercept) if len(weights) else np.zeros(part.num_rows))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(n) for n in others] + [pa.array(np.concatenate(scores or [np.zeros(0)]))],
-            [*others, "_score"])
-
-
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], out: str = "score") -> DataFrame:
-    """``docs`` with the score of every whole text (0 to 1) in column ``out``."""
-    keep = [c for c in docs.columns if c != out]
-    schema = StructType([docs.schema[c] for c in keep] + [StructField("_score", DoubleType())])
-    return (docs.select(*keep, F.coalesce("text", F.lit("")).alias("_text"))
-            .mapInArrow(apply_bound(_score, *model), schema)
-            .withColumnRenamed("_score", out))
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(np.concatenate(scores))], ["row", "score"])
+
+
+def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: Sequence[str]) -> DataFrame:
+    """(row, score): the columns ``keep`` as one struct, the score of the whole text."""
+    rows = carry(docs, keep, ["text"])
+    return rows.mapInArrow(apply_bound(_score, *model),
+                           StructType([rows.schema["row"], StructField("score", DoubleType())]))
+
+
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], out: str = "score",
+          keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all) with the score of every whole text
+    (0 to 1) in column ``out``."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c != out]
+    return scored(docs, model, keep).select("row.*", F.col("score").alias(out))

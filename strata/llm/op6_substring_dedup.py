@@ -8,7 +8,8 @@ removal intervals.  All occurrences go, and all windows are judged on the input.
 How the windows are counted without a row a window:
 
 1. Rows are addressed by *chunk* (``CHUNK_ROWS`` neighbouring rows of one
-   file).  A chunk sorts its hashes, keeps two of equal ones at most, and sends
+   file; a text of ``LONG_BYTES`` is a chunk of its own, so a chunk's bytes are
+   bounded too, but for a single text).  A chunk sorts its hashes, keeps two of equal ones at most, and sends
    each hash range to that range's *bucket* as one delta-coded row.
 2. A bucket holds about a million windows at any corpus size (the number of
    buckets follows the input's text bytes); it finds the hashes that it
@@ -31,40 +32,46 @@ columns pass through; rows that do not come from files are stored first.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .io import apply_bound, stage
+from .io import apply_bound, carried, carry, stage
 from .words import Words, chunks, covered
 
 WINDOW = 35
 CHUNK_ROWS = 1024
+LONG_BYTES = 256 << 10
 #: Text bytes of the corpus for one bucket of hashes.
 BUCKET_BYTES = 8 << 20
 #: Text bytes whose hashes a task holds at once.
 HOLD_BYTES = 32 << 20
-CHUNK = "_chunk"
 #: Fields of a removal interval.
 SPAN = ("word_begin", "word_end", "byte_begin", "byte_end")
 
 
-def addressed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a chunk number that a second scan repeats."""
-    number = F.xxhash64("_metadata.file_path",
-                        F.floor(F.col("_metadata.row_index") / F.lit(CHUNK_ROWS)))
+def addressed(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """(row, used, chunk) of ``carry`` with a chunk number that a second scan repeats."""
+    def number(text: str) -> Column:
+        place = F.col("_metadata.row_index")
+        return F.xxhash64("_metadata.file_path", F.floor(place / F.lit(CHUNK_ROWS)),
+                          F.when(F.octet_length(text) >= LONG_BYTES, place))
     if "_metadata" not in docs.columns:
         try:
-            return docs.withColumn(CHUNK, number)
+            return carry(docs, keep, ["text"], chunk=number("text"))
         except AnalysisException:
             pass        # not a plain file scan
-    return stage(docs.select(*[c for c in docs.columns if c != "_metadata"]),
-                 "substring-input").withColumn(CHUNK, number)
+    stored = stage(carry(docs, keep, ["text"]), "substring-input")
+    return stored.withColumn("chunk", number(_text(keep)))
+
+
+def _text(keep: Sequence[str]) -> str:
+    return "row.text" if "text" in keep else "used.text"
 
 
 def encode(hashes: np.ndarray, base: int) -> bytes:
@@ -208,13 +215,13 @@ def _without(words: Words, column: pa.Array, spans: tuple[np.ndarray, ...]) -> t
     return pa.array(texts, pa.binary()).cast(pa.string()), pa.ListArray.from_arrays(pa.array(at), rows)
 
 
-def _cut(columns: list[str], window: int, with_text: bool, in_place: bool = False) -> Callable:
+def _cut(window: int, with_text: bool, in_place: bool) -> Callable:
     def cut(docs: pa.Table, repeated: pa.Table) -> pa.Table:
         sent = [np.frombuffer(p.as_py(), np.uint64) for p in repeated.column("hashes")]
         known = np.sort(np.concatenate(sent)) if sent else np.zeros(0, np.uint64)
         n_words, n_removed, digests, texts, spans = [], [], [], [], []
-        for batch in docs.select(["text"]).combine_chunks().to_batches():
-            for piece in chunks(batch, "text"):
+        if docs.num_rows:
+            for piece in chunks(carried(docs, ["text"]), "text"):
                 words = Words(piece.column("text"))
                 hashes, at = words.windows(window)
                 where = np.searchsorted(known, hashes)
@@ -234,9 +241,12 @@ def _cut(columns: list[str], window: int, with_text: bool, in_place: bool = Fals
                 elif with_text:
                     texts.append(pa.array(kept, pa.binary()).cast(pa.string()))
         none = [np.zeros(0, np.int64)]
-        out = {c: docs.column(c) for c in columns}
-        if with_text:
-            out["text"] = pa.chunked_array(texts, pa.string())
+        out = {"row": docs.column("row").combine_chunks()}
+        if with_text and docs.num_rows:
+            row = out["row"].chunk(0) if isinstance(out["row"], pa.ChunkedArray) else out["row"]
+            left = pa.concat_arrays(texts)
+            out["row"] = pa.StructArray.from_arrays(
+                [left if f.name == "text" else row.field(f.name) for f in row.type], fields=list(row.type))
         out |= {"n_words": pa.array(np.concatenate(n_words or none), pa.int64()),
                 "n_removed": pa.array(np.concatenate(n_removed or none), pa.int64()),
                 "kept_sha256": pa.array(digests, pa.string())}
@@ -250,31 +260,35 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True)
     """The columns of ``docs`` with ``text`` made of the kept words, one space
     between (or without ``text``), plus n_words and n_removed (long) and
     kept_sha256 (hex of the kept words)."""
-    return _judged(docs, window, with_text, False)
+    keep = [c for c in docs.columns if c not in ADDED and (with_text or c != "text")]
+    return judged(docs, keep, window, False).select("row.*", *ADDED)
 
 
 def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The columns of ``docs`` with only the removal intervals cut from ``text``,
     the columns of ``drop_repeats`` and ``spans``, the intervals of the text that
     was given: word_begin, word_end, byte_begin, byte_end (ends exclusive)."""
-    return _judged(docs, window, True, True)
+    keep = [c for c in docs.columns if c not in (*ADDED, "spans")]
+    return judged(docs, keep, window, True).select("row.*", *ADDED, "spans")
+
+
+#: The columns that both add.
+ADDED = ["n_words", "n_removed", "kept_sha256"]
 
 
-def _judged(docs: DataFrame, window: int, with_text: bool, in_place: bool) -> DataFrame:
-    rows = addressed(docs)
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def judged(docs: DataFrame, keep: Sequence[str], window: int, in_place: bool) -> DataFrame:
+    """(row, n_words, n_removed, kept_sha256 and, in place, spans): the columns
+    ``keep`` as one struct, with what is left of the text if they have it."""
+    rows = addressed(docs, keep)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, (int(size) // BUCKET_BYTES).bit_length())
-    sent = rows.select(CHUNK, "text").mapInArrow(
+    sent = rows.select("chunk", F.col(_text(keep)).alias("text")).mapInArrow(
         apply_bound(_send, bits, window), "bucket int, chunk long, hashes binary")
     repeated = stage(sent.groupBy("bucket").applyInArrow(
         _repeated(bits), "chunk long, hashes binary"), "substring-repeats")
-    results = {"n_words", "n_removed", "kept_sha256"} | ({"spans"} if in_place else set())
-    columns = [c for c in docs.columns if c not in results and (with_text or c != "text")]
-    schema = StructType([f for f in docs.schema if f.name in columns])
-    for name, kind in (("n_words", LongType()), ("n_removed", LongType()), ("kept_sha256", StringType())):
-        schema.add(StructField(name, kind))
+    schema = StructType([rows.schema["row"], StructField("n_words", LongType()), StructField("n_removed", LongType()),
+                         StructField("kept_sha256", StringType())])
     if in_place:
         schema.add(StructField("spans", ArrayType(StructType([StructField(f, LongType()) for f in SPAN]))))
-    others = [c for c in columns if c != "text"]
-    return (rows.groupBy(CHUNK).cogroup(repeated.groupBy("chunk"))
-            .applyInArrow(_cut(others, window, with_text, in_place), schema))
+    return (rows.groupBy("chunk").cogroup(repeated.groupBy("chunk"))
+            .applyInArrow(_cut(window, "text" in keep, in_place), schema))

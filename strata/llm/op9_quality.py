@@ -11,14 +11,16 @@ A text is kept when its probability of good quality reaches ``THRESHOLD``.
 Statistics and scores cover every whole text, in Arrow batches.
 
 Defined cases: a null text counts as empty (0 everywhere, ``base_failed``);
-an id labelled several times counts as bad if any label says so; without
-labelled rows of both kinds the statistics alone decide; repeated rows are
-separate texts; extra columns pass through.
+an id labelled several times counts as bad if any label says so, and trains with
+its shortest text; null labels, texts and ids do not train; the sample does not
+depend on how the tables are split; without labelled rows of both kinds the
+statistics alone decide; repeated rows are separate texts; extra columns pass
+through and cannot clash (only the columns added here are replaced).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from .io import apply_bound, bounded_sample
+from .io import apply_bound, carried, carry, training_texts
 from .words import Words, chunks, covered, mix, span_hashes
 
 MIN_WORDS = 20
@@ -174,13 +176,11 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Calibrated weights that are not zero; number -1 is the intercept."""
-    rows, labels, held = [], [], 0
+    rows, labels = [], []
     for batch in batches:
         for part in chunks(batch, "text"):
-            if held < TRAIN_BYTES:
-                held += part.column("text").nbytes
-                rows += vectors(Words(part.column("text")))
-                labels += part.column("quality").to_pylist()
+            rows += vectors(Words(part.column("text")))
+            labels += part.column("label").to_pylist()
     y = np.array(labels, np.float64)
     if not 0 < y.sum() < len(y):
         return
@@ -208,13 +208,9 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float] | None:
     """Dense weights (a fixed number) and intercept, None without both labels."""
     known = (labels.where(F.col("quality").isNotNull())
-             .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")))
-    sample = bounded_sample(known, "doc_id", rows)
-    training = (docs.select("doc_id", "text").where("text is not null")
-                .join(F.broadcast(sample), "doc_id")        # at most `rows` rows
-                .dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id")).limit(rows))
-    learned = (training.select("text", "quality").repartition(1)
-               .mapInArrow(_fit, "feature long, weight double").toPandas())
+             .groupBy("doc_id").agg(F.min("quality").cast("int").alias("label")))
+    learned = training_texts(docs, known, rows, TRAIN_BYTES).mapInArrow(
+        _fit, "feature long, weight double").toPandas()
     if not len(learned):
         return None
     weights = np.zeros(FAMILIES << BITS, np.float32)
@@ -225,10 +221,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.
 
 def _judge(batches: Iterator[pa.RecordBatch], model: tuple[np.ndarray, float] | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        others = [c for c in batch.schema.names if c != "_text"]
         found: list[list[np.ndarray]] = []
-        for part in chunks(batch, "_text"):
-            words = Words(part.column("_text"))
+        for part in chunks(carried(batch, ["text"]), "text"):
+            words = Words(part.column("text"))
             stats = statistics(words)
             n = stats["n_words"]
             failed = (n < MIN_WORDS) | (100 * stats["n_repeat_words"] > REPEAT_PERCENT * n)
@@ -237,18 +232,18 @@ def _judge(batches: Iterator[pa.RecordBatch], model: tuple[np.ndarray, float] |
                           ~failed & (p >= THRESHOLD), p])
         if found:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in others] + [pa.array(np.concatenate(c)) for c in zip(*found)],
-                [*others, *(f"_{s}" for s in STATISTICS), "_base_failed", "_kept", "_probability"])
-
-
-def judge(docs: DataFrame, model: tuple[np.ndarray, float] | None) -> DataFrame:
-    """``docs`` with the statistics, base_failed, kept and probability."""
-    new = [*STATISTICS, "base_failed", "kept", "probability"]
-    keep = [c for c in docs.columns if c not in new]
-    schema = StructType([docs.schema[c] for c in keep]
-                        + [StructField(f"_{s}", LongType()) for s in STATISTICS]
-                        + [StructField("_base_failed", BooleanType()), StructField("_kept", BooleanType()),
-                           StructField("_probability", DoubleType())])
-    return (docs.select(*keep, F.col("text").alias("_text"))
-            .mapInArrow(apply_bound(_judge, model), schema)
-            .withColumnsRenamed({f"_{c}": c for c in new}))
+                [batch.column("row")] + [pa.array(np.concatenate(c)) for c in zip(*found)], ["row", *ADDED])
+
+
+#: The columns that ``judge`` adds.
+ADDED = [*STATISTICS, "base_failed", "kept", "probability"]
+
+
+def judge(docs: DataFrame, model: tuple[np.ndarray, float] | None, keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all) with the statistics, base_failed,
+    kept and probability."""
+    rows = carry(docs, [c for c in (docs.columns if keep is None else keep) if c not in ADDED], ["text"])
+    schema = StructType([rows.schema["row"], *(StructField(s, LongType()) for s in STATISTICS),
+                         StructField("base_failed", BooleanType()), StructField("kept", BooleanType()),
+                         StructField("probability", DoubleType())])
+    return rows.mapInArrow(apply_bound(_judge, model), schema).select("row.*", *ADDED)

@@ -28,7 +28,7 @@ from .oracle import ORACLE_SQL
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).select(
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
         "doc_id", toxicity.held_out().alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
@@ -82,13 +82,13 @@ def ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.judge(docs, model).select(
+    return quality.judge(docs, model, ["doc_id"]).select(
         "doc_id", *quality.STATISTICS, "base_failed", "kept", "probability")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return language.predict(docs.select("doc_id", "text"), language.fit(docs)).select(
+    return language.predict(docs, language.fit(docs), ["doc_id"]).select(
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "languages")
 
 
