@@ -4,16 +4,16 @@
 predecessor kept, learns, where it learns, from those alone, and returns the
 columns of ``documents``; the last one returns the packed pieces.
 
-* language ID: a document stays if a learned language makes up at least half of
-  it; one without a letter goes (so, without labelled languages, only those go);
+* language ID: a document stays if it has a language, whatever its mixture; one
+  without a letter goes;
 * toxicity: a document with a score of 0.7 or more goes;
 * n-gram Jaccard join: the smallest doc_id of each class of near copies stays;
 * substring dedup: words in repeated 35-word windows go, every document stays,
   with all its other words and their white space as they are;
 * best-fit packing: one row a piece of a document.
 
-Columns of ``documents`` are carried in one struct, so that extra columns never
-clash with an operator's.  Null ids, texts and languages are handled as the
+Operators carry the columns of ``documents`` in one struct, so that extra columns
+never clash with theirs.  Null ids, texts and languages are handled as the
 operators state.
 """
 
@@ -26,28 +26,21 @@ from strata.llm import op1_toxicity as toxicity
 from strata.llm import op10_language_id as language
 from strata.llm.io import stage, table
 from strata.llm.op3_packing import pack_documents
-from strata.llm.op6_substring_dedup import cut_repeats
+from strata.llm.op6_substring_dedup import WINDOW, judged
 from strata.llm.op8_ngram_jaccard import one_of_each
 
-#: Smallest share of its main language that a document must have.
-MAIN_SHARE = 0.5
-
-
-def _packed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text")
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     langs, grams = language.fit(docs)
     if not langs:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    judged = language.predict(_packed(docs), (langs, grams))
-    return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MAIN_SHARE)).select("_row.*")
+    judged_docs = language.judged(docs, (langs, grams), docs.columns)
+    return judged_docs.where(F.col("lang_pred") != language.UNKNOWN).select("row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(_packed(docs), model).where(F.col("score") < toxicity.THRESHOLD).select("_row.*")
+    return toxicity.scored(docs, model, docs.columns).where(F.col("score") < toxicity.THRESHOLD).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,13 +48,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = cut_repeats(_packed(docs))
+    cut = judged(docs, docs.columns, WINDOW, True)
     kind = dict(docs.dtypes)
-    now = {"text": F.col("text")}
+    now = {}
     if "n_chars" in kind:       # the count of the text that is left
-        now["n_chars"] = (F.when(F.col("n_removed") > 0, F.char_length("text").cast(kind["n_chars"]))
-                          .otherwise(F.col("_row.n_chars")).alias("n_chars"))
-    return cut.select(*(now.get(c, F.col(f"_row.`{c}`")) for c in docs.columns))
+        now["n_chars"] = (F.when(F.col("n_removed") > 0, F.char_length("row.text").cast(kind["n_chars"]))
+                          .otherwise(F.col("row.n_chars")).alias("n_chars"))
+    return cut.select(*(now.get(c, F.col(f"row.`{c}`")) for c in docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
