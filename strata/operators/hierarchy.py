@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -117,3 +118,74 @@ def flatten_hierarchy(leaves: DataFrame, nodes: DataFrame, id_col: str, parent_c
                        F.when(F.col("_found").isNull(), F.lit(level)))
         ).withColumn("_next", F.col(f"_up_{level}")).drop("_found", f"_up_{level}")
     return cur.drop("_next")
+
+
+# The outcomes of ``walk_to_root``.
+COMPLETE, PARENT_MISSING, CYCLE, BELOW_CYCLE = "complete", "parent missing", "cycle", "below a cycle"
+
+
+def walk_to_root(nodes: DataFrame, id_col: str, parent_col: str, separator: str = "/") -> DataFrame:
+    """Every node of a ragged adjacency list with its way up, whatever its depth:
+    ``node``, ``root``, ``depth`` (0 at a root), ``path`` (from the root down) and ``outcome``.
+
+    By pointer doubling: after round r every open node knows its ancestor 2^r
+    steps up and the ids between, so a list of depth d takes log2(d) rounds, each
+    one join with the nodes that are a parent (see ``left_lookup``) whose result
+    is stored.  As long as a chain reaches a root, each round closes some node;
+    when none closes, all that are open lead to a cycle.
+
+    Outcomes: ``complete``; ``parent missing`` (the topmost known node names a
+    parent that is not in the list; it counts as the root); ``cycle`` (the node is
+    its own ancestor) and ``below a cycle``, both without root, depth and path.
+    An id given several times counts once, with its smallest parent; a node that
+    names itself is a cycle; rows without id are left out."""
+    spark = nodes.sparkSession
+    listed = nodes.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("node")).agg(
+        F.min(parent_col).alias("parent"))
+    known = stored(listed, "walk-nodes")
+    named = known.select(F.col("parent").alias("_p")).where("_p is not null").distinct()
+    inner = known.join(named, known["node"] == named["_p"], "left_semi").select(F.col("node").alias("_known"))
+    start = left_lookup(known, "parent", stored(inner.withColumn("_is", F.lit(True)), "walk-parents"), "_known",
+                        ["node"])
+    orphan = F.col("parent").isNotNull() & F.col("_is").isNull()
+    # up: the ancestor reached (null at the top), way: the ids from there down to the node.
+    now = stored(start.select(
+        "node", F.when(~orphan, F.col("parent")).alias("up"), F.array("node").alias("way"),
+        F.when(orphan, PARENT_MISSING).otherwise(COMPLETE).alias("outcome")), "walk")
+    open_before = -1
+    while (open_now := now.where("up is not null").count()) not in (0, open_before):
+        now, open_before = stored(_doubled(now), "walk"), open_now
+    done = now.where("up is null").select(
+        "node", F.element_at("way", 1).alias("root"), (F.size("way") - 1).alias("depth"),
+        F.array_join("way", separator).alias("path"), "outcome")
+    if not open_now:
+        return done
+    # 2^r steps up with 2^r beyond the longest tail every way ends on its cycle,
+    # and every node of a cycle is such an end.
+    left = now.where("up is not null").select("node", "up")
+    for _ in range(math.ceil(math.log2(open_now)) + 1):
+        ups = left.select(F.col("node").alias("_n"), F.col("up").alias("_u"))
+        left = stored(left_lookup(left, "up", ups, "_n", ["node"]).select("node", F.col("_u").alias("up")), "walk-cycles")
+    on_cycle = left.select(F.col("up").alias("_c")).distinct()
+    stuck = left.join(on_cycle, left["node"] == on_cycle["_c"], "left")
+    nothing = F.lit(None).cast(nodes.schema[id_col].dataType)
+    return done.unionByName(stuck.select(
+        "node", nothing.alias("root"), F.lit(None).cast("int").alias("depth"), F.lit(None).cast("string").alias("path"),
+        F.when(F.col("_c").isNotNull(), CYCLE).otherwise(BELOW_CYCLE).alias("outcome")))
+
+
+def _doubled(now: DataFrame) -> DataFrame:
+    """One round: open ways are continued by the way of the node they reached."""
+    closed, going = now.where("up is null"), now.where("up is not null")
+    reached = going.select(F.col("up").alias("_r")).distinct()
+    above = stored(now.join(reached, now["node"] == reached["_r"], "left_semi").select(
+        F.col("node").alias("_n"), F.struct("up", "way", "outcome").alias("_a")), "walk-above")
+    joined = left_lookup(going, "up", above, "_n", ["node"])
+    return closed.unionByName(joined.select(
+        "node", F.col("_a.up").alias("up"), F.concat("_a.way", "way").alias("way"), F.col("_a.outcome").alias("outcome")))
+
+
+def root_report(walked: DataFrame) -> DataFrame:
+    """Per root (and per outcome without one): nodes and greatest depth."""
+    return walked.groupBy("root", "outcome").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_nodes"), F.max("depth").alias("max_depth"))

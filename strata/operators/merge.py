@@ -7,7 +7,8 @@ survives updates; ``ModifiedDateTime`` moves only when some column differs
 
 A key given several times by the source counts once, with the row whose
 ``update_cols`` are the largest (compared in their order, nulls smallest); a
-null key is an ordinary key.
+null key is an ordinary key.  Target columns that are neither key nor updated nor
+a time stamp keep their values; an inserted row has nulls there.
 """
 
 from __future__ import annotations
@@ -37,8 +38,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     j = t.join(s, cond, "full_outer")
     in_s, in_t = F.col("_in_s").isNotNull(), F.col("_in_t").isNotNull()
     moved = ~in_t | changed([F.col(f"_new.{c}") for c in update_cols], [F.col(c) for c in update_cols])
+    stamped = {*keys, *update_cols, inserted_col, modified_col}
     return j.select(
         *[F.coalesce(F.col(f"_s_{k}"), F.col(k)).alias(k) for k in keys],
         *[F.when(in_s, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in update_cols],
         F.when(in_t, F.col(inserted_col)).otherwise(load_ts).alias(inserted_col),
-        F.when(in_s & moved, load_ts).otherwise(F.col(modified_col)).alias(modified_col))
+        F.when(in_s & moved, load_ts).otherwise(F.col(modified_col)).alias(modified_col),
+        *[F.col(f"`{c}`") for c in target.columns if c not in stamped])

@@ -118,3 +118,51 @@ def route_files(tagged: DataFrame, reason_col: str = REASON, file_col: str = "so
     return (_with_file_verdict(tagged, reason_col, file_col, max_files, None)
             .withColumn(zone_col, F.when(F.col("_file_bad") == 1, F.lit("reject")).otherwise(F.lit("archive")))
             .drop("_file_bad"))
+
+
+# ---- all violations of a row, and what they mean for its file
+
+def violations(rules: Sequence[Rule]) -> Column:
+    """Bitmap of the rules that a row violates: bit i for the i-th rule (63 rules
+    at most; a rule that is null for a row is not violated)."""
+    if len(rules) > 63:
+        raise ValueError("at most 63 rules fit a bitmap")
+    bits = F.lit(0).cast("long")
+    for i, (_, broken) in enumerate(rules):
+        bits = bits + F.when(broken, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
+    return bits
+
+
+def _has(bitmap: str, bit: int) -> Column:
+    return F.expr(f"{bitmap} & {1 << bit}L") != 0
+
+
+def violation_report(tagged: DataFrame, rules: Sequence[Rule], bitmap: str = "violations",
+                     file_col: str = "source_file") -> DataFrame:
+    """(file, rule, n_rows, n_violations) for every rule, zeros included, from the
+    bitmaps in one aggregate over the files (map-side combined)."""
+    counts = [F.sum(_has(bitmap, i).cast("int")).cast("bigint").alias(f"_v{i}") for i in range(len(rules))]
+    per_file = tagged.groupBy(file_col).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"), *counts)
+    return per_file.select(file_col, "n_rows", F.inline(F.array(*(
+        F.struct(F.lit(reason).alias("rule"), F.col(f"_v{i}").alias("n_violations"))
+        for i, (reason, _) in enumerate(rules)))))
+
+
+def file_verdicts(tagged: DataFrame, rules: Sequence[Rule], max_percent: int, fatal: Sequence[str] = (),
+                  bitmap: str = "violations", file_col: str = "source_file") -> DataFrame:
+    """One row a file: n_rows, n_bad (rows with a violation), n_fatal (rows that
+    violate one of the rules ``fatal``) and accepted, which holds when no row is
+    fatal and at most ``max_percent`` of the rows are bad.  With 0 any bad row
+    rejects the file; with 100 only a fatal one does."""
+    names = [reason for reason, _ in rules]
+    unknown = set(fatal) - set(names)
+    if unknown:
+        raise ValueError(f"no such rules: {sorted(unknown)}")
+    deadly = F.lit(False)
+    for reason in fatal:
+        deadly = deadly | _has(bitmap, names.index(reason))
+    n_bad, n_fatal = F.sum((F.col(bitmap) != 0).cast("int")), F.sum(deadly.cast("int"))
+    return tagged.groupBy(file_col).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"), n_bad.cast("bigint").alias("n_bad"),
+        n_fatal.cast("bigint").alias("n_fatal"),
+        ((n_fatal == 0) & (100 * n_bad <= max_percent * F.count(F.lit(1)))).alias("accepted"))

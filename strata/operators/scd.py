@@ -5,12 +5,14 @@ is kept when it is the key's first appearance or any tracked column differs
 (null-safe) from the key's previous kept row; ``ValidTo`` is the next kept
 row's ``ValidFrom``; the row without a successor is the active one.  One
 shuffle on the key serves both windows (same partitioning and order).
-A key missing from a later extract stays active (extracts are deltas).
+A key missing from a later extract stays active (extracts are deltas);
+``history`` also knows full extracts, which close the keys they do not list, and
+``splice_extract`` applies extracts in any order of arrival.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,3 +97,59 @@ def apply_extract(current: DataFrame, extract: DataFrame, key: str, version: str
                .drop("_ck", "_cv"))
     history = current.filter(F.col(active) != 1)
     return history.unionByName(updated).unionByName(arriving.select(*current.columns))
+
+
+def history(versions: DataFrame, key: str, version: str, tracked: Sequence[str],
+            effective: Callable[[Column], Column], full_versions: Sequence[int] = (),
+            valid_from: str = "ValidFrom", valid_to: str = "ValidTo", active: str = "isActive") -> DataFrame:
+    """``version_dimension`` over extracts of which some, ``full_versions`` (a few
+    numbers), list every living key.  The first full extract after a sighting of
+    a key that neither it nor an extract in between lists closes the key at its
+    effective time; a key that comes back later begins a new version, also with
+    its old values.  ``effective`` gives the time of a version number."""
+    rows = one_per_version(versions, key, version).withColumn("_gone", F.lit(False))
+    w = Window.partitionBy(key).orderBy(version)
+    if full_versions:
+        numbers = F.array(*(F.lit(v).cast(versions.schema[version].dataType) for v in full_versions))
+        closing = F.array_min(F.filter(numbers, lambda v: v > F.col(version)))
+        missed = rows.select(key, version, closing.alias("_closing"), F.lead(version).over(w).alias("_after")).where(
+            F.col("_closing").isNotNull() & (F.col("_after").isNull() | (F.col("_after") > F.col("_closing"))))
+        ends = missed.select(key, F.col("_closing").alias(version), F.lit(True).alias("_gone"))
+        rows = rows.unionByName(ends, allowMissingColumns=True)
+    seen = [*tracked, "_gone"]
+    keep = F.lag(F.col(version)).over(w).isNull() | changed(
+        [F.col(c) for c in seen], [F.lag(c).over(w) for c in seen])
+    kept = rows.withColumn("_keep", keep).filter("_keep").drop("_keep").withColumn(valid_from, effective(F.col(version)))
+    return (kept.withColumn(valid_to, F.lead(valid_from).over(w)).filter("not _gone").drop("_gone")
+            .withColumn(active, F.col(valid_to).isNull().cast("int")))
+
+
+def splice_extract(current: DataFrame, staged: DataFrame, arrived: int, key: str, version: str,
+                   tracked: Sequence[str], effective: Callable[[Column], Column],
+                   full_versions: Sequence[int] = (), valid_from: str = "ValidFrom",
+                   valid_to: str = "ValidTo", active: str = "isActive") -> DataFrame:
+    """Apply the extract number ``arrived`` to the stored versions, whatever
+    extracts came before it.
+
+    ``staged`` holds all extracts that have arrived, this one included, and
+    ``full_versions`` names the full ones among them.  The extract meets the
+    stored intervals that hold its effective time: a key with equal values there
+    is untouched; one that differs, that no interval holds or that a full extract
+    does not list is spliced: its versions are rebuilt from its own rows in
+    ``staged`` (one semi join), so an interval may be split, shortened, merged
+    with its neighbour or closed.  Equals ``history`` over all of ``staged``, in
+    any order of arrival.  Null keys are one key."""
+    at = effective(F.lit(arrived).cast(staged.schema[version].dataType))
+    new = one_per_version(staged.where(F.col(version) == arrived), key, version)
+    new = new.select(F.col(key).alias("_k"), *(F.col(c).alias(f"_n_{c}") for c in tracked), F.lit(True).alias("_new"))
+    held = current.where((F.col(valid_from) <= at) & (F.col(valid_to).isNull() | (F.col(valid_to) > at)))
+    held = held.select(F.col(key).alias("_h"), *(F.col(c).alias(f"_o_{c}") for c in tracked), F.lit(True).alias("_held"))
+    both = new.join(held, new["_k"].eqNullSafe(held["_h"]), "full_outer" if arrived in full_versions else "left")
+    touched = (F.col("_new").isNull() | F.col("_held").isNull()
+               | changed([F.col(f"_n_{c}") for c in tracked], [F.col(f"_o_{c}") for c in tracked]))
+    spliced = both.where(touched).select(
+        F.when(F.col("_new"), F.col("_k")).otherwise(F.col("_h")).alias("_spliced")).distinct()
+    own = staged.join(spliced, staged[key].eqNullSafe(spliced["_spliced"]), "left_semi")
+    rebuilt = history(own, key, version, tracked, effective, full_versions, valid_from, valid_to, active)
+    rest = current.join(spliced, current[key].eqNullSafe(spliced["_spliced"]), "left_anti")
+    return rest.unionByName(rebuilt.select(*current.columns))

@@ -3,6 +3,8 @@ lookup -> SCD versions -> gold."""
 
 from __future__ import annotations
 
+from typing import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from strata.functions.keys import stable_key
 from strata.functions.predicates import first_reason
 from strata.functions.text import clean_text, label
 from strata.operators.hierarchy import lookup_parent, split_roots
-from strata.operators.scd import account_status, apply_extract, version_dimension
+from strata.operators.scd import account_status, apply_extract, history, splice_extract, version_dimension
 
 REQUIRED = ("RowId", "AccountNo", "AccountDesc", "ParentRowId", "DateOpened")
 TRACKED = ("AccountDesc", "PrimaryGroupNo", "DateOpened", "DateClosed")
@@ -68,6 +70,23 @@ def apply_new_extract(current_silver: DataFrame, extract: DataFrame, effective)
     return _finish(v)
 
 
+def silver_of_any_order(staged: DataFrame, order: Sequence[int], full: Sequence[int], effective,
+                        store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Silver after the extracts of ``staged`` (``with_parents``) arrived in
+    ``order``; those in ``full`` list every living account.  ``store`` writes
+    each step's result and reads it back."""
+    names = {"key": "AccountNo", "version": "version", "tracked": TRACKED, "effective": effective}
+    arrived: list[int] = []
+    current = None
+    for number in order:
+        arrived.append(number)
+        seen = staged.where(F.col("version").isin(arrived))
+        known_full = [v for v in full if v in arrived]
+        current = store(history(seen, full_versions=known_full, **names) if current is None
+                        else splice_extract(current, seen, number, full_versions=known_full, **names))
+    return _finish(current)
+
+
 def gold(silver_df: DataFrame) -> DataFrame:
     return silver_df.filter(F.col("isActive") == 1).select(
         label("AccountNo", "AccountDesc").alias("Account"),

@@ -15,9 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.text import clean_text
+from strata.operators.asof import carry_as_of, overlapping_versions
 from strata.operators.audit import audit_frame, observed
-from strata.operators.quality import conservation, file_policy, route_files, split_unresolved
+from strata.operators.hierarchy import root_report, walk_to_root
+from strata.operators.quality import (conservation, file_policy, file_verdicts, route_files, split_unresolved,
+                                      violation_report, violations)
 from strata.operators.refresh import partition_keys, refresh_partitions, retain
+from strata.operators.registry import register, resolve
 from strata.operators.scd import changed_keys, new_keys
 from strata.operators.sets import duplicate_keys, set_difference, set_difference_all
 from strata.operators.star import resolve_as_of
@@ -26,9 +30,11 @@ from strata.plans.pipelines import AS_OF, RUN_ID, Zones, land_invoices, land_var
 from strata.session import scratch_path, session_key
 from strata.sources.files import IS_HEADER, SOURCE, header_files
 from strata.sources.tables import read_optional, read_table
-from strata.sources.testdata import INVOICE_SOURCE_SCHEMA, invoice_lines, table, version_effective
+from strata.sources.testdata import (INVOICE_SOURCE_SCHEMA, invoice_lines, referrals, table,
+                                     version_effective)
 from strata.sources.writers import append_evolved, write_csv, write_table
 from strata.streaming.arrival import ingest_available, ingest_csv_available
+from strata.streaming.late import (REASON_LATE, REASON_NO_TIME, ingest_within_watermark, read_late)
 
 # Fixed parameters pinned so results are reproducible (AS_OF and RUN_ID come
 # with the pipeline).
@@ -37,6 +43,9 @@ LOAD_TS_2 = "2001-06-01 00:00:00"
 REFRESH_FROM = "1999-07-01"
 STREAM_SECOND_ROUND_FROM = "2024-01-16"
 STREAM_FILES_PER_BATCH = 10
+STREAM_DELAY = "20 days"
+MAX_BAD_PERCENT = 10
+FIRST_LOAD_BEFORE = 1998
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,6 +168,22 @@ def q_invoice_reject_reasons(spark, sf_dir):
             .groupBy("reason").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
+def _violations(spark, sf_dir):
+    """Typed rows with the bitmap of all rules they violate."""
+    return _typed(spark, sf_dir).withColumn("violations", violations(invoice.gate_rules()))
+
+
+def q_invoice_violations(spark, sf_dir):
+    """Every rule's violations in every file, not only a row's first reason."""
+    return violation_report(_violations(spark, sf_dir), invoice.gate_rules())
+
+
+def q_invoice_threshold_policy(spark, sf_dir):
+    """Files are rejected for a malformed row or for too many bad ones."""
+    return file_verdicts(_violations(spark, sf_dir), invoice.gate_rules(), MAX_BAD_PERCENT,
+                         fatal=[invoice.REASON_MALFORMED, invoice.REASON_HEADER])
+
+
 def q_conservation(spark, sf_dir):
     """Rows landed, staged and rejected, each counted in its own store."""
     def rows(df, name):
@@ -239,6 +264,38 @@ def q_account_scd_incremental(spark, sf_dir):
     return account.apply_new_extract(current, v.filter(F.col("version") == 2), version_effective)
 
 
+def _spliced(spark, sf_dir, order, full):
+    staged_path = scratch_path(spark, "account-extracts")
+    write_table(account.with_parents(_versions(spark, sf_dir)), staged_path, partition_by=["version"])
+
+    def store(df):
+        path = scratch_path(spark, "account-spliced")
+        write_table(df, path)
+        return read_table(spark, path)
+    return account.silver_of_any_order(read_table(spark, staged_path), order, full, version_effective, store)
+
+
+def q_account_scd_late(spark, sf_dir):
+    """The newest extract arrives first, the two older ones late: must equal the
+    full recompute."""
+    return _spliced(spark, sf_dir, (2, 0, 1), ())
+
+
+def q_account_scd_closed(spark, sf_dir):
+    """The last extract is a full one, which closes the accounts it does not
+    list; extract 1 arrives after it."""
+    return _spliced(spark, sf_dir, (0, 2, 1), (2,))
+
+
+def q_account_tree_walk(spark, sf_dir):
+    """A ragged adjacency list of unknown depth, with rings and missing parents."""
+    return walk_to_root(referrals(spark, sf_dir), "node", "parent")
+
+
+def q_account_tree_roots(spark, sf_dir):
+    return root_report(walk_to_root(referrals(spark, sf_dir), "node", "parent"))
+
+
 def q_account_gold(spark, sf_dir):
     return account.gold(_read(spark, sf_dir, "silver", "account"))
 
@@ -377,6 +434,24 @@ def q_star_lookup_as_of(spark, sf_dir):
     return out.select("InvoiceNumber", "LineItem", "Product", "Date", "Account", "AccountSkey")
 
 
+def q_star_lookup_as_of_carried(spark, sf_dir):
+    """The same lookup by one sort of facts and versions together."""
+    versions = _read(spark, sf_dir, "silver", "account")
+    out = carry_as_of(_valid_rows(spark, sf_dir), versions, fact_col="Account", at_col="Date",
+                      dim_col="AccountNo", key_col="AccountSkey", out_col="AccountSkey",
+                      spread_by=["InvoiceNumber", "LineItem"])
+    return out.select("InvoiceNumber", "LineItem", "Product", "Date", "Account", "AccountSkey")
+
+
+def q_version_overlaps(spark, sf_dir):
+    """Account versions of which some end 400 days late: the overlaps."""
+    versions = _read(spark, sf_dir, "silver", "account")
+    late = F.col("AccountNo").cast("bigint") % 2 == 0
+    stretched = versions.withColumn("ValidTo", F.when(late, F.col("ValidTo") + F.expr("INTERVAL 400 DAYS"))
+                                    .otherwise(F.col("ValidTo")))
+    return overlapping_versions(stretched, "AccountNo", "AccountSkey")
+
+
 def q_fact_valid(spark, sf_dir):
     """The silver fact: valid rows, stored partitioned by Year/Month."""
     fact = _read(spark, sf_dir, "silver", "fact/invoice")
@@ -453,6 +528,17 @@ def q_fact_gold(spark, sf_dir):
     return invoice.gold(q_fact_valid(spark, sf_dir), AS_OF)
 
 
+def q_fact_gold_numbered(spark, sf_dir):
+    """The gold fact under dense BIGINT keys from a registry that was filled in
+    two loads; the second holds all rows of the first again."""
+    facts = q_fact_valid(spark, sf_dir)
+    path, keys = scratch_path(spark, "fact-registry"), ["FactInvoiceSkey"]
+    register(spark, facts.where(F.col("Year") < FIRST_LOAD_BEFORE), path, keys, "FactInvoiceNo")
+    registry = register(spark, facts, path, keys, "FactInvoiceNo")
+    return resolve(invoice.gold(facts, AS_OF), registry, keys, "FactInvoiceNo").select(
+        "FactInvoiceNo", "FactInvoiceSkey", "AccountSkey", "ProductSkey", "TimeSkey", "NetValue")
+
+
 def _valid_with_product(spark, sf_dir):
     facts = q_fact_valid(spark, sf_dir)
     prods = _product_gold(spark, sf_dir).select("ProductSkey", "BrandCode", "PackCode")
@@ -509,6 +595,33 @@ def q_stream_file_arrival(spark, sf_dir):
         F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total_value"))
 
 
+def q_stream_late_quarantine(spark, sf_dir):
+    """Newer days arrive first; then the older ones, every seventh event once more and
+    some without a time.  Days beyond the watermark are quarantined."""
+    events = table(spark, sf_dir, "events")
+    src, root = scratch_path(spark, "events-late-src"), scratch_path(spark, "events-late")
+    newer = F.col("ts") >= F.lit(STREAM_SECOND_ROUND_FROM).cast("timestamp_ntz")
+    timeless = events.where(F.col("event_id") % 11 == 0).withColumns({
+        "event_id": F.col("event_id") + 1_000_000_000, "ts": F.lit(None).cast("timestamp_ntz")})
+    rounds = [events.where(newer),
+              events.where(~newer).unionByName(events.where(F.col("event_id") % 7 == 0)).unionByName(timeless)]
+    for rows in rounds:
+        write_table(rows, src, mode="append")
+        tables = ingest_within_watermark(spark, events.schema, src, root, ["event_id"], "ts", STREAM_DELAY,
+                                         max_files_per_batch=None)
+    stored = read_table(spark, tables.stored).select("event_type", "value", F.lit("stored").alias("fate"))
+    late = read_late(spark, tables, events.schema).select("event_type", "value", F.col("late_reason").alias("fate"))
+    arrived = read_table(spark, tables.arrived).select("event_type", "value", F.lit("arrived").alias("fate"))
+
+    def n(fate):
+        return F.sum((F.col("fate") == fate).cast("int")).cast("bigint")
+    value = F.when(F.col("fate") == "stored", F.col("value").cast("decimal(18,2)"))
+    return stored.unionByName(late).unionByName(arrived).groupBy("event_type").agg(
+        n("arrived").alias("n_arrived"), n("stored").alias("n_stored"), n(REASON_LATE).alias("n_late"),
+        n(REASON_NO_TIME).alias("n_no_time"), F.sum(value).cast("decimal(38,2)").alias("stored_value")).withColumn(
+        "n_repeats", F.col("n_arrived") - F.col("n_stored") - F.col("n_late") - F.col("n_no_time"))
+
+
 def q_stream_invoice_arrival(spark, sf_dir):
     """The invoice landing consumed as a stream of arriving files: every file
     gated once; a rerun with no new files stages nothing."""
@@ -568,4 +681,14 @@ QUERIES: dict[str, Query] = {
     "audit_rows": q_audit_rows,
     "stream_file_arrival": q_stream_file_arrival,
     "stream_invoice_arrival": q_stream_invoice_arrival,
+    "stream_late_quarantine": q_stream_late_quarantine,
+    "account_tree_walk": q_account_tree_walk,
+    "account_tree_roots": q_account_tree_roots,
+    "star_lookup_as_of_carried": q_star_lookup_as_of_carried,
+    "version_overlaps": q_version_overlaps,
+    "account_scd_late": q_account_scd_late,
+    "account_scd_closed": q_account_scd_closed,
+    "fact_gold_numbered": q_fact_gold_numbered,
+    "invoice_violations": q_invoice_violations,
+    "invoice_threshold_policy": q_invoice_threshold_policy,
 }

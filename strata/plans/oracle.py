@@ -515,3 +515,113 @@ SELECT event_type, CAST(count(*) AS BIGINT) AS n_events,
        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_value
 FROM events GROUP BY event_type""".strip(),
 }
+
+# ---- late rows, trees of any depth, carried lookups, spliced versions, numbers, violations
+
+ORACLE_SQL["star_lookup_as_of_carried"] = ORACLE_SQL["star_lookup_as_of"]
+ORACLE_SQL["account_scd_late"] = ORACLE_SQL["account_scd_versions"]
+
+ORACLE_SQL["account_scd_closed"] = _with(("acc_with_parents",), f"""
+, seen AS (SELECT *, lead(version) OVER (PARTITION BY AccountNo ORDER BY version) AS nxt FROM acc_with_parents),
+ends AS (SELECT AccountNo FROM seen WHERE version < 2 AND nxt IS NULL),
+rows_ AS (
+  SELECT *, false AS gone FROM acc_with_parents
+  UNION ALL BY NAME SELECT AccountNo, 2 AS version, true AS gone FROM ends),
+lagged AS (
+  SELECT *, lag(version) OVER w AS _pv, lag(AccountDesc) OVER w AS _p1, lag(PrimaryGroupNo) OVER w AS _p2,
+         lag(DateOpened) OVER w AS _p3, lag(DateClosed) OVER w AS _p4, lag(gone) OVER w AS _p5
+  FROM rows_ WINDOW w AS (PARTITION BY AccountNo ORDER BY version)),
+kept AS (
+  SELECT * EXCLUDE (_pv, _p1, _p2, _p3, _p4, _p5),
+         CAST(make_date(CASE version WHEN 0 THEN 1995 WHEN 1 THEN 1998 ELSE 2000 END, 1, 1) AS TIMESTAMP) AS ValidFrom
+  FROM lagged
+  WHERE _pv IS NULL OR AccountDesc IS DISTINCT FROM _p1 OR PrimaryGroupNo IS DISTINCT FROM _p2
+     OR DateOpened IS DISTINCT FROM _p3 OR DateClosed IS DISTINCT FROM _p4 OR gone IS DISTINCT FROM _p5)
+SELECT * EXCLUDE (gone), CASE WHEN ValidTo IS NULL THEN 1 ELSE 0 END AS isActive,
+       CASE WHEN DateClosed IS NOT NULL THEN 0 ELSE 1 END AS AccountStatus,
+       {_key('AccountNo', 'version')} AS AccountSkey
+FROM (SELECT *, lead(ValidFrom) OVER (PARTITION BY AccountNo ORDER BY version) AS ValidTo FROM kept)
+WHERE NOT gone""").replace(")\n, seen", "),\nseen", 1)
+
+_TREE = """
+WITH RECURSIVE ref AS MATERIALIZED (
+  SELECT 'A' || CAST(c_custkey AS VARCHAR) AS node,
+         CASE WHEN c_custkey % 97 = 0 THEN NULL WHEN c_custkey % 101 = 0 THEN 'X' || CAST(c_custkey AS VARCHAR)
+              WHEN c_custkey % 89 = 0 THEN 'A' || CAST(c_custkey + 3 AS VARCHAR)
+              ELSE 'A' || CAST(c_custkey - 1 AS VARCHAR) END AS parent
+  FROM customer),
+tops AS (
+  SELECT r.node, CASE WHEN r.parent IS NULL THEN 'complete' ELSE 'parent missing' END AS outcome
+  FROM ref r LEFT JOIN ref p ON r.parent = p.node WHERE p.node IS NULL),
+walk(node, root, depth, path, outcome) AS (
+  SELECT node, node, 0, node, outcome FROM tops
+  UNION ALL SELECT c.node, w.root, w.depth + 1, w.path || '/' || c.node, w.outcome
+  FROM walk w JOIN ref c ON c.parent = w.node),
+stuck AS MATERIALIZED (SELECT node, parent FROM ref WHERE node NOT IN (SELECT node FROM walk)),
+reach(node, up) AS (
+  SELECT node, parent FROM stuck UNION SELECT r.node, s.parent FROM reach r JOIN stuck s ON s.node = r.up),
+tree AS (
+  SELECT node, root, CAST(depth AS INTEGER) AS depth, path, outcome FROM walk
+  UNION ALL
+  SELECT node, NULL, NULL, NULL,
+         CASE WHEN EXISTS (SELECT 1 FROM reach r WHERE r.node = stuck.node AND r.up = stuck.node)
+              THEN 'cycle' ELSE 'below a cycle' END
+  FROM stuck)"""
+ORACLE_SQL["account_tree_walk"] = (_TREE + "\nSELECT * FROM tree").strip()
+ORACLE_SQL["account_tree_roots"] = (_TREE + """
+SELECT root, outcome, CAST(count(*) AS BIGINT) AS n_nodes, max(depth) AS max_depth FROM tree GROUP BY root, outcome""").strip()
+
+ORACLE_SQL["version_overlaps"] = _with(("acc_silver",), """
+, v AS (
+  SELECT AccountNo, AccountSkey, ValidFrom,
+         CASE WHEN CAST(AccountNo AS BIGINT) % 2 = 0 THEN ValidTo + INTERVAL 400 DAY ELSE ValidTo END AS ValidTo
+  FROM acc_silver),
+n AS (
+  SELECT AccountNo, AccountSkey AS earlier, ValidTo AS until, lead(AccountSkey) OVER w AS later,
+         lead(ValidFrom) OVER w AS overlap_from, lead(ValidTo) OVER w AS later_until
+  FROM v WINDOW w AS (PARTITION BY AccountNo ORDER BY ValidFrom, AccountSkey))
+SELECT AccountNo, earlier, later, overlap_from, least(until, later_until) AS overlap_to
+FROM n WHERE later IS NOT NULL AND (until IS NULL OR overlap_from < until)""").replace(")\n, v AS", "),\nv AS", 1)
+
+ORACLE_SQL["fact_gold_numbered"] = _with(("fact_valid",), """
+, numbered AS (
+  SELECT FactInvoiceSkey, row_number() OVER (ORDER BY Year >= 1998, FactInvoiceSkey) AS FactInvoiceNo FROM fact_valid)
+SELECT CAST(n.FactInvoiceNo AS BIGINT) AS FactInvoiceNo, f.FactInvoiceSkey, CAST(f.AccountSkey AS BIGINT) AS AccountSkey,
+       CAST(f.ProductSkey AS BIGINT) AS ProductSkey, CAST(f.TimeSkey AS INTEGER) AS TimeSkey,
+       CAST(f.NetValue AS DECIMAL(18,2)) AS NetValue
+FROM fact_valid f JOIN numbered n ON n.FactInvoiceSkey = f.FactInvoiceSkey
+WHERE f.Date >= DATE '2001-11-04' - INTERVAL 36 MONTH""").replace(")\n, numbered", "),\nnumbered", 1)
+
+_BROKEN = {
+    "header mismatch": "false",
+    "malformed record": "CAST(InvoiceNumber AS BIGINT) % 73 = 0",
+    "Account is blank": "Account IS NULL OR TRIM(Account) = ''",
+    "Account is NA": "TRIM(Account) IN ('NA')",
+    "Product is blank": "Product IS NULL OR TRIM(Product) = ''",
+    "Product is NA": "TRIM(Product) IN ('NA')",
+    "amounts do not reconcile": "abs(GrossValue - (NetValue + VAT)) > 0.01",
+}
+ORACLE_SQL["invoice_violations"] = _with(("inv_rows",), "\nUNION ALL\n".join(f"""
+SELECT source_file, '{rule}' AS rule, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(*) FILTER (WHERE {broken}) AS BIGINT) AS n_violations FROM inv_rows GROUP BY source_file""".strip()
+    for rule, broken in _BROKEN.items()))
+ORACLE_SQL["invoice_threshold_policy"] = _with(("inv_rows",), f"""
+SELECT source_file, n_rows, n_bad, n_fatal, n_fatal = 0 AND 100 * n_bad <= 10 * n_rows AS accepted
+FROM (SELECT source_file, CAST(count(*) AS BIGINT) AS n_rows,
+             CAST(count(*) FILTER (WHERE {' OR '.join(f'({b})' for b in _BROKEN.values())}) AS BIGINT) AS n_bad,
+             CAST(count(*) FILTER (WHERE {_BROKEN['malformed record']}) AS BIGINT) AS n_fatal
+      FROM inv_rows GROUP BY source_file)""")
+
+ORACLE_SQL["stream_late_quarantine"] = """
+WITH e AS (
+  SELECT event_type, CAST(value AS DECIMAL(18,2)) AS value, event_id % 7 = 0 AS again, event_id % 11 = 0 AS timeless,
+         ts >= TIMESTAMP '2024-01-16' OR ts > (SELECT max(ts) FROM events) - INTERVAL 20 DAY AS stored
+  FROM events)
+SELECT event_type,
+       CAST(count(*) + count(*) FILTER (WHERE again) + count(*) FILTER (WHERE timeless) AS BIGINT) AS n_arrived,
+       CAST(count(*) FILTER (WHERE stored) AS BIGINT) AS n_stored,
+       CAST(count(*) FILTER (WHERE NOT stored) + count(*) FILTER (WHERE NOT stored AND again) AS BIGINT) AS n_late,
+       CAST(count(*) FILTER (WHERE timeless) AS BIGINT) AS n_no_time,
+       CAST(sum(value) FILTER (WHERE stored) AS DECIMAL(38,2)) AS stored_value,
+       CAST(count(*) FILTER (WHERE stored AND again) AS BIGINT) AS n_repeats
+FROM e GROUP BY event_type""".strip()

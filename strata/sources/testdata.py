@@ -228,3 +228,17 @@ def product_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.lit("All products"), F.lit("Product_Root"), null_s)
     return skus.unionByName(packs).unionByName(brands).unionByName(houses) \
         .unionByName(groups).unionByName(root)
+
+
+def referrals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_referral``: which account brought which, a ragged adjacency list.  A
+    customer was referred by the one before (chains of up to about a hundred);
+    every 97th by nobody, every 101st by an account that is not listed, and every
+    89th by one three numbers later, which closes a ring unless a top lies between."""
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("A"), _s(k)).alias("node"),
+        F.when(k % 97 == 0, F.lit(None).cast("string"))
+         .when(k % 101 == 0, F.concat(F.lit("X"), _s(k)))
+         .when(k % 89 == 0, F.concat(F.lit("A"), _s(k + 3)))
+         .otherwise(F.concat(F.lit("A"), _s(k - 1))).alias("parent"))

@@ -47,7 +47,10 @@ def append_new_keys(dst: str, keys: Sequence[str], event_time: str,
                 day = F.to_date(EVENT_DAY)
                 near = new.select(F.explode(F.sequence(
                     F.date_sub(day, repeat_days), F.date_add(day, repeat_days))).alias("_near")).distinct()
-                stored = stored.join(near, F.to_date(stored[EVENT_DAY].cast("string")) == near["_near"], "left_semi")
+                # Rows without an event time are all near each other.
+                timeless = new.where(F.col(EVENT_DAY).isNull()).limit(1).select(F.lit(None).cast("date").alias("_near"))
+                near = near.unionByName(timeless)
+                stored = stored.join(near, F.to_date(stored[EVENT_DAY].cast("string")).eqNullSafe(near["_near"]), "left_semi")
             known = stored.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
             same = None
             for k in keys:
