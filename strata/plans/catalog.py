@@ -25,13 +25,13 @@ from strata.operators.registry import register, resolve
 from strata.operators.scd import changed_keys, new_keys
 from strata.operators.sets import duplicate_keys, set_difference, set_difference_all
 from strata.operators.star import resolve_as_of
-from strata.plans import account, invoice, product, time
+from strata.plans import account, extracts, invoice, product, time
 from strata.plans.pipelines import AS_OF, RUN_ID, Zones, land_invoices, land_variants, run_layers
 from strata.session import scratch_path, session_key
-from strata.sources.files import IS_HEADER, SOURCE, header_files
+from strata.sources.files import IS_HEADER, MALFORMED, SOURCE, header_files
 from strata.sources.tables import read_optional, read_table
-from strata.sources.testdata import (INVOICE_SOURCE_SCHEMA, invoice_lines, referrals, table,
-                                     version_effective)
+from strata.sources.testdata import (ACCOUNT_SOURCE_SCHEMA, INVOICE_SOURCE_SCHEMA, PRODUCT_SOURCE_SCHEMA,
+                                     invoice_lines, referrals, table, version_effective)
 from strata.sources.writers import append_evolved, write_csv, write_table
 from strata.streaming.arrival import ingest_available, ingest_csv_available
 from strata.streaming.late import (REASON_LATE, REASON_NO_TIME, ingest_within_watermark, read_late)
@@ -208,6 +208,29 @@ def q_duplicate_lines(spark, sf_dir):
 
 # ---- account --------------------------------------------------------------
 
+def _bronze(spark, sf_dir, name):
+    return extracts.Bronze(layers(spark, sf_dir).path("bronze", f"extracts/{name}"))
+
+
+def q_account_bronze_outcome(spark, sf_dir):
+    """Contract verdict, stage and zones of every account file, two of them bad."""
+    return extracts.outcome(spark, _bronze(spark, sf_dir, "account"), ACCOUNT_SOURCE_SCHEMA)
+
+
+def q_account_bronze_staged(spark, sf_dir):
+    """The account rows staged from CSV, as they were landed."""
+    return extracts.staged(spark, _bronze(spark, sf_dir, "account")).drop(MALFORMED)
+
+
+def q_product_bronze_outcome(spark, sf_dir):
+    return extracts.outcome(spark, _bronze(spark, sf_dir, "product"), PRODUCT_SOURCE_SCHEMA)
+
+
+def q_product_bronze_staged(spark, sf_dir):
+    """The product rows staged from CSV; cells that do not fit are null."""
+    return extracts.staged(spark, _bronze(spark, sf_dir, "product")).withColumnRenamed(MALFORMED, "malformed")
+
+
 def _versions(spark, sf_dir):
     """The staged account extracts (bronze stage, one directory per version)."""
     return _read(spark, sf_dir, "bronze", "stage/account")
@@ -682,6 +705,10 @@ QUERIES: dict[str, Query] = {
     "stream_file_arrival": q_stream_file_arrival,
     "stream_invoice_arrival": q_stream_invoice_arrival,
     "stream_late_quarantine": q_stream_late_quarantine,
+    "account_bronze_outcome": q_account_bronze_outcome,
+    "account_bronze_staged": q_account_bronze_staged,
+    "product_bronze_outcome": q_product_bronze_outcome,
+    "product_bronze_staged": q_product_bronze_staged,
     "account_tree_walk": q_account_tree_walk,
     "account_tree_roots": q_account_tree_roots,
     "star_lookup_as_of_carried": q_star_lookup_as_of_carried,

@@ -625,3 +625,27 @@ SELECT event_type,
        CAST(sum(value) FILTER (WHERE stored) AS DECIMAL(38,2)) AS stored_value,
        CAST(count(*) FILTER (WHERE stored AND again) AS BIGINT) AS n_repeats
 FROM e GROUP BY event_type""".strip()
+
+ORACLE_SQL["account_bronze_outcome"] = _with(("fx_account",), """
+, n AS (SELECT version, CAST(count(*) AS BIGINT) AS n FROM fx_account GROUP BY version)
+SELECT 'accountv' || CAST(version AS VARCHAR) AS source_file, true AS contract_ok, n AS n_staged,
+       CAST(0 AS BIGINT) AS n_malformed, n AS n_archived, CAST(0 AS BIGINT) AS n_rejected FROM n
+UNION ALL
+SELECT unnest(['accountv3', 'accountv4']), false, 0, 0, 0, n FROM n WHERE version = 2""").replace(")\n, n AS", "),\nn AS", 1)
+ORACLE_SQL["account_bronze_staged"] = _with(("fx_account",), f"""
+SELECT {_ACC_COLS}, 'accountv' || CAST(version AS VARCHAR) AS source_file FROM fx_account""")
+_UPDATED = "TRY_CAST(Product_Code AS BIGINT)"
+ORACLE_SQL["product_bronze_outcome"] = _with(("fx_product",), f"""
+SELECT 'product' AS source_file, true AS contract_ok, CAST(count(*) AS BIGINT) AS n_staged,
+       CAST(0 AS BIGINT) AS n_malformed, CAST(count(*) AS BIGINT) AS n_archived, CAST(0 AS BIGINT) AS n_rejected FROM fx_product
+UNION ALL
+SELECT 'product_update', true, count(*), count(*) FILTER (WHERE {_UPDATED} % 43 = 0), count(*), 0
+FROM fx_product WHERE {_UPDATED} IS NOT NULL
+UNION ALL
+SELECT 'product_old', false, 0, 0, 0, count(*) FROM fx_product""")
+ORACLE_SQL["product_bronze_staged"] = _with(("fx_product",), f"""
+SELECT *, 'product' AS source_file, false AS malformed FROM fx_product
+UNION ALL
+SELECT * REPLACE (CASE WHEN {_UPDATED} % 43 = 0 THEN NULL ELSE Packs_Per_Traded_Unit END AS Packs_Per_Traded_Unit),
+       'product_update', {_UPDATED} % 43 = 0
+FROM fx_product WHERE {_UPDATED} IS NOT NULL""")

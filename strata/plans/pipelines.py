@@ -21,12 +21,12 @@ from strata.operators.contract import assert_schema
 from strata.operators.merge import upsert
 from strata.operators.quality import split_unresolved
 from strata.operators.refresh import refresh_partitions
-from strata.plans import account, invoice, product, time
+from strata.plans import account, extracts, invoice, product, time
 from strata.session import scratch_path
-from strata.sources.files import SOURCE, header_files
+from strata.sources.files import MALFORMED, SOURCE, header_files
 from strata.sources.tables import read_optional
-from strata.sources.testdata import (account_versions, header_variants, invoice_lines, invoice_source_rows,
-                                     product_nodes, table, version_effective)
+from strata.sources.testdata import (ACCOUNT_SOURCE_SCHEMA, PRODUCT_SOURCE_SCHEMA, account_files, header_variants,
+                                     invoice_lines, invoice_source_rows, product_files, table, version_effective)
 from strata.sources.writers import write_control_table, write_csv, write_table
 
 AS_OF = "2001-11-04"
@@ -70,11 +70,25 @@ def land(spark: SparkSession, sf_dir: str, zones: Zones) -> str:
     return land_invoices(spark, sf_dir, zones.path("bronze", "raw/invoice"))
 
 
+def ingest_extracts(spark: SparkSession, sf_dir: str, zones: Zones) -> dict[str, extracts.Bronze]:
+    """Account and product files landed and taken in: contract, stage, archive
+    and reject zones (see ``strata.plans.extracts``)."""
+    out = {}
+    for name, files, expected in (("account", account_files, ACCOUNT_SOURCE_SCHEMA),
+                                  ("product", product_files, PRODUCT_SOURCE_SCHEMA)):
+        landed = extracts.land(files(spark, sf_dir), zones.path("bronze", f"raw/{name}"))
+        out[name] = extracts.ingest(spark, landed, expected, extracts.Bronze(zones.path("bronze", f"extracts/{name}")))
+    return out
+
+
 def stage_extracts(spark: SparkSession, sf_dir: str, zones: Zones) -> None:
-    _write(account_versions(spark, sf_dir), zones.path("bronze", "stage/account"), zones,
-           "stage account extracts", partition_by=["version"])
-    _write(product_nodes(spark, sf_dir), zones.path("bronze", "stage/product"), zones,
-           "stage product nodes")
+    bronze = ingest_extracts(spark, sf_dir, zones)
+    accounts = extracts.staged(spark, bronze["account"]).drop(MALFORMED)
+    version = F.regexp_extract(SOURCE, r"(\d+)$", 1).cast("int").alias("version")
+    _write(accounts.select(*(c for c in accounts.columns if c != SOURCE), version),
+           zones.path("bronze", "stage/account"), zones, "stage account extracts", partition_by=["version"])
+    products = extracts.staged(spark, bronze["product"]).where(F.col(SOURCE) == "product")
+    _write(products.drop(SOURCE, MALFORMED), zones.path("bronze", "stage/product"), zones, "stage product nodes")
 
 
 def merge_products(spark: SparkSession, source: DataFrame, zones: Zones, load_ts: Column) -> None:

@@ -3,9 +3,10 @@
 All files of a source are read by **one** scan (a directory, glob or list of
 paths) with every column as a string, ``header=False`` and a corrupt-record
 column.  Each row knows its file through ``_metadata.file_path``.  Header rows
-are recognised as data: a physical file honours the contract iff it contains a
-row equal to the expected header with no extra or missing fields; a source (a
-``source_file=...`` directory or one file) iff all of its physical files do.  Typed values come from
+are recognised as data: a physical file honours the contract iff its first row
+equals the expected header with no extra or missing fields; a source (a
+``source_file=...`` directory or one file) iff all of its physical files do.  A file
+without a row shows in no scan; ``empty_files`` finds it by its size.  Typed values come from
 ``try_cast`` so a malformed cell becomes null and the row is flagged, instead of
 failing the job (ANSI mode is on in Spark 4).
 
@@ -28,6 +29,7 @@ CORRUPT = "_corrupt_record"
 SOURCE = "source_file"
 PATH = "_source_path"
 IS_HEADER = "_is_header"
+ORDER = "_row_order"
 HEADER_OK = "_header_ok"
 MALFORMED = "_malformed"
 
@@ -66,6 +68,9 @@ def landed_projection(raw: DataFrame, expected: T.StructType, root: str | None =
         source_id(F.col("_metadata.file_path"), root).alias(SOURCE),
         F.col("_metadata.file_path").alias(PATH),
         (header_match & F.col(CORRUPT).isNull()).alias(IS_HEADER),
+        # Rows of a file in their order: its splits by their start, a split's rows as read.
+        *([F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"))
+           .alias(ORDER)] if not raw.isStreaming else []),
     )
 
 
@@ -84,21 +89,47 @@ def scan_landed(spark: SparkSession, paths: str | Sequence[str],
     return landed_projection(raw, expected, paths if isinstance(paths, str) else None)
 
 
-def file_contract(raw: DataFrame) -> DataFrame:
-    """Per source: does every physical file carry exactly the expected header,
-    and how many other rows are there.  Partial aggregates, so a file holding a
-    large share of all rows costs no more than any other."""
-    return (raw.groupBy(SOURCE, PATH)
-            .agg(F.max(F.col(IS_HEADER).cast("int")).alias("_ok"),
-                 F.sum(F.when(F.col(IS_HEADER), 0).otherwise(1)).alias("_n"))
-            .groupBy(SOURCE)
+def empty_files(raw: DataFrame, root: str) -> DataFrame:
+    """``source_file`` and path of the scan's files that gave no row (an empty file
+    shows in no row).  The names come from the scan's own listing, which the
+    driver holds anyway; they are compared as a table."""
+    spark = raw.sparkSession
+    listed = spark.createDataFrame([(path,) for path in raw.inputFiles()], f"{PATH} string")
+
+    def spelling(path: str) -> Column:      # file:/x and file:///x are one file
+        return F.regexp_replace(path, "^([a-zA-Z][a-zA-Z0-9+.-]*):/+", "$1:/").alias("_file")
+    seen = raw.select(spelling(PATH)).distinct()
+    return (listed.withColumn("_file", spelling(PATH)).join(seen, "_file", "left_anti")
+            .select(source_id(F.col(PATH), root).alias(SOURCE), PATH))
+
+
+def _begins_well(raw: DataFrame) -> Column:
+    """Whether a file's first row is the header (a stream does not know the order
+    of rows: there a header anywhere counts)."""
+    if ORDER not in raw.columns:
+        return F.max(IS_HEADER)
+    return F.min_by(IS_HEADER, ORDER)
+
+
+def file_contract(raw: DataFrame, empty: DataFrame | None = None) -> DataFrame:
+    """Per source: does every physical file begin with exactly the expected header,
+    and how many other rows are there.  ``empty`` adds the files without a row (see
+    ``empty_files``), which honour no contract.  Partial aggregates, so a file
+    holding a large share of all rows costs no more than any other."""
+    files = raw.groupBy(SOURCE, PATH).agg(
+        _begins_well(raw).cast("int").alias("_ok"),
+        F.sum(F.when(F.col(IS_HEADER), 0).otherwise(1)).alias("_n"))
+    if empty is not None:
+        files = files.unionByName(empty.select(
+            SOURCE, PATH, F.lit(0).alias("_ok"), F.lit(0).cast("long").alias("_n")))
+    return (files.groupBy(SOURCE)
             .agg(F.min("_ok").cast("boolean").alias("contract_ok"),
                  F.sum("_n").cast("bigint").alias("n_rows")))
 
 
 def header_files(raw: DataFrame) -> DataFrame:
-    """The physical files that have the expected header, one row each."""
-    return raw.filter(F.col(IS_HEADER)).select(PATH).distinct()
+    """The physical files that begin with the expected header, one row each."""
+    return raw.groupBy(PATH).agg(_begins_well(raw).alias("_ok")).filter("_ok").select(PATH)
 
 
 def with_header_verdict(raw: DataFrame, good: DataFrame | None = None) -> DataFrame:

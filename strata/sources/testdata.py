@@ -242,3 +242,44 @@ def referrals(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(k % 101 == 0, F.concat(F.lit("X"), _s(k)))
          .when(k % 89 == 0, F.concat(F.lit("A"), _s(k + 3)))
          .otherwise(F.concat(F.lit("A"), _s(k - 1))).alias("parent"))
+
+
+ACCOUNT_SOURCE_SCHEMA = T.StructType([
+    *(T.StructField(c, T.StringType()) for c in ("RowId", "AccountNo", "AccountDesc", "ParentRowId")),
+    T.StructField("DateOpened", T.TimestampNTZType()), T.StructField("DateClosed", T.TimestampNTZType())])
+
+PRODUCT_SOURCE_SCHEMA = T.StructType([
+    *(T.StructField(c, T.StringType()) for c in (
+        "Source_System_Id", "Product_Code", "Product_Desc", "Product_Level", "Par_Row_Id", "Traded_Unit")),
+    *(T.StructField(f"{c}_Per_Traded_Unit", T.IntegerType()) for c in ("Sticks", "Packs", "Outers")),
+    T.StructField("Grams_Per_Traded_Unit", T.DoubleType())])
+
+
+def account_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The account extracts as they arrive, a source file a version, and two that
+    break the contract: ``accountv3`` has two names swapped, ``accountv4`` a column
+    too many."""
+    rows = account_versions(spark, sf_dir)
+    good = rows.withColumn("source_file", F.concat(F.lit("accountv"), _s(F.col("version")))).drop("version")
+    last = rows.where("version = 2").drop("version")
+    swap = {"AccountNo": "AccountDesc", "AccountDesc": "AccountNo"}
+    return {
+        "good": good,
+        "swapped": last.select(*(F.col(c).alias(swap.get(c, c)) for c in last.columns)).withColumn(
+            "source_file", F.lit("accountv3")),
+        "extra": last.withColumns({"Region": F.lit("x"), "source_file": F.lit("accountv4")}),
+    }
+
+
+def product_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The product list as it arrives, an update in which every 43rd SKU has a
+    count that is no number, and an older layout without its last column."""
+    rows = product_nodes(spark, sf_dir)
+    code = F.col("Product_Code").try_cast("bigint")
+    update = rows.where(code.isNotNull()).withColumn(
+        "Packs_Per_Traded_Unit", F.when(code % 43 == 0, F.lit("a few")).otherwise(_s(F.col("Packs_Per_Traded_Unit"))))
+    return {
+        "good": rows.withColumn("source_file", F.lit("product")),
+        "update": update.withColumn("source_file", F.lit("product_update")),
+        "missing": rows.drop("Grams_Per_Traded_Unit").withColumn("source_file", F.lit("product_old")),
+    }

@@ -33,7 +33,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-              mode: str = "overwrite", num_partitions: int | None = None) -> None:
+              mode: str = "overwrite", num_partitions: int | None = None,
+              options: dict[str, str] | None = None) -> None:
     """CSV with a header line in every file (archive, reject and landing zones).
 
     With ``partition_by``, rows are clustered by the partition columns first.
@@ -46,7 +47,7 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] | None = Non
         cols = [F.col(c) for c in partition_by]
         out = (df.repartition(num_partitions, *cols) if num_partitions
                else df.hint("rebalance", *partition_by))
-    w = out.write.mode(mode).option("header", True)
+    w = out.write.mode(mode).option("header", True).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

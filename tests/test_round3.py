@@ -221,3 +221,35 @@ def test_upsert_keeps_columns_it_does_not_update(spark):
     got = {r.k: (r.v, r.extra, r.InsertedDateTime, r.ModifiedDateTime)
            for r in upsert(target, source, ["k"], ["v"], F.lit("t1")).collect()}
     assert got == {1: ("z", "note", "t0", "t1"), 2: ("b", None, "t0", "t0"), 3: ("c", None, "t1", "t1")}
+
+
+# ---- files ------------------------------------------------------------------------
+
+def test_a_header_must_be_the_first_row_and_empty_files_honour_no_contract(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from strata.sources.files import empty_files, file_contract, scan_landed, typed_rows
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())])
+    for name, body in (("good", "a,b\nx,1\n"), ("late", "x,1\na,b\ny,2\n"), ("empty", ""), ("bare", "x,1\n"), ("only", "a,b\n")):
+        (tmp_path / f"{name}.csv").write_text(body)
+    raw = scan_landed(spark, str(tmp_path), schema)
+    contract = file_contract(raw, empty_files(raw, str(tmp_path)))
+    assert {r.source_file: (r.contract_ok, r.n_rows) for r in contract.collect()} == {
+        "good": (True, 1), "late": (False, 2), "empty": (False, 0), "bare": (False, 1), "only": (True, 0)}
+    assert {(r.source_file, r._header_ok) for r in typed_rows(raw, schema).collect()} == {
+        ("good", True), ("late", False), ("bare", False)}
+
+
+def test_extract_zones_hold_whole_rows(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from strata.plans import extracts
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())])
+    files = {"good": spark.createDataFrame([("  x ", "1", "s1"), (None, "many", "s1")], "a string, b string, source_file string"),
+             "bad": spark.createDataFrame([("q", "1", "more", "s2")], "a string, b string, c string, source_file string")}
+    landed = extracts.land(files, str(tmp_path / "landed"))
+    bronze = extracts.ingest(spark, landed, schema, extracts.Bronze(str(tmp_path / "bronze")))
+    assert {tuple(r) for r in extracts.staged(spark, bronze).select("a", "b", "_malformed", "source_file").collect()} == {
+        ("  x ", 1, False, "s1"), (None, None, True, "s1")}
+    assert {tuple(r) for r in extracts.outcome(spark, bronze, schema).collect()} == {
+        ("s1", True, 2, 1, 2, 0), ("s2", False, 0, 0, 0, 1)}
