@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -85,8 +87,19 @@ def carried(batch: pa.RecordBatch | pa.Table, names: Sequence[str]) -> pa.Record
     return pa.RecordBatch.from_arrays([own[n] for n in names], list(names))
 
 
+def give_back() -> None:
+    """Return the memory that a task freed to the system: Python workers are used
+    again, and the next task's peak would come on top of what they keep."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def apply_bound(fn: Callable, *args) -> Callable:
     """``fn`` with leading arguments fixed (picklable for Spark's workers)."""
     def bound(batches):
         yield from fn(batches, *args)
+        give_back()
     return bound

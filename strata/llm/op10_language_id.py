@@ -40,6 +40,8 @@ ROUNDS = 10
 PENALTY = 3.0
 UNKNOWN = "und"
 LANGUAGES = 128
+#: Text bytes handled at once: a character takes about 100 bytes meanwhile.
+PIECE = 1 << 18
 
 
 def lower_letters(points: np.ndarray) -> np.ndarray:
@@ -104,7 +106,7 @@ def gram_counts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, np.ndarray] = {}
     for batch in batches:
-        for part in chunks(batch, "text"):
+        for part in chunks(batch, "text", PIECE):
             langs = part.column("lang").to_pylist()
             doc, bucket, _ = grams(part.column("text"))
             for lang in set(langs):
@@ -179,7 +181,7 @@ def _predict(batches: Iterator[pa.RecordBatch], langs: list[str], table: np.ndar
     logs = np.log(table)
     for batch in batches:
         pred, score, mixture = [], [], []
-        for part in chunks(carried(batch, ["text"]), "text"):
+        for part in chunks(carried(batch, ["text"]), "text", PIECE):
             for buckets, n in gram_counts(part.column("text")):
                 if not len(buckets) or not langs:
                     pred.append(UNKNOWN)
