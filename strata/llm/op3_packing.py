@@ -11,8 +11,8 @@ allow the piece.  That is the tightest compatible bin; if there is none, a new
 bin is opened.
 
 Spark deals the documents evenly to packing blocks of about ``BLOCK_ROWS`` (by a
-hash of id, size and cluster, repeated rows spread by their number), so a hot
-source or a large group of copies is spread over all blocks; one task packs one
+hash of id, size, source and cluster, repeated rows spread by their number), so
+the packing does not depend on how files are split, and a hot source or a large group of copies is spread over all blocks; one task packs one
 block at a time.  Only ids, sizes and hashes are shuffled, never texts.
 
 Defined cases: a null source conflicts with nothing; null and empty texts have 0
@@ -36,6 +36,8 @@ from .io import stage
 
 CAPACITY = 2048
 BLOCK_ROWS = 4096
+#: Copies of a repeated row that are written out at once.
+COPIES = 1 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -117,12 +119,19 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """One row a piece: doc_id, piece (from 0), first_token (of the text),
     n_tokens, bin_id and bin_offset (tokens before it in the bin)."""
     text = F.col("text")
-    narrow = stage(docs.select(
+    same = ["doc_id", "n_tokens", "source_hash", "cluster"]
+    rows = docs.select(
         "doc_id", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("n_tokens"),
         F.when(F.col("source").isNotNull(), F.xxhash64("source")).alias("source_hash"),
-        F.when(F.length(text) > 0, F.xxhash64(text)).alias("cluster"),
-        F.monotonically_increasing_id().alias("_row"))
-        .withColumn("row_hash", F.xxhash64("doc_id", "n_tokens", "cluster", "_row")).drop("_row"), "pack-input")
+        F.when(F.length(text) > 0, F.xxhash64(text)).alias("cluster"))
+    # Repeated rows are counted and numbered, so a row's hash depends on its
+    # values alone, not on the files it comes from.
+    counted = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("n"))
+    runs = counted.select(*same, "n", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long"))).alias("first"))
+    copies = runs.select(*same, F.explode(F.sequence(
+        F.col("first"), F.least(F.col("first") + COPIES, F.col("n")) - 1)).alias("copy"))
+    narrow = stage(copies.select(*same, F.xxhash64(*same, "copy").alias("row_hash")), "pack-input")
     blocks = max(1, round(narrow.count() / BLOCK_ROWS))
     schema = StructType([
         docs.select("doc_id").schema[0], StructField("piece", IntegerType()),

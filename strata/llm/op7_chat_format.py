@@ -10,6 +10,13 @@ its role is ``system``), repeats up to ``HISTORY_TURNS`` turns before it as far
 as ``HISTORY_TOKENS`` allow, and then brings its new turns.  Loss spans cover the
 texts of new assistant turns only: repeated targets are masked.
 
+No window is above the budget unless one turn alone is: beside a turn that
+stands alone history takes what it leaves, and without room for the system turn
+it has its window to itself (then a system turn that no other turn follows there
+has one, too).  Only a turn above the budget makes a larger window, of this turn
+and nothing else.  A system turn that leaves less than two cells of ``MIN_CELL``
+is an ordinary turn and is not repeated.
+
 Template, one turn: ``<s>role\\n`` + text + ``</s>``.  Control strings inside
 texts are escaped reversibly: ``\\`` becomes ``\\0``, and ``<s>``, ``</s>``,
 ``[INST]``, ``[/INST]`` become ``\\1`` to ``\\4``; in roles ``%``, line feeds and
@@ -32,7 +39,7 @@ BUDGET = 1024
 TURN_TOKENS = 4
 HISTORY_TURNS = 2
 HISTORY_TOKENS = 256
-#: Smallest cell, when the system turn takes most of the budget.
+#: Smallest cell that a system turn must leave (twice) to be repeated.
 MIN_CELL = 64
 
 # Control strings of the template and their escapes, in order.
@@ -69,39 +76,47 @@ def format_windows(turns: DataFrame, budget: int = BUDGET) -> DataFrame:
         rows.withColumn("tokens", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")) + TURN_TOKENS)
         .withColumn("i", F.row_number().over(order) - 1)
         .withColumn("prefix", F.coalesce(F.sum("tokens").over(so_far), F.lit(0)))
-        .withColumn("is_system", (F.col("i") == 0) & (F.col("role") == "system"))
-        .withColumn("system", F.max(F.when(F.col("is_system"), F.col("tokens")).otherwise(0)).over(whole)))
-    cell = F.greatest(F.lit(MIN_CELL),
-                      F.floor((budget - HISTORY_TOKENS - F.col("system")) / 2)).cast("long")
-    at = (F.col("prefix") - F.col("system")).cast("long")
-    alone = F.col("tokens") > F.col("cell")
+        .withColumn("is_system", (F.col("i") == 0) & (F.col("role") == "system")
+                    & (F.col("tokens") <= budget - HISTORY_TOKENS - 2 * MIN_CELL))
+        .withColumn("system", F.max(F.when(F.col("is_system"), F.struct("tokens", "role", "text"))).over(whole))
+        .withColumn("system_tokens", F.coalesce("system.tokens", F.lit(0))))
+    cell = F.floor((budget - HISTORY_TOKENS - F.col("system_tokens")) / 2).cast("long")
+    at = (F.col("prefix") - F.col("system_tokens")).cast("long")
+    left = budget - F.col("system_tokens") - F.col("tokens")
     new_turns = (
         placed.withColumn("cell", cell)
         .withColumn("slot", ((at - at % F.col("cell")) / F.col("cell")).cast("long"))
+        .withColumn("alone", ~F.col("is_system") & (F.col("tokens") > F.col("cell")))
+        # Tokens for history beside a turn; below zero the system turn has no room either.
+        .withColumn("room", F.when(F.col("alone"), F.least(F.lit(HISTORY_TOKENS), left)).otherwise(HISTORY_TOKENS))
         # The turn after one that stands alone opens a window, too.
-        .withColumn("opens", F.when(F.col("is_system"), False).otherwise(F.coalesce(
-            (F.col("slot") != F.lag("slot").over(order)) | alone | F.lag(alone).over(order)
-            | F.lag("is_system").over(order), F.lit(True))))
+        .withColumn("opens", F.when(F.col("is_system"), F.coalesce(F.lead("room").over(order) < 0, F.lit(False)))
+                    .otherwise(F.coalesce(
+                        (F.col("slot") != F.lag("slot").over(order)) | F.col("alone") | F.lag("alone").over(order)
+                        | F.lag("is_system").over(order), F.lit(True))))
         .withColumn("window", F.greatest(
             F.sum(F.col("opens").cast("long")).over(
-                order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1, F.lit(0)))
-        .withColumn("windows", F.max("window").over(whole) + 1))
+                order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1, F.lit(0))))
 
     # A turn goes to its own window, and as history to the windows that open
-    # within the next HISTORY_TURNS turns and near enough in tokens.
-    later = [F.when(F.coalesce(F.lead("opens", d).over(order), F.lit(False))
-                    & (F.lead("prefix", d).over(order) - F.col("prefix") <= HISTORY_TOKENS),
+    # within the next HISTORY_TURNS turns and near enough in tokens; the turn
+    # that opens a window brings the system turn along.
+    later = [F.when(~F.col("is_system") & F.coalesce(F.lead("opens", d).over(order), F.lit(False))
+                    & (F.lead("prefix", d).over(order) - F.col("prefix") <= F.lead("room", d).over(order)),
                     F.lead("window", d).over(order)) for d in range(1, HISTORY_TURNS + 1)]
-    none = F.array().cast("array<bigint>")
-    history = (
-        F.when(F.col("is_system") & (F.col("windows") > 1),
-               F.sequence(F.lit(1).cast("long"), F.col("windows") - 1))
-        .when(F.col("is_system"), none)
-        .otherwise(F.array_distinct(F.array_compact(F.array(*later)))))
+    leads = F.col("opens") & ~F.col("is_system") & (F.col("window") > 0) & (F.col("room") >= 0)
     shown = (
-        new_turns.withColumn("history", history)
-        .withColumn("to", F.explode(F.concat(F.array("window"), "history")))
-        .withColumn("repeated", F.col("to") != F.col("window"))
+        new_turns.withColumn("history", F.array_distinct(F.array_compact(F.array(*later))))
+        .withColumn("with_system", F.when(leads & F.col("system").isNotNull(), F.array("window")).otherwise(
+            F.array().cast("array<bigint>")))
+        .select("conv_id", "i", "role", "text", "tokens", "window", "system", F.explode(F.concat(
+            F.array(F.struct(F.col("window").alias("to"), F.lit("own").alias("as"))),
+            F.transform("history", lambda w: F.struct(w.alias("to"), F.lit("history").alias("as"))),
+            F.transform("with_system", lambda w: F.struct(w.alias("to"), F.lit("system").alias("as"))))).alias("e"))
+        .select("conv_id", F.col("e.to").alias("to"), (F.col("e.as") != "own").alias("repeated"),
+                *(F.when(F.col("e.as") == "system", F.col(f"system.{c}")).otherwise(F.col(c)).alias(c)
+                  for c in ("tokens", "role", "text")),
+                F.when(F.col("e.as") == "system", F.lit(0)).otherwise(F.col("i")).alias("i"))
         .withColumn("head", F.concat(F.lit("<s>"), escape(F.col("role"), ROLE_CODES), F.lit("\n")))
         .withColumn("body", escape(F.col("text"))))
     inside = Window.partitionBy("conv_id", "to").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)

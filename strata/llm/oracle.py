@@ -59,22 +59,23 @@ a AS (
          row_number() OVER o - 1 AS i
   FROM src WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
 b AS (
-  SELECT *, i = 0 AND role = 'system' AS is_system,
+  SELECT *, i = 0 AND role = 'system' AND tokens <= 640 AS is_system,
          coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prefix,
-         max(CASE WHEN i = 0 AND role = 'system' THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS sys
+         max(CASE WHEN i = 0 AND role = 'system' AND tokens <= 640 THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS sys
   FROM a),
-c AS (SELECT *, greatest(64, (1024 - 256 - sys) // 2) AS cell FROM b),
-e AS (SELECT *, (prefix - sys) // cell AS slot, tokens > cell AS alone FROM c),
+c AS (SELECT *, (1024 - 256 - sys) // 2 AS cell FROM b),
+e AS (SELECT *, (prefix - sys) // cell AS slot, NOT is_system AND tokens > cell AS alone FROM c),
+k AS (SELECT *, CASE WHEN alone THEN least(256, 1024 - sys - tokens) ELSE 256 END AS room FROM e),
 f AS (
-  SELECT *, CASE WHEN is_system THEN false ELSE coalesce(slot <> lag(slot) OVER o OR alone OR lag(alone) OVER o
-                 OR lag(is_system) OVER o, true) END AS opens
-  FROM e WINDOW o AS (PARTITION BY conv_id ORDER BY i)),
+  SELECT *, CASE WHEN is_system THEN coalesce(lead(room) OVER o < 0, false)
+                 ELSE coalesce(slot <> lag(slot) OVER o OR alone OR lag(alone) OVER o OR lag(is_system) OVER o, true) END AS opens
+  FROM k WINDOW o AS (PARTITION BY conv_id ORDER BY i)),
 g AS (
   SELECT *, greatest(sum(CAST(opens AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY i) - 1, 0) AS win FROM f),
 h AS (
-  SELECT *, 1 + max(win) OVER (PARTITION BY conv_id) AS wins,
-         CASE WHEN coalesce(lead(opens, 1) OVER o, false) AND lead(prefix, 1) OVER o - prefix <= 256 THEN lead(win, 1) OVER o END AS w1,
-         CASE WHEN coalesce(lead(opens, 2) OVER o, false) AND lead(prefix, 2) OVER o - prefix <= 256 THEN lead(win, 2) OVER o END AS w2
+  SELECT *, 1 + sum(CAST(opens AND NOT is_system AND win > 0 AND room >= 0 AS INTEGER)) OVER (PARTITION BY conv_id) AS wins,
+         CASE WHEN coalesce(lead(opens, 1) OVER o, false) AND lead(prefix, 1) OVER o - prefix <= lead(room, 1) OVER o THEN lead(win, 1) OVER o END AS w1,
+         CASE WHEN coalesce(lead(opens, 2) OVER o, false) AND lead(prefix, 2) OVER o - prefix <= lead(room, 2) OVER o THEN lead(win, 2) OVER o END AS w2
   FROM g WINDOW o AS (PARTITION BY conv_id ORDER BY i)),
 shown AS (
   SELECT *, CASE WHEN is_system THEN wins ELSE 1 + CAST(w1 IS NOT NULL AS INTEGER)

@@ -62,6 +62,13 @@ def test_packing_is_whole_and_without_conflicts(spark, capacity):
             assert len(seen) == len(set(seen))
 
 
+def test_packing_does_not_depend_on_how_rows_are_split(spark):
+    rows = [(i % 300, text(i % 90, 30 + i % 40), "en", f"s{i % 4}") for i in range(500)] + [(1, "x", "en", "a")] * 40
+    docs = documents(spark, rows)
+    packed = [sorted(map(tuple, pack_documents(docs.repartition(n), 64).collect())) for n in (1, 7)]
+    assert packed[0] == packed[1] and sum(r[3] for r in packed[0]) == sum(len(t.split()) for _, t, *_ in rows)
+
+
 def test_packing_nothing(spark):
     assert pack_documents(spark.createDataFrame([], DOCS)).count() == 0
 
@@ -160,6 +167,32 @@ def test_windows_keep_the_budget_the_system_turn_and_history(spark):
         assert spans == [p.split("\n", 1)[1] for p in parts if p.startswith("<s>assistant\n")]
 
 
+def test_only_a_turn_above_the_budget_makes_a_larger_window(spark):
+    import random
+    rnd, rows = random.Random(11), []
+    for c in range(60):
+        system = [None, 1, 60, 400, 636, 637, 900, 1500][c % 8]
+        if system is not None:
+            rows.append((c, 0, "system", text(c, system)))
+        rows += [(c, t, "assistant" if t % 2 else "user", text(c * 40 + t, rnd.choice([1, 50, 200, 383, 500, 904, 1019, 1500])))
+                 for t in range(1, rnd.randrange(2, 14))]
+    windows = chat.format_windows(spark.createDataFrame(rows, TURNS).repartition(3))
+    got = {(r.conv_id, r.window): r for r in windows.collect()}
+    for r in got.values():
+        assert r.n_tokens <= chat.BUDGET or r.n_repeated + r.n_new == 1
+    for c in range(60):
+        mine = [got[c, w] for w in range(sum(k[0] == c for k in got))]
+        system = [None, 1, 60, 400, 636, 637, 900, 1500][c % 8]
+        if system is not None and system + chat.TURN_TOKENS <= 640:      # repeated wherever it fits
+            for r in mine:
+                assert r.formatted.startswith("<s>system") or r.n_tokens + system + chat.TURN_TOKENS > chat.BUDGET
+        elif system is not None:
+            assert sum("<s>system" in r.formatted for r in mine) == 1
+    plain = plain_digests(rows)
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256)
+            for r in chat.digests(windows).collect()} == plain
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.sampled_from(CONTROLS), max_size=30))
 def test_escaping_is_reversible(parts):
