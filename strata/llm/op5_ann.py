@@ -17,12 +17,20 @@ proportion).  Every vector is indexed.
 Spark groups vectors and visiting queries by table and bucket.  Buckets of more
 than ``BLOCK`` vectors or queries are split in blocks that meet pairwise, so a
 vector that a third of all rows share fills no single task.  Each group returns
-the best ``k`` of each query; a query that found fewer than ``k`` in all its
-buckets searches all vectors, in blocks.
+the best ``k`` of each query.
+
+Some queries search all vectors instead, in blocks: those that found fewer than
+``k`` in all their buckets; those whose k-th candidate is so far away that the
+visits find less than ``WEAK`` of the sample's neighbours at that distance (a query
+off every cluster); those of whom the sample shows that they missed about
+``MISSED`` of ``k`` or more (so many of its vectors are nearer than the k-th
+candidate); and all, where even the largest number of visits misses the sample's
+recall.
 
 Defined cases: vectors that are null, empty or zero, or hold null or non-finite
 components, take no part, neither do vectors of another length than most of the
-sample; equal scores go to the smaller id; an id given twice counts once, with
+sample; components are scaled by the largest one before they are squared, so very
+large and very small vectors take part like others; equal scores go to the smaller id; an id given twice counts once, with
 its better score; with no query or no candidate the result is empty; extra
 columns are ignored.
 """
@@ -45,6 +53,8 @@ TABLES = 8
 WIDTH = 2.0             # of a projection's standard deviation
 SAMPLE = 2000
 SAMPLE_RECALL = 0.96
+WEAK = 0.6
+MISSED = 0.25
 VISITS = [2, 4, 8, 12, 16, 20, 24, 32, 48, 64, 96, 128, 192, 256]
 BLOCK = 4096
 SEED = 7
@@ -53,9 +63,12 @@ SEED = 7
 class Index:
     """Projections and parameters of all tables (a few kilobytes)."""
 
-    def __init__(self, dim: int, largest: float, hashes: int, tables: int = TABLES, seed: int = SEED):
+    def __init__(self, dim: int, largest: float, hashes: int, unit: float = 1.0, tables: int = TABLES,
+                 seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.dim, self.largest, self.tables, self.visits = dim, largest, tables, 1
+        self.dim, self.largest, self.tables, self.visits, self.unit = dim, largest, tables, 1, unit
+        #: Least cosine (in lifted space) at which the visits find enough; whether they do at all.
+        self.reach, self.sure = -math.inf, True
         self.a = rng.standard_normal((tables, dim + 1, hashes))
         self.b = rng.random((tables, hashes))
         self.width = 1.0
@@ -65,6 +78,7 @@ class Index:
         return np.column_stack([x, np.sqrt(rest)])
 
     def lift_queries(self, q: np.ndarray) -> np.ndarray:
+        q = q / np.abs(q).max(axis=1, keepdims=True)
         norms = np.sqrt((q * q).sum(axis=1, keepdims=True))
         return np.column_stack([q * (self.largest / norms), np.zeros(len(q))])
 
@@ -101,10 +115,11 @@ def probes(cell: np.ndarray, visits: int) -> list[np.ndarray]:
     return out
 
 
-def build(sample: np.ndarray, largest: float, total: int, k: int) -> Index:
-    """Parameters fitted on the sample (see the module's notes)."""
+def build(sample: np.ndarray, largest: float, total: int, k: int, unit: float = 1.0) -> Index:
+    """Parameters fitted on the sample (see the module's notes); it and ``largest``
+    are in units of ``unit``."""
     hashes = max(6, round(math.log2(max(total, 2)) / 2.6))
-    index = Index(sample.shape[1], largest, hashes)
+    index = Index(sample.shape[1], largest, hashes, unit)
     lifted = index.lift(sample)
     index.width = WIDTH * float(np.std([lifted @ a for a in index.a])) or 1.0
     asked = sample[:200]
@@ -122,6 +137,17 @@ def build(sample: np.ndarray, largest: float, total: int, k: int) -> Index:
                 index.keys(np.array(probes(cells[i], VISITS[-1]))))))}
             found[i] = np.minimum(found[i], [order.get(int(own[j]), VISITS[-1]) + 1 for j in near[i]])
     index.visits = next((v for v in VISITS if (found <= v).mean() >= SAMPLE_RECALL), VISITS[-1])
+    hit = found <= index.visits
+    index.sure = bool(hit.mean() >= SAMPLE_RECALL)
+    norms = np.sqrt((asked * asked).sum(axis=1))
+    cosine = np.take_along_axis(scores, near, axis=1) / np.maximum(norms[:, None] * largest, 1e-300)
+    order = np.argsort(-cosine, axis=None)
+    for part in np.array_split(order, max(1, min(20, len(order) // 10))):      # from near to far
+        if hit.ravel()[part].mean() < WEAK:
+            index.reach = float(cosine.ravel()[part].max())
+            break
+    else:       # beyond the sample's own neighbours nothing is known
+        index.reach = float(cosine.min())
     return index
 
 
@@ -129,13 +155,14 @@ def _matrix(column: pa.Array, dim: int, kind: np.dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim).astype(np.float64)
 
 
-def _pack_vectors(batches: Iterator[pa.RecordBatch], dim: int, kind: str) -> Iterator[pa.RecordBatch]:
-    """(vec_id, vector): the components as bytes."""
+def _pack_vectors(batches: Iterator[pa.RecordBatch], dim: int, kind: str, unit: float) -> Iterator[pa.RecordBatch]:
+    """(vec_id, vector, norm): the components as bytes, the norm in units of ``unit``."""
     for batch in batches:
-        vectors = [np.asarray(v, kind).tobytes() if len(v) == dim else None
-                   for v in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(vectors, pa.binary())], ["vec_id", "vector"])
+        rows = [np.asarray(v, kind) if len(v) == dim else None for v in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), pa.array([None if v is None else v.tobytes() for v in rows], pa.binary()),
+            pa.array([None if v is None else float(np.sqrt(((v.astype(np.float64) / unit) ** 2).sum())) for v in rows],
+                     pa.float64())], ["vec_id", "vector", "norm"])
 
 
 def _hash(batches: Iterator[pa.RecordBatch], index: Index, kind: str, asking: bool) -> Iterator[pa.RecordBatch]:
@@ -143,7 +170,7 @@ def _hash(batches: Iterator[pa.RecordBatch], index: Index, kind: str, asking: bo
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            x = _matrix(part.column(1), index.dim, np.dtype(kind))
+            x = _matrix(part.column(1), index.dim, np.dtype(kind)) / index.unit
             lifted = index.lift_queries(x) if asking else index.lift(x)
             row, table, bucket = [], [], []
             for t in range(index.tables):
@@ -164,6 +191,29 @@ def _hash(batches: Iterator[pa.RecordBatch], index: Index, kind: str, asking: bo
                 [part.schema.names[0], part.schema.names[1], "table", "bucket"])
 
 
+def _doubtful(batches: Iterator[pa.RecordBatch], dim: int, kind: str, ids: np.ndarray, sample: np.ndarray,
+              least: float) -> Iterator[pa.RecordBatch]:
+    """The queries that are weak already, or whose k-th score is beaten by at
+    least ``least`` vectors of the sample that were not found."""
+    order = np.argsort(ids)
+    ids, sample = ids[order], sample[order]
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            q = _matrix(part.column("qvector"), dim, np.dtype(kind))
+            kth = part.column("kth").fill_null(-math.inf).to_numpy(zero_copy_only=False)
+            scores = q @ sample.T
+            slack = 1e-9 * (1.0 + np.abs(kth))
+            beaten = (scores > (kth + slack)[:, None]) & (ids[None, :] != part.column("query_id").to_numpy()[:, None])
+            got = part.column("found")
+            owner, id_ = np.repeat(np.arange(len(q)), got.value_lengths().fill_null(0).to_numpy()), got.flatten().to_numpy()
+            at_sample = np.minimum(np.searchsorted(ids, id_), len(ids) - 1)
+            drawn = ids[at_sample] == id_
+            beaten[owner[drawn], at_sample[drawn]] = False
+            weak = part.column("weak").to_numpy(zero_copy_only=False) | (beaten.sum(axis=1) >= least)
+            yield part.select(["query_id", "qvector"]).filter(pa.array(weak))
+
+
 def _best(dim: int, kind: str, k: int) -> Callable:
     """The k best candidates of a block of vectors for each query of a block, each
     id once with its best row."""
@@ -233,33 +283,51 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     query_id, rank (from 1), vec_id, score."""
     spark = vectors.sparkSession
     embedding = F.col("embedding")
-    norm = F.aggregate(embedding, F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
-    valid = (vectors.select("vec_id", "embedding", norm.alias("n2"))
-             .where((F.col("n2") > 0) & (F.col("n2") < float("inf")) & F.col("vec_id").isNotNull()))
-    total, largest = valid.agg(F.count(F.lit(1)), F.max("n2")).first()
+    odd = F.exists(embedding, lambda v: v.isNull() | F.isnan(v.cast("double")) | (F.abs(v.cast("double")) == math.inf))
+    some = F.exists(embedding, lambda v: v != 0)
+    valid = (vectors.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & ~odd & some))
+    total, unit = valid.agg(F.count(F.lit(1)), F.max(F.array_max(F.transform(
+        embedding, lambda v: F.abs(v.cast("double")))))).first()
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = [r[0] for r in bounded_sample(valid, "vec_id", SAMPLE, total).select("embedding").collect()]
+    squares = F.aggregate(embedding, F.lit(0.0), lambda s, v: s + (v.cast("double") / unit) * (v.cast("double") / unit))
+    largest = math.sqrt(valid.agg(F.max(squares)).first()[0])
+    drawn = bounded_sample(valid, "vec_id", SAMPLE, total).select("vec_id", "embedding").collect()
+    sample = [r["embedding"] for r in drawn]
     lengths = [len(v) for v in sample]
     dim = max(sorted(set(lengths)), key=lengths.count)
     kind = "float32" if "float" in vectors.schema["embedding"].dataType.simpleString() else "float64"
-    index = build(np.array([v for v in sample if len(v) == dim], np.float64), math.sqrt(largest), total, k)
+    index = build(np.array([v for v in sample if len(v) == dim], np.float64) / unit, largest, total, k, unit)
 
     packed = stage(valid.select("vec_id", "embedding").mapInArrow(
-        apply_bound(_pack_vectors, dim, kind), "vec_id long, vector binary")
+        apply_bound(_pack_vectors, dim, kind, unit), "vec_id long, vector binary, norm double")
         .where("vector is not null"), "ann-vectors")
-    asked = packed.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("vector").alias("qvector"))
+    asked = packed.where(is_query).select(
+        F.col("vec_id").alias("query_id"), F.col("vector").alias("qvector"), F.col("norm").alias("qnorm"))
+    packed = packed.drop("norm")
     rank = _best(dim, kind, k)
-    placed = packed.mapInArrow(
-        apply_bound(_hash, index, kind, False), "vec_id long, vector binary, table int, bucket long")
-    visits = asked.mapInArrow(
-        apply_bound(_hash, index, kind, True), "query_id long, qvector binary, table int, bucket long")
-    found = stage(_top(_meet(placed, visits, ["table", "bucket"], rank), k), "ann-found")
-
-    # Queries whose buckets held too few candidates search everything, in blocks.
-    counts = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
-    short = stage(asked.join(counts, "query_id", "left")
-                  .where(F.coalesce("n", F.lit(0)) < min(k, total - 1)).select("query_id", "qvector"), "ann-short")
+    if index.sure:
+        placed = packed.mapInArrow(
+            apply_bound(_hash, index, kind, False), "vec_id long, vector binary, table int, bucket long")
+        visits = asked.drop("qnorm").mapInArrow(
+            apply_bound(_hash, index, kind, True), "query_id long, qvector binary, table int, bucket long")
+        found = stage(_top(_meet(placed, visits, ["table", "bucket"], rank), k), "ann-found")
+    else:
+        found = spark.createDataFrame([], "query_id long, vec_id long, score double, rank int")
+
+    # Queries with too few or too distant candidates search everything, in blocks.
+    last = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"),
+                                         F.collect_list("vec_id").alias("found"))       # k at most
+    few = F.coalesce("n", F.lit(0)) < min(k, total - 1)
+    far = F.col("kth") / unit / unit < index.reach * F.col("qnorm") * largest
+    whole = {r["vec_id"]: r["embedding"] for r in drawn if len(r["embedding"]) == dim}
+    least = max(1.0, MISSED * k * len(whole) / total)
+    short = stage(
+        asked.join(last, "query_id", "left").select(
+            "query_id", "qvector", "kth", "found", F.coalesce(few | far, F.lit(True)).alias("weak"))
+        .mapInArrow(apply_bound(_doubtful, dim, kind, np.array(list(whole), np.int64),
+                                np.array(list(whole.values()), np.float64), least),
+                    "query_id long, qvector binary"), "ann-short")
     if not short.isEmpty():
         parts = max(1, -(-total // BLOCK))
         part = F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")
