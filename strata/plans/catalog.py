@@ -18,6 +18,7 @@ from strata.functions.text import clean_text
 from strata.operators.asof import carry_as_of, overlapping_versions
 from strata.operators.audit import audit_frame, observed
 from strata.operators.hierarchy import root_report, walk_to_root
+from strata.operators.merge import merge_partitions
 from strata.operators.quality import (conservation, file_policy, file_verdicts, route_files, split_unresolved,
                                       violation_report, violations)
 from strata.operators.refresh import partition_keys, refresh_partitions, retain
@@ -28,6 +29,7 @@ from strata.operators.star import resolve_as_of
 from strata.plans import account, extracts, invoice, product, time
 from strata.plans.pipelines import AS_OF, RUN_ID, Zones, land_invoices, land_variants, run_layers
 from strata.session import scratch_path, session_key
+from strata.sources.compact import compact, file_list
 from strata.sources.files import IS_HEADER, MALFORMED, SOURCE, header_files
 from strata.sources.tables import read_optional, read_table
 from strata.sources.testdata import (ACCOUNT_SOURCE_SCHEMA, INVOICE_SOURCE_SCHEMA, PRODUCT_SOURCE_SCHEMA,
@@ -46,6 +48,8 @@ STREAM_FILES_PER_BATCH = 10
 STREAM_DELAY = "20 days"
 MAX_BAD_PERCENT = 10
 FIRST_LOAD_BEFORE = 1998
+MERGED_YEAR = 1997
+SMALL_FILES = 24
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -534,6 +538,40 @@ def q_partition_refresh(spark, sf_dir):
                                           F.col("Month").cast("int").alias("Month"))
 
 
+def q_partition_merge(spark, sf_dir):
+    """Changed quantities of one year and rows not yet stored merged into the
+    partitioned fact; only partitions with a difference are rewritten, a rerun
+    rewrites none."""
+    facts = q_fact_valid(spark, sf_dir).select("FactInvoiceSkey", "Quantity", "Year", "Month")
+    early, late = (F.lit(t).cast("timestamp_ntz") for t in (LOAD_TS_1, LOAD_TS_2))
+    path = scratch_path(spark, "fact-merged")
+    first = facts.where((F.col("Year") != MERGED_YEAR) | (F.col("Month") > 2))
+    write_table(first.withColumns({"InsertedDateTime": early, "ModifiedDateTime": early}), path,
+                partition_by=["Year", "Month"])
+    source = facts.where(F.col("Year") == MERGED_YEAR).withColumn(
+        "Quantity", F.when(F.col("Month") == 5, F.col("Quantity") + 1).otherwise(F.col("Quantity")))
+    names = (["FactInvoiceSkey"], ["Quantity"], ["Year", "Month"], late)
+    rewritten = merge_partitions(spark, path, source, *names)
+    again = merge_partitions(spark, path, source, *names)
+    return read_table(spark, path).select(
+        "FactInvoiceSkey", "Quantity", "InsertedDateTime", "ModifiedDateTime",
+        F.col("Year").cast("int").alias("Year"), F.col("Month").cast("int").alias("Month"),
+        F.lit(rewritten).cast("bigint").alias("rewritten"), F.lit(again).cast("bigint").alias("rewritten_again"))
+
+
+def q_file_compaction(spark, sf_dir):
+    """The fact stored in many small files, then compacted: rows and files a year."""
+    facts = q_fact_valid(spark, sf_dir).select("FactInvoiceSkey", "NetValue", "Year")
+    path = scratch_path(spark, "fact-files")
+    facts.repartition(SMALL_FILES).write.partitionBy("Year").parquet(path)
+    compact(spark, path, ["Year"])
+    table_ = read_table(spark, path)
+    files = file_list(table_, ["Year"]).groupBy("Year").agg(F.count(F.lit(1)).cast("bigint").alias("n_files"))
+    rows = table_.groupBy("Year").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+                                      F.sum("NetValue").cast("decimal(38,2)").alias("net_value"))
+    return rows.join(files, "Year").select(F.col("Year").cast("int").alias("Year"), "n_rows", "net_value", "n_files")
+
+
 def q_append_evolved(spark, sf_dir):
     valid = q_fact_valid(spark, sf_dir).select("FactInvoiceSkey", "Year", "NetValue", "VATvalue")
     path = scratch_path(spark, "fact-evolving")
@@ -705,6 +743,8 @@ QUERIES: dict[str, Query] = {
     "stream_file_arrival": q_stream_file_arrival,
     "stream_invoice_arrival": q_stream_invoice_arrival,
     "stream_late_quarantine": q_stream_late_quarantine,
+    "partition_merge": q_partition_merge,
+    "file_compaction": q_file_compaction,
     "account_bronze_outcome": q_account_bronze_outcome,
     "account_bronze_staged": q_account_bronze_staged,
     "product_bronze_outcome": q_product_bronze_outcome,

@@ -649,3 +649,16 @@ UNION ALL
 SELECT * REPLACE (CASE WHEN {_UPDATED} % 43 = 0 THEN NULL ELSE Packs_Per_Traded_Unit END AS Packs_Per_Traded_Unit),
        'product_update', {_UPDATED} % 43 = 0
 FROM fx_product WHERE {_UPDATED} IS NOT NULL""")
+
+ORACLE_SQL["partition_merge"] = _with(("fact_valid",), """
+SELECT FactInvoiceSkey, Quantity + CASE WHEN Year = 1997 AND Month = 5 THEN 1 ELSE 0 END AS Quantity,
+       CASE WHEN Year = 1997 AND Month <= 2 THEN TIMESTAMP '2001-06-01 00:00:00'
+            ELSE TIMESTAMP '2001-01-01 00:00:00' END AS InsertedDateTime,
+       CASE WHEN Year = 1997 AND (Month <= 2 OR Month = 5) THEN TIMESTAMP '2001-06-01 00:00:00'
+            ELSE TIMESTAMP '2001-01-01 00:00:00' END AS ModifiedDateTime,
+       Year, Month, CAST((SELECT count(DISTINCT Month) FROM fact_valid WHERE Year = 1997 AND Month IN (1, 2, 5)) AS BIGINT) AS rewritten,
+       CAST(0 AS BIGINT) AS rewritten_again
+FROM fact_valid""")
+ORACLE_SQL["file_compaction"] = _with(("fact_valid",), """
+SELECT Year, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(NetValue) AS DECIMAL(38,2)) AS net_value,
+       CAST(1 AS BIGINT) AS n_files FROM fact_valid GROUP BY Year""")

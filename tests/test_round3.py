@@ -253,3 +253,50 @@ def test_extract_zones_hold_whole_rows(spark, tmp_path):
         ("  x ", 1, False, "s1"), (None, None, True, "s1")}
     assert {tuple(r) for r in extracts.outcome(spark, bronze, schema).collect()} == {
         ("s1", True, 2, 1, 2, 0), ("s2", False, 0, 0, 0, 1)}
+
+
+# ---- partitions and files -----------------------------------------------------------
+
+def files_of(spark, path, column):
+    out = {}
+    for r in spark.read.parquet(path).select(column, F.col("_metadata.file_path").alias("f")).distinct().collect():
+        out.setdefault(r[0], set()).add(r.f)
+    return out
+
+
+@pytest.mark.parametrize("find_moved", [True, False])
+def test_merge_rewrites_only_partitions_that_differ(spark, tmp_path, find_moved):
+    from strata.operators.merge import merge_partitions
+    path = str(tmp_path / "t")
+    rows = [(k, f"v{k}", "x", p, "t0", "t0") for p in (1, 2, 3) for k in range(p * 10, p * 10 + 4)]
+    (spark.createDataFrame(rows, "k int, v string, extra string, p int, InsertedDateTime string, ModifiedDateTime string")
+     .write.partitionBy("p").parquet(path))
+    before = files_of(spark, path, "p")
+    source = spark.createDataFrame([(10, "v10", 1), (20, "new", 2), (25, "added", 2), (40, "first", 4)], "k int, v string, p int")
+    names = (["k"], ["v"], ["p"], F.lit("t1"))
+    assert merge_partitions(spark, path, source, *names, find_moved=find_moved) == 2
+    after = files_of(spark, path, "p")
+    assert after[1] == before[1] and after[3] == before[3] and not after[2] & before[2] and 4 in after
+    got = {r.k: (r.v, r.extra, r.InsertedDateTime, r.ModifiedDateTime) for r in spark.read.parquet(path).collect()}
+    assert len(got) == 14 and got[20] == ("new", "x", "t0", "t1") and got[25] == ("added", None, "t1", "t1")
+    assert got[10] == ("v10", "x", "t0", "t0")
+    assert merge_partitions(spark, path, source, *names, find_moved=find_moved) == 0
+    assert files_of(spark, path, "p") == after
+    if find_moved:
+        with pytest.raises(ValueError, match="another partition"):
+            merge_partitions(spark, path, spark.createDataFrame([(10, "v10", 3)], "k int, v string, p int"), *names)
+
+
+def test_compaction_keeps_rows_and_other_partitions(spark, tmp_path):
+    from strata.sources.compact import compact, file_list
+    path = str(tmp_path / "t")
+    spark.range(400).selectExpr("id", "id % 2 p").repartition(8).write.partitionBy("p").parquet(path)
+    spark.range(3).selectExpr("id", "CAST(7 AS BIGINT) p").coalesce(1).write.mode("append").partitionBy("p").parquet(path)
+    before = files_of(spark, path, "p")
+    size = file_list(spark.read.parquet(path), ["p"]).agg(F.max("bytes")).first()[0]
+    assert compact(spark, path, ["p"], target=4 * size) == 2
+    after = files_of(spark, path, "p")
+    assert after[7] == before[7] and all(1 <= len(after[p]) <= 3 < len(before[p]) for p in (0, 1))
+    assert sorted((r.id, r.p) for r in spark.read.parquet(path).collect()) == sorted(
+        [(i, i % 2) for i in range(400)] + [(i, 7) for i in range(3)])
+    assert compact(spark, path, ["p"], target=size // 4) == 0
