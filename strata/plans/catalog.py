@@ -23,6 +23,7 @@ from strata.operators.quality import (conservation, file_policy, file_verdicts,
                                       violation_report, violations)
 from strata.operators.refresh import partition_keys, refresh_partitions, retain
 from strata.operators.registry import register, resolve
+from strata.operators.rollup import merged, refresh_partials
 from strata.operators.scd import changed_keys, new_keys
 from strata.operators.sets import duplicate_keys, set_difference, set_difference_all
 from strata.operators.star import resolve_as_of
@@ -612,6 +613,21 @@ def q_gold_rollup(spark, sf_dir):
                  F.count(F.lit(1)).cast("bigint").alias("n_lines")))
 
 
+def q_rollup_maintained(spark, sf_dir):
+    """Brand and pack totals merged from monthly partials; the months restated by a
+    refresh are the only ones computed again."""
+    facts = _valid_with_product(spark, sf_dir)
+    path, names = scratch_path(spark, "fact-partials"), (["Year", "Month"], ["BrandCode", "PackCode"], ["NetValue", "Quantity"])
+    refresh_partials(facts, path, *names, distinct=["AccountSkey"])
+    late = F.col("Date") >= F.lit(REFRESH_FROM).cast("timestamp_ntz")
+    restated = facts.withColumn("Quantity", F.when(late, F.col("Quantity") + 1).otherwise(F.col("Quantity")))
+    refresh_partials(restated, path, *names, distinct=["AccountSkey"],
+                     touched=partition_keys(facts.where(late), ["Year", "Month"]))
+    return merged(spark, path, ["BrandCode", "PackCode"], ["NetValue", "Quantity"], sets="cube").select(
+        "BrandCode", "PackCode", F.col("n_rows").alias("n_lines"),
+        F.col("NetValue").cast("decimal(38,2)").alias("net_value"), F.col("Quantity").cast("bigint").alias("quantity"))
+
+
 def q_monthly_brand_net(spark, sf_dir):
     return (_valid_with_product(spark, sf_dir).groupBy("Year", "Month", "BrandCode")
             .agg(F.sum("NetValue").cast("decimal(38,2)").alias("net_value"),
@@ -744,6 +760,7 @@ QUERIES: dict[str, Query] = {
     "stream_invoice_arrival": q_stream_invoice_arrival,
     "stream_late_quarantine": q_stream_late_quarantine,
     "partition_merge": q_partition_merge,
+    "rollup_maintained": q_rollup_maintained,
     "file_compaction": q_file_compaction,
     "account_bronze_outcome": q_account_bronze_outcome,
     "account_bronze_staged": q_account_bronze_staged,

@@ -662,3 +662,8 @@ FROM fact_valid""")
 ORACLE_SQL["file_compaction"] = _with(("fact_valid",), """
 SELECT Year, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(NetValue) AS DECIMAL(38,2)) AS net_value,
        CAST(1 AS BIGINT) AS n_files FROM fact_valid GROUP BY Year""")
+
+ORACLE_SQL["rollup_maintained"] = _with(("fact_product",), """
+SELECT BrandCode, PackCode, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(NetValue) AS DECIMAL(38,2)) AS net_value,
+       CAST(sum(Quantity + CASE WHEN Date >= TIMESTAMP '1999-07-01 00:00:00' THEN 1 ELSE 0 END) AS BIGINT) AS quantity
+FROM fact_product GROUP BY CUBE (BrandCode, PackCode)""")

@@ -300,3 +300,25 @@ def test_compaction_keeps_rows_and_other_partitions(spark, tmp_path):
     assert sorted((r.id, r.p) for r in spark.read.parquet(path).collect()) == sorted(
         [(i, i % 2) for i in range(400)] + [(i, 7) for i in range(3)])
     assert compact(spark, path, ["p"], target=size // 4) == 0
+
+
+def test_maintained_rollup_equals_the_full_one(spark, tmp_path):
+    from strata.operators.rollup import merged, refresh_partials
+    path = str(tmp_path / "partials")
+    rows = [(i, i % 3, f"d{i % 5}" if i % 11 else None, i % 700, i) for i in range(6000)]
+    fact = spark.createDataFrame(rows, "id int, p int, d string, who int, v long")
+    names = (["p"], ["d"], ["v"], ["who"])
+    refresh_partials(fact, path, *names)
+    other = files_of(spark, path, "p")
+    changed = fact.withColumn("v", F.when(F.col("p") == 1, F.col("v") * 2).otherwise(F.col("v")))
+    for _ in range(2):
+        refresh_partials(changed, path, *names, touched=spark.createDataFrame([(1,)], "p int"))
+    now = files_of(spark, path, "p")
+    assert now[0] == other[0] and now[2] == other[2] and now[1] != other[1]
+    for sets in ("rollup", "cube", "groupBy"):
+        got = {r.d if r.n_rows != 6000 else "all": (r.n_rows, r.v) for r in merged(spark, path, ["d"], ["v"], ["who"], sets).collect()}
+        full = {r.d if r.n != 6000 else "all": (r.n, r.v) for r in getattr(changed, sets)("d").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("v").alias("v")).collect()}
+        assert got == full
+    total = merged(spark, path, ["d"], ["v"], ["who"], "rollup").where("n_rows = 6000").first()
+    assert abs(total.n_who - 700) <= 35
