@@ -104,7 +104,7 @@ def test_substring_stage_leaves_clean_documents_as_they_are(spark, tmp_path):
 
 def test_queries_are_registered():
     names = list(queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and corpus_pipeline.ORACLE_SQL is None
     assert {"op6_substring_dedup", "op7_chat_format", "op8_ngram_jaccard"} <= set(oracle_sql())
