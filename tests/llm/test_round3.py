@@ -251,3 +251,54 @@ def test_training_texts_stop_at_the_byte_bound(spark):
     some = fm.training_texts(docs.repartition(5), known, 50, 500).collect()
     assert len(all_of) == 50 and 0 < len(some) < 9 and all_of[:len(some)] == some
     assert sum(len(r.text) for r in some[:-1]) < 500 <= sum(len(r.text) for r in some)
+
+
+# ---------------------------------------------------------------- clashing columns
+
+ODD_NAMES = ["a.b", "_text", "_score", "_kept", "_pred", "_chunk", "_metadata", "row", "used", "chunk", "label", "n"]
+
+
+@pytest.mark.parametrize("stored_first", [False, True])
+def test_no_column_name_clashes(spark, tmp_path, stored_first):
+    from strata.llm import op1_toxicity, op6_substring_dedup, op9_quality, op10_language_id
+    rows, labels = quality_rows(40)
+    docs = documents(spark, rows)
+    for name in ODD_NAMES:
+        docs = docs.withColumn(name, F.lit(f"{name} of the caller"))
+    if stored_first:
+        docs.write.parquet(str(tmp_path / "d"))
+        docs = spark.read.parquet(str(tmp_path / "d"))
+    known = spark.createDataFrame(labels, LABELS)
+    results = [
+        op1_toxicity.score(docs, op1_toxicity.fit(docs, known)),
+        op6_substring_dedup.cut_repeats(docs), op6_substring_dedup.drop_repeats(docs),
+        op9_quality.judge(docs, op9_quality.fit(docs, known)),
+        op10_language_id.predict(docs, op10_language_id.fit(docs))]
+    for out in results:
+        assert set(docs.columns) <= set(out.columns) and len(set(out.columns)) == len(out.columns)
+        got = out.collect()
+        assert len(got) == len(rows)
+        assert all(r[name] == f"{name} of the caller" for r in got for name in ODD_NAMES)
+
+
+def test_models_do_not_depend_on_partitions(spark):
+    from strata.llm import op1_toxicity, op9_quality
+    rows, labels = quality_rows(60)
+    labels = [(i, q, int(i % 4 == 0)) for i, q, _ in labels]
+    rows += [(3, "another text of id three", "en", "a"), (3, "one more text, of this id too", "en", "a")]
+    found = []
+    for parts in (1, 4, 7):
+        docs, known = documents(spark, rows).repartition(parts), spark.createDataFrame(labels, LABELS).repartition(parts)
+        found.append((op1_toxicity.fit(docs, known), op9_quality.fit(docs, known)))
+    for toxic, quality in found[1:]:
+        assert all((a == b).all() for a, b in zip(toxic, found[0][0]))
+        assert quality[1] == found[0][1][1] and (quality[0] == found[0][1][0]).all()
+
+
+def test_languages_are_bounded(spark, monkeypatch):
+    from strata.llm import op10_language_id
+    monkeypatch.setattr(op10_language_id, "LANGUAGES", 3)
+    rows = [(i, f"{'ab' if i % 2 else 'yz'} words here", lang, "s") for i, lang in
+            enumerate(["en"] * 20 + ["de"] * 20 + [f"dirty{j}" for j in range(40)])]
+    langs, table = op10_language_id.fit(documents(spark, rows))
+    assert len(langs) == 3 and {"en", "de"} < set(langs) and table.shape == (1 << op10_language_id.BITS, 3)
