@@ -31,6 +31,7 @@ from strata.plans import account, extracts, invoice, product, time
 from strata.plans.pipelines import AS_OF, RUN_ID, Zones, land_invoices, land_variants, run_layers
 from strata.session import scratch_path, session_key
 from strata.sources.compact import compact, file_list
+from strata.sources.evolve import append_reconciled
 from strata.sources.files import IS_HEADER, MALFORMED, SOURCE, header_files
 from strata.sources.tables import read_optional, read_table
 from strata.sources.testdata import (ACCOUNT_SOURCE_SCHEMA, INVOICE_SOURCE_SCHEMA, PRODUCT_SOURCE_SCHEMA,
@@ -581,6 +582,28 @@ def q_append_evolved(spark, sf_dir):
     return out.select("FactInvoiceSkey", "Year", "NetValue", "VATvalue")
 
 
+def q_append_reconciled(spark, sf_dir):
+    """Three loads of the fact whose types change: quantities of 32 then 64 bits,
+    values of 2 then 4 decimals, a column more, a column less, quantities as text of
+    which some are no number (those rows go to the quarantine)."""
+    facts = q_fact_valid(spark, sf_dir).select("FactInvoiceSkey", "Year", "Quantity", "NetValue", "VATvalue")
+    path, contract, aside = (scratch_path(spark, n) for n in ("fact-typed", "fact-contract", "fact-aside"))
+    year = F.col("Year")
+    odd = F.col("FactInvoiceSkey").startswith("0")
+    batches = [
+        facts.where(year < 1995).drop("VATvalue"),
+        facts.where((year >= 1995) & (year < 1997)).select(
+            "VATvalue", F.col("NetValue").cast("decimal(20,4)").alias("NetValue"), "FactInvoiceSkey", "Year",
+            F.col("Quantity").cast("bigint").alias("Quantity")),
+        facts.where(year >= 1997).drop("NetValue").withColumn(
+            "Quantity", F.when(odd, F.lit("unknown")).otherwise(F.col("Quantity").cast("string")))]
+    for batch in batches:
+        out = append_reconciled(spark, batch, path, contract, aside)
+    rejected = read_table(spark, aside).select(F.get_json_object("row", "$.FactInvoiceSkey").alias("FactInvoiceSkey"), F.col("column").alias("unfit"))
+    return out.unionByName(rejected, allowMissingColumns=True).select(
+        "FactInvoiceSkey", "Year", "Quantity", "NetValue", "VATvalue", "unfit")
+
+
 def q_retention_36m(spark, sf_dir):
     return retain(q_fact_valid(spark, sf_dir), "Date", 36, AS_OF, year_col="Year", month_col="Month") \
         .select("FactInvoiceSkey", "Date")
@@ -760,6 +783,7 @@ QUERIES: dict[str, Query] = {
     "stream_invoice_arrival": q_stream_invoice_arrival,
     "stream_late_quarantine": q_stream_late_quarantine,
     "partition_merge": q_partition_merge,
+    "append_reconciled": q_append_reconciled,
     "rollup_maintained": q_rollup_maintained,
     "file_compaction": q_file_compaction,
     "account_bronze_outcome": q_account_bronze_outcome,

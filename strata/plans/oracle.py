@@ -667,3 +667,12 @@ ORACLE_SQL["rollup_maintained"] = _with(("fact_product",), """
 SELECT BrandCode, PackCode, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(NetValue) AS DECIMAL(38,2)) AS net_value,
        CAST(sum(Quantity + CASE WHEN Date >= TIMESTAMP '1999-07-01 00:00:00' THEN 1 ELSE 0 END) AS BIGINT) AS quantity
 FROM fact_product GROUP BY CUBE (BrandCode, PackCode)""")
+
+ORACLE_SQL["append_reconciled"] = _with(("fact_valid",), """
+SELECT FactInvoiceSkey,
+       CASE WHEN Year >= 1997 AND FactInvoiceSkey LIKE '0%' THEN NULL ELSE Year END AS Year,
+       CASE WHEN Year >= 1997 AND FactInvoiceSkey LIKE '0%' THEN NULL ELSE CAST(Quantity AS BIGINT) END AS Quantity,
+       CASE WHEN Year < 1997 THEN CAST(NetValue AS DECIMAL(20,4)) END AS NetValue,
+       CASE WHEN Year < 1995 OR (Year >= 1997 AND FactInvoiceSkey LIKE '0%') THEN NULL ELSE VATvalue END AS VATvalue,
+       CASE WHEN Year >= 1997 AND FactInvoiceSkey LIKE '0%' THEN 'Quantity' END AS unfit
+FROM fact_valid""")

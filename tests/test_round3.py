@@ -322,3 +322,33 @@ def test_maintained_rollup_equals_the_full_one(spark, tmp_path):
         assert got == full
     total = merged(spark, path, ["d"], ["v"], ["who"], "rollup").where("n_rows = 6000").first()
     assert abs(total.n_who - 700) <= 35
+
+
+def test_types_meet_without_losing_digits():
+    from pyspark.sql import types as T
+
+    from strata.sources.evolve import common_type
+    dec = T.DecimalType
+    for a, b, want in [
+            (T.IntegerType(), T.LongType(), T.LongType()), (T.IntegerType(), dec(10, 2), dec(12, 2)),
+            (T.LongType(), dec(10, 2), dec(22, 2)), (dec(18, 2), dec(20, 4), dec(20, 4)), (dec(38, 0), dec(10, 2), None),
+            (T.FloatType(), T.DoubleType(), T.DoubleType()), (T.LongType(), T.DoubleType(), None),
+            (T.IntegerType(), T.DoubleType(), T.DoubleType()), (T.DateType(), T.TimestampNTZType(), T.TimestampNTZType()),
+            (T.StringType(), T.IntegerType(), None), (T.StringType(), T.StringType(), T.StringType())]:
+        assert common_type(a, b) == common_type(b, a) == want
+
+
+def test_batches_of_changing_types(spark, tmp_path):
+    from strata.sources.evolve import append_reconciled, contract_of
+    path, contract, aside = (str(tmp_path / n) for n in ("t", "c", "q"))
+    loads = [spark.createDataFrame([(1, 5, "x")], "k int, v int, s string"),
+             spark.createDataFrame([("y", 1 << 40, 2, 1.5)], "s string, v bigint, k int, more double"),
+             spark.sql("SELECT 3 k, CAST('7.25' AS DECIMAL(5,2)) v"),
+             spark.createDataFrame([("4", 1, "n"), ("four", 1, "n"), (None, 1, "n")], "k string, v int, s string")]
+    for df in loads:
+        out = append_reconciled(spark, df, path, contract, aside)
+    assert sorted((r.k is None, r.k, str(r.v), r.s, r.more) for r in out.collect()) == [
+        (False, 1, "5.00", "x", None), (False, 2, f"{1 << 40}.00", "y", 1.5), (False, 3, "7.25", None, None),
+        (False, 4, "1.00", "n", None), (True, None, "1.00", "n", None)]
+    assert [(r.column, "four" in r.row) for r in spark.read.parquet(aside).collect()] == [("k", True)]
+    assert contract_of(spark, contract).simpleString() == "struct<k:int,v:decimal(22,2),s:string,more:double>"
