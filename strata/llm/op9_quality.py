@@ -2,7 +2,7 @@
 
 Statistics of whole texts (see ``statistics``) fail a text with fewer than 20
 words or with more than 30 % of its words in repeated 8-word windows.  The rest
-is judged by a logistic regression over hashed n-grams: characters (UTF-8 bytes,
+is judged by a logistic regression over hashed n-grams: characters (code points,
 2 and 3) and words (1 and 2), each family as relative frequencies.  It is
 trained by AdaGrad on a bounded sample of labelled rows (``TRAIN_ROWS``, those
 with the smallest hash of their id, and at most ``TRAIN_BYTES`` of their text);
@@ -102,14 +102,29 @@ def _later_equals(hashes: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray
     return np.bincount(doc[order[1:][equal]], minlength=texts)
 
 
+def characters(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """A number for every character of a chunk, equal for equal characters only,
+    and the texts' offsets in characters."""
+    data = words.data
+    lead = (data & 0xC0) != 0x80        # first byte of a character
+    at = np.flatnonzero(lead)
+    size = np.diff(np.append(at, len(data)))
+    code = data[at].astype(np.uint64)
+    for k in range(1, 4):
+        more = np.flatnonzero(size > k)
+        code[more] = code[more] << np.uint64(6) | (data[at[more] + k] & 0x3F)
+    return code, np.append(0, np.cumsum(lead))[words.offsets]
+
+
 def families(words: Words) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Bucket of every n-gram by family, with each text's range of them."""
-    data, (lo, hi) = words.data.astype(np.uint32), (words.offsets[:-1], words.offsets[1:])
+    code, offsets = characters(words)
+    lo, hi = offsets[:-1], offsets[1:]
     out = []
-    pair = data[:-1] | data[1:] << np.uint32(8) if len(data) > 1 else data[:0]
-    triple = pair[:-1] | data[2:] << np.uint32(16) if len(data) > 2 else data[:0]
+    pair = code[:-1] << np.uint64(32) | code[1:] if len(code) > 1 else code[:0]
+    triple = mix(pair[:-1]) + code[2:] if len(code) > 2 else code[:0]
     for k, grams in ((2, pair), (3, triple)):
-        bucket = (grams * np.uint32(0x9E3779B1 + 2 * k)) >> np.uint32(32 - BITS)
+        bucket = (mix(grams + np.uint64(k)) >> np.uint64(64 - BITS)).astype(np.uint32)
         out.append((bucket, lo, np.maximum(hi - k + 1, lo)))
     h = words.hash
     double = mix(h[:-1] * np.uint64(3) + h[1:]) if len(h) > 1 else h[:0]

@@ -302,3 +302,20 @@ def test_languages_are_bounded(spark, monkeypatch):
             enumerate(["en"] * 20 + ["de"] * 20 + [f"dirty{j}" for j in range(40)])]
     langs, table = op10_language_id.fit(documents(spark, rows))
     assert len(langs) == 3 and {"en", "de"} < set(langs) and table.shape == (1 << op10_language_id.BITS, 3)
+
+
+def test_character_grams_are_of_characters():
+    from strata.llm import op9_quality
+    from strata.llm.words import Words
+    texts = ["aé日🙂aé日🙂", "", "日", None, "é日", "plain ascii"]
+    words = Words(pa.array(texts))
+    code, offsets = op9_quality.characters(words)
+    assert np.diff(offsets).tolist() == [len(t or "") for t in texts]
+    number = {}
+    for c, n in zip("".join(t or "" for t in texts), code.tolist()):
+        assert number.setdefault(c, n) == n
+    assert len(set(number.values())) == len(number)
+    (pairs, lo, hi), (triples, low, high), *_ = op9_quality.families(words)
+    assert (hi - lo).tolist() == [7, 0, 0, 0, 1, 10] and (high - low).tolist() == [6, 0, 0, 0, 0, 9]
+    assert pairs[lo[0]] == pairs[lo[0] + 4] and pairs[lo[0] + 1] == pairs[lo[4]]
+    assert len(set(pairs[lo[0]:lo[0] + 4].tolist())) == 4 and triples[low[0]] == triples[low[0] + 4]
