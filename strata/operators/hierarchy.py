@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -120,6 +119,10 @@ def flatten_hierarchy(leaves: DataFrame, nodes: DataFrame, id_col: str, parent_c
     return cur.drop("_next")
 
 
+# Parents of a walk up to this many are broadcast; their rows hold whole ways, and a
+# broadcast passes the driver.
+WALK_BROADCAST_ROWS = 10_000
+
 # The outcomes of ``walk_to_root``.
 COMPLETE, PARENT_MISSING, CYCLE, BELOW_CYCLE = "complete", "parent missing", "cycle", "below a cycle"
 
@@ -130,7 +133,7 @@ def walk_to_root(nodes: DataFrame, id_col: str, parent_col: str, separator: str
 
     By pointer doubling: after round r every open node knows its ancestor 2^r
     steps up and the ids between, so a list of depth d takes log2(d) rounds, each
-    one join with the nodes that are a parent (see ``left_lookup``) whose result
+    one join with the nodes that are a parent (see ``_walk_lookup``) whose result
     is stored.  As long as a chain reaches a root, each round closes some node;
     when none closes, all that are open lead to a cycle.
 
@@ -143,10 +146,9 @@ def walk_to_root(nodes: DataFrame, id_col: str, parent_col: str, separator: str
     listed = nodes.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("node")).agg(
         F.min(parent_col).alias("parent"))
     known = stored(listed, "walk-nodes")
-    named = known.select(F.col("parent").alias("_p")).where("_p is not null").distinct()
-    inner = known.join(named, known["node"] == named["_p"], "left_semi").select(F.col("node").alias("_known"))
-    start = left_lookup(known, "parent", stored(inner.withColumn("_is", F.lit(True)), "walk-parents"), "_known",
-                        ["node"])
+    named = _reached(known, "parent")
+    inner = known.join(named.hint("merge"), known["node"] == named["_r"], "left_semi").select(F.col("node").alias("_known"))
+    start = _walk_lookup(known, "parent", stored(inner.withColumn("_is", F.lit(True)), "walk-parents"), "_known", named)
     orphan = F.col("parent").isNotNull() & F.col("_is").isNull()
     # up: the ancestor reached (null at the top), way: the ids from there down to the node.
     now = stored(start.select(
@@ -160,27 +162,52 @@ def walk_to_root(nodes: DataFrame, id_col: str, parent_col: str, separator: str
         F.array_join("way", separator).alias("path"), "outcome")
     if not open_now:
         return done
-    # 2^r steps up with 2^r beyond the longest tail every way ends on its cycle,
-    # and every node of a cycle is such an end.
+    # The nodes reached by 2^r steps lie within those reached by half as many; once they
+    # are as many, the steps permute them, so they are the nodes of the cycles.
     left = now.where("up is not null").select("node", "up")
-    for _ in range(math.ceil(math.log2(open_now)) + 1):
+    reached, reached_before = _reached(left, "up"), -1
+    while (reached_now := reached.count()) != reached_before:
         ups = left.select(F.col("node").alias("_n"), F.col("up").alias("_u"))
-        left = stored(left_lookup(left, "up", ups, "_n", ["node"]).select("node", F.col("_u").alias("up")), "walk-cycles")
-    on_cycle = left.select(F.col("up").alias("_c")).distinct()
-    stuck = left.join(on_cycle, left["node"] == on_cycle["_c"], "left")
+        left = stored(_walk_lookup(left, "up", ups, "_n", reached).select("node", F.col("_u").alias("up")), "walk-cycles")
+        reached, reached_before = _reached(left, "up"), reached_now
+    on_cycle = reached.select(F.col("_r").alias("_c"))
+    stuck = left.join(on_cycle.hint("merge"), left["node"] == on_cycle["_c"], "left")
     nothing = F.lit(None).cast(nodes.schema[id_col].dataType)
     return done.unionByName(stuck.select(
         "node", nothing.alias("root"), F.lit(None).cast("int").alias("depth"), F.lit(None).cast("string").alias("path"),
         F.when(F.col("_c").isNotNull(), CYCLE).otherwise(BELOW_CYCLE).alias("outcome")))
 
 
+def _reached(rows: DataFrame, key: str) -> DataFrame:
+    """The values of ``key`` (``_r``) with their rows, stored: who is looked up, and
+    which of them are hot."""
+    return stored(rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_r")).agg(
+        F.count(F.lit(1)).alias("_times")), "walk-reached")
+
+
+def _walk_lookup(rows: DataFrame, key: str, parents: DataFrame, parent_key: str, reached: DataFrame) -> DataFrame:
+    """``left_lookup`` of a walk's rows.  Rows of a walk hold whole ways, of which a
+    small file may hold many: beyond ``WALK_BROADCAST_ROWS`` they are merged, and
+    nothing of them passes the driver.  Salted only where ``reached`` has hot keys."""
+    if parents.count() <= WALK_BROADCAST_ROWS:
+        return left_lookup(rows, key, parents, parent_key, ["node"], WALK_BROADCAST_ROWS)
+    spread, jk = spread_nulls(rows, key, ["node"])
+    hot = reached.where(F.col("_times") >= HOT_KEY_ROWS).select(F.col("_r").alias("_hk"))
+    merged = parents.hint("merge")
+    if hot.count():
+        out = salted_left_join(spread, jk, merged, parent_key, ["node"], HOT_KEY_ROWS, SALT_BUCKETS, hot)
+    else:
+        out = spread.join(merged, spread[jk] == merged[parent_key], "left")
+    return out.drop(parent_key) if jk == key else out.drop(parent_key, jk)
+
+
 def _doubled(now: DataFrame) -> DataFrame:
     """One round: open ways are continued by the way of the node they reached."""
     closed, going = now.where("up is null"), now.where("up is not null")
-    reached = going.select(F.col("up").alias("_r")).distinct()
-    above = stored(now.join(reached, now["node"] == reached["_r"], "left_semi").select(
+    reached = _reached(going, "up")
+    above = stored(now.join(reached.hint("merge"), now["node"] == reached["_r"], "left_semi").select(
         F.col("node").alias("_n"), F.struct("up", "way", "outcome").alias("_a")), "walk-above")
-    joined = left_lookup(going, "up", above, "_n", ["node"])
+    joined = _walk_lookup(going, "up", above, "_n", reached)
     return closed.unionByName(joined.select(
         "node", F.col("_a.up").alias("up"), F.concat("_a.way", "way").alias("way"), F.col("_a.outcome").alias("outcome")))
 
