@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.sources.files import (CORRUPT, HEADER_OK, IS_HEADER, MALFORMED, SOURCE, empty_files, file_contract,
-                                  header_files, scan_landed, typed_rows)
+from strata.sources.files import (CORRUPT, HEADER_OK, IS_HEADER, MALFORMED, SOURCE, contract_of_files, empty_files,
+                                  file_headers, good_files, scan_landed, typed_rows)
 from strata.sources.tables import read_table
 from strata.sources.writers import write_csv, write_table
 
@@ -43,9 +43,10 @@ def land(files: dict[str, DataFrame], path: str) -> str:
 def ingest(spark: SparkSession, landed: str, expected: T.StructType, bronze: Bronze) -> Bronze:
     """Contract, stage and zones of everything landed in ``landed``."""
     raw = scan_landed(spark, landed, expected)
-    write_table(file_contract(raw, empty_files(raw, landed)), bronze.path("contract"))
-    write_table(header_files(raw), bronze.path("headers"))
-    rows = typed_rows(raw, expected, rename=False, good=read_table(spark, bronze.path("headers")))
+    write_table(file_headers(raw), bronze.path("headers"))
+    headers = read_table(spark, bronze.path("headers"))      # a row a file
+    write_table(contract_of_files(headers, empty_files(raw, landed)), bronze.path("contract"))
+    rows = typed_rows(raw, expected, rename=False, good=good_files(headers))
     contract = read_table(spark, bronze.path("contract"))     # a row a source
     write_table(rows.join(contract.where("contract_ok").select(SOURCE), SOURCE, "left_semi").drop(HEADER_OK),
                 bronze.path("stage"), partition_by=[SOURCE])

@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 fmt: str = "parquet", partition_by: Sequence[str] | None = None,
                 max_records_per_file: int | None = 5_000_000,
-                dynamic: bool = False) -> None:
+                dynamic: bool = False, clustered: bool = False) -> None:
+    """``clustered`` says that a task holds few values of ``partition_by`` anyway (there
+    are but a handful, or equal ones lie together): rows then stay in their tasks,
+    each of which writes a file a value, and are not shuffled."""
     out = df
-    if partition_by:
+    if partition_by and not clustered:
         # Rebalance (not repartition): rows are clustered by the partition
         # columns, and AQE splits a partition holding a large share of the
         # rows over several tasks (several files in one directory) while
