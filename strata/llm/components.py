@@ -11,10 +11,13 @@ from .io import stage
 HUB = 100_000
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(
-        F.count(F.lit(1)),
-        F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node is either the centre of a star or one of its points: then
+    each centre, the smaller end of all its edges, is its component's smallest node."""
+    ends = (edges.select(F.col("u").alias("node"), F.lit(1).alias("points"), F.lit(0).alias("centre"))
+            .unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("points"), F.lit(1).alias("centre"))))
+    return (ends.groupBy("node").agg(F.sum("points").alias("points"), F.max("centre").alias("centre"))
+            .where("points > 0 and points + centre > 1").count() == 0)
 
 
 def _with_least(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -39,15 +42,14 @@ def components(edges: DataFrame) -> DataFrame:
     every node (minimum of the neighbourhood, map-side combined).  Edges meet
     their node's minimum in salted parts of about ``HUB`` edges, so no
     neighbourhood is gathered anywhere; rounds grow with the logarithm of the
-    longest path.  Every round is stored, which also cuts the lineage.
+    longest path and end when stars are left.  Every round is stored, which also
+    cuts the lineage.
     """
     now = stage(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "edges")
-    seen = None
-    while (state := _fingerprint(now)) != seen:
-        seen = state
+    while not _stars(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least, met = _with_least(both)
         large = (met.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))

@@ -191,9 +191,18 @@ def _add_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ["range", "counts"])
 
 
-def _frequent(signatures: DataFrame) -> np.ndarray:
+def _packed(array: np.ndarray) -> bytes:
+    """A mostly empty array as bytes that travel with a task; ``_unpacked`` reads them."""
+    return zlib.compress(array.tobytes(), 1)
+
+
+def _unpacked(packed: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), kind)
+
+
+def _frequent(signatures: DataFrame) -> bytes:
     """Counts of the sketch's outstanding buckets, 0 elsewhere: an array of
-    SKETCH entries whatever the corpus."""
+    SKETCH entries (packed) whatever the corpus."""
     added = (signatures.where("range is not null").select("range", "counts")
              .repartition("range").mapInArrow(_add_sketches, "range int, counts binary"))
     sketch = np.zeros((SKETCH_RANGES, SKETCH // SKETCH_RANGES), np.uint32)
@@ -201,7 +210,8 @@ def _frequent(signatures: DataFrame) -> np.ndarray:
         sketch[row["range"]] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
     sketch = sketch.ravel()
     mean = sketch.mean(dtype=np.float64)
-    return np.where(sketch > mean + 8 * np.sqrt(mean) + 32, sketch, 0).astype(np.uint32)
+    sketch[sketch <= mean + 8 * np.sqrt(mean) + 32] = 0
+    return _packed(sketch)
 
 
 def prefix_size(n):
@@ -209,7 +219,8 @@ def prefix_size(n):
     return n - (PERCENT * n + 99) // 100 + 1
 
 
-def _entries(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _entries(batches: Iterator[pa.RecordBatch], outstanding: bytes) -> Iterator[pa.RecordBatch]:
+    frequent = _unpacked(outstanding, np.uint32)
     names = ["h", "salts", "salt", "node", "n"]
     seen: set[int] = set()      # copies inside a task are sent once
     for batch in batches:
@@ -360,17 +371,18 @@ def _short_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _pair_rows(*pairs)
 
 
-def _bitmap(bits: DataFrame) -> np.ndarray:
-    """A bitmap of BITMAP bits with the numbers in ``bit`` set: fixed size, so it
+def _bitmap(bits: DataFrame) -> bytes:
+    """A bitmap of BITMAP bits (packed) with the numbers in ``bit`` set: fixed size, so it
     may travel to every task; a wrong hit only costs an unused row."""
     rows = (bits.select(F.shiftright("bit", 6).alias("word"), (F.col("bit") % 64).cast("int").alias("at"))
-            .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits")).toPandas())
+            .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits")).toArrow())
     out = np.zeros(BITMAP // 64, np.int64)      # at most BITMAP / 64 rows
-    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return out
+    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return _packed(out)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], marked: bytes) -> Iterator[pa.RecordBatch]:
+    wanted = _unpacked(marked, np.int64)
     for batch in batches:
         bit = batch.column("bit").to_numpy()
         keep = batch.filter(pa.array((wanted[bit >> 6] >> (bit & 63) & 1).astype(bool)))
@@ -503,13 +515,15 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit(found)
 
 
-def _products(blocks: DataFrame, sketches: DataFrame) -> DataFrame:
+def _products(blocks: DataFrame, sketches: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """The rows of every product, sorted by it: block, lo, hi, part, node, n, columns,
-    sketch and the further columns of ``blocks``."""
-    more = [c for c in blocks.columns if c not in ("block", "node", "n", "columns")]
+    sketch and, with ``labels``, the node's root."""
+    more = [] if labels is None else ["root"]
     large = (blocks.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
              .where("parts > 1"))
     parts = F.coalesce("parts", F.lit(1))
+    if labels is not None:      # once a row: the sizes above need no label
+        blocks = _labelled(blocks, labels)
     return (blocks.join(large, "block", "left").join(sketches, "node")
             .withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
             .withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
@@ -598,7 +612,7 @@ def _solve(docs: DataFrame) -> _Solved:
     labels = components(links)
 
     # Full product over the nodes of different components.
-    overlaps = (_products(_labelled(blocks, labels), sketches).mapInArrow(_cross_pairs, _PAIRS)
+    overlaps = (_products(blocks, sketches, labels).mapInArrow(_cross_pairs, _PAIRS)
                 .unionByName(runs.where(~long).mapInArrow(_short_pairs, _PAIRS))
                 .groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap")))
     rest = F.greatest(_rest("na"), _rest("nb"))
@@ -609,8 +623,18 @@ def _solve(docs: DataFrame) -> _Solved:
     open_pairs = stage(_allowed(open_pairs.where("ra <> rb").select("a", "b", "na", "nb"), sketches), "jaccard-pairs")
     sets = _full_sets(texts, _nodes_of(open_pairs), reps)
     more = stage(_linked(open_pairs, sets), "jaccard-links")
+    return _Solved(texts, rows, reps, _joined(labels, more))
+
 
-    return _Solved(texts, rows, reps, components(links.unionByName(more)))
+def _joined(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, root) after the links ``more`` between components of ``labels``: only
+    the components that they join are solved again, a node each."""
+    for side in "ab":
+        more = _labelled(more.withColumnRenamed(side, "node"), labels).drop("node").withColumnRenamed("root", side)
+    top = components(more)
+    moved = labels.join(top.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select(
+        "node", F.coalesce("top", "root").alias("root"))
+    return stage(moved.unionByName(top.join(labels, "node", "left_anti")), "jaccard-roots")
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
@@ -622,10 +646,14 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 
 def _classes(solved: _Solved) -> DataFrame:
     rows, reps = solved.rows, solved.reps
-    ids = _labelled(reps.select("node", "doc_id"), solved.roots)
+    members = reps.select("node", "doc_id").join(solved.roots, "node")
     first = F.min_by("node", F.struct(F.col("doc_id").isNull(), "doc_id", "node"))
-    lowest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"), first.alias("kept_node"))
-    classes = ids.join(lowest, "root").select("node", "component_id", "kept_node")
+    lowest = members.groupBy("root").agg(F.min("doc_id").alias("least"), first.alias("first"))
+    linked = solved.roots.join(lowest, "root").select("node", "root", "least", "first")
+    alone = F.col("root").isNull()      # a node without a link
+    classes = reps.join(linked, "node", "left").select(
+        "node", F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
+        F.when(alone, F.col("node")).otherwise(F.col("first")).alias("kept_node"))
     empty = F.col("node").isNull()
     return (rows.join(classes, "node", "left")
             .withColumn("component_id", F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")))
@@ -740,8 +768,9 @@ def jaccard_counts(docs: DataFrame) -> DataFrame:
     return _classes(solved).join(counts, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
 
 
-def _split(batches: Iterator[pa.RecordBatch], open_ids: np.ndarray, take_open: bool) -> Iterator[pa.RecordBatch]:
+def _split(batches: Iterator[pa.RecordBatch], marked: bytes, take_open: bool) -> Iterator[pa.RecordBatch]:
     """Rows whose id's bit is set (with their node), or the others."""
+    open_ids = _unpacked(marked, np.int64)
     for batch in batches:
         bit = batch.column("bit").to_numpy()
         hit = (open_ids[bit >> 6] >> (bit & 63) & 1).astype(bool)

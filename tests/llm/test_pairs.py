@@ -123,6 +123,42 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
 
 
+def test_what_is_a_star_already_takes_no_round(spark, monkeypatch):
+    """A round of ``components`` is two jobs of deep plans on the driver."""
+    from strata.llm import components as module
+    stored_names = []
+    monkeypatch.setattr(module, "stage", lambda df, name: stored_names.append(name) or df.localCheckpoint())
+    edges = [(1, 2), (1, 3), (7, 9), (9, 7), (5, 5)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 7: 7, 9: 7} and len(stored_names) == 1
+
+
+def test_links_between_components_join_them(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 1), (4, 4), (5, 4), (8, 8), (9, 8)], "node long, root long")
+    more = spark.createDataFrame([(2, 5), (3, 9), (20, 21)], "a long, b long")
+    got = sorted((r.node, r.root) for r in op8._joined(labels, more).collect())
+    assert got == [(1, 1), (2, 1), (3, 3), (4, 1), (5, 1), (8, 3), (9, 3), (20, 20), (21, 20)]
+
+
+def test_what_goes_to_every_task_is_small(spark):
+    """Arrays of a fixed size travel packed, not as 8 or 16 MB a function."""
+    bits = op8._bitmap(spark.createDataFrame([(3,), (64,), (op8.BITMAP - 1,)], "bit long"))
+    assert len(bits) < 1 << 20
+    got = op8._unpacked(bits, "int64")
+    assert len(got) == op8.BITMAP // 64 and {i: int(got[i]) for i in got.nonzero()[0]} == \
+        {0: 8, 1: 1, len(got) - 1: -(1 << 63)}
+    none = spark.createDataFrame([], op8._SIGNATURES.format(id="long"))
+    assert len(op8._frequent(none)) < 1 << 20
+
+
+def test_each_node_of_a_block_is_labelled_once(spark):
+    blocks = spark.createDataFrame([(1, 1, 9, b"")], "block long, node long, n int, columns binary")
+    sketches = spark.createDataFrame([(1, b"")], "node long, sketch binary")
+    labels = spark.createDataFrame([(1, 1)], "node long, root long")
+    plan = op8._products(blocks, sketches, labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Join LeftOuter, (node" in line for line in plan.splitlines()) == 1
+
+
 # -- substring dedup ----------------------------------------------------------
 
 def brute_cut(rows, size=35):
