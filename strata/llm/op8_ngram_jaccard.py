@@ -553,13 +553,14 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 class _Solved(NamedTuple):
-    """What both outputs start from: the texts, (doc_id, n_shingles, node) of
-    every row, one row a node, and the root of every node that has a link."""
+    """What both outputs start from: (doc_id, n_shingles, node) of every row, one
+    row a node, the root of every node that has a link, and the full sets of all
+    nodes that were compared (some twice)."""
 
-    texts: DataFrame
     rows: DataFrame
     reps: DataFrame
     roots: DataFrame
+    sets: DataFrame
 
 
 def _solve(docs: DataFrame) -> _Solved:
@@ -621,9 +622,9 @@ def _solve(docs: DataFrame) -> _Solved:
     for side in "ab":       # those of short columns may lie in one component
         open_pairs = _labelled(open_pairs.withColumn("node", F.col(side)), labels).withColumnRenamed("root", f"r{side}")
     open_pairs = stage(_allowed(open_pairs.where("ra <> rb").select("a", "b", "na", "nb"), sketches), "jaccard-pairs")
-    sets = _full_sets(texts, _nodes_of(open_pairs), reps)
-    more = stage(_linked(open_pairs, sets), "jaccard-links")
-    return _Solved(texts, rows, reps, _joined(labels, more))
+    more_sets = _full_sets(texts, _nodes_of(open_pairs), reps)
+    more = stage(_linked(open_pairs, more_sets), "jaccard-links")
+    return _Solved(rows, reps, _joined(labels, more), sets.unionByName(more_sets))
 
 
 def _joined(labels: DataFrame, more: DataFrame) -> DataFrame:
@@ -738,7 +739,7 @@ def _linked_blocks(solved: _Solved, pairs: bool) -> DataFrame:
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / ELEMENTS)).cast("int")
     large = stage(members.groupBy("root").agg(blocks.alias("blocks")).where("blocks > 1"), "jaccard-large")
     groups = members.agg(F.coalesce(blocks, F.lit(1))).first()[0]
-    sets = _full_sets(solved.texts, members.select("node"), solved.reps).dropDuplicates(["node"])
+    sets = solved.sets.dropDuplicates(["node"])     # a linked node was compared: its set is there
     count = F.coalesce("blocks", F.lit(1))
     dealt = (members.join(large, "root", "left").join(sets, "node")
              .withColumn("block", F.pmod(F.xxhash64("node"), count).cast("int"))

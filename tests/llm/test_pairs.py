@@ -159,6 +159,15 @@ def test_each_node_of_a_block_is_labelled_once(spark):
     assert sum("Join LeftOuter, (node" in line for line in plan.splitlines()) == 1
 
 
+def test_counting_links_reads_the_texts_no_further_time(spark, monkeypatch):
+    """The sets of linked nodes are there: each was compared."""
+    scans, full_sets = [], op8._full_sets
+    monkeypatch.setattr(op8, "_full_sets", lambda *args: scans.append(1) or full_sets(*args))
+    rows = near_rows()[:40]
+    got = op8.jaccard_counts(documents(spark, rows)).collect()
+    assert len(got) == len(rows) and max(r.n_links for r in got) > 1 and len(scans) == 2
+
+
 # -- substring dedup ----------------------------------------------------------
 
 def brute_cut(rows, size=35):
