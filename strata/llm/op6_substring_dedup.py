@@ -13,7 +13,7 @@ How the windows are counted without a row a window:
    each hash range to that range's *bucket* as one delta-coded row.
 2. A bucket holds about a million windows at any corpus size (the number of
    buckets follows the input's text bytes); it finds the hashes that it
-   received twice and sends each chunk its own.
+   received twice and sends each chunk its own, delta-coded too.
 3. Chunks meet their repeated hashes in a co-group, where the texts are read
    again, cut and joined.
 
@@ -154,7 +154,8 @@ def _repeated(bits: int) -> Callable:
         begin = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else []
         return pa.table({
             "chunk": pa.array(owner[begin] if len(owner) else owner, pa.int64()),
-            "hashes": pa.array([np.unique(hashes[lo:hi]).tobytes() for lo, hi
+            "bucket": pa.array([key[0].as_py()] * len(begin), pa.int32()),
+            "hashes": pa.array([encode(np.unique(hashes[lo:hi]), base) for lo, hi
                                 in zip(begin, [*begin[1:], len(owner)])], pa.binary())})
     return repeated
 
@@ -166,7 +167,7 @@ def join_words(words: Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     texts = np.append(0, np.cumsum(keep))[words.first]      # kept words before each text
     offsets = np.append(0, to)[texts]
     source = np.repeat(begin - (to - length), length) + np.arange(to[-1] if len(to) else 0)
-    data = words.data[np.minimum(source, len(words.data) - 1)] if len(source) else words.data[:0]
+    data = words.data[np.minimum(source, len(words.data) - 1)] if len(source) else np.zeros(0, np.uint8)
     data[to - 1] = 0x20
     return data, offsets
 
@@ -215,9 +216,10 @@ def _without(words: Words, column: pa.Array, spans: tuple[np.ndarray, ...]) -> t
     return pa.array(texts, pa.binary()).cast(pa.string()), pa.ListArray.from_arrays(pa.array(at), rows)
 
 
-def _cut(window: int, with_text: bool, in_place: bool) -> Callable:
+def _cut(bits: int, window: int, with_text: bool, in_place: bool) -> Callable:
     def cut(docs: pa.Table, repeated: pa.Table) -> pa.Table:
-        sent = [np.frombuffer(p.as_py(), np.uint64) for p in repeated.column("hashes")]
+        sent = [decode(p.as_py(), _base(b, bits)) for p, b in zip(
+            repeated.column("hashes"), repeated.column("bucket").to_pylist())]
         known = np.sort(np.concatenate(sent)) if sent else np.zeros(0, np.uint64)
         n_words, n_removed, digests, texts, spans = [], [], [], [], []
         if docs.num_rows:
@@ -285,10 +287,10 @@ def judged(docs: DataFrame, keep: Sequence[str], window: int, in_place: bool) ->
     sent = rows.select("chunk", F.col(_text(keep)).alias("text")).mapInArrow(
         apply_bound(_send, bits, window), "bucket int, chunk long, hashes binary")
     repeated = stage(sent.groupBy("bucket").applyInArrow(
-        _repeated(bits), "chunk long, hashes binary"), "substring-repeats")
+        _repeated(bits), "chunk long, bucket int, hashes binary"), "substring-repeats")
     schema = StructType([rows.schema["row"], StructField("n_words", LongType()), StructField("n_removed", LongType()),
                          StructField("kept_sha256", StringType())])
     if in_place:
         schema.add(StructField("spans", ArrayType(StructType([StructField(f, LongType()) for f in SPAN]))))
     return (rows.groupBy("chunk").cogroup(repeated.groupBy("chunk"))
-            .applyInArrow(_cut(window, "text" in keep, in_place), schema))
+            .applyInArrow(_cut(bits, window, "text" in keep, in_place), schema))
