@@ -91,7 +91,7 @@ def ingest_available(spark: SparkSession, schema: T.StructType, src: str, dst: s
 
 def ingest_csv_available(spark: SparkSession, src: str, expected: T.StructType,
                          process_batch: Callable[[DataFrame, int], None], checkpoint: str,
-                         max_files_per_batch: int = 1000, glob: str = "*.csv") -> StreamingQuery:
+                         max_files_per_batch: int = 1000, glob: str | None = None) -> StreamingQuery:
     """Land-and-gate for source files that keep arriving.
 
     The stream reads every new file (``src`` may be a glob such as
@@ -99,10 +99,10 @@ def ingest_csv_available(spark: SparkSession, src: str, expected: T.StructType,
     batch scan, and hands each micro-batch to ``process_batch(df, batch_id)``
     (``foreachBatch``).  Whole files belong to one micro-batch, so per-file
     verdicts can be taken inside the batch."""
-    from strata.sources.files import CSV_OPTIONS, landed_projection, landed_string_schema
+    from strata.sources.files import CSV_FILES, CSV_OPTIONS, landed_projection, landed_string_schema
     raw = (spark.readStream.schema(landed_string_schema(expected))
            .options(**CSV_OPTIONS)
-           .option("pathGlobFilter", glob)
+           .option("pathGlobFilter", glob or CSV_FILES)
            .option("maxFilesPerTrigger", max_files_per_batch)
            .csv(src))
     q = (landed_projection(raw, expected).writeStream
